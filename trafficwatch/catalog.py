@@ -9,15 +9,19 @@ means) so they compare with the DuckDB statements in
 """
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from trafficwatch.config import DEFAULT
 from trafficwatch.operators import detect
 from trafficwatch.operators.dedupe import upsert
 from trafficwatch.operators.enrich import enrich
-from trafficwatch.plans.present import present
+from trafficwatch.plans import lookup, report
+from trafficwatch.plans.present import present, round_mean
+from trafficwatch.sources.registry import camera_listing
 from trafficwatch.sources.fixtures import fixture_cameras, fixture_readings
 from trafficwatch.sources.telemetry import valid_readings
 
@@ -82,6 +86,93 @@ def q_violations_upserted(spark, sf_dir):
     return present(violations(spark, sf_dir), means=VIOLATION_MEANS, drop=("evidence",))
 
 
+# Parameters of the lookups and reports (the data is 2024-01-01 08:00-10:00 Manila).
+MANILA = dt.timezone(dt.timedelta(hours=8))
+DAY = dt.date(2024, 1, 1)
+NOW = dt.datetime(2024, 1, 1, 10, 2, tzinfo=MANILA)
+PREV_POLL = NOW - dt.timedelta(minutes=5)
+PLATE_INPUT = "  p   12 "
+CAMERA_INPUT = "cam-03"
+TYPE_INPUT = "speeding "
+
+
+def day_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.day_violations(violations(spark, sf_dir), DAY)
+
+
+def _api(df: DataFrame) -> DataFrame:
+    # Evidence left out: speeding evidence has no exact SQL form (see above).
+    return df.drop("evidence").withColumn("speed", round_mean("speed"))
+
+
+def q_violations_by_plate(spark, sf_dir):
+    df = lookup.violations_by_plate(violations(spark, sf_dir), PLATE_INPUT)
+    return present(df, means=VIOLATION_MEANS, drop=("evidence",))
+
+
+def q_violations_by_camera(spark, sf_dir):
+    df = lookup.violations_by_camera(violations(spark, sf_dir), CAMERA_INPUT, DAY)
+    return present(df, means=VIOLATION_MEANS, drop=("evidence",))
+
+
+def q_violations_by_type(spark, sf_dir):
+    df = lookup.violations_by_type(violations(spark, sf_dir), TYPE_INPUT, DAY)
+    return present(df, means=VIOLATION_MEANS, drop=("evidence",))
+
+
+def q_stats_by_camera(spark, sf_dir):
+    stats = detect.camera_speed_stats(enriched_readings(spark, sf_dir), DEFAULT, distinct="exact")
+    return present(lookup.stats_by_camera(stats, CAMERA_INPUT, DAY),
+                   means=("avg_speed_kph", "pct_over_limit"))
+
+
+def q_violations_of_day(spark, sf_dir):
+    return _api(lookup.violations_of_day(violations(spark, sf_dir), DAY))
+
+
+def q_new_violations(spark, sf_dir):
+    detections = detect.detect_all(enriched_readings(spark, sf_dir), DEFAULT, "watermark")
+    return _api(lookup.new_violations(detections, DAY, PREV_POLL, NOW))
+
+
+def q_day_stats(spark, sf_dir):
+    return report.day_stats(day_records(spark, sf_dir), NOW)
+
+
+def q_counts_by_camera(spark, sf_dir):
+    return report.counts_by(day_records(spark, sf_dir), "camera_id")
+
+
+def q_counts_by_type(spark, sf_dir):
+    return report.counts_by(day_records(spark, sf_dir), "violation_type")
+
+
+def q_counts_by_location(spark, sf_dir):
+    return report.counts_by_location(day_records(spark, sf_dir))
+
+
+def q_top_plate(spark, sf_dir):
+    return report.top_key(day_records(spark, sf_dir), "plate_number")
+
+
+def q_day_summary(spark, sf_dir):
+    return report.day_summary(day_records(spark, sf_dir), DAY)
+
+
+def q_latest_detection_age(spark, sf_dir):
+    return report.latest_detection_age(day_records(spark, sf_dir), NOW)
+
+
+def q_offset_rate(spark, sf_dir):
+    readings = valid_readings(fixture_readings(spark, sf_dir))
+    rates = report.offset_rate(report.topic_offsets(readings))
+    return present(rates, means=("events_per_sec",))
+
+
+def q_camera_listing(spark, sf_dir):
+    return camera_listing(fixture_cameras(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "enriched_telemetry": q_enriched_telemetry,
     "valid_telemetry": q_valid_telemetry,
@@ -92,4 +183,19 @@ QUERIES: dict[str, Query] = {
     "camera_speed_stats": q_camera_speed_stats,
     "camera_speed_stats_approx": q_camera_speed_stats_approx,
     "violations_upserted": q_violations_upserted,
+    "violations_by_plate": q_violations_by_plate,
+    "violations_by_camera": q_violations_by_camera,
+    "violations_by_type": q_violations_by_type,
+    "stats_by_camera": q_stats_by_camera,
+    "violations_of_day": q_violations_of_day,
+    "new_violations": q_new_violations,
+    "day_stats": q_day_stats,
+    "counts_by_camera": q_counts_by_camera,
+    "counts_by_type": q_counts_by_type,
+    "counts_by_location": q_counts_by_location,
+    "top_plate": q_top_plate,
+    "day_summary": q_day_summary,
+    "latest_detection_age": q_latest_detection_age,
+    "offset_rate": q_offset_rate,
+    "camera_listing": q_camera_listing,
 }

@@ -87,10 +87,10 @@ SPEEDING = f"""
 speeding AS (
   SELECT {vid('SPEEDING', 'first_us')} AS violation_id, 'SPEEDING' AS violation_type,
          plate_number, vehicle_type, camera_id, location_name, road_name,
-         {mean('latitude')} AS latitude, {mean('longitude')} AS longitude,
+         latitude, longitude,
          {ts('first_us')} AS violation_time, CAST({ts('first_us')} AS DATE) AS violation_date,
          {ts('ws')} AS window_start, {ts('ws + 60000000')} AS window_end,
-         {mean('avg_speed')} AS recorded_speed_kph, speed_limit_kph,
+         avg_speed AS recorded_speed_kph, speed_limit_kph,
          CAST(readings AS INTEGER) AS reading_count,
          CAST(NULL AS VARCHAR) AS evidence,
          'PENDING_REVIEW' AS ticket_status, {ts('ws + 90000000')} AS detected_at
@@ -101,10 +101,10 @@ RED_LIGHT = f"""
 red_light AS (
   SELECT {vid('BEATING_RED_LIGHT', 'us')} AS violation_id, 'BEATING_RED_LIGHT' AS violation_type,
          plate_number, vehicle_type, camera_id, location_name, road_name,
-         {mean('latitude')} AS latitude, {mean('longitude')} AS longitude,
+         latitude, longitude,
          {ts('us')} AS violation_time, CAST({ts('us')} AS DATE) AS violation_date,
          {ts('us')} AS window_start, {ts('us')} AS window_end,
-         {mean('speed_kph')} AS recorded_speed_kph, speed_limit_kph,
+         speed_kph AS recorded_speed_kph, speed_limit_kph,
          CAST(1 AS INTEGER) AS reading_count,
          'Crossed the stop line on RED at '
            || CAST(round(CAST(speed_kph AS DECIMAL(18, 2)), 1) AS VARCHAR) || ' kph' AS evidence,
@@ -140,10 +140,10 @@ PARKING = f"""
 parking AS (
   SELECT {vid('ILLEGAL_PARKING', 'first_us')} AS violation_id, 'ILLEGAL_PARKING' AS violation_type,
          plate_number, vehicle_type, camera_id, location_name, road_name,
-         {mean('latitude')} AS latitude, {mean('longitude')} AS longitude,
+         latitude, longitude,
          {ts('first_us')} AS violation_time, CAST({ts('first_us')} AS DATE) AS violation_date,
          {ts('first_us')} AS window_start, {ts('last_us')} AS window_end,
-         {mean('avg_speed')} AS recorded_speed_kph, speed_limit_kph,
+         avg_speed AS recorded_speed_kph, speed_limit_kph,
          CAST(readings AS INTEGER) AS reading_count,
          'Stationary for ' || CAST(stationary_seconds AS VARCHAR) || ' s in a no-parking zone ('
            || CAST(readings AS VARCHAR) || ' readings); grace period 180 s' AS evidence,
@@ -165,9 +165,11 @@ violations AS (
 
 DETECTIONS = ",".join([SPEED_WINDOWS, SPEEDING, RED_LIGHT, SESSIONS, PARKING, VIOLATIONS])
 
-VIOLATION_COLS = """violation_id, violation_type, plate_number, vehicle_type, camera_id,
-  location_name, road_name, latitude, longitude, violation_time, violation_date, window_start,
-  window_end, recorded_speed_kph, speed_limit_kph, reading_count, ticket_status, detected_at"""
+VIOLATION_COLS = f"""violation_id, violation_type, plate_number, vehicle_type, camera_id,
+  location_name, road_name, {mean('latitude')} AS latitude, {mean('longitude')} AS longitude,
+  violation_time, violation_date, window_start, window_end,
+  {mean('recorded_speed_kph')} AS recorded_speed_kph, speed_limit_kph, reading_count,
+  ticket_status, detected_at"""
 
 
 def with_detections(select: str) -> str:
@@ -220,3 +222,177 @@ FROM cw GROUP BY camera_id, ws, speed_limit_kph"""
 
 SQL["violations_upserted"] = with_detections(
     f"SELECT {VIOLATION_COLS} FROM violations")
+
+# --- lookups and reports -------------------------------------------------------------
+# Parameters shared with trafficwatch.catalog.
+DAY = "DATE '2024-01-01'"
+NOW = "TIMESTAMP '2024-01-01 10:02:00'"        # Manila wall clock
+PREV_POLL = "TIMESTAMP '2024-01-01 09:57:00'"
+PLATE_INPUT = "  p   12 "
+CAMERA_INPUT = "cam-03"
+TYPE_INPUT = "speeding "
+
+
+def iso(col: str) -> str:
+    return f"strftime({col}, '%Y-%m-%dT%H:%M:%S.%g') || '+08:00'"
+
+
+def api(src: str) -> str:
+    """API records (evidence left out, see catalog) of a violations relation."""
+    return f"""SELECT violation_id AS id, {iso('violation_time')} AS time,
+       violation_type AS type, plate_number AS plate, vehicle_type AS vehicle,
+       camera_id AS camera, location_name AS location,
+       {mean('recorded_speed_kph')} AS speed, speed_limit_kph AS "limit",
+       ticket_status AS status, {iso('detected_at')} AS detected
+FROM {src}"""
+
+
+DAY_RECORDS = f"""
+recs AS (
+  SELECT * FROM violations
+  WHERE violation_date = {DAY}
+    AND violation_type IN ('BEATING_RED_LIGHT', 'SPEEDING', 'ILLEGAL_PARKING')
+)"""
+
+
+def with_day(select: str) -> str:
+    return BASE + "," + DETECTIONS + "," + DAY_RECORDS + "\n" + select
+
+
+STORED_ORDER = "ORDER BY violation_time DESC, violation_id ASC"
+
+SQL["violations_by_plate"] = with_detections(f"""
+SELECT {VIOLATION_COLS} FROM violations
+WHERE plate_number = trim(regexp_replace(upper('{PLATE_INPUT}'), '\\s+', ' ', 'g'))
+{STORED_ORDER} LIMIT 100""")
+
+SQL["violations_by_camera"] = with_detections(f"""
+SELECT {VIOLATION_COLS} FROM violations
+WHERE camera_id = upper(trim('{CAMERA_INPUT}')) AND violation_date = {DAY}
+{STORED_ORDER} LIMIT 50""")
+
+SQL["violations_by_type"] = with_detections(f"""
+SELECT {VIOLATION_COLS} FROM violations
+WHERE violation_type = upper(trim('{TYPE_INPUT}')) AND violation_date = {DAY}
+{STORED_ORDER} LIMIT 50""")
+
+SQL["stats_by_camera"] = BASE + f""",
+cw AS (
+  SELECT e.*, (us - us % 30000000) - k * 30000000 AS ws
+  FROM enriched e CROSS JOIN range(2) t(k)
+),
+stats AS (
+  SELECT camera_id, CAST({ts('ws')} AS DATE) AS stat_date,
+         {ts('ws')} AS window_start, {ts('ws + 60000000')} AS window_end,
+         avg(speed_kph) AS avg_speed_kph, max(speed_kph) AS max_speed_kph,
+         CAST(count(*) AS INTEGER) AS reading_count,
+         CAST(count(DISTINCT plate_number) AS INTEGER) AS vehicle_count,
+         avg(CASE WHEN speed_kph > speed_limit_kph THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)
+           AS pct_over_limit,
+         speed_limit_kph
+  FROM cw GROUP BY camera_id, ws, speed_limit_kph
+)
+SELECT camera_id, stat_date, window_start, window_end, {mean('avg_speed_kph')} AS avg_speed_kph,
+       max_speed_kph, reading_count, vehicle_count, {mean('pct_over_limit')} AS pct_over_limit,
+       speed_limit_kph
+FROM stats
+WHERE camera_id = upper(trim('{CAMERA_INPUT}')) AND stat_date = {DAY}
+ORDER BY window_start DESC LIMIT 50"""
+
+SQL["violations_of_day"] = with_day(
+    api("recs") + " ORDER BY time DESC NULLS LAST, id ASC LIMIT 300")
+
+
+def _as_of(moment: str) -> str:
+    return f"""(SELECT * FROM all_violations WHERE detected_at <= {moment}
+  QUALIFY row_number() OVER (PARTITION BY violation_id
+    ORDER BY window_end DESC, recorded_speed_kph DESC, detected_at DESC, window_start DESC,
+             reading_count DESC, evidence DESC NULLS LAST) = 1)"""
+
+
+SQL["new_violations"] = BASE + "," + DETECTIONS + f""",
+seen AS (
+  SELECT violation_id FROM {_as_of(PREV_POLL)} s
+  WHERE violation_date = {DAY}
+    AND violation_type IN ('BEATING_RED_LIGHT', 'SPEEDING', 'ILLEGAL_PARKING')
+),
+fetched AS (
+  SELECT * FROM {_as_of(NOW)} f
+  WHERE violation_date = {DAY}
+    AND violation_type IN ('BEATING_RED_LIGHT', 'SPEEDING', 'ILLEGAL_PARKING')
+    AND violation_time >= {NOW} - INTERVAL 30 MINUTE
+),
+fresh AS (SELECT * FROM fetched WHERE violation_id NOT IN (SELECT violation_id FROM seen))
+""" + api("fresh")
+
+SQL["day_stats"] = with_day(f""",
+per_cam AS (
+  SELECT camera_id, count(*) AS n,
+         count(*) FILTER (WHERE detected_at >= {NOW} - INTERVAL 5 MINUTE) AS recent,
+         sum(recorded_speed_kph) AS s, count(recorded_speed_kph) AS c,
+         arg_max(location_name, {{'t': violation_time, 'i': violation_id}}) AS location_name
+  FROM recs GROUP BY camera_id
+)
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS total,
+       round(coalesce(sum(recent), 0) / CAST(5 AS DOUBLE), 1) AS per_minute,
+       coalesce(round(sum(s) / sum(c) + 1e-9, 2), CAST(0 AS DOUBLE)) AS avg_speed,
+       arg_min(location_name, {{'m': -n, 'k': camera_id}}) AS busiest
+FROM per_cam""")
+
+SQL["counts_by_camera"] = with_day("SELECT camera_id, count(*) AS n FROM recs GROUP BY camera_id")
+SQL["counts_by_type"] = with_day(
+    "SELECT violation_type, count(*) AS n FROM recs GROUP BY violation_type")
+SQL["counts_by_location"] = with_day(
+    "SELECT location_name, count(*) AS n FROM recs GROUP BY location_name")
+SQL["top_plate"] = with_day(
+    "SELECT plate_number, count(*) AS n FROM recs GROUP BY plate_number "
+    "ORDER BY n DESC, plate_number ASC LIMIT 1")
+
+SQL["day_summary"] = with_day(f""",
+per_plate AS (
+  SELECT plate_number, count(*) AS n, min(violation_time) AS f, max(violation_time) AS l,
+         sum(recorded_speed_kph) AS s, count(recorded_speed_kph) AS c
+  FROM recs GROUP BY plate_number
+)
+SELECT '2024-01-01' AS date, {iso('min(f)')} AS first, {iso('max(l)')} AS last,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS total,
+       coalesce(round(sum(s) / sum(c) + 1e-9, 2), CAST(0 AS DOUBLE)) AS avg_speed,
+       arg_min(plate_number, {{'m': -n, 'k': plate_number}}) AS top_plate,
+       max(n) AS top_plate_count
+FROM per_plate""")
+
+SQL["latest_detection_age"] = with_day(f"""
+SELECT CASE WHEN max(detected_at) IS NOT NULL THEN
+         greatest(CAST(0 AS DOUBLE),
+                  (epoch_us({NOW}) - epoch_us(max(detected_at))) / CAST(1000000 AS DOUBLE))
+       END AS age_seconds
+FROM recs""")
+
+_RATE = """CASE WHEN lag(poll) OVER w IS NULL OR poll <= lag(poll) OVER w THEN CAST(0 AS DOUBLE)
+  ELSE greatest(CAST(0 AS DOUBLE),
+       (total - lag(total) OVER w) / ((poll - lag(poll) OVER w) / CAST(1000000 AS DOUBLE))) END"""
+
+SQL["offset_rate"] = BASE + f""",
+valid AS (SELECT * FROM readings WHERE speed_kph >= 0 AND NOT isnan(speed_kph)),
+msgs AS (
+  SELECT CAST(('0x' || substr(md5(plate_number), 1, 8)) AS BIGINT) % 3 AS topic_partition,
+         us - us % 300000000 + 300000000 AS poll
+  FROM valid
+),
+counts AS (SELECT topic_partition, poll, count(*) AS n FROM msgs GROUP BY topic_partition, poll),
+grid AS (SELECT DISTINCT c.poll, p.topic_partition
+         FROM counts c CROSS JOIN range(3) p(topic_partition)),
+snap AS (
+  SELECT g.poll, g.topic_partition,
+         sum(coalesce(n, 0)) OVER (PARTITION BY g.topic_partition ORDER BY g.poll
+                                   ROWS UNBOUNDED PRECEDING) AS end_offset
+  FROM grid g LEFT JOIN counts c ON c.poll = g.poll AND c.topic_partition = g.topic_partition
+),
+totals AS (SELECT poll, CAST(sum(end_offset) AS BIGINT) AS total FROM snap GROUP BY poll)
+SELECT {ts('poll')} AS poll_time, total, {mean(_RATE)} AS events_per_sec
+FROM totals WINDOW w AS (ORDER BY poll)"""
+
+SQL["camera_listing"] = BASE + """
+SELECT camera_id AS id, location_name AS location, road_name AS road, camera_type AS type,
+       speed_limit_kph AS "limit", latitude AS lat, longitude AS lon
+FROM cams"""
