@@ -19,11 +19,22 @@ from trafficwatch.config import DEFAULT
 from trafficwatch.operators import detect
 from trafficwatch.operators.dedupe import upsert
 from trafficwatch.operators.enrich import enrich
-from trafficwatch.plans import lookup, report
+from trafficwatch.functions.text import normalize_plate
+from trafficwatch.functions.timeutil import iso_text, local_time, utc_wall
+from trafficwatch.operators import replay
+from trafficwatch.operators.dedupe import first_per_key
+from trafficwatch.plans import lookup, quality, report
 from trafficwatch.plans.present import present, round_mean
 from trafficwatch.sources.registry import camera_listing
 from trafficwatch.sources.fixtures import fixture_cameras, fixture_readings
-from trafficwatch.sources.telemetry import valid_readings
+from trafficwatch.sources.fixtures import fixture_scenarios
+from trafficwatch.sources.telemetry import (
+    COLUMN_MAPPING,
+    normalize_rows,
+    telemetry,
+    telemetry_messages,
+    valid_readings,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -173,6 +184,131 @@ def q_camera_listing(spark, sf_dir):
     return camera_listing(fixture_cameras(spark, sf_dir))
 
 
+# --- ingestion ---------------------------------------------------------------------
+# A CSV export of the readings as another system would write it: its own column
+# names, padded and lower-cased text, loose booleans, three time notations and
+# some blank ids. Every reading is exported; the variants are chosen per row.
+EXPORT_MAPPING = {
+    **COLUMN_MAPPING,
+    "event_id": "id", "camera_id": "cam", "plate_number": "plate", "vehicle_type": "kind",
+    "latitude": "lat", "longitude": "lon", "speed_kph": "kph",
+    "traffic_light_state": "light", "stop_line_crossed": "crossed", "event_time": "ts",
+}
+TRUE_SPELLINGS = ("TRUE", "1", "Yes", "y", "t")
+FALSE_SPELLINGS = ("no", "0", "false", "N", "f")
+REBASE_START = dt.datetime(2026, 9, 1, 7, 0, tzinfo=MANILA)
+REPLAY_PASSES = 2
+
+
+def csv_export(readings: DataFrame) -> DataFrame:
+    eid = F.col("event_id").cast("long")
+
+    def pick(words):
+        return F.element_at(F.array(*[F.lit(w) for w in words]), (F.pmod(eid, F.lit(5)) + 1).cast("int"))
+
+    crossed = F.col("stop_line_crossed")
+    kind = F.pmod(eid, F.lit(3))
+    micro = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    ts_text = (F.when(kind == 0, F.concat(F.date_format(utc_wall("event_time"), micro), F.lit("Z")))
+               .when(kind == 1, F.concat(F.date_format(local_time("event_time"), micro), F.lit("+08:00")))
+               .otherwise(F.date_format(local_time("event_time"), "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+    return readings.select(
+        F.when(F.pmod(eid, F.lit(11)) == 0, F.lit("")).otherwise(F.col("event_id")).alias("id"),
+        F.concat(F.lit(" "), F.col("camera_id"), F.lit(" ")).alias("cam"),
+        F.concat(F.lit("  "), F.lower("plate_number"), F.lit("\t")).alias("plate"),
+        F.coalesce(F.concat(F.lit(" "), F.col("vehicle_type")), F.lit("   ")).alias("kind"),
+        F.format_string("%.4f", "latitude").alias("lat"),
+        F.format_string("%.4f", "longitude").alias("lon"),
+        F.format_string("%.4f", "speed_kph").alias("kph"),
+        F.coalesce(F.lower("traffic_light_state"), F.lit("")).alias("light"),
+        F.when(crossed.isNull(), F.lit("")).when(crossed, pick(TRUE_SPELLINGS))
+        .otherwise(pick(FALSE_SPELLINGS)).alias("crossed"),
+        ts_text.alias("ts"),
+    )
+
+
+def q_normalize_csv_rows(spark, sf_dir):
+    raw = csv_export(fixture_readings(spark, sf_dir))
+    return present(normalize_rows(raw, EXPORT_MAPPING, DEFAULT, mode="fail"))
+
+
+def q_dedupe_events(spark, sf_dir):
+    """Two files holding every reading; per id the copy earlier in file order
+    (file name, then position) wins."""
+    readings = valid_readings(fixture_readings(spark, sf_dir))
+    eid = F.col("event_id").cast("long")
+    original = readings.withColumns({
+        "_file": F.concat(F.lit("part-"), F.pmod(eid, F.lit(2)).cast("string")), "_pos": eid})
+    copy = readings.withColumns({
+        "speed_kph": F.col("speed_kph") + F.lit(1.0),
+        "vehicle_type": F.lit("DUPLICATE"),
+        "_file": F.concat(F.lit("part-"), F.pmod(eid + 1, F.lit(2)).cast("string")), "_pos": eid})
+    firsts = first_per_key(original.unionByName(copy), "event_id", order=["_file", "_pos"])
+    return present(firsts.drop("_file", "_pos"))
+
+
+def q_decode_json(spark, sf_dir):
+    """Every reading as a message plus a truncated (malformed) copy of it; the
+    decoder keeps the good ones (times at millisecond precision)."""
+    messages = telemetry_messages(fixture_readings(spark, sf_dir))
+    broken = messages.select("key", F.expr("substring(value, 1, length(value) div 2)").alias("value"))
+    return present(telemetry(messages.unionByName(broken), DEFAULT, watermark=False))
+
+
+def q_encode_messages(spark, sf_dir):
+    return telemetry_messages(valid_readings(fixture_readings(spark, sf_dir)))
+
+
+def q_rebase_time(spark, sf_dir):
+    readings = valid_readings(fixture_readings(spark, sf_dir))
+    return present(replay.rebase_time(readings, REBASE_START))
+
+
+def q_replay_passes(spark, sf_dir):
+    readings = valid_readings(fixture_readings(spark, sf_dir))
+    return present(replay.replay_passes(readings, REPLAY_PASSES))
+
+
+def q_normalize_plate(spark, sf_dir):
+    readings = fixture_readings(spark, sf_dir)
+    messy = F.concat(F.lit(" \t"), F.regexp_replace(F.lower("plate_number"), " ", "  \t "), F.lit("  "))
+    return (readings.select("event_id", messy.alias("plate_raw"))
+            .withColumn("plate", normalize_plate("plate_raw")))
+
+
+def q_iso_times(spark, sf_dir):
+    return violations(spark, sf_dir).select(
+        "violation_id",
+        iso_text("violation_time").alias("violation_time_iso"),
+        iso_text("detected_at").alias("detected_at_iso"),
+    )
+
+
+# --- quality ------------------------------------------------------------------------
+
+def labelled_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cameras = fixture_cameras(spark, sf_dir)
+    return enrich(fixture_scenarios(valid_readings(fixture_readings(spark, sf_dir)), cameras),
+                  cameras, DEFAULT)
+
+
+def q_registry_checks(spark, sf_dir):
+    return quality.registry_checks(fixture_cameras(spark, sf_dir))
+
+
+def q_planted_rule_checks(spark, sf_dir):
+    return quality.planted_rule_checks(labelled_readings(spark, sf_dir))
+
+
+def q_scenario_counts(spark, sf_dir):
+    return quality.scenario_counts(labelled_readings(spark, sf_dir))
+
+
+def q_detection_quality(spark, sf_dir):
+    df = quality.detection_quality(violations(spark, sf_dir), labelled_readings(spark, sf_dir))
+    return present(df, means=("precision", "recall"))
+
+
 QUERIES: dict[str, Query] = {
     "enriched_telemetry": q_enriched_telemetry,
     "valid_telemetry": q_valid_telemetry,
@@ -198,4 +334,16 @@ QUERIES: dict[str, Query] = {
     "latest_detection_age": q_latest_detection_age,
     "offset_rate": q_offset_rate,
     "camera_listing": q_camera_listing,
+    "normalize_csv_rows": q_normalize_csv_rows,
+    "dedupe_events": q_dedupe_events,
+    "decode_json": q_decode_json,
+    "encode_messages": q_encode_messages,
+    "rebase_time": q_rebase_time,
+    "replay_passes": q_replay_passes,
+    "normalize_plate": q_normalize_plate,
+    "iso_times": q_iso_times,
+    "registry_checks": q_registry_checks,
+    "planted_rule_checks": q_planted_rule_checks,
+    "scenario_counts": q_scenario_counts,
+    "detection_quality": q_detection_quality,
 }

@@ -396,3 +396,211 @@ SQL["camera_listing"] = BASE + """
 SELECT camera_id AS id, location_name AS location, road_name AS road, camera_type AS type,
        speed_limit_kph AS "limit", latitude AS lat, longitude AS lon
 FROM cams"""
+
+# --- ingestion -----------------------------------------------------------------------
+
+
+def strip(expr: str) -> str:
+    return f"regexp_replace({expr}, '^\\s+|\\s+$', '', 'g')"
+
+
+VALID = "valid AS (SELECT * FROM readings WHERE speed_kph >= 0 AND NOT isnan(speed_kph))"
+
+RAW_EXPORT = f"""
+raw AS (
+  SELECT CASE WHEN CAST(event_id AS BIGINT) % 11 = 0 THEN '' ELSE event_id END AS id,
+         ' ' || camera_id || ' ' AS cam,
+         '  ' || lower(plate_number) || chr(9) AS plate,
+         coalesce(' ' || vehicle_type, '   ') AS kind,
+         printf('%.4f', latitude) AS lat, printf('%.4f', longitude) AS lon,
+         printf('%.4f', speed_kph) AS kph,
+         coalesce(lower(traffic_light_state), '') AS light,
+         CASE WHEN stop_line_crossed IS NULL THEN ''
+              WHEN stop_line_crossed THEN ['TRUE', '1', 'Yes', 'y', 't'][CAST(event_id AS BIGINT) % 5 + 1]
+              ELSE ['no', '0', 'false', 'N', 'f'][CAST(event_id AS BIGINT) % 5 + 1] END AS crossed,
+         CASE CAST(event_id AS BIGINT) % 3
+           WHEN 0 THEN strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%S.%f') || 'Z'
+           WHEN 1 THEN strftime(make_timestamp(us + {LOCAL}), '%Y-%m-%dT%H:%M:%S.%f') || '+08:00'
+           ELSE strftime(make_timestamp(us + {LOCAL}), '%Y-%m-%d %H:%M:%S.%f') END AS ts
+  FROM readings
+)"""
+
+_FIELDS = ("id", "cam", "plate", "kind", "lat", "lon", "kph", "light", "crossed", "ts")
+
+SQL["normalize_csv_rows"] = BASE + "," + RAW_EXPORT + f""",
+norm AS (
+  SELECT coalesce(nullif({strip('id')}, ''),
+                  sha256(concat_ws(chr(1), {', '.join(f"coalesce({c}, '')" for c in _FIELDS)})))
+           AS event_id,
+         {strip('cam')} AS camera_id,
+         upper({strip('plate')}) AS plate_number,
+         nullif({strip('kind')}, '') AS vehicle_type,
+         CAST({strip('lat')} AS DOUBLE) AS latitude,
+         CAST({strip('lon')} AS DOUBLE) AS longitude,
+         CAST({strip('kph')} AS DOUBLE) AS speed_kph,
+         upper(nullif({strip('light')}, '')) AS traffic_light_state,
+         CASE WHEN nullif({strip('crossed')}, '') IS NULL THEN NULL
+              ELSE lower({strip('crossed')}) IN ('true', '1', 'yes', 'y', 't') END AS stop_line_crossed,
+         CASE WHEN ts LIKE '%Z' OR ts LIKE '%+08:00' THEN epoch_us(CAST(ts AS TIMESTAMPTZ))
+              ELSE epoch_us(CAST(ts AS TIMESTAMP)) - {LOCAL} END AS us
+  FROM raw
+)
+SELECT {READING_COLS}, {ts('us')} AS event_time FROM norm"""
+
+SQL["dedupe_events"] = BASE + "," + VALID + f""",
+both_files AS (
+  SELECT event_id, camera_id, plate_number, vehicle_type, latitude, longitude, speed_kph,
+         traffic_light_state, stop_line_crossed, us,
+         'part-' || CAST(CAST(event_id AS BIGINT) % 2 AS VARCHAR) AS _file,
+         CAST(event_id AS BIGINT) AS _pos
+  FROM valid
+  UNION ALL
+  SELECT event_id, camera_id, plate_number, 'DUPLICATE', latitude, longitude,
+         speed_kph + CAST(1 AS DOUBLE), traffic_light_state, stop_line_crossed, us,
+         'part-' || CAST((CAST(event_id AS BIGINT) + 1) % 2 AS VARCHAR), CAST(event_id AS BIGINT)
+  FROM valid
+)
+SELECT {READING_COLS}, {ts('us')} AS event_time FROM both_files
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY _file, _pos) = 1"""
+
+SQL["decode_json"] = BASE + "," + VALID + f"""
+SELECT {READING_COLS}, {ts('us - us % 1000')} AS event_time FROM valid"""
+
+
+def java_double(x: str) -> str:
+    """JSON text of a non-negative DOUBLE as the JVM writes it: plain decimal in
+    [1e-3, 1e7), otherwise d.dddE-n."""
+    s = f"CAST({x} AS VARCHAR)"
+    frac = f"substr({s}, 3)"
+    digits = f"ltrim({frac}, '0')"
+    exp_a = f"-(length({frac}) - length({digits}) + 1)"
+    form_a = (f"substr({digits}, 1, 1) || '.' || CASE WHEN length({digits}) > 1 "
+              f"THEN substr({digits}, 2) ELSE '0' END || 'E' || CAST({exp_a} AS VARCHAR)")
+    mant = f"split_part({s}, 'e', 1)"
+    form_b = (f"CASE WHEN {mant} LIKE '%.%' THEN {mant} ELSE {mant} || '.0' END || 'E' || "
+              f"CAST(CAST(split_part({s}, 'e', 2) AS INTEGER) AS VARCHAR)")
+    return (f"CASE WHEN {x} IS NULL THEN 'null' WHEN {x} = 0 OR ({x} >= 0.001 AND {x} < 10000000) "
+            f"THEN {s} WHEN {s} LIKE '0.%' THEN {form_a} ELSE {form_b} END")
+
+
+def _json_text(col: str) -> str:
+    return f"coalesce(to_json({col}), 'null')"
+
+
+SQL["encode_messages"] = BASE + "," + VALID + f"""
+SELECT plate_number AS key,
+       '{{"event_id":' || {_json_text('event_id')}
+       || ',"camera_id":' || {_json_text('camera_id')}
+       || ',"plate_number":' || {_json_text('plate_number')}
+       || ',"vehicle_type":' || {_json_text('vehicle_type')}
+       || ',"latitude":' || {java_double('latitude')}
+       || ',"longitude":' || {java_double('longitude')}
+       || ',"speed_kph":' || {java_double('speed_kph')}
+       || ',"traffic_light_state":' || {_json_text('traffic_light_state')}
+       || ',"stop_line_crossed":' || {_json_text('stop_line_crossed')}
+       || ',"event_time":"' || {iso(ts('us'))} || '"}}' AS value
+FROM valid"""
+
+# 2026-09-01 07:00:00 +08:00 in epoch microseconds.
+REBASE_START_US = 1_788_217_200_000_000
+
+SQL["rebase_time"] = BASE + "," + VALID + f"""
+SELECT {READING_COLS}, {ts(f'us + ({REBASE_START_US} - min(us) OVER ())')} AS event_time
+FROM valid"""
+
+SQL["replay_passes"] = BASE + "," + VALID + f""",
+bounds AS (SELECT min(us) AS lo, max(us) AS hi FROM valid)
+SELECT {READING_COLS}, CAST(p.replay_pass AS INTEGER) AS replay_pass,
+       {ts('us + p.replay_pass * (hi - lo + 10000000)')} AS event_time
+FROM valid CROSS JOIN bounds CROSS JOIN range(2) p(replay_pass)"""
+
+SQL["normalize_plate"] = BASE + """,
+messy AS (
+  SELECT event_id,
+         ' ' || chr(9) || replace(lower(plate_number), ' ', '  ' || chr(9) || ' ') || '  '
+           AS plate_raw
+  FROM readings
+)
+SELECT event_id, plate_raw, trim(regexp_replace(upper(plate_raw), '\\s+', ' ', 'g')) AS plate
+FROM messy"""
+
+SQL["iso_times"] = with_detections(f"""
+SELECT violation_id, {iso('violation_time')} AS violation_time_iso,
+       {iso('detected_at')} AS detected_at_iso
+FROM violations""")
+
+# --- quality -------------------------------------------------------------------------
+
+LABELLED = """
+labelled AS (
+  SELECT e.*,
+         CASE WHEN camera_type = 'SPEED' AND speed_kph > speed_limit_kph THEN 'SPEEDING'
+              WHEN camera_type = 'INTERSECTION' AND traffic_light_state = 'RED'
+                   AND coalesce(stop_line_crossed, false) THEN 'RED_LIGHT'
+              WHEN camera_type = 'NO_PARKING' AND speed_kph <= 3.0 THEN 'ILLEGAL_PARKING'
+              ELSE 'NORMAL' END AS simulated_scenario
+  FROM enriched e
+)"""
+
+SQL["registry_checks"] = BASE + """,
+per_id AS (
+  SELECT camera_id, count(*) AS n,
+         count(*) FILTER (WHERE camera_type IS NULL
+                          OR camera_type NOT IN ('SPEED', 'INTERSECTION', 'NO_PARKING')) AS bad_type,
+         count(*) FILTER (WHERE latitude IS NULL OR latitude <= 14.3 OR latitude >= 14.8) AS bad_lat,
+         count(*) FILTER (WHERE longitude IS NULL OR longitude <= 120.9 OR longitude >= 121.2)
+           AS bad_lon
+  FROM cams GROUP BY camera_id
+),
+rules AS (
+  SELECT 'unique_camera_id' AS rule, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS failed
+  FROM per_id
+  UNION ALL SELECT 'known_camera_type', CAST(coalesce(sum(bad_type), 0) AS BIGINT) FROM per_id
+  UNION ALL SELECT 'all_camera_types_present',
+         CAST(3 - (SELECT count(DISTINCT camera_type) FROM cams
+                   WHERE camera_type IN ('SPEED', 'INTERSECTION', 'NO_PARKING')) AS BIGINT)
+  UNION ALL SELECT 'latitude_in_bounds', CAST(coalesce(sum(bad_lat), 0) AS BIGINT) FROM per_id
+  UNION ALL SELECT 'longitude_in_bounds', CAST(coalesce(sum(bad_lon), 0) AS BIGINT) FROM per_id
+)
+SELECT rule, failed, failed = 0 AS passed FROM rules"""
+
+SQL["planted_rule_checks"] = BASE + "," + LABELLED + """
+SELECT event_id, plate_number, camera_id, simulated_scenario, speed_kph, traffic_light_state,
+       stop_line_crossed
+FROM labelled
+WHERE (simulated_scenario = 'RED_LIGHT'
+       AND NOT coalesce(traffic_light_state = 'RED' AND coalesce(stop_line_crossed, false)
+                        AND speed_kph >= 5.0, false))
+   OR (simulated_scenario = 'ILLEGAL_PARKING'
+       AND NOT coalesce(camera_type = 'NO_PARKING' AND speed_kph <= 3.0, false))"""
+
+SQL["scenario_counts"] = BASE + "," + LABELLED + """
+SELECT simulated_scenario, count(DISTINCT {'p': plate_number, 'c': camera_id}) AS vehicles,
+       count(*) AS events
+FROM labelled GROUP BY simulated_scenario"""
+
+SQL["detection_quality"] = BASE + "," + DETECTIONS + "," + LABELLED + f""",
+planted AS (
+  SELECT DISTINCT plate_number, camera_id,
+         CASE simulated_scenario WHEN 'SPEEDING' THEN 'SPEEDING'
+              WHEN 'RED_LIGHT' THEN 'BEATING_RED_LIGHT' ELSE 'ILLEGAL_PARKING' END AS violation_type,
+         true AS _p
+  FROM labelled WHERE simulated_scenario IN ('SPEEDING', 'RED_LIGHT', 'ILLEGAL_PARKING')
+),
+found AS (SELECT DISTINCT plate_number, camera_id, violation_type, true AS _f FROM violations),
+joined AS (
+  SELECT coalesce(p.violation_type, f.violation_type) AS violation_type,
+         coalesce(p._p, false) AS pl, coalesce(f._f, false) AS fd
+  FROM planted p FULL OUTER JOIN found f
+    ON p.plate_number = f.plate_number AND p.camera_id = f.camera_id
+   AND p.violation_type = f.violation_type
+),
+counts AS (
+  SELECT violation_type, count(*) FILTER (WHERE pl AND fd) AS tp,
+         count(*) FILTER (WHERE NOT pl AND fd) AS fp, count(*) FILTER (WHERE pl AND NOT fd) AS fn
+  FROM joined GROUP BY violation_type
+)
+SELECT violation_type, tp, fp, fn,
+       {mean('CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END')} AS precision,
+       {mean('CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END')} AS recall
+FROM counts"""
