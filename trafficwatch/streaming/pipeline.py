@@ -1,0 +1,130 @@
+"""Structured Streaming job: messages -> readings -> four append-mode queries.
+
+    source (Kafka topic or JSON-lines files)
+      -> decode + validate -> watermark on event_time
+      -> broadcast join with the registry (size-checked)
+      -> speeding / red light / illegal parking / camera stats
+      -> foreachBatch: one idempotent Parquet directory per micro-batch
+
+Each query has its own checkpoint under ``spark.checkpoint.dir`` and restarts
+from it; a re-run of a micro-batch overwrites the same ``batch_id`` directory,
+so delivery is at-least-once and the stored effect exactly-once. Windows are
+emitted in append mode only once the watermark has passed them, so every
+written row is final. For many live plates use the RocksDB state store
+(:data:`STREAMING_CONF`) and size ``spark.sql.shuffle.partitions`` before the
+first start: a stateful query keeps that width for the life of its checkpoint.
+"""
+from __future__ import annotations
+
+import datetime as dt
+import json
+import os
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from trafficwatch.config import DEFAULT, Settings
+from trafficwatch.operators import detect
+from trafficwatch.operators.enrich import enrich
+from trafficwatch.session import checkpoint_root
+from trafficwatch.sources.sinks import write_batch
+from trafficwatch.sources.telemetry import read_message_stream, telemetry
+
+# Session settings for long-running detection: state in RocksDB (spills to
+# local disk, checkpointed to the shared folder) instead of the JVM heap.
+STREAMING_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+VIOLATION_QUERIES = ("speeding_violations", "red_light_violations", "illegal_parking_violations")
+STATS_QUERY = "camera_speed_stats"
+
+
+def enriched_stream(spark: SparkSession, cameras: DataFrame, settings: Settings = DEFAULT,
+                    source: str = "files", **source_options) -> DataFrame:
+    """Decoded, valid, watermarked readings joined with the registry."""
+    raw = read_message_stream(spark, source, **source_options)
+    return enrich(telemetry(raw, settings), cameras, settings)
+
+
+def detections(enriched: DataFrame, settings: Settings = DEFAULT,
+               detected_at: str = "clock") -> dict[str, DataFrame]:
+    """The four queries of the job, by name."""
+    return {
+        "speeding_violations": detect.detect_speeding(enriched, settings, detected_at),
+        "red_light_violations": detect.detect_red_light(enriched, settings, detected_at),
+        "illegal_parking_violations": detect.detect_illegal_parking(enriched, settings, detected_at),
+        STATS_QUERY: detect.camera_speed_stats(enriched, settings, distinct="approx"),
+    }
+
+
+def batch_writer(root: str, name: str, debug: bool = False,
+                 log: Callable[[str], None] | None = print) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: skip an empty batch, else write it to its own
+    ``batch_id`` directory (overwrite, so a replay replaces it). The batch is
+    persisted before the emptiness check so it is computed once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            write_batch(batch, root, name, batch_id)
+            if log:
+                log(f"[{name}] batch {batch_id}: wrote {batch.count()} rows")
+            if debug:
+                batch.show(10, truncate=False)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def start_query(df: DataFrame, name: str, store_root: str, checkpoints: str,
+                settings: Settings = DEFAULT, available_now: bool = False,
+                debug: bool = False, log: Callable[[str], None] | None = print) -> StreamingQuery:
+    """Start one append-mode query with its own checkpoint. ``available_now``
+    processes what is there and stops (bounded runs, tests, backfills);
+    otherwise a processing-time trigger of ``settings.trigger_interval``."""
+    writer = (df.writeStream.queryName(name)
+              .outputMode("append")
+              .foreachBatch(batch_writer(store_root, name, debug, log))
+              .option("checkpointLocation", os.path.join(checkpoints, name)))
+    writer = (writer.trigger(availableNow=True) if available_now
+              else writer.trigger(processingTime=settings.trigger_interval))
+    return writer.start()
+
+
+def start_pipeline(spark: SparkSession, enriched: DataFrame, store_root: str,
+                   settings: Settings = DEFAULT, available_now: bool = False,
+                   detected_at: str = "clock", debug: bool = False,
+                   log: Callable[[str], None] | None = print) -> list[StreamingQuery]:
+    """Start the four independent queries on one enriched stream. Checkpoints
+    go to ``<spark.checkpoint.dir>/trafficwatch/<query>``."""
+    checkpoints = os.path.join(checkpoint_root(spark), "trafficwatch")
+    return [start_query(df, name, store_root, checkpoints, settings, available_now, debug, log)
+            for name, df in detections(enriched, settings, detected_at).items()]
+
+
+def run_until_any_ends(spark: SparkSession, timeout: float | None = None) -> bool:
+    """Block until one query stops (with its error, if any)."""
+    return spark.streams.awaitAnyTermination(timeout)
+
+
+def end_of_stream_message(at: dt.datetime, settings: Settings = DEFAULT) -> str:
+    """A message that closes every open window of a bounded replay.
+
+    Append mode writes a window only after the watermark passes it, so the last
+    windows of a finite input stay open. This reading lies far in the future
+    (advancing every query's watermark), is stationary (so it also passes the
+    filters Catalyst pushes below the watermark of the parking query) and names
+    no registered camera (so the registry join drops it)."""
+    return json.dumps({
+        "event_id": "end-of-stream", "camera_id": "__END__", "plate_number": "__END__",
+        "vehicle_type": None, "latitude": None, "longitude": None, "speed_kph": 0.0,
+        "traffic_light_state": None, "stop_line_crossed": None,
+        "event_time": at.isoformat(timespec="milliseconds"),
+    })
