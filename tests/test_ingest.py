@@ -1,0 +1,184 @@
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import MANILA, readings
+from trafficwatch.config import TELEMETRY_FIELDS
+from trafficwatch.operators import replay
+from trafficwatch.operators.dedupe import first_per_key, merge_snapshot, upsert
+from trafficwatch.sources.registry import load_cameras
+from trafficwatch.sources.sinks import write_csv
+from trafficwatch.sources.telemetry import (
+    COLUMN_MAPPING,
+    decode_messages,
+    load_events,
+    telemetry,
+    telemetry_messages,
+)
+
+UTC = dt.timezone.utc
+
+
+def write(path, text):
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+    return path
+
+
+def as_utc(spark, df, col="event_time"):
+    """Instants as aware UTC datetimes, independent of the session zone."""
+    return [dt.datetime.fromtimestamp(r[0] / 1e6, UTC) for r in
+            df.select(F.unix_micros(col)).collect()]
+
+
+def test_loader_supports_renamed_columns(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "real.csv"),
+                 "cam,plate,lat,lon,kph,ts\nCAM-EDSA-GUA,abc 1234,14.56,121.04,72.5,2026-09-01 07:00:00\n")
+    mapping = {**COLUMN_MAPPING, "camera_id": "cam", "plate_number": "plate", "latitude": "lat",
+               "longitude": "lon", "speed_kph": "kph", "event_time": "ts"}
+    df = load_events(spark, path, mapping)
+    [row] = df.collect()
+    assert row.plate_number == "ABC 1234" and row.traffic_light_state is None
+    assert row.speed_kph == 72.5 and row.event_id is not None
+    assert as_utc(spark, df) == [dt.datetime(2026, 9, 1, 7, 0, tzinfo=MANILA)]
+
+
+def test_loader_rejects_missing_required_columns(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "bad.csv"), "camera_id,plate_number\nCAM-1,ABC 1234\n")
+    with pytest.raises(ValueError, match="missing required columns"):
+        load_events(spark, path)
+
+
+HEADER = ",".join(TELEMETRY_FIELDS)
+
+
+def test_loader_keeps_first_row_of_an_event_id_and_sorts(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "dup.csv"), HEADER + "\n"
+                 "e2,CAM-1,AAA 1,CAR,14.5,121.0,50,,,2026-09-01T07:00:05+08:00\n"
+                 "e1,CAM-1,AAA 1,CAR,14.5,121.0,40,,,2026-09-01T07:00:01+08:00\n"
+                 "e2,CAM-1,AAA 1,CAR,14.5,121.0,99,,,2026-09-01T07:00:09+08:00\n")
+    rows = load_events(spark, path).collect()
+    assert [(r.event_id, r.speed_kph) for r in rows] == [("e1", 40.0), ("e2", 50.0)]
+
+
+def test_loader_booleans_and_times(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "b.csv"), HEADER + "\n"
+                 "a,CAM-1,X,,14.5,121.0,1,red,TRUE,2026-09-01T00:00:00Z\n"
+                 "b,CAM-1,X,,14.5,121.0,1,Green,1,2026-09-01T08:00:00+08:00\n"
+                 "c,CAM-1,X,,14.5,121.0,1,,Yes,2026-09-01 08:00:00\n"
+                 "d,CAM-1,X,,14.5,121.0,1,,no,2026-09-01 08:00:01\n"
+                 "e,CAM-1,X,,14.5,121.0,1,,,2026-09-01 08:00:02\n")
+    df = load_events(spark, path)
+    rows = df.collect()
+    assert [r.stop_line_crossed for r in rows] == [True, True, True, False, None]
+    assert [r.traffic_light_state for r in rows][:3] == ["RED", "GREEN", None]
+    times = as_utc(spark, df)
+    assert times[0] == times[1] == times[2] == dt.datetime(2026, 9, 1, tzinfo=UTC)
+
+
+def test_loader_fails_on_bad_number_or_drops(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "n.csv"), HEADER + "\n"
+                 "a,CAM-1,X,,14.5,121.0,fast,,,2026-09-01 08:00:00\n"
+                 "b,CAM-1,X,,14.5,121.0,10,,,2026-09-01 08:00:00\n")
+    with pytest.raises(Exception):
+        load_events(spark, path).collect()
+    assert [r.event_id for r in load_events(spark, path, mode="drop").collect()] == ["b"]
+
+
+def messages(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "value string")
+
+
+GOOD = {"event_id": "g", "camera_id": "CAM-1", "plate_number": "ABC 1", "vehicle_type": "CAR",
+        "latitude": 14.5, "longitude": 121.0, "speed_kph": 50.0, "traffic_light_state": "RED",
+        "stop_line_crossed": True, "event_time": "2026-09-01T07:00:00.000+08:00"}
+
+
+def test_decode_keeps_only_valid_readings(spark):
+    bad_speed = json.dumps({**GOOD, "event_id": "s", "speed_kph": "x"})
+    vals = [
+        json.dumps(GOOD),
+        "not json",
+        "[1, 2]",
+        None,
+        bad_speed,
+        json.dumps({**GOOD, "event_id": "nan"}).replace("50.0", "NaN"),
+        json.dumps({**GOOD, "event_id": "neg", "speed_kph": -1}),
+        json.dumps({k: v for k, v in GOOD.items() if k != "plate_number"}),
+        json.dumps({**GOOD, "event_id": "t", "event_time": "yesterday"}),
+        json.dumps({**GOOD, "event_id": "q", "stop_line_crossed": "true"}),
+    ]
+    out = telemetry(messages(spark, vals), watermark=False).collect()
+    assert sorted(r.event_id for r in out) == ["g", "q"]
+    quoted = [r for r in out if r.event_id == "q"][0]
+    assert quoted.stop_line_crossed is None  # a quoted boolean is not a boolean
+
+
+def test_decode_partial_record_keeps_good_fields(spark):
+    row = decode_messages(messages(spark, [json.dumps({**GOOD, "speed_kph": "x"})])).first()
+    assert row.speed_kph is None and row.plate_number == "ABC 1"
+
+
+def test_message_has_exactly_the_telemetry_fields(spark):
+    df = readings(spark, [{"t": 0, "speed": 50.0, "vehicle_type": None}])
+    row = telemetry_messages(df, offset_seconds=3600).first()
+    body = json.loads(row.value)
+    assert list(body) == list(TELEMETRY_FIELDS)
+    assert row.key == "ABC 1234" and body["vehicle_type"] is None
+    assert body["event_time"] == "2026-09-01T08:00:00.000+08:00"
+
+
+def test_messages_round_trip(spark):
+    df = readings(spark, [{"t": 0.0015, "speed": 0.0005, "light": "RED", "crossed": False}])
+    back = telemetry(telemetry_messages(df), watermark=False)
+    r = back.first()
+    assert r.speed_kph == 0.0005 and r.stop_line_crossed is False and r.traffic_light_state == "RED"
+    assert as_utc(spark, back)[0] == dt.datetime(2026, 9, 1, 7, 0, 0, 1000, tzinfo=MANILA)
+
+
+def test_csv_sink_writes_header_and_empty_nulls(spark, tmp_dir):
+    df = readings(spark, [{"t": 0, "speed": 50.0, "vehicle_type": None}])
+    out = os.path.join(tmp_dir, "out")
+    write_csv(df, out)
+    text = "".join(open(os.path.join(out, f)).read() for f in sorted(os.listdir(out)) if f.endswith(".csv"))
+    lines = text.strip().splitlines()
+    data = [x for x in lines if x != HEADER]
+    assert HEADER in lines and len(data) == 1  # every part file starts with the header
+    line = data[0]
+    assert line.split(",")[3] == "" and line.endswith("2026-09-01T07:00:00.000+08:00")
+    back = load_events(spark, out)
+    assert back.count() == 1 and back.first().vehicle_type is None
+
+
+def test_registry_loader_trims_and_types(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "cams.csv"),
+                 "camera_id,location_name,road_name,city,latitude,longitude,speed_limit_kph,camera_type\n"
+                 " CAM-A ,Loc A, Road A ,City,14.5,121.0,60, speed\n")
+    r = load_cameras(spark, path).first()
+    assert (r.camera_id, r.road_name, r.speed_limit_kph, r.camera_type) == ("CAM-A", "Road A", 60, "SPEED")
+
+
+def test_rebase_and_replay(spark):
+    df = readings(spark, [{"t": 0, "speed": 1}, {"t": 100, "speed": 2}])
+    start = dt.datetime(2030, 1, 1, 0, 0, tzinfo=UTC)
+    rebased = replay.rebase_time(df, start)
+    assert as_utc(spark, rebased.orderBy("event_time")) == [start, start + dt.timedelta(seconds=100)]
+    passes = replay.replay_passes(df, 3).orderBy("event_time")
+    got = [t - as_utc(spark, df.orderBy("event_time"))[0] for t in as_utc(spark, passes)]
+    span = 110
+    assert [g.total_seconds() for g in got] == [0, 100, span, span + 100, 2 * span, 2 * span + 100]
+    assert replay.first_events(passes, 2).count() == 2
+    with pytest.raises(ValueError):
+        replay.require_rows(df.limit(0))
+
+
+def test_first_per_key_upsert_and_merge(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 5, "z")], "id string, o int, v string")
+    assert sorted((r.id, r.v) for r in first_per_key(df, "id", ["o"]).collect()) == [("a", "x"), ("b", "z")]
+    assert sorted((r.id, r.v) for r in upsert(df, "id", ["o"]).collect()) == [("a", "y"), ("b", "z")]
+    snap = spark.createDataFrame([("a", 0, "old"), ("c", 0, "keep")], "id string, o int, v string")
+    merged = merge_snapshot(snap, df.filter("o = 5"))
+    assert sorted((r.id, r.v) for r in merged.collect()) == [("a", "old"), ("b", "z"), ("c", "keep")]

@@ -181,7 +181,7 @@ def telemetry_messages(readings: DataFrame, settings: Settings = DEFAULT,
     from trafficwatch.functions.timeutil import iso_text
 
     shift = offset_seconds if isinstance(offset_seconds, Column) else F.lit(offset_seconds)
-    shifted = F.timestamp_micros(F.unix_micros("event_time") + (shift * F.lit(1_000_000)).cast("long"))
+    shifted = F.timestamp_micros(F.unix_micros("event_time") + shift.cast("long") * F.lit(1_000_000))
     fields = [F.col(f) for f in TELEMETRY_FIELDS[:-1]] + [iso_text(shifted, settings.timezone).alias("event_time")]
     return readings.select(
         F.col("plate_number").alias("key"),

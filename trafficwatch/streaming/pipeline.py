@@ -101,10 +101,12 @@ def start_query(df: DataFrame, name: str, store_root: str, checkpoints: str,
 def start_pipeline(spark: SparkSession, enriched: DataFrame, store_root: str,
                    settings: Settings = DEFAULT, available_now: bool = False,
                    detected_at: str = "clock", debug: bool = False,
-                   log: Callable[[str], None] | None = print) -> list[StreamingQuery]:
+                   log: Callable[[str], None] | None = print,
+                   job: str = "detector") -> list[StreamingQuery]:
     """Start the four independent queries on one enriched stream. Checkpoints
-    go to ``<spark.checkpoint.dir>/trafficwatch/<query>``."""
-    checkpoints = os.path.join(checkpoint_root(spark), "trafficwatch")
+    go to ``<spark.checkpoint.dir>/trafficwatch/<job>/<query>``; restarting with
+    the same ``job`` resumes from them."""
+    checkpoints = os.path.join(checkpoint_root(spark), "trafficwatch", job)
     return [start_query(df, name, store_root, checkpoints, settings, available_now, debug, log)
             for name, df in detections(enriched, settings, detected_at).items()]
 
