@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from trafficwatch import schemas
@@ -31,20 +32,30 @@ def write_batch(batch: DataFrame, root: str, query: str, batch_id: int) -> None:
     batch.write.mode("overwrite").parquet(os.path.join(root, query, f"batch_id={batch_id}"))
 
 
-def read_violations(spark: SparkSession, root: str, query: str = "*") -> DataFrame:
+VIOLATION_QUERIES = ("speeding_violations", "red_light_violations", "illegal_parking_violations")
+
+
+def _read_batches(spark: SparkSession, root: str, queries, schema) -> DataFrame:
+    pattern = os.path.join(root, "{" + ",".join(queries) + "}")
+    try:
+        return (spark.read.schema(schema).option("recursiveFileLookup", "true")
+                .parquet(pattern).select(*schema.fieldNames()))
+    except AnalysisException:  # nothing written yet
+        return spark.createDataFrame([], schema)
+
+
+def read_violations(spark: SparkSession, root: str,
+                    queries=VIOLATION_QUERIES) -> DataFrame:
     """All micro-batches written under ``root`` by the violation queries, upserted
     by id (last write wins)."""
-    raw = (spark.read.schema(schemas.VIOLATION)
-           .option("basePath", root)
-           .parquet(os.path.join(root, query, "batch_id=*")))
-    return upsert(raw.select(*schemas.VIOLATION_COLUMNS))
+    return upsert(_read_batches(spark, root, queries, schemas.VIOLATION))
 
 
 def read_stats(spark: SparkSession, root: str, query: str = "camera_speed_stats") -> DataFrame:
     """Camera statistics micro-batches, one row per (camera, window) (upsert on
     the table key, last write wins)."""
-    raw = spark.read.schema(schemas.CAMERA_STATS).parquet(os.path.join(root, query, "batch_id=*"))
-    return upsert(raw.select(*schemas.CAMERA_STATS_COLUMNS), key=["camera_id", "window_start"],
+    raw = _read_batches(spark, root, [query], schemas.CAMERA_STATS)
+    return upsert(raw, key=["camera_id", "window_start"],
                   order=("window_end", "reading_count", "avg_speed_kph"))
 
 

@@ -39,7 +39,7 @@ STREAMING_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-VIOLATION_QUERIES = ("speeding_violations", "red_light_violations", "illegal_parking_violations")
+from trafficwatch.sources.sinks import VIOLATION_QUERIES  # noqa: E402,F401
 STATS_QUERY = "camera_speed_stats"
 
 
