@@ -107,10 +107,10 @@ def main(argv: list[str] | None = None) -> None:
         out = lookup.violations_by_plate(sinks.read_violations(spark, args.store), args.plate_number,
                                          args.limit, strict_key=True)
     elif args.command == "camera":
-        out = lookup.violations_by_camera(sinks.read_violations(spark, args.store), args.camera_id,
-                                          day, args.limit)
+        out = lookup.violations_by_camera(sinks.read_violations(spark, args.store, day=day),
+                                          args.camera_id, day, args.limit)
     elif args.command == "type":
-        out = lookup.violations_by_type(sinks.read_violations(spark, args.store),
+        out = lookup.violations_by_type(sinks.read_violations(spark, args.store, day=day),
                                         args.violation_type, day, args.limit)
     else:
         out = lookup.stats_by_camera(sinks.read_stats(spark, args.store), args.camera_id, day,

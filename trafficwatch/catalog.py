@@ -108,7 +108,10 @@ TYPE_INPUT = "speeding "
 
 
 def day_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup.day_violations(violations(spark, sf_dir), DAY)
+    """The day's store content. Date and type are functions of the id, so the
+    day filter runs before the upsert's shuffle."""
+    detections = detect.detect_all(enriched_readings(spark, sf_dir), DEFAULT, "watermark")
+    return upsert(lookup.day_violations(detections, DAY))
 
 
 def _api(df: DataFrame) -> DataFrame:
@@ -138,7 +141,7 @@ def q_stats_by_camera(spark, sf_dir):
 
 
 def q_violations_of_day(spark, sf_dir):
-    return _api(lookup.violations_of_day(violations(spark, sf_dir), DAY))
+    return _api(lookup.violations_of_day(day_records(spark, sf_dir), DAY))
 
 
 def q_new_violations(spark, sf_dir):

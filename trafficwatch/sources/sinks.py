@@ -44,11 +44,15 @@ def _read_batches(spark: SparkSession, root: str, queries, schema) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_violations(spark: SparkSession, root: str,
-                    queries=VIOLATION_QUERIES) -> DataFrame:
+def read_violations(spark: SparkSession, root: str, queries=VIOLATION_QUERIES,
+                    day=None) -> DataFrame:
     """All micro-batches written under ``root`` by the violation queries, upserted
-    by id (last write wins)."""
-    return upsert(_read_batches(spark, root, queries, schemas.VIOLATION))
+    by id (last write wins). With ``day`` only that local date is read; the filter
+    runs before the upsert's shuffle (the date is a function of the id)."""
+    raw = _read_batches(spark, root, queries, schemas.VIOLATION)
+    if day is not None:
+        raw = raw.filter(F.col("violation_date") == F.lit(day))
+    return upsert(raw)
 
 
 def read_stats(spark: SparkSession, root: str, query: str = "camera_speed_stats") -> DataFrame:

@@ -32,13 +32,25 @@ from trafficwatch.sources.sinks import write_batch
 from trafficwatch.sources.telemetry import read_message_stream, telemetry
 
 # Session settings for long-running detection: state in RocksDB (spills to
-# local disk, checkpointed to the shared folder) instead of the JVM heap.
+# local disk, checkpointed to the shared folder) instead of the JVM heap, and
+# session windows pre-merged inside each input partition before the shuffle, so
+# a busy vehicle/camera sends merged sessions rather than every reading.
 STREAMING_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+
+def configure_streaming(spark: SparkSession) -> None:
+    """Apply :data:`STREAMING_CONF` where the session has no value of its own.
+    The state store provider must stay the same for the life of a checkpoint, so
+    a value set by the cluster always wins."""
+    for key, value in STREAMING_CONF.items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
+
 from trafficwatch.sources.sinks import VIOLATION_QUERIES  # noqa: E402,F401
 STATS_QUERY = "camera_speed_stats"
 
@@ -106,6 +118,7 @@ def start_pipeline(spark: SparkSession, enriched: DataFrame, store_root: str,
     """Start the four independent queries on one enriched stream. Checkpoints
     go to ``<spark.checkpoint.dir>/trafficwatch/<job>/<query>``; restarting with
     the same ``job`` resumes from them."""
+    configure_streaming(spark)
     checkpoints = os.path.join(checkpoint_root(spark), "trafficwatch", job)
     return [start_query(df, name, store_root, checkpoints, settings, available_now, debug, log)
             for name, df in detections(enriched, settings, detected_at).items()]
