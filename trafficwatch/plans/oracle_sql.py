@@ -604,3 +604,30 @@ SELECT violation_type, tp, fp, fn,
        {mean('CASE WHEN tp + fp > 0 THEN tp / (tp + fp) END')} AS precision,
        {mean('CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END')} AS recall
 FROM counts"""
+
+SQL["pipeline_counters"] = with_day(f""",
+valid AS (SELECT * FROM readings WHERE speed_kph >= 0 AND NOT isnan(speed_kph)),
+msgs AS (
+  SELECT CAST(('0x' || substr(md5(plate_number), 1, 8)) AS BIGINT) % 3 AS topic_partition,
+         us - us % 300000000 + 300000000 AS poll
+  FROM valid
+),
+counts AS (SELECT topic_partition, poll, count(*) AS n FROM msgs GROUP BY topic_partition, poll),
+grid AS (SELECT DISTINCT c.poll, p.topic_partition
+         FROM counts c CROSS JOIN range(3) p(topic_partition)),
+snap AS (
+  SELECT g.poll, g.topic_partition,
+         sum(coalesce(n, 0)) OVER (PARTITION BY g.topic_partition ORDER BY g.poll
+                                   ROWS UNBOUNDED PRECEDING) AS end_offset
+  FROM grid g LEFT JOIN counts c ON c.poll = g.poll AND c.topic_partition = g.topic_partition
+),
+totals AS (SELECT poll, CAST(sum(end_offset) AS BIGINT) AS total FROM snap GROUP BY poll),
+rates AS (SELECT poll, total, {_RATE} AS events_per_sec FROM totals WINDOW w AS (ORDER BY poll)),
+last_poll AS (SELECT * FROM rates ORDER BY poll DESC LIMIT 1)
+SELECT 'topic_total' AS metric, {mean('CAST(total AS DOUBLE)')} AS value FROM last_poll
+UNION ALL SELECT 'events_per_sec', {mean('events_per_sec')} FROM last_poll
+UNION ALL SELECT 'latest_violation_age',
+  {mean(f"CASE WHEN max(detected_at) IS NOT NULL THEN greatest(CAST(0 AS DOUBLE), (epoch_us({NOW}) - epoch_us(max(detected_at))) / CAST(1000000 AS DOUBLE)) END")}
+  FROM recs
+UNION ALL SELECT 'violations_today', {mean(f"CAST(count(*) FILTER (WHERE violation_date = {DAY}) AS DOUBLE)")}
+  FROM recs""")

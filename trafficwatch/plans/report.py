@@ -156,3 +156,28 @@ def topic_offsets(readings: DataFrame, partitions: int = 3, poll_seconds: int =
 def tasks_completed(executors: DataFrame) -> DataFrame:
     """Completed tasks summed over executor snapshots (``executor_id, completed_tasks``)."""
     return executors.agg(F.coalesce(F.sum("completed_tasks"), F.lit(0)).alias("tasks_completed"))
+
+
+def pipeline_counters(snapshots: DataFrame, records: DataFrame, day: dt.date | str,
+                      now: dt.datetime, executors: DataFrame | None = None) -> DataFrame:
+    """Health counters as ``(metric, value)`` rows: topic total and ingest rate at
+    the latest poll, age of the newest detection, violations of the day and
+    (given executor snapshots) completed tasks. Each metric is a one-row
+    aggregate; they are stacked with ``unionByName``, never joined."""
+    rates = offset_rate(snapshots)
+    latest = rates.agg(F.max_by(F.struct("total", "events_per_sec"), "poll_time").alias("p"))
+    parts = [
+        latest.select(F.lit("topic_total").alias("metric"), F.col("p.total").cast("double").alias("value")),
+        latest.select(F.lit("events_per_sec").alias("metric"), F.col("p.events_per_sec").alias("value")),
+        latest_detection_age(records, now).select(F.lit("latest_violation_age").alias("metric"),
+                                                  F.col("age_seconds").alias("value")),
+        violations_today(records, day).select(F.lit("violations_today").alias("metric"),
+                                              F.col("violations_today").cast("double").alias("value")),
+    ]
+    if executors is not None:
+        parts.append(tasks_completed(executors).select(
+            F.lit("tasks_completed").alias("metric"), F.col("tasks_completed").cast("double").alias("value")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
