@@ -182,3 +182,10 @@ def test_first_per_key_upsert_and_merge(spark):
     snap = spark.createDataFrame([("a", 0, "old"), ("c", 0, "keep")], "id string, o int, v string")
     merged = merge_snapshot(snap, df.filter("o = 5"))
     assert sorted((r.id, r.v) for r in merged.collect()) == [("a", "old"), ("b", "z"), ("c", "keep")]
+
+
+def test_stream_options_normalize_plates_and_dedupe(spark):
+    dup = json.dumps({**GOOD, "plate_number": "  abc   1 "})
+    out = telemetry(messages(spark, [dup, dup, json.dumps({**GOOD, "event_id": "h"})]),
+                    normalize_plates=True, dedupe=True).collect()
+    assert sorted((r.event_id, r.plate_number) for r in out) == [("g", "ABC 1"), ("h", "ABC 1")]

@@ -53,11 +53,27 @@ def valid_readings(df: DataFrame) -> DataFrame:
 
 
 def telemetry(raw: DataFrame, settings: Settings = DEFAULT, value_col: str = "value",
-              watermark: bool = True) -> DataFrame:
+              watermark: bool = True, normalize_plates: bool = False,
+              dedupe: bool = False) -> DataFrame:
     """Messages -> decoded, valid readings, with the event-time watermark set.
-    The watermark is a no-op on batch input."""
+    The watermark is a no-op on batch input.
+
+    ``normalize_plates`` applies the lookup normalisation (case, whitespace) to
+    plates on the way in; ``dedupe`` drops a repeated event id that arrives within
+    the watermark delay of its first copy (state kept only that long). Both are
+    off by default, like the reference stream."""
     readings = valid_readings(decode_messages(raw, settings, value_col))
-    return readings.withWatermark("event_time", settings.watermark_delay) if watermark else readings
+    if normalize_plates:
+        from trafficwatch.functions.text import normalize_plate
+
+        readings = readings.withColumn("plate_number", normalize_plate("plate_number"))
+    if watermark:
+        readings = readings.withWatermark("event_time", settings.watermark_delay)
+    if dedupe:
+        readings = (readings.dropDuplicatesWithinWatermark(["event_id"])
+                    if readings.isStreaming and watermark
+                    else readings.dropDuplicates(["event_id"]))
+    return readings
 
 
 def read_message_stream(spark: SparkSession, source: str = "files", *, path: str | None = None,
