@@ -135,3 +135,33 @@ def test_restart_resumes_and_replayed_batch_replaces_itself(spark, tmp_dir):
     batch0.count()
     write_batch(batch0, store, "red_light_violations", 0)
     assert spark.read.parquet(os.path.join(red_dir, "batch_id=*")).count() == 6
+
+
+def test_many_micro_batches_give_the_batch_store(spark, tmp_dir):
+    """State carried across five micro-batches (windows and sessions spanning
+    them) ends in the same upserted store as one batch run."""
+    from trafficwatch.operators.dedupe import upsert
+    from trafficwatch.sources.sinks import read_stats
+
+    readings = fixture_readings(spark, SF_SMALL)
+    values = [r.value for r in telemetry_messages(readings).orderBy(
+        F.get_json_object("value", "$.event_time")).collect()]
+    src = os.path.join(tmp_dir, "in")
+    now = time.time()
+    size = len(values) // 5 + 1
+    for i in range(5):
+        write_lines(src, f"{i}.json", values[i * size:(i + 1) * size], now - 60 + i)
+    write_lines(src, "9.json", [pipeline.end_of_stream_message(FAR_FUTURE)], now)
+    cams = fixture_cameras(spark, SF_SMALL)
+    store = os.path.join(tmp_dir, "store")
+    stream = pipeline.enriched_stream(spark, cams, source="files", path=src, max_files_per_trigger=1)
+    queries = run(spark, stream, store, job="many")
+    assert all(len(q.recentProgress) >= 6 for q in queries)
+
+    batch = enrich(telemetry(spark.createDataFrame([(v,) for v in values], "value string"),
+                             watermark=False), cams)
+    expected = upsert(detect.detect_all(batch, DEFAULT, "watermark"))
+    assert key(read_violations(spark, store), vkey()) == key(expected, vkey())
+    stats_cols = ["camera_id", "window_start", "reading_count", F.round("avg_speed_kph", 6)]
+    assert key(read_stats(spark, store), stats_cols) == key(
+        detect.camera_speed_stats(batch, DEFAULT), stats_cols)
