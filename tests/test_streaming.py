@@ -158,6 +158,13 @@ def test_many_micro_batches_give_the_batch_store(spark, tmp_dir):
     queries = run(spark, stream, store, job="many")
     assert all(len(q.recentProgress) >= 6 for q in queries)
 
+    from trafficwatch.streaming.monitor import ingest_summary, progress_table
+
+    summary = {r.query: r for r in ingest_summary(progress_table(spark, queries)).collect()}
+    assert set(summary) == {q.name for q in queries}
+    assert all(r.input_rows == len(values) + 1 and r.batches >= 6 for r in summary.values())
+    assert summary["speeding_violations"].rows_dropped_by_watermark == 0
+
     batch = enrich(telemetry(spark.createDataFrame([(v,) for v in values], "value string"),
                              watermark=False), cams)
     expected = upsert(detect.detect_all(batch, DEFAULT, "watermark"))
