@@ -189,3 +189,14 @@ def test_stream_options_normalize_plates_and_dedupe(spark):
     out = telemetry(messages(spark, [dup, dup, json.dumps({**GOOD, "event_id": "h"})]),
                     normalize_plates=True, dedupe=True).collect()
     assert sorted((r.event_id, r.plate_number) for r in out) == [("g", "ABC 1"), ("h", "ABC 1")]
+
+
+def test_by_vehicle_spreads_a_busy_vehicle_and_keeps_order(spark):
+    rows = [{"t": i, "speed": 1, "plate": "HOT", "event_id": f"h{i:04d}"} for i in range(400)]
+    rows += [{"t": i, "speed": 1, "plate": f"P{i}", "event_id": f"p{i}"} for i in range(40)]
+    laid = replay.by_vehicle(readings(spark, rows), partitions=8)
+    per_part = laid.withColumn("p", F.spark_partition_id()).groupBy("p").agg(
+        F.count_if(F.col("plate_number") == "HOT").alias("hot")).collect()
+    assert sum(1 for r in per_part if r.hot > 0) > 1  # the busy vehicle is split
+    got = [(r.plate_number, r.event_id) for r in laid.collect()]
+    assert got == sorted(got)  # global (plate, time) order across partitions
