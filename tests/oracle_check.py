@@ -46,6 +46,12 @@ def _norm(v):
     return str(v)
 
 
+# Spark type -> DuckDB type of the same values.
+CANON = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+         "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def _rows(names, rows):
     order = sorted(range(len(names)), key=lambda i: names[i])
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
@@ -69,6 +75,13 @@ def compare(spark, sf_dir: str, name: str, query, sql: str | None, con) -> dict:
         out["detail"] = {"spark_only": sorted(set(s_names) - set(d_names)),
                          "oracle_only": sorted(set(d_names) - set(s_names))}
         return out
+    s_types = {f.name: CANON.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in sdf.schema.fields}
+    d_types = {c: str(t) for c, t in zip(con.sql(sql).columns, con.sql(sql).types)}
+    if s_types != d_types:
+        out["status"] = "TYPES"
+        out["detail"] = {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
+        return out
     a, b = _rows(s_names, s_rows), _rows(d_names, d_rows)
     if a == b:
         out["status"] = "OK"
