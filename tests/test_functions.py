@@ -86,3 +86,10 @@ def test_violation_id_matches_sha256_of_manila_text(spark):
     got = df.select(violation_id(F.lit("SPEEDING"), F.col("t"))).first()[0]
     text = "SPEEDING|ABC 1234|CAM-EDSA-GUA|2026-09-01 07:00:01.25"
     assert got == hashlib.sha256(text.encode()).hexdigest()[:32]
+
+
+def test_parse_time_date_only_and_short_offsets(spark):
+    midnight = round(dt.datetime(2026, 9, 1, tzinfo=MANILA).timestamp() * 1_000_000)
+    assert micros_of(spark, "2026-09-01") == midnight  # date only: naive, declared zone
+    assert micros_of(spark, "2026-09-01T00:00:00+08") == midnight
+    assert micros_of(spark, "2026-08-31T16:00:00Z") == midnight

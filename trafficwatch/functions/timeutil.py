@@ -70,7 +70,9 @@ def iso_text(ts: Column | str, tz: str = TIMEZONE) -> Column:
     return F.when(t.isNotNull(), text)
 
 
-_OFFSET_RE = r"(?i)(z|[+-]\d{2}(:?\d{2})?)$"
+# An offset only counts after a time of day ("…07:00:00+08:00", "…00Z"), so the
+# "-01" that ends a date-only value is not taken for one.
+_OFFSET_RE = r"\d{2}:\d{2}(:\d{2}(\.\d*)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)$"
 
 
 def parse_time(text: Column | str, tz: str = TIMEZONE, *, strict: bool = False) -> Column:
