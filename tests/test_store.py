@@ -26,5 +26,9 @@ def test_compacted_store_prunes_and_answers_the_same(spark, tmp_dir):
         return [r.violation_id for r in df.collect()]
 
     assert ids(by_type) == ids(lookup.violations_by_type(source, "speeding", DAY))
+    by_plate = lookup.violations_by_plate(stored, "p 12")
+    plate_plan = by_plate._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(plate_number,P 12)" in plate_plan  # reaches the scan: row groups skipped
+    assert "TakeOrderedAndProject" in plate_plan
     assert ids(lookup.violations_by_plate(stored, "p 12")) == ids(lookup.violations_by_plate(source, "p 12"))
     assert stored.count() == source.count()
