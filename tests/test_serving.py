@@ -99,6 +99,11 @@ def test_lookback_and_new_violations(records):
     assert other_day.count() == 0
 
 
+def test_store_as_of_a_moment(records):
+    assert sorted(r.violation_id for r in lookup.as_of(records, NOW - dt.timedelta(minutes=2)).collect()) == ["a", "b"]
+    assert lookup.as_of(records, NOW - dt.timedelta(hours=1)).count() == 0
+
+
 def test_lookups(records):
     assert [r.violation_id for r in lookup.violations_by_plate(records, "  abc   1234 ").collect()] == ["b", "a"]
     assert lookup.violations_by_plate(records, "abc  1234", strict_key=True).count() == 0

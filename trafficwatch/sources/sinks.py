@@ -65,10 +65,12 @@ def read_stats(spark: SparkSession, root: str, query: str = "camera_speed_stats"
 
 def compact_violations(violations: DataFrame, path: str) -> None:
     """Rewrite violations partitioned by (violation_date, violation_type),
-    clustered by plate then newest first inside each partition. The shuffle is
-    on the partition columns plus plate, so a busy day/type is spread over many
-    tasks (and files) instead of one."""
-    (violations.repartition("violation_date", "violation_type", "plate_number")
+    clustered by plate then newest first inside each file. The shuffle is a
+    range partitioning on (date, type, plate, time): a busy day, type or even a
+    single plate is cut into several tasks and files, each covering a contiguous
+    plate range (tight row-group statistics for plate lookups)."""
+    (violations.repartitionByRange("violation_date", "violation_type", "plate_number",
+                                   "violation_time")
      .sortWithinPartitions("plate_number", F.col("violation_time").desc(), "violation_id")
      .write.mode("overwrite")
      .partitionBy("violation_date", "violation_type")

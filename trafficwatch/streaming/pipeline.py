@@ -56,10 +56,13 @@ STATS_QUERY = "camera_speed_stats"
 
 
 def enriched_stream(spark: SparkSession, cameras: DataFrame, settings: Settings = DEFAULT,
-                    source: str = "files", **source_options) -> DataFrame:
-    """Decoded, valid, watermarked readings joined with the registry."""
+                    source: str = "files", normalize_plates: bool = False,
+                    dedupe: bool = False, **source_options) -> DataFrame:
+    """Decoded, valid, watermarked readings joined with the registry; optionally
+    with plates normalised and repeated event ids dropped within the watermark."""
     raw = read_message_stream(spark, source, **source_options)
-    return enrich(telemetry(raw, settings), cameras, settings)
+    readings = telemetry(raw, settings, normalize_plates=normalize_plates, dedupe=dedupe)
+    return enrich(readings, cameras, settings)
 
 
 def detections(enriched: DataFrame, settings: Settings = DEFAULT,
