@@ -28,7 +28,7 @@ from trafficwatch.config import DEFAULT, Settings
 from trafficwatch.operators import detect
 from trafficwatch.operators.enrich import enrich
 from trafficwatch.session import checkpoint_root
-from trafficwatch.sources.sinks import write_batch
+from trafficwatch.sources.sinks import VIOLATION_QUERIES, write_batch
 from trafficwatch.sources.telemetry import read_message_stream, telemetry
 
 # Session settings for long-running detection: state in RocksDB (spills to
@@ -51,8 +51,8 @@ def configure_streaming(spark: SparkSession) -> None:
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)
 
-from trafficwatch.sources.sinks import VIOLATION_QUERIES  # noqa: E402,F401
 STATS_QUERY = "camera_speed_stats"
+QUERIES = (*VIOLATION_QUERIES, STATS_QUERY)
 
 
 def enriched_stream(spark: SparkSession, cameras: DataFrame, settings: Settings = DEFAULT,
