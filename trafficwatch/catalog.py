@@ -47,10 +47,20 @@ def enriched_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
                   fixture_cameras(spark, sf_dir), DEFAULT)
 
 
+def type_codes(spark: SparkSession, sf_dir: str):
+    """Vehicle-type dictionary from the raw telemetry's type column alone."""
+    return detect.vehicle_type_codes(fixture_readings(spark, sf_dir).select("vehicle_type"))
+
+
+def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All detections, with the deterministic detection time."""
+    return detect.detect_all(enriched_readings(spark, sf_dir), DEFAULT, "watermark",
+                             type_codes(spark, sf_dir))
+
+
 def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The violation store's content: the three detections, upserted by id,
-    with the deterministic detection time."""
-    return upsert(detect.detect_all(enriched_readings(spark, sf_dir), DEFAULT, "watermark"))
+    """The violation store's content: the detections upserted by id."""
+    return upsert(detections(spark, sf_dir))
 
 
 def q_enriched_telemetry(spark, sf_dir):
@@ -64,7 +74,8 @@ def q_valid_telemetry(spark, sf_dir):
 def q_detect_speeding(spark, sf_dir):
     # The evidence sentence formats a mean with Java's %.1f, which no SQL engine
     # reproduces at exact .x5 ties; it is checked by unit tests instead.
-    df = detect.detect_speeding(enriched_readings(spark, sf_dir), DEFAULT, "watermark")
+    df = detect.detect_speeding(enriched_readings(spark, sf_dir), DEFAULT, "watermark",
+                                type_codes(spark, sf_dir))
     return present(df, means=VIOLATION_MEANS, drop=("evidence",))
 
 
@@ -74,12 +85,14 @@ def q_detect_red_light(spark, sf_dir):
 
 
 def q_detect_illegal_parking(spark, sf_dir):
-    df = detect.detect_illegal_parking(enriched_readings(spark, sf_dir), DEFAULT, "watermark")
+    df = detect.detect_illegal_parking(enriched_readings(spark, sf_dir), DEFAULT, "watermark",
+                                       type_codes(spark, sf_dir))
     return present(df, means=VIOLATION_MEANS)
 
 
 def q_stationary_sessions(spark, sf_dir):
-    df = detect.stationary_sessions(enriched_readings(spark, sf_dir), DEFAULT)
+    df = detect.stationary_sessions(enriched_readings(spark, sf_dir), DEFAULT,
+                                    type_codes(spark, sf_dir))
     return present(df, means=("avg_speed_kph", "latitude", "longitude"))
 
 
@@ -110,8 +123,7 @@ TYPE_INPUT = "speeding "
 def day_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The day's store content. Date and type are functions of the id, so the
     day filter runs before the upsert's shuffle."""
-    detections = detect.detect_all(enriched_readings(spark, sf_dir), DEFAULT, "watermark")
-    return upsert(lookup.day_violations(detections, DAY))
+    return upsert(lookup.day_violations(detections(spark, sf_dir), DAY))
 
 
 def _api(df: DataFrame) -> DataFrame:
@@ -145,8 +157,7 @@ def q_violations_of_day(spark, sf_dir):
 
 
 def q_new_violations(spark, sf_dir):
-    detections = detect.detect_all(enriched_readings(spark, sf_dir), DEFAULT, "watermark")
-    return _api(lookup.new_violations(detections, DAY, PREV_POLL, NOW))
+    return _api(lookup.new_violations(detections(spark, sf_dir), DAY, PREV_POLL, NOW))
 
 
 def q_day_stats(spark, sf_dir):
