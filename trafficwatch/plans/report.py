@@ -89,7 +89,7 @@ def day_summary(records: DataFrame, day: dt.date | str, settings: Settings = DEF
 def latest_detection_age(records: DataFrame, now: dt.datetime) -> DataFrame:
     """Seconds since the newest detection, at least 0; null when there is none."""
     newest = F.max("detected_at")
-    age = (F.lit(round(now.timestamp() * 1_000_000)) - F.unix_micros(newest)) / F.lit(1_000_000.0)
+    age = (F.unix_micros(_instant(now)) - F.unix_micros(newest)) / F.lit(1_000_000.0)
     return records.agg(F.when(newest.isNotNull(), F.greatest(F.lit(0.0), age)).alias("age_seconds"))
 
 
