@@ -37,6 +37,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--store", required=True, help="root folder of the violation store")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--debug", action="store_true", help="show every written micro-batch")
+    p.add_argument("--job", default="detector",
+                   help="checkpoint name under spark.checkpoint.dir; a restart with the same name resumes")
 
     p = sub.add_parser("publish", help="telemetry CSV -> JSON-lines messages")
     p.add_argument("--csv", required=True)
@@ -76,7 +78,7 @@ def main(argv: list[str] | None = None) -> None:
         else:
             enriched = pipeline.enriched_stream(spark, cameras, source="files", path=args.input)
         pipeline.start_pipeline(spark, enriched, args.store, available_now=args.available_now,
-                                debug=args.debug)
+                                debug=args.debug, job=args.job)
         if args.available_now:
             for q in spark.streams.active:
                 q.awaitTermination()
