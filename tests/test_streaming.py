@@ -172,3 +172,25 @@ def test_many_micro_batches_give_the_batch_store(spark, tmp_dir):
     stats_cols = ["camera_id", "window_start", "reading_count", F.round("avg_speed_kph", 6)]
     assert key(read_stats(spark, store), stats_cols) == key(
         detect.camera_speed_stats(batch, DEFAULT), stats_cols)
+
+
+def test_processing_time_trigger_debug_and_run_until_any_ends(spark, tmp_dir, capsys):
+    from dataclasses import replace
+
+    src = os.path.join(tmp_dir, "in")
+    write_lines(src, "1.json", [message("r1", 1, "CAM-INT", "R1", 40, "RED", True)], time.time() - 5)
+    fast = replace(DEFAULT, trigger_interval="1 second")
+    stream = pipeline.enriched_stream(spark, cameras(spark), fast, source="files", path=src)
+    checkpoints = os.path.join(tmp_dir, "ckpt")
+    store = os.path.join(tmp_dir, "store")
+    red = pipeline.start_query(pipeline.detections(stream, fast)["red_light_violations"],
+                               f"red-{RUN}", store, checkpoints, fast, debug=True)
+    try:
+        red.processAllAvailable()
+        assert spark.read.parquet(os.path.join(store, f"red-{RUN}", "batch_id=*")).count() == 1
+        assert "BEATING_RED_LIGHT" in capsys.readouterr().out  # the debug preview
+        assert pipeline.run_until_any_ends(spark, timeout=1) is False  # still running
+    finally:
+        red.stop()
+    assert pipeline.run_until_any_ends(spark, timeout=5) is True
+    spark.streams.resetTerminated()
