@@ -96,6 +96,14 @@ def q_stationary_sessions(spark, sf_dir):
     return present(df, means=("avg_speed_kph", "latitude", "longitude"))
 
 
+def q_speeding_windows(spark, sf_dir):
+    df = detect.speeding_windows(enriched_readings(spark, sf_dir), DEFAULT, type_codes(spark, sf_dir))
+    return present(df.select(F.col("window.start").alias("window_start"),
+                             F.col("window.end").alias("window_end"),
+                             *[c for c in df.columns if c != "window"]),
+                   means=("avg_speed_kph", "latitude", "longitude"))
+
+
 def q_camera_speed_stats(spark, sf_dir):
     df = detect.camera_speed_stats(enriched_readings(spark, sf_dir), DEFAULT, distinct="exact")
     return present(df, means=("avg_speed_kph", "pct_over_limit"))
@@ -160,6 +168,15 @@ def q_new_violations(spark, sf_dir):
     return _api(lookup.new_violations(detections(spark, sf_dir), DAY, PREV_POLL, NOW))
 
 
+def q_snapshot_news(spark, sf_dir):
+    """News as the anti join of two reads: the day's records known at the
+    previous poll against the lookback read at now."""
+    found = detections(spark, sf_dir)
+    seen = lookup.api_record(lookup.day_violations(lookup.as_of(found, PREV_POLL), DAY))
+    fetched = lookup.api_record(lookup.lookback(lookup.as_of(found, NOW), DAY, NOW))
+    return _api(lookup.news(seen, fetched))
+
+
 def q_day_stats(spark, sf_dir):
     return report.day_stats(day_records(spark, sf_dir), NOW)
 
@@ -279,6 +296,14 @@ def q_encode_messages(spark, sf_dir):
     return telemetry_messages(valid_readings(fixture_readings(spark, sf_dir)))
 
 
+FIRST_EVENTS = 1000
+
+
+def q_first_events(spark, sf_dir):
+    """The first readings in time order (the producer's stop-after-N)."""
+    return present(replay.first_events(valid_readings(fixture_readings(spark, sf_dir)), FIRST_EVENTS))
+
+
 def q_rebase_time(spark, sf_dir):
     readings = valid_readings(fixture_readings(spark, sf_dir))
     return present(replay.rebase_time(readings, REBASE_START))
@@ -336,6 +361,7 @@ QUERIES: dict[str, Query] = {
     "detect_red_light": q_detect_red_light,
     "detect_illegal_parking": q_detect_illegal_parking,
     "stationary_sessions": q_stationary_sessions,
+    "speeding_windows": q_speeding_windows,
     "camera_speed_stats": q_camera_speed_stats,
     "camera_speed_stats_approx": q_camera_speed_stats_approx,
     "violations_upserted": q_violations_upserted,
@@ -345,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "stats_by_camera": q_stats_by_camera,
     "violations_of_day": q_violations_of_day,
     "new_violations": q_new_violations,
+    "snapshot_news": q_snapshot_news,
     "day_stats": q_day_stats,
     "counts_by_camera": q_counts_by_camera,
     "counts_by_type": q_counts_by_type,
@@ -359,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "dedupe_events": q_dedupe_events,
     "decode_json": q_decode_json,
     "encode_messages": q_encode_messages,
+    "first_events": q_first_events,
     "rebase_time": q_rebase_time,
     "replay_passes": q_replay_passes,
     "normalize_plate": q_normalize_plate,

@@ -631,3 +631,17 @@ UNION ALL SELECT 'latest_violation_age',
   FROM recs
 UNION ALL SELECT 'violations_today', {mean(f"CAST(count(*) FILTER (WHERE violation_date = {DAY}) AS DOUBLE)")}
   FROM recs""")
+
+SQL["speeding_windows"] = with_detections(f"""
+SELECT {ts('ws')} AS window_start, {ts('ws + 60000000')} AS window_end,
+       plate_number, camera_id, location_name, road_name, speed_limit_kph,
+       {mean('avg_speed')} AS avg_speed_kph, max_speed AS max_speed_kph, readings,
+       {ts('first_us')} AS first_seen, {ts('last_us')} AS last_seen,
+       {mean('latitude')} AS latitude, {mean('longitude')} AS longitude, vehicle_type
+FROM swagg""")
+
+SQL["snapshot_news"] = SQL["new_violations"]
+
+SQL["first_events"] = BASE + "," + VALID + f"""
+SELECT {READING_COLS}, {ts('us')} AS event_time FROM valid
+ORDER BY us, event_id LIMIT 1000"""
