@@ -16,18 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficwatch.config import DEFAULT
-from trafficwatch.operators import detect
-from trafficwatch.operators.dedupe import upsert
-from trafficwatch.operators.enrich import enrich
 from trafficwatch.functions.text import normalize_plate
 from trafficwatch.functions.timeutil import iso_text, local_time, utc_wall
-from trafficwatch.operators import replay
-from trafficwatch.operators.dedupe import first_per_key
+from trafficwatch.operators import detect, replay
+from trafficwatch.operators.dedupe import first_per_key, upsert
+from trafficwatch.operators.enrich import enrich
 from trafficwatch.plans import lookup, quality, report
 from trafficwatch.plans.present import present, round_mean
+from trafficwatch.sources.fixtures import fixture_cameras, fixture_readings, fixture_scenarios
 from trafficwatch.sources.registry import camera_listing
-from trafficwatch.sources.fixtures import fixture_cameras, fixture_readings
-from trafficwatch.sources.fixtures import fixture_scenarios
 from trafficwatch.sources.telemetry import (
     COLUMN_MAPPING,
     normalize_rows,
