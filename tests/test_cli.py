@@ -33,7 +33,8 @@ def test_publish_detect_and_look_up(tmp_path):
     parts = [f for f in os.listdir(msgs) if f.startswith("part-")]
     assert sum(len(open(os.path.join(msgs, f)).read().splitlines()) for f in parts) == 4
     logged = cli("detect", "--registry", str(tmp_path / "cams.csv"), "--input", msgs,
-                 "--store", store, "--available-now", "--job", f"cli-test-{uuid.uuid4().hex[:12]}")
+                 "--store", store, "--stage", str(tmp_path / "readings"), "--available-now",
+                 "--job", f"cli-test-{uuid.uuid4().hex[:12]}")
     assert "[red_light_violations] batch" in logged
     by_type = cli("type", "beating_red_light", "--date", "2026-09-01", "--store", store)
     assert "XYZ 2" in by_type and "BUS" in by_type

@@ -194,3 +194,32 @@ def test_processing_time_trigger_debug_and_run_until_any_ends(spark, tmp_dir, ca
         red.stop()
     assert pipeline.run_until_any_ends(spark, timeout=5) is True
     spark.streams.resetTerminated()
+
+
+def test_staged_pipeline_parses_once_and_equals_batch(spark, tmp_dir):
+    """Ingest decodes once into a Parquet table; the detections stream from it."""
+    readings = fixture_readings(spark, SF_SMALL)
+    values = [r.value for r in telemetry_messages(readings).collect()]
+    src = os.path.join(tmp_dir, "in")
+    now = time.time()
+    write_lines(src, "a.json", values, now - 10)
+    write_lines(src, "z.json", [pipeline.end_of_stream_message(FAR_FUTURE)], now)
+    cams = fixture_cameras(spark, SF_SMALL)
+    table = os.path.join(tmp_dir, "readings")
+    job = f"test-{RUN}-staged"
+    raw = pipeline.read_message_stream(spark, "files", path=src)
+    ingest = pipeline.start_ingest(spark, raw, table, available_now=True, job=job)
+    ingest.awaitTermination(300)
+    assert ingest.exception() is None
+    assert any(d.startswith("event_date=") for d in os.listdir(table))
+
+    store = os.path.join(tmp_dir, "store")
+    stream = pipeline.staged_stream(spark, table, cams)
+    run(spark, stream, store, job="staged-detect")
+    batch = enrich(telemetry(spark.createDataFrame([(v,) for v in values], "value string"),
+                             watermark=False), cams)
+    expected = detect.detect_speeding(batch, DEFAULT, "watermark")
+    streamed = spark.read.parquet(os.path.join(store, "speeding_violations", "batch_id=*"))
+    assert key(streamed, vkey()) == key(expected, vkey())
+    parked = spark.read.parquet(os.path.join(store, "illegal_parking_violations", "batch_id=*"))
+    assert key(parked, vkey()) == key(detect.detect_illegal_parking(batch, DEFAULT, "watermark"), vkey())

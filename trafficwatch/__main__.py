@@ -1,6 +1,6 @@
 """Command line: the streaming detector, the store lookups, ingestion and compaction.
 
-    python -m trafficwatch detect  --registry cameras.csv --input DIR --store DIR [--available-now]
+    python -m trafficwatch detect  --registry cameras.csv --input DIR --store DIR [--stage DIR] [--available-now]
     python -m trafficwatch publish --csv telemetry.csv --out DIR [--start ISO] [--passes N] [--limit N]
     python -m trafficwatch plate  "ABC 1234" --store DIR [--limit 50]
     python -m trafficwatch camera CAM-EDSA-SHAW --date 2026-09-24 --store DIR
@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--store", required=True, help="root folder of the violation store")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--debug", action="store_true", help="show every written micro-batch")
+    p.add_argument("--stage", help="decode once into this Parquet readings table and detect from it")
     p.add_argument("--job", default="detector",
                    help="checkpoint name under spark.checkpoint.dir; a restart with the same name resumes")
 
@@ -72,11 +73,19 @@ def main(argv: list[str] | None = None) -> None:
 
         cameras = load_cameras(spark, args.registry)
         if args.kafka_servers:
-            enriched = pipeline.enriched_stream(
-                spark, cameras, source="kafka",
-                options={"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.topic})
+            source = dict(source="kafka", options={"kafka.bootstrap.servers": args.kafka_servers,
+                                                   "subscribe": args.topic})
         else:
-            enriched = pipeline.enriched_stream(spark, cameras, source="files", path=args.input)
+            source = dict(source="files", path=args.input)
+        if args.stage:
+            raw = pipeline.read_message_stream(spark, **source)
+            ingest = pipeline.start_ingest(spark, raw, args.stage, available_now=args.available_now,
+                                           job=args.job)
+            if args.available_now:
+                ingest.awaitTermination()
+            enriched = pipeline.staged_stream(spark, args.stage, cameras)
+        else:
+            enriched = pipeline.enriched_stream(spark, cameras, **source)
         pipeline.start_pipeline(spark, enriched, args.store, available_now=args.available_now,
                                 debug=args.debug, job=args.job)
         if args.available_now:

@@ -127,6 +127,48 @@ def start_pipeline(spark: SparkSession, enriched: DataFrame, store_root: str,
             for name, df in detections(enriched, settings, detected_at).items()]
 
 
+def start_ingest(spark: SparkSession, raw: DataFrame, readings_path: str,
+                 settings: Settings = DEFAULT, available_now: bool = False,
+                 job: str = "detector", normalize_plates: bool = False,
+                 dedupe: bool = False) -> StreamingQuery:
+    """Decode and validate messages once into a Parquet readings table
+    partitioned by local date (the file sink is exactly-once through its own
+    log). Detection queries then stream from the table
+    (:func:`staged_stream`) instead of each parsing the source again."""
+    from trafficwatch.functions.timeutil import local_date
+
+    configure_streaming(spark)
+    readings = telemetry(raw, settings, watermark=False, normalize_plates=normalize_plates,
+                         dedupe=False)
+    if dedupe:
+        readings = readings.withWatermark("event_time", settings.watermark_delay) \
+            .dropDuplicatesWithinWatermark(["event_id"])
+    out = readings.withColumn("event_date", local_date("event_time", settings.timezone))
+    checkpoints = os.path.join(checkpoint_root(spark), "trafficwatch", job, "ingest")
+    writer = (out.writeStream.queryName("ingest_readings").outputMode("append")
+              .format("parquet").option("path", readings_path)
+              .option("checkpointLocation", checkpoints).partitionBy("event_date"))
+    writer = (writer.trigger(availableNow=True) if available_now
+              else writer.trigger(processingTime=settings.trigger_interval))
+    return writer.start()
+
+
+def staged_stream(spark: SparkSession, readings_path: str, cameras: DataFrame,
+                  settings: Settings = DEFAULT, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Readings streamed from the table :func:`start_ingest` writes, watermarked
+    and joined with the registry."""
+    from trafficwatch import schemas
+    from pyspark.sql.types import DateType, StructField, StructType
+
+    schema = StructType([*schemas.TELEMETRY.fields, StructField("event_date", DateType())])
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    readings = (reader.parquet(readings_path).drop("event_date")
+                .withWatermark("event_time", settings.watermark_delay))
+    return enrich(readings, cameras, settings)
+
+
 def run_until_any_ends(spark: SparkSession, timeout: float | None = None) -> bool:
     """Block until one query stops (with its error, if any)."""
     return spark.streams.awaitAnyTermination(timeout)
