@@ -177,6 +177,7 @@ def test_many_micro_batches_give_the_batch_store(spark, tmp_dir):
 def test_processing_time_trigger_debug_and_run_until_any_ends(spark, tmp_dir, capsys):
     from dataclasses import replace
 
+    spark.streams.resetTerminated()  # forget queries that ended in earlier tests
     src = os.path.join(tmp_dir, "in")
     write_lines(src, "1.json", [message("r1", 1, "CAM-INT", "R1", 40, "RED", True)], time.time() - 5)
     fast = replace(DEFAULT, trigger_interval="1 second")

@@ -170,7 +170,8 @@ def staged_stream(spark: SparkSession, readings_path: str, cameras: DataFrame,
 
 
 def run_until_any_ends(spark: SparkSession, timeout: float | None = None) -> bool:
-    """Block until one query stops (with its error, if any)."""
+    """Block until one query stops (with its error, if any). Queries that ended
+    before are counted until ``spark.streams.resetTerminated()``."""
     return spark.streams.awaitAnyTermination(timeout)
 
 
