@@ -224,3 +224,17 @@ def test_staged_pipeline_parses_once_and_equals_batch(spark, tmp_dir):
     assert key(streamed, vkey()) == key(expected, vkey())
     parked = spark.read.parquet(os.path.join(store, "illegal_parking_violations", "batch_id=*"))
     assert key(parked, vkey()) == key(detect.detect_illegal_parking(batch, DEFAULT, "watermark"), vkey())
+
+
+def test_stream_dedupe_drops_a_replayed_event(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    now = time.time()
+    dup = message("same", 5, "CAM-INT", "D1", 40, "RED", True)
+    write_lines(src, "1.json", [dup], now - 30)
+    write_lines(src, "2.json", [dup, message("other", 6, "CAM-INT", "D2", 40, "RED", True)], now - 20)
+    store = os.path.join(tmp_dir, "store")
+    stream = pipeline.enriched_stream(spark, cameras(spark), source="files", path=src,
+                                      max_files_per_trigger=1, dedupe=True)
+    run(spark, stream, store, job="dedupe")
+    red = spark.read.parquet(os.path.join(store, "red_light_violations", "batch_id=*"))
+    assert sorted(r.plate_number for r in red.collect()) == ["D1", "D2"]
