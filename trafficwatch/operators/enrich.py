@@ -27,5 +27,9 @@ def enrich(telemetry: DataFrame, cameras: DataFrame, settings: Settings = DEFAUL
     if broadcast is None:
         broadcast = has_at_most(registry, settings.registry_broadcast_max_rows)
     if broadcast:
+        if telemetry.isStreaming:
+            # Every micro-batch re-plans the static side; keep the (proven small)
+            # registry in memory instead of re-reading its files each trigger.
+            registry = registry.cache()
         registry = F.broadcast(registry)
     return telemetry.join(registry, on="camera_id", how="inner")
