@@ -238,3 +238,19 @@ def test_stream_dedupe_drops_a_replayed_event(spark, tmp_dir):
     run(spark, stream, store, job="dedupe")
     red = spark.read.parquet(os.path.join(store, "red_light_violations", "batch_id=*"))
     assert sorted(r.plate_number for r in red.collect()) == ["D1", "D2"]
+
+
+def test_exact_distinct_is_refused_on_a_stream_and_checkpoint_dir_is_read(spark):
+    import pytest
+
+    from trafficwatch.session import checkpoint_root
+
+    ticks = spark.readStream.format("rate").load().select(
+        F.lit("CAM-SPD").alias("camera_id"), F.lit("P").alias("plate_number"),
+        F.lit(50.0).alias("speed_kph"), F.col("timestamp").alias("event_time"))
+    stream = enrich(ticks, cameras(spark))
+    with pytest.raises(ValueError, match="exact distinct"):
+        detect.camera_speed_stats(stream, DEFAULT, distinct="exact")
+    assert detect.camera_speed_stats(stream, DEFAULT).isStreaming
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_root(spark) == configured.rstrip("/")
