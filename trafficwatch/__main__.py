@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--debug", action="store_true", help="show every written micro-batch")
     p.add_argument("--stage", help="decode once into this Parquet readings table and detect from it")
+    p.add_argument("--set", action="append", default=[], metavar="KEY=VALUE",
+                   help="override a setting (after environment variables), e.g. speed_tolerance_kph=5")
     p.add_argument("--job", default="detector",
                    help="checkpoint name under spark.checkpoint.dir; a restart with the same name resumes")
 
@@ -68,9 +70,12 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session(conf={"spark.sql.session.timeZone": TIMEZONE})
     if args.command == "detect":
+        from trafficwatch.config import Settings
         from trafficwatch.sources.registry import load_cameras
         from trafficwatch.streaming import pipeline
 
+        settings = Settings.from_env().with_values(dict(kv.split("=", 1) for kv in args.set))
+
         cameras = load_cameras(spark, args.registry)
         if args.kafka_servers:
             source = dict(source="kafka", options={"kafka.bootstrap.servers": args.kafka_servers,
@@ -79,15 +84,15 @@ def main(argv: list[str] | None = None) -> None:
             source = dict(source="files", path=args.input)
         if args.stage:
             raw = pipeline.read_message_stream(spark, **source)
-            ingest = pipeline.start_ingest(spark, raw, args.stage, available_now=args.available_now,
-                                           job=args.job)
+            ingest = pipeline.start_ingest(spark, raw, args.stage, settings,
+                                           available_now=args.available_now, job=args.job)
             if args.available_now:
                 ingest.awaitTermination()
-            enriched = pipeline.staged_stream(spark, args.stage, cameras)
+            enriched = pipeline.staged_stream(spark, args.stage, cameras, settings)
         else:
-            enriched = pipeline.enriched_stream(spark, cameras, **source)
-        pipeline.start_pipeline(spark, enriched, args.store, available_now=args.available_now,
-                                debug=args.debug, job=args.job)
+            enriched = pipeline.enriched_stream(spark, cameras, settings, **source)
+        pipeline.start_pipeline(spark, enriched, args.store, settings,
+                                available_now=args.available_now, debug=args.debug, job=args.job)
         if args.available_now:
             for q in spark.streams.active:
                 q.awaitTermination()

@@ -1,12 +1,13 @@
 """Settings of the detection job and of the reporting queries.
 
 Everything that the reference reads from environment variables is a field of one
-frozen dataclass here; callers pass a modified copy (``dataclasses.replace``)
-instead of mutating globals.
+frozen dataclass here; callers pass a modified copy (``with_values``) instead of
+mutating globals, and ``Settings.from_env()`` reads the same upper-case variable
+names for drop-in configuration.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 
 # ---------------------------------------------------------------------------
 # Fixed values. These must equal the reference's values for identical results
@@ -97,6 +98,30 @@ class Settings:
     # above it the enrichment join falls back to a shuffled join.
     registry_broadcast_max_rows: int = 200_000
 
+    @classmethod
+    def from_env(cls, environ=None) -> Settings:
+        """Settings from environment variables named like the fields in upper
+        case (``WATERMARK_DELAY``, ``SPEED_TOLERANCE_KPH``, ...); the session gap
+        is also read as a duration from ``PARKING_SESSION_GAP`` ("2 minutes")."""
+        import os
+
+        env = os.environ if environ is None else environ
+        values = {f.name: env[f.name.upper()] for f in fields(cls) if f.name.upper() in env}
+        if "PARKING_SESSION_GAP" in env and "parking_session_gap_seconds" not in values:
+            values["parking_session_gap_seconds"] = duration_seconds(env["PARKING_SESSION_GAP"])
+        return cls().with_values(values)
+
+    def with_values(self, values) -> Settings:
+        """A copy with the given fields replaced; text values are converted to
+        the field's type."""
+        types = {f.name: f.type for f in fields(self)}
+        unknown = sorted(set(values) - set(types))
+        if unknown:
+            raise ValueError(f"unknown settings: {', '.join(unknown)}")
+        cast = {"int": int, "float": float, "str": str}
+        converted = {k: cast[types[k]](v) if isinstance(v, str) else v for k, v in values.items()}
+        return replace(self, **converted)
+
     @property
     def parking_session_gap(self) -> str:
         return f"{self.parking_session_gap_seconds} seconds"
