@@ -6,6 +6,10 @@
       -> speeding / red light / illegal parking / camera stats
       -> foreachBatch: one idempotent Parquet directory per micro-batch
 
+Optionally staged (``start_ingest`` + ``staged_stream``): one query decodes and
+validates into a date-partitioned Parquet readings table, and the four detection
+queries stream from that table, so each message is parsed once, not four times.
+
 Each query has its own checkpoint under ``spark.checkpoint.dir`` and restarts
 from it; a re-run of a micro-batch overwrites the same ``batch_id`` directory,
 so delivery is at-least-once and the stored effect exactly-once. Windows are
