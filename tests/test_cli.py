@@ -44,3 +44,26 @@ def test_publish_detect_and_look_up(tmp_path):
     assert "92.5" in stats
     cli("compact", "--store", store, "--out", str(tmp_path / "compacted"))
     assert any(d.startswith("violation_date=2026-09-01") for d in os.listdir(tmp_path / "compacted"))
+
+
+def test_runs_without_a_configured_checkpoint_folder(tmp_path):
+    """With no spark.checkpoint.dir (no spark-defaults), a local folder is used
+    for stream checkpoints and DataFrame.checkpoint(); the setting is not written."""
+    empty_conf = tmp_path / "conf"
+    empty_conf.mkdir()
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from trafficwatch.session import get_session, checkpoint_root\n"
+        "spark = get_session('local[2]')\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "root = checkpoint_root(spark)\n"
+        "assert checkpoint_root(spark) == root\n"
+        "assert spark.range(5).checkpoint().count() == 5\n"
+        "import bench\n"
+        "assert bench.stream_run(spark, '/root/testdata/sf0.001') > 0\n"
+        "print('ok', root)\n" % ROOT
+    )
+    env = {**os.environ, "SPARK_CONF_DIR": str(empty_conf)}
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0 and "ok" in out.stdout, out.stderr[-2000:]

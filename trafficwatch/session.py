@@ -33,15 +33,22 @@ def get_session(master: str | None = None, app: str = "trafficwatch",
     return spark
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read here.
-    When it is unset (local runs and tests) a fresh local folder is created and
-    registered, so streaming checkpoints and ``DataFrame.checkpoint()`` work."""
+    On a cluster the setting must point at shared storage and is only read here
+    (Spark already uses it for ``DataFrame.checkpoint()``). When it is unset
+    (local runs and tests) a fresh local folder is created once per Spark
+    context and registered with ``setCheckpointDir``; the setting itself is a
+    startup option and is not written."""
     root = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY)
-    if not root:
-        root = tempfile.mkdtemp(prefix="trafficwatch-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    key = id(spark.sparkContext)
+    if key not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="trafficwatch-ckpt-")
+        spark.sparkContext.setCheckpointDir(_LOCAL_ROOTS[key])
+    return _LOCAL_ROOTS[key]
