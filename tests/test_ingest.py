@@ -79,13 +79,23 @@ def test_loader_booleans_and_times(spark, tmp_dir):
     assert times[0] == times[1] == times[2] == dt.datetime(2026, 9, 1, tzinfo=UTC)
 
 
-def test_loader_fails_on_bad_number_or_drops(spark, tmp_dir):
-    path = write(os.path.join(tmp_dir, "n.csv"), HEADER + "\n"
-                 "a,CAM-1,X,,14.5,121.0,fast,,,2026-09-01 08:00:00\n"
-                 "b,CAM-1,X,,14.5,121.0,10,,,2026-09-01 08:00:00\n")
-    with pytest.raises(Exception):
-        load_events(spark, path).collect()
-    assert [r.event_id for r in load_events(spark, path, mode="drop").collect()] == ["b"]
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_loader_fails_on_bad_number_or_time_or_drops(spark, tmp_dir, ansi):
+    bad_number = write(os.path.join(tmp_dir, "n.csv"), HEADER + "\n"
+                       "a,CAM-1,X,,14.5,121.0,fast,,,2026-09-01 08:00:00\n"
+                       "b,CAM-1,X,,14.5,121.0,10,,,2026-09-01 08:00:00\n")
+    bad_time = write(os.path.join(tmp_dir, "t.csv"), HEADER + "\n"
+                     "c,CAM-1,X,,14.5,121.0,10,,,yesterday\n"
+                     "d,CAM-1,X,,14.5,121.0,10,,,2026-09-01 08:00:00\n")
+    previous = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for path, good in [(bad_number, "b"), (bad_time, "d")]:
+            with pytest.raises(Exception, match="cannot parse"):
+                load_events(spark, path).collect()
+            assert [r.event_id for r in load_events(spark, path, mode="drop").collect()] == [good]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", previous)
 
 
 def messages(spark, values):

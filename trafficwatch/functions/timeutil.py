@@ -77,17 +77,21 @@ _OFFSET_RE = r"\d{2}:\d{2}(:\d{2}(\.\d*)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)$"
 
 def parse_time(text: Column | str, tz: str = TIMEZONE, *, strict: bool = False) -> Column:
     """ISO-8601 text to an instant. ``Z`` and explicit offsets are honoured, a
-    naive value is read as wall clock in ``tz``. Unparseable text is null, or an
-    error when ``strict`` (ANSI cast)."""
+    naive value is read as wall clock in ``tz``. Unparseable text is null, or
+    raises when ``strict`` (whatever the session's ANSI setting)."""
     s = F.regexp_replace(_col(text), r"^\s+|\s+$", "")
-
-    def cast(c: Column, to: str) -> Column:
-        return c.cast(to) if strict else c.try_cast(to)
-
     has_offset = s.rlike(_OFFSET_RE)
-    return F.when(has_offset, cast(s, "timestamp")).otherwise(
-        from_wall(cast(s, "timestamp_ntz"), tz)
+    parsed = F.when(has_offset, s.try_cast("timestamp")).otherwise(
+        from_wall(s.try_cast("timestamp_ntz"), tz)
     )
+    return require_parsed(s, parsed, "time") if strict else parsed
+
+
+def require_parsed(text: Column, parsed: Column, what: str) -> Column:
+    """``parsed``, failing the job on non-null text that did not parse."""
+    bad = text.isNotNull() & parsed.isNull()
+    error = F.raise_error(F.concat(F.lit(f"cannot parse {what}: "), text))
+    return F.coalesce(parsed, F.when(bad, error))
 
 
 def seconds_floor(ts: Column | str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from trafficwatch import schemas
 from trafficwatch.config import DEFAULT, REQUIRED_FIELDS, TELEMETRY_FIELDS, Settings
 from trafficwatch.functions.text import blank_to_null, parse_bool, strip
-from trafficwatch.functions.timeutil import parse_time
+from trafficwatch.functions.timeutil import parse_time, require_parsed
 
 # telemetry field -> source column; edit a copy to read a file with other names.
 COLUMN_MAPPING: dict[str, str] = {field: field for field in TELEMETRY_FIELDS}
@@ -130,8 +130,9 @@ def normalize_rows(raw: DataFrame, mapping: Mapping[str, str] = COLUMN_MAPPING,
 
     Camera stripped; plate stripped and upper-cased; optional text blank -> null;
     numbers cast; light upper-cased; loose booleans; ISO time with ``Z``, offsets,
-    or naive = declared zone. ``mode="fail"`` raises on a bad number or time (ANSI
-    casts), ``"drop"`` drops such rows. A missing event id defaults to a SHA-256
+    or naive = declared zone. ``mode="fail"`` raises on a bad number or time
+    (whatever the session's ANSI setting), ``"drop"`` drops such rows. A missing
+    event id defaults to a SHA-256
     of the row (``event_id_default="hash"``, reproducible) or a random UUID.
     Columns named in ``keep`` are passed through unchanged."""
     if mode not in ("fail", "drop"):
@@ -141,7 +142,8 @@ def normalize_rows(raw: DataFrame, mapping: Mapping[str, str] = COLUMN_MAPPING,
 
     def number(field: str) -> Column:
         text = strip(_source(raw, mapping, field))
-        return text.cast("double") if strict else text.try_cast("double")
+        parsed = text.try_cast("double")
+        return require_parsed(text, parsed, field) if strict else parsed
 
     src = {f: _source(raw, mapping, f) for f in TELEMETRY_FIELDS}
     light = blank_to_null(src["traffic_light_state"])
