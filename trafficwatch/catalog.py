@@ -329,9 +329,7 @@ def q_iso_times(spark, sf_dir):
 # --- quality ------------------------------------------------------------------------
 
 def labelled_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cameras = fixture_cameras(spark, sf_dir)
-    return enrich(fixture_scenarios(valid_readings(fixture_readings(spark, sf_dir)), cameras),
-                  cameras, DEFAULT)
+    return fixture_scenarios(enriched_readings(spark, sf_dir))
 
 
 def q_registry_checks(spark, sf_dir):

@@ -95,13 +95,11 @@ def fixture_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fixture_scenarios(readings: DataFrame, cameras: DataFrame) -> DataFrame:
-    """Readings labelled with the scenario a generator would have planted,
-    derived from the reading itself: above the limit at a SPEED camera is
-    SPEEDING, RED with the line crossed is RED_LIGHT (whatever the speed), slow
-    at a NO_PARKING camera is ILLEGAL_PARKING, anything else NORMAL. Readings of
-    unknown cameras carry no label and are dropped."""
-    reg = cameras.select("camera_id", "camera_type", "speed_limit_kph")
+def fixture_scenarios(enriched: DataFrame) -> DataFrame:
+    """Enriched readings labelled with the scenario a generator would have
+    planted, derived from the reading itself: above the limit at a SPEED camera
+    is SPEEDING, RED with the line crossed is RED_LIGHT (whatever the speed), slow
+    at a NO_PARKING camera is ILLEGAL_PARKING, anything else NORMAL."""
     t = F.col("camera_type")
     label = (
         F.when((t == "SPEED") & (F.col("speed_kph") > F.col("speed_limit_kph")), F.lit("SPEEDING"))
@@ -110,6 +108,4 @@ def fixture_scenarios(readings: DataFrame, cameras: DataFrame) -> DataFrame:
         .when((t == "NO_PARKING") & (F.col("speed_kph") <= F.lit(3.0)), F.lit("ILLEGAL_PARKING"))
         .otherwise(F.lit("NORMAL"))
     )
-    # The registry side is small and Spark's own size estimate picks the broadcast.
-    return (readings.join(reg, "camera_id", "inner")
-            .select(*readings.columns, label.alias("simulated_scenario")))
+    return enriched.withColumn("simulated_scenario", label)
