@@ -9,7 +9,7 @@ QUERIES = entry.queries()
 # One-row final merges of partial aggregates may use a single partition; the
 # offset-rate lag runs over one row per hour bucket.
 SINGLE_PARTITION_OK = {"day_stats", "day_summary", "latest_detection_age", "registry_checks",
-                       "offset_rate", "pipeline_counters"}
+                       "offset_rate", "health_counters"}
 
 
 def physical(df) -> str:

@@ -127,7 +127,7 @@ def test_counters(spark, records):
     assert rates == [(120, 0.0), (170, 10.0), (140, 0.0), (240, 100 / 7190)]
     execs = spark.createDataFrame([("1", 10), ("2", 5)], "executor_id string, completed_tasks long")
     assert report.tasks_completed(execs).first().tasks_completed == 15
-    health = {r.metric: r.value for r in report.pipeline_counters(snaps, records, DAY, NOW, execs).collect()}
+    health = {r.metric: r.value for r in report.health_counters(snaps, records, DAY, NOW, execs).collect()}
     assert health == {"topic_total": 240.0, "events_per_sec": 100 / 7190, "latest_violation_age": 60.0,
                       "violations_today": 3.0, "tasks_completed": 15.0}
 

@@ -15,7 +15,7 @@ from trafficwatch.operators.enrich import enrich
 from trafficwatch.sources.fixtures import fixture_cameras, fixture_readings
 from trafficwatch.sources.sinks import read_violations, write_batch
 from trafficwatch.sources.telemetry import telemetry, telemetry_messages
-from trafficwatch.streaming import pipeline
+from trafficwatch.streaming import detector
 
 FAR_FUTURE = dt.datetime(2099, 1, 1, tzinfo=MANILA)
 
@@ -32,7 +32,7 @@ RUN = uuid.uuid4().hex[:12]  # checkpoints live in the shared folder: one job na
 
 
 def run(spark, enriched, store, job):
-    queries = pipeline.start_pipeline(spark, enriched, store, available_now=True,
+    queries = detector.start_detection(spark, enriched, store, available_now=True,
                                       detected_at="watermark", log=None, job=f"test-{RUN}-{job}")
     for q in queries:
         q.awaitTermination(300)
@@ -55,11 +55,11 @@ def test_stream_equals_batch(spark, tmp_dir):
     src = os.path.join(tmp_dir, "in")
     now = time.time()
     write_lines(src, "a.json", values, now - 10)
-    write_lines(src, "z.json", [pipeline.end_of_stream_message(FAR_FUTURE)], now)
+    write_lines(src, "z.json", [detector.end_of_stream_message(FAR_FUTURE)], now)
     cams = fixture_cameras(spark, SF_SMALL)
 
     store = os.path.join(tmp_dir, "store")
-    stream = pipeline.enriched_stream(spark, cams, source="files", path=src)
+    stream = detector.enriched_stream(spark, cams, source="files", path=src)
     run(spark, stream, store, job="parity")
 
     # The batch side decodes the same messages (times at millisecond precision).
@@ -100,10 +100,10 @@ def test_late_rows_dropped_by_windows_kept_by_red_light(spark, tmp_dir):
     write_lines(src, "3.json", [message("d", 10, "CAM-SPD", "LATE", 100),
                                 message("e", 11, "CAM-SPD", "LATE", 100),
                                 message("f", 12, "CAM-INT", "LATE", 40, "RED", True)], now - 20)
-    write_lines(src, "4.json", [pipeline.end_of_stream_message(FAR_FUTURE)], now - 10)
+    write_lines(src, "4.json", [detector.end_of_stream_message(FAR_FUTURE)], now - 10)
 
     store = os.path.join(tmp_dir, "store")
-    stream = pipeline.enriched_stream(spark, cameras(spark), source="files", path=src,
+    stream = detector.enriched_stream(spark, cameras(spark), source="files", path=src,
                                       max_files_per_trigger=1)
     queries = run(spark, stream, store, job="late")
     red = spark.read.parquet(os.path.join(store, "red_light_violations", "batch_id=*"))
@@ -121,7 +121,7 @@ def test_restart_resumes_and_replayed_batch_replaces_itself(spark, tmp_dir):
     first = [message(f"s{i}", i, "CAM-INT", f"R{i}", 40, "RED", True) for i in range(5)]
     write_lines(src, "1.json", first, now - 30)
     store = os.path.join(tmp_dir, "store")
-    stream = lambda: pipeline.enriched_stream(spark, cameras(spark), source="files", path=src)
+    stream = lambda: detector.enriched_stream(spark, cameras(spark), source="files", path=src)
     run(spark, stream(), store, job="restart")
     write_lines(src, "2.json", [message("s9", 9, "CAM-INT", "R9", 40, "RED", True)], now - 20)
     run(spark, stream(), store, job="restart")  # resumes: only the new file is read
@@ -151,10 +151,10 @@ def test_many_micro_batches_give_the_batch_store(spark, tmp_dir):
     size = len(values) // 5 + 1
     for i in range(5):
         write_lines(src, f"{i}.json", values[i * size:(i + 1) * size], now - 60 + i)
-    write_lines(src, "9.json", [pipeline.end_of_stream_message(FAR_FUTURE)], now)
+    write_lines(src, "9.json", [detector.end_of_stream_message(FAR_FUTURE)], now)
     cams = fixture_cameras(spark, SF_SMALL)
     store = os.path.join(tmp_dir, "store")
-    stream = pipeline.enriched_stream(spark, cams, source="files", path=src, max_files_per_trigger=1)
+    stream = detector.enriched_stream(spark, cams, source="files", path=src, max_files_per_trigger=1)
     queries = run(spark, stream, store, job="many")
     assert all(len(q.recentProgress) >= 6 for q in queries)
 
@@ -181,41 +181,41 @@ def test_processing_time_trigger_debug_and_run_until_any_ends(spark, tmp_dir, ca
     src = os.path.join(tmp_dir, "in")
     write_lines(src, "1.json", [message("r1", 1, "CAM-INT", "R1", 40, "RED", True)], time.time() - 5)
     fast = replace(DEFAULT, trigger_interval="1 second")
-    stream = pipeline.enriched_stream(spark, cameras(spark), fast, source="files", path=src)
+    stream = detector.enriched_stream(spark, cameras(spark), fast, source="files", path=src)
     checkpoints = os.path.join(tmp_dir, "ckpt")
     store = os.path.join(tmp_dir, "store")
-    red = pipeline.start_query(pipeline.detections(stream, fast)["red_light_violations"],
+    red = detector.start_query(detector.detections(stream, fast)["red_light_violations"],
                                f"red-{RUN}", store, checkpoints, fast, debug=True)
     try:
         red.processAllAvailable()
         assert spark.read.parquet(os.path.join(store, f"red-{RUN}", "batch_id=*")).count() == 1
         assert "BEATING_RED_LIGHT" in capsys.readouterr().out  # the debug preview
-        assert pipeline.run_until_any_ends(spark, timeout=1) is False  # still running
+        assert detector.run_until_any_ends(spark, timeout=1) is False  # still running
     finally:
         red.stop()
-    assert pipeline.run_until_any_ends(spark, timeout=5) is True
+    assert detector.run_until_any_ends(spark, timeout=5) is True
     spark.streams.resetTerminated()
 
 
-def test_staged_pipeline_parses_once_and_equals_batch(spark, tmp_dir):
+def test_staged_stream_parses_once_and_equals_batch(spark, tmp_dir):
     """Ingest decodes once into a Parquet table; the detections stream from it."""
     readings = fixture_readings(spark, SF_SMALL)
     values = [r.value for r in telemetry_messages(readings).collect()]
     src = os.path.join(tmp_dir, "in")
     now = time.time()
     write_lines(src, "a.json", values, now - 10)
-    write_lines(src, "z.json", [pipeline.end_of_stream_message(FAR_FUTURE)], now)
+    write_lines(src, "z.json", [detector.end_of_stream_message(FAR_FUTURE)], now)
     cams = fixture_cameras(spark, SF_SMALL)
     table = os.path.join(tmp_dir, "readings")
     job = f"test-{RUN}-staged"
-    raw = pipeline.read_message_stream(spark, "files", path=src)
-    ingest = pipeline.start_ingest(spark, raw, table, available_now=True, job=job)
+    raw = detector.read_message_stream(spark, "files", path=src)
+    ingest = detector.start_ingest(spark, raw, table, available_now=True, job=job)
     ingest.awaitTermination(300)
     assert ingest.exception() is None
     assert any(d.startswith("event_date=") for d in os.listdir(table))
 
     store = os.path.join(tmp_dir, "store")
-    stream = pipeline.staged_stream(spark, table, cams)
+    stream = detector.staged_stream(spark, table, cams)
     run(spark, stream, store, job="staged-detect")
     batch = enrich(telemetry(spark.createDataFrame([(v,) for v in values], "value string"),
                              watermark=False), cams)
@@ -233,7 +233,7 @@ def test_stream_dedupe_drops_a_replayed_event(spark, tmp_dir):
     write_lines(src, "1.json", [dup], now - 30)
     write_lines(src, "2.json", [dup, message("other", 6, "CAM-INT", "D2", 40, "RED", True)], now - 20)
     store = os.path.join(tmp_dir, "store")
-    stream = pipeline.enriched_stream(spark, cameras(spark), source="files", path=src,
+    stream = detector.enriched_stream(spark, cameras(spark), source="files", path=src,
                                       max_files_per_trigger=1, dedupe=True)
     run(spark, stream, store, job="dedupe")
     red = spark.read.parquet(os.path.join(store, "red_light_violations", "batch_id=*"))

@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "detect":
         from trafficwatch.config import Settings
         from trafficwatch.sources.registry import load_cameras
-        from trafficwatch.streaming import pipeline
+        from trafficwatch.streaming import detector
 
         settings = Settings.from_env().with_values(dict(kv.split("=", 1) for kv in args.set))
 
@@ -83,21 +83,21 @@ def main(argv: list[str] | None = None) -> None:
         else:
             source = dict(source="files", path=args.input)
         if args.stage:
-            raw = pipeline.read_message_stream(spark, **source)
-            ingest = pipeline.start_ingest(spark, raw, args.stage, settings,
+            raw = detector.read_message_stream(spark, **source)
+            ingest = detector.start_ingest(spark, raw, args.stage, settings,
                                            available_now=args.available_now, job=args.job)
             if args.available_now:
                 ingest.awaitTermination()
-            enriched = pipeline.staged_stream(spark, args.stage, cameras, settings)
+            enriched = detector.staged_stream(spark, args.stage, cameras, settings)
         else:
-            enriched = pipeline.enriched_stream(spark, cameras, settings, **source)
-        pipeline.start_pipeline(spark, enriched, args.store, settings,
+            enriched = detector.enriched_stream(spark, cameras, settings, **source)
+        detector.start_detection(spark, enriched, args.store, settings,
                                 available_now=args.available_now, debug=args.debug, job=args.job)
         if args.available_now:
             for q in spark.streams.active:
                 q.awaitTermination()
         else:
-            pipeline.run_until_any_ends(spark)
+            detector.run_until_any_ends(spark)
         return
 
     if args.command == "publish":

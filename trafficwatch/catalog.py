@@ -208,9 +208,9 @@ def q_offset_rate(spark, sf_dir):
     return present(rates, means=("events_per_sec",))
 
 
-def q_pipeline_counters(spark, sf_dir):
+def q_health_counters(spark, sf_dir):
     snapshots = report.topic_offsets(valid_readings(fixture_readings(spark, sf_dir)))
-    counters = report.pipeline_counters(snapshots, day_records(spark, sf_dir), DAY, NOW)
+    counters = report.health_counters(snapshots, day_records(spark, sf_dir), DAY, NOW)
     return counters.withColumn("value", round_mean("value"))
 
 
@@ -375,7 +375,7 @@ QUERIES: dict[str, Query] = {
     "day_summary": q_day_summary,
     "latest_detection_age": q_latest_detection_age,
     "offset_rate": q_offset_rate,
-    "pipeline_counters": q_pipeline_counters,
+    "health_counters": q_health_counters,
     "camera_listing": q_camera_listing,
     "normalize_csv_rows": q_normalize_csv_rows,
     "dedupe_events": q_dedupe_events,

@@ -605,7 +605,7 @@ SELECT violation_type, tp, fp, fn,
        {mean('CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END')} AS recall
 FROM counts"""
 
-SQL["pipeline_counters"] = with_day(f""",
+SQL["health_counters"] = with_day(f""",
 valid AS (SELECT * FROM readings WHERE speed_kph >= 0 AND NOT isnan(speed_kph)),
 msgs AS (
   SELECT CAST(('0x' || substr(md5(plate_number), 1, 8)) AS BIGINT) % 3 AS topic_partition,

@@ -1,4 +1,4 @@
-"""Reports over a day's violations and the pipeline counters.
+"""Reports over a day's violations and the health counters.
 
 Each report is a grouped aggregate followed by a one-row aggregate over the
 groups, never a join of partial results: the per-key step is partial
@@ -158,7 +158,7 @@ def tasks_completed(executors: DataFrame) -> DataFrame:
     return executors.agg(F.coalesce(F.sum("completed_tasks"), F.lit(0)).alias("tasks_completed"))
 
 
-def pipeline_counters(snapshots: DataFrame, records: DataFrame, day: dt.date | str,
+def health_counters(snapshots: DataFrame, records: DataFrame, day: dt.date | str,
                       now: dt.datetime, executors: DataFrame | None = None) -> DataFrame:
     """Health counters as ``(metric, value)`` rows: topic total and ingest rate at
     the latest poll, age of the newest detection, violations of the day and

@@ -92,7 +92,7 @@ SERVING_COLUMNS = (
     "ticket_status", "detected_at",
 )
 
-# Snapshots for the pipeline counters.
+# Snapshots for the health counters.
 OFFSET_SNAPSHOT = StructType([
     StructField("poll_time", TimestampType()),
     StructField("topic_partition", IntegerType()),

@@ -117,7 +117,7 @@ def start_query(df: DataFrame, name: str, store_root: str, checkpoints: str,
     return writer.start()
 
 
-def start_pipeline(spark: SparkSession, enriched: DataFrame, store_root: str,
+def start_detection(spark: SparkSession, enriched: DataFrame, store_root: str,
                    settings: Settings = DEFAULT, available_now: bool = False,
                    detected_at: str = "clock", debug: bool = False,
                    log: Callable[[str], None] | None = print,
