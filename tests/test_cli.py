@@ -34,6 +34,7 @@ def test_publish_detect_and_look_up(tmp_path):
     assert sum(len(open(os.path.join(msgs, f)).read().splitlines()) for f in parts) == 4
     logged = cli("detect", "--registry", str(tmp_path / "cams.csv"), "--input", msgs,
                  "--store", store, "--stage", str(tmp_path / "readings"), "--available-now",
+                 "--dedupe", "--normalize-plates",
                  "--job", f"cli-test-{uuid.uuid4().hex[:12]}")
     assert "[red_light_violations] batch" in logged
     by_type = cli("type", "beating_red_light", "--date", "2026-09-01", "--store", store)

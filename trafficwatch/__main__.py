@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--debug", action="store_true", help="show every written micro-batch")
     p.add_argument("--stage", help="decode once into this Parquet readings table and detect from it")
+    p.add_argument("--normalize-plates", action="store_true", help="upper-case and collapse plate whitespace")
+    p.add_argument("--dedupe", action="store_true", help="drop repeated event ids within the watermark")
     p.add_argument("--set", action="append", default=[], metavar="KEY=VALUE",
                    help="override a setting (after environment variables), e.g. speed_tolerance_kph=5")
     p.add_argument("--job", default="detector",
@@ -85,12 +87,16 @@ def main(argv: list[str] | None = None) -> None:
         if args.stage:
             raw = detector.read_message_stream(spark, **source)
             ingest = detector.start_ingest(spark, raw, args.stage, settings,
-                                           available_now=args.available_now, job=args.job)
+                                           available_now=args.available_now, job=args.job,
+                                           normalize_plates=args.normalize_plates,
+                                           dedupe=args.dedupe)
             if args.available_now:
                 ingest.awaitTermination()
             enriched = detector.staged_stream(spark, args.stage, cameras, settings)
         else:
-            enriched = detector.enriched_stream(spark, cameras, settings, **source)
+            enriched = detector.enriched_stream(spark, cameras, settings,
+                                                normalize_plates=args.normalize_plates,
+                                                dedupe=args.dedupe, **source)
         detector.start_detection(spark, enriched, args.store, settings,
                                  available_now=args.available_now, debug=args.debug, job=args.job)
         if args.available_now:
