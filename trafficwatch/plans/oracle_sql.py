@@ -205,20 +205,29 @@ SELECT plate_number, camera_id, location_name, road_name, speed_limit_kph, vehic
        {mean('latitude')} AS latitude, {mean('longitude')} AS longitude, stationary_seconds
 FROM sessions""")
 
-SQL["camera_speed_stats"] = BASE + f""",
+STATS = f"""
 cw AS (
   SELECT e.*, (us - us % 30000000) - k * 30000000 AS ws
   FROM enriched e CROSS JOIN range(2) t(k)
-)
-SELECT camera_id, CAST({ts('ws')} AS DATE) AS stat_date,
-       {ts('ws')} AS window_start, {ts('ws + 60000000')} AS window_end,
-       {mean('avg(speed_kph)')} AS avg_speed_kph, max(speed_kph) AS max_speed_kph,
-       CAST(count(*) AS INTEGER) AS reading_count,
-       CAST(count(DISTINCT plate_number) AS INTEGER) AS vehicle_count,
-       {mean('avg(CASE WHEN speed_kph > speed_limit_kph THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)')}
-         AS pct_over_limit,
-       speed_limit_kph
-FROM cw GROUP BY camera_id, ws, speed_limit_kph"""
+),
+stats AS (
+  SELECT camera_id, CAST({ts('ws')} AS DATE) AS stat_date,
+         {ts('ws')} AS window_start, {ts('ws + 60000000')} AS window_end,
+         avg(speed_kph) AS avg_speed_kph, max(speed_kph) AS max_speed_kph,
+         CAST(count(*) AS INTEGER) AS reading_count,
+         CAST(count(DISTINCT plate_number) AS INTEGER) AS vehicle_count,
+         avg(CASE WHEN speed_kph > speed_limit_kph THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)
+           AS pct_over_limit,
+         speed_limit_kph
+  FROM cw GROUP BY camera_id, ws, speed_limit_kph
+)"""
+
+STATS_COLS = f"""camera_id, stat_date, window_start, window_end,
+       {mean('avg_speed_kph')} AS avg_speed_kph, max_speed_kph, reading_count, vehicle_count,
+       {mean('pct_over_limit')} AS pct_over_limit, speed_limit_kph"""
+
+SQL["camera_speed_stats"] = BASE + "," + STATS + f"""
+SELECT {STATS_COLS} FROM stats"""
 
 SQL["violations_upserted"] = with_detections(
     f"SELECT {VIOLATION_COLS} FROM violations")
@@ -276,26 +285,8 @@ SELECT {VIOLATION_COLS} FROM violations
 WHERE violation_type = upper(trim('{TYPE_INPUT}')) AND violation_date = {DAY}
 {STORED_ORDER} LIMIT 50""")
 
-SQL["stats_by_camera"] = BASE + f""",
-cw AS (
-  SELECT e.*, (us - us % 30000000) - k * 30000000 AS ws
-  FROM enriched e CROSS JOIN range(2) t(k)
-),
-stats AS (
-  SELECT camera_id, CAST({ts('ws')} AS DATE) AS stat_date,
-         {ts('ws')} AS window_start, {ts('ws + 60000000')} AS window_end,
-         avg(speed_kph) AS avg_speed_kph, max(speed_kph) AS max_speed_kph,
-         CAST(count(*) AS INTEGER) AS reading_count,
-         CAST(count(DISTINCT plate_number) AS INTEGER) AS vehicle_count,
-         avg(CASE WHEN speed_kph > speed_limit_kph THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END)
-           AS pct_over_limit,
-         speed_limit_kph
-  FROM cw GROUP BY camera_id, ws, speed_limit_kph
-)
-SELECT camera_id, stat_date, window_start, window_end, {mean('avg_speed_kph')} AS avg_speed_kph,
-       max_speed_kph, reading_count, vehicle_count, {mean('pct_over_limit')} AS pct_over_limit,
-       speed_limit_kph
-FROM stats
+SQL["stats_by_camera"] = BASE + "," + STATS + f"""
+SELECT {STATS_COLS} FROM stats
 WHERE camera_id = upper(trim('{CAMERA_INPUT}')) AND stat_date = {DAY}
 ORDER BY window_start DESC LIMIT 50"""
 
@@ -372,12 +363,12 @@ _RATE = """CASE WHEN lag(poll) OVER w IS NULL OR poll <= lag(poll) OVER w THEN C
   ELSE greatest(CAST(0 AS DOUBLE),
        (total - lag(total) OVER w) / ((poll - lag(poll) OVER w) / CAST(1000000 AS DOUBLE))) END"""
 
-SQL["offset_rate"] = BASE + f""",
-valid AS (SELECT * FROM readings WHERE speed_kph >= 0 AND NOT isnan(speed_kph)),
+OFFSETS = f"""
+valid_msgs AS (SELECT * FROM readings WHERE speed_kph >= 0 AND NOT isnan(speed_kph)),
 msgs AS (
   SELECT CAST(('0x' || substr(md5(plate_number), 1, 8)) AS BIGINT) % 3 AS topic_partition,
          us - us % 300000000 + 300000000 AS poll
-  FROM valid
+  FROM valid_msgs
 ),
 counts AS (SELECT topic_partition, poll, count(*) AS n FROM msgs GROUP BY topic_partition, poll),
 grid AS (SELECT DISTINCT c.poll, p.topic_partition
@@ -388,9 +379,11 @@ snap AS (
                                    ROWS UNBOUNDED PRECEDING) AS end_offset
   FROM grid g LEFT JOIN counts c ON c.poll = g.poll AND c.topic_partition = g.topic_partition
 ),
-totals AS (SELECT poll, CAST(sum(end_offset) AS BIGINT) AS total FROM snap GROUP BY poll)
-SELECT {ts('poll')} AS poll_time, total, {mean(_RATE)} AS events_per_sec
-FROM totals WINDOW w AS (ORDER BY poll)"""
+totals AS (SELECT poll, CAST(sum(end_offset) AS BIGINT) AS total FROM snap GROUP BY poll),
+rates AS (SELECT poll, total, {_RATE} AS events_per_sec FROM totals WINDOW w AS (ORDER BY poll))"""
+
+SQL["offset_rate"] = BASE + "," + OFFSETS + f"""
+SELECT {ts('poll')} AS poll_time, total, {mean('events_per_sec')} AS events_per_sec FROM rates"""
 
 SQL["camera_listing"] = BASE + """
 SELECT camera_id AS id, location_name AS location, road_name AS road, camera_type AS type,
@@ -605,24 +598,7 @@ SELECT violation_type, tp, fp, fn,
        {mean('CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END')} AS recall
 FROM counts"""
 
-SQL["health_counters"] = with_day(f""",
-valid AS (SELECT * FROM readings WHERE speed_kph >= 0 AND NOT isnan(speed_kph)),
-msgs AS (
-  SELECT CAST(('0x' || substr(md5(plate_number), 1, 8)) AS BIGINT) % 3 AS topic_partition,
-         us - us % 300000000 + 300000000 AS poll
-  FROM valid
-),
-counts AS (SELECT topic_partition, poll, count(*) AS n FROM msgs GROUP BY topic_partition, poll),
-grid AS (SELECT DISTINCT c.poll, p.topic_partition
-         FROM counts c CROSS JOIN range(3) p(topic_partition)),
-snap AS (
-  SELECT g.poll, g.topic_partition,
-         sum(coalesce(n, 0)) OVER (PARTITION BY g.topic_partition ORDER BY g.poll
-                                   ROWS UNBOUNDED PRECEDING) AS end_offset
-  FROM grid g LEFT JOIN counts c ON c.poll = g.poll AND c.topic_partition = g.topic_partition
-),
-totals AS (SELECT poll, CAST(sum(end_offset) AS BIGINT) AS total FROM snap GROUP BY poll),
-rates AS (SELECT poll, total, {_RATE} AS events_per_sec FROM totals WINDOW w AS (ORDER BY poll)),
+SQL["health_counters"] = with_day("," + OFFSETS + f""",
 last_poll AS (SELECT * FROM rates ORDER BY poll DESC LIMIT 1)
 SELECT 'topic_total' AS metric, {mean('CAST(total AS DOUBLE)')} AS value FROM last_poll
 UNION ALL SELECT 'events_per_sec', {mean('events_per_sec')} FROM last_poll
