@@ -110,6 +110,11 @@ def test_lookups(records):
     assert [r.violation_id for r in lookup.violations_by_camera(records, " cam-edsa-gua", DAY).collect()] == ["c", "a"]
     assert lookup.violations_by_type(records, "speeding", DAY, limit=1).first().violation_id == "c"
     assert lookup.violations_by_type(records, "SPEEDING", "2026-09-23").count() == 0
+    with pytest.raises(ValueError):
+        lookup.violations_by_plate(records, "ABC 1234", limit=1001)
+    assert lookup.violations_by_plate(records, "ABC 1234", limit=5000, strict_key=True).count() == 2
+    with pytest.raises(ValueError):
+        lookup.violations_by_camera(records, "CAM-EDSA-GUA", DAY, limit=0)
 
 
 def test_counters(spark, records):

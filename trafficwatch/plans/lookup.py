@@ -21,6 +21,13 @@ def stored_order() -> tuple[Column, Column]:
     """Clustering order of the violation tables: newest first, then id."""
     return F.col("violation_time").desc(), F.col("violation_id").asc()
 
+def _check_limit(limit: int, maximum: int | None = None) -> int:
+    if limit < 1 or (maximum is not None and limit > maximum):
+        bound = f"1..{maximum}" if maximum else "at least 1"
+        raise ValueError(f"limit must be {bound}, not {limit}")
+    return limit
+
+
 def _day(day: dt.date | str) -> Column:
     return F.lit(day if isinstance(day, dt.date) else dt.date.fromisoformat(day))
 
@@ -51,8 +58,10 @@ def api_record(violations: DataFrame, settings: Settings = DEFAULT) -> DataFrame
 def violations_by_plate(violations: DataFrame, plate: str, limit: int = DEFAULT.plate_limit,
                         strict_key: bool = False) -> DataFrame:
     """All violations of one vehicle, any day, newest first. The plate is
-    normalised like the HTTP API (case, whitespace runs), or only stripped and
-    upper-cased like the command line (``strict_key``)."""
+    normalised like the HTTP API (case, whitespace runs, limit 1..1000), or only
+    stripped and upper-cased like the command line (``strict_key``, any positive
+    limit)."""
+    _check_limit(limit, None if strict_key else 1000)
     key = lookup_key(F.lit(plate)) if strict_key else normalize_plate(F.lit(plate))
     return (violations.filter(F.col("plate_number") == key)
             .orderBy(*stored_order()).limit(limit))
@@ -60,6 +69,7 @@ def violations_by_plate(violations: DataFrame, plate: str, limit: int = DEFAULT.
 def violations_by_camera(violations: DataFrame, camera_id: str, day: dt.date | str,
                          limit: int = DEFAULT.cli_limit) -> DataFrame:
     """Violations at one camera on one local day, newest first."""
+    _check_limit(limit)
     return (violations.filter((F.col("violation_date") == _day(day))
                               & (F.col("camera_id") == lookup_key(F.lit(camera_id))))
             .orderBy(*stored_order()).limit(limit))
@@ -67,6 +77,7 @@ def violations_by_camera(violations: DataFrame, camera_id: str, day: dt.date | s
 def violations_by_type(violations: DataFrame, violation_type: str, day: dt.date | str,
                        limit: int = DEFAULT.cli_limit) -> DataFrame:
     """Violations of one type on one local day, newest first."""
+    _check_limit(limit)
     return (violations.filter((F.col("violation_date") == _day(day))
                               & (F.col("violation_type") == lookup_key(F.lit(violation_type))))
             .orderBy(*stored_order()).limit(limit))
@@ -74,6 +85,7 @@ def violations_by_type(violations: DataFrame, violation_type: str, day: dt.date
 def stats_by_camera(stats: DataFrame, camera_id: str, day: dt.date | str,
                     limit: int = DEFAULT.cli_limit) -> DataFrame:
     """Sliding-window statistics of one camera on one local day, newest window first."""
+    _check_limit(limit)
     return (stats.filter((F.col("stat_date") == _day(day))
                          & (F.col("camera_id") == lookup_key(F.lit(camera_id))))
             .orderBy(F.col("window_start").desc()).limit(limit))
@@ -88,8 +100,7 @@ def day_violations(violations: DataFrame, day: dt.date | str,
 def newest_first(records: DataFrame, limit: int = DEFAULT.violations_limit) -> DataFrame:
     """API records newest first (ISO text descending, missing times last), ties
     by id; ``limit`` is 1..2000."""
-    if not 1 <= limit <= 2000:
-        raise ValueError("limit must be within 1..2000")
+    _check_limit(limit, 2000)
     return records.orderBy(F.col("time").desc_nulls_last(), F.col("id").asc()).limit(limit)
 
 def violations_of_day(violations: DataFrame, day: dt.date | str,
