@@ -98,6 +98,22 @@ class Settings:
     # above it the enrichment join falls back to a shuffled join.
     registry_broadcast_max_rows: int = 200_000
 
+    def __post_init__(self) -> None:
+        for name in ("watermark_delay", "trigger_interval", "speed_window_duration",
+                     "speed_window_slide", "stats_window_duration", "stats_window_slide"):
+            if duration_seconds(getattr(self, name)) <= 0:
+                raise ValueError(f"{name} must be a positive duration")
+        for window, slide in (("speed_window_duration", "speed_window_slide"),
+                              ("stats_window_duration", "stats_window_slide")):
+            if duration_seconds(getattr(self, slide)) > duration_seconds(getattr(self, window)):
+                raise ValueError(f"{slide} must not exceed {window}")
+        if self.parking_session_gap_seconds <= 0 or self.parking_grace_seconds < 0:
+            raise ValueError("parking gap must be positive and grace not negative")
+        if self.min_speed_readings < 1 or self.speed_tolerance_kph < 0:
+            raise ValueError("min_speed_readings must be >= 1 and speed_tolerance_kph >= 0")
+        if self.registry_broadcast_max_rows < 1:
+            raise ValueError("registry_broadcast_max_rows must be >= 1")
+
     @classmethod
     def from_env(cls, environ=None) -> Settings:
         """Settings from environment variables named like the fields in upper
@@ -143,8 +159,11 @@ _UNITS = {
 
 def duration_seconds(text: str) -> int:
     """Seconds of a simple duration string such as ``"1 minute"`` or ``"20 seconds"``."""
-    amount, unit = text.split()
-    return int(amount) * _UNITS[unit.lower()]
+    try:
+        amount, unit = text.split()
+        return int(amount) * _UNITS[unit.lower()]
+    except (ValueError, KeyError):
+        raise ValueError(f"not a duration like '30 seconds': {text!r}") from None
 
 
 DEFAULT = Settings()
