@@ -68,3 +68,17 @@ def test_runs_without_a_configured_checkpoint_folder(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, env=env,
                          capture_output=True, text=True, timeout=600)
     assert out.returncode == 0 and "ok" in out.stdout, out.stderr[-2000:]
+
+
+def test_bench_prints_one_json_line():
+    import json
+
+    env = {**os.environ, "BENCH_SF_DIR": "/root/testdata/sf0.001", "BENCH_REPEAT": "1"}
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], cwd="/tmp", env=env,
+                         capture_output=True, text=True, timeout=900)
+    assert out.returncode == 0, out.stderr[-2000:]
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1
+    result = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(result)
+    assert result["unit"] == "sec" and result["sf"] == 0.001 and "stream_job" in result["queries"]
