@@ -1,7 +1,8 @@
 """Side-by-side check of the registered Spark queries against their DuckDB SQL.
 
-Compares row count, column names and an order-insensitive multiset of rows
-(columns sorted by name), the way the driver's correctness gate does.
+Compares row count, column names and types, and an order-insensitive multiset
+of rows (columns sorted by name, values compared exactly), the way the driver's
+correctness gate does.
 
     python tests/oracle_check.py [sf_dir] [query ...]
 """
