@@ -3,23 +3,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from trafficwatch.llm.base import table
+from trafficwatch.llm.bpe_replay import round_trip_digests
 from trafficwatch.llm.exact_dedup import dedup_report
+from trafficwatch.llm.packing import pack_documents
 from trafficwatch.llm.simhash import near_duplicates
 
 
+def op1_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(table(spark, sf_dir, "documents"),
+                              public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe_replay": op1_bpe_replay,
     "op3_simhash": op3_simhash,
+    "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
