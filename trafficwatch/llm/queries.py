@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from trafficwatch.llm.base import table
 from trafficwatch.llm.bpe_replay import round_trip_digests
 from trafficwatch.llm.exact_dedup import dedup_report
+from trafficwatch.llm.line_dedup import line_report
 from trafficwatch.llm.packing import pack_documents
+from trafficwatch.llm.repair import round_trip
 from trafficwatch.llm.simhash import near_duplicates
+from trafficwatch.llm.winnow import edit_report
 
 
 def op1_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,11 +33,26 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_report(table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_replay": op1_bpe_replay,
     "op3_simhash": op3_simhash,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_repair": op8_repair,
+    "op9_winnowing": op9_winnowing,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 #: DuckDB statements of the queries that SQL can express on the whole tables.
@@ -47,4 +65,19 @@ SQL: dict[str, str] = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents
     """,
+    "op10_line_dedup": """
+        WITH lines AS (
+            SELECT doc_id, line, place,
+                   translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+        ), frequent AS (
+            SELECT key FROM lines WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+        )
+        SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+        FROM lines LEFT JOIN frequent f USING (key)
+        GROUP BY doc_id
+    """,
 }
