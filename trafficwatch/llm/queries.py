@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trafficwatch.llm.base import table
 from trafficwatch.llm.bpe_replay import round_trip_digests
 from trafficwatch.llm.exact_dedup import dedup_report
+from trafficwatch.llm.langid import identify
 from trafficwatch.llm.line_dedup import line_report
 from trafficwatch.llm.packing import pack_documents
 from trafficwatch.llm.repair import round_trip
@@ -21,6 +22,10 @@ def op1_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
                               public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_replay": op1_bpe_replay,
+    "op2_langid": op2_langid,
     "op3_simhash": op3_simhash,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
