@@ -14,6 +14,7 @@ from trafficwatch.llm.line_dedup import line_report
 from trafficwatch.llm.packing import pack_documents
 from trafficwatch.llm.repair import round_trip
 from trafficwatch.llm.simhash import near_duplicates
+from trafficwatch.llm.toxicity import score_documents
 from trafficwatch.llm.winnow import edit_report
 
 
@@ -30,6 +31,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_replay": op1_bpe_replay,
     "op2_langid": op2_langid,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_repair": op8_repair,
