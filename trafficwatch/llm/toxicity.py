@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples.
 
-A text's features are the 5-letter grams of its words that go with the label (chi-squared
-over the labelled sample), weighted by TF-IDF and scaled to length 1. Its nearest
+A text's features are the 5-letter grams that go with the toxic label (lift and
+chi-squared over the labelled sample), weighted by TF-IDF, and one constant feature for
+the rest of the text; vectors are scaled to length 1. Its nearest
 examples are found exactly, by cosine, in a block-max inverted index; their votes, weighted
 by distance, are calibrated to a probability, and the neighbours are the evidence.
 
@@ -33,11 +34,16 @@ GRAM = 5
 BUCKETS = 1 << 22
 PER_CLASS = 4000
 FEATURES = 8192
-#: Chi-squared above which a feature goes with the label (one in a million by chance).
+#: A feature goes with the label if it is so many times as frequent among toxic examples,
+LIFT = 4
+#: and its chi-squared at least this (one in a million by chance).
 CHI_SQUARED = 24.0
 NEIGHBOURS = 15
 BLOCK = 64
 THRESHOLD = 0.3
+#: Weight of the one feature that stands for all the rest of a text: with it the cosine
+#: also tells one toxic word from many.
+REST = 8.0
 #: Keeps the weight of an identical example finite.
 NEAREST = 0.05
 
@@ -122,9 +128,12 @@ class Model:
         known = at < len(self.features)
         known[known] = self.features[at[known]] == found[known]
         at = at[known]
-        weight = (1 + np.log(counts[known])) * self.idf[at]
+        if not len(at):
+            return at, np.zeros(0)
+        weight = np.append((1 + np.log(counts[known])) * self.idf[at], REST)
+        at = np.append(at, len(self.features))
         norm = np.sqrt(weight @ weight)
-        return at, weight / norm if norm else weight
+        return at, weight / norm
 
     def vote(self, at: np.ndarray, x: np.ndarray) -> tuple[float | None, np.ndarray, np.ndarray]:
         """(distance-weighted share of toxic neighbours, neighbours, cosines)."""
@@ -162,7 +171,7 @@ def fit(model: Model, rows: list[tuple[int, int, int, np.ndarray, np.ndarray]],
     # Like examples share a block: by label, then by their weightiest features.
     kept = sorted((r for r in rows if r[0] % 4 != 3 and len(r[3])),
                   key=lambda r: (r[2], *r[3][np.argsort(-r[4], kind="stable")[:2]].tolist(), r[0], r[1]))
-    model.index = BlockMaxIndex([(r[3], r[4]) for r in kept], len(model.features))
+    model.index = BlockMaxIndex([(r[3], r[4]) for r in kept], len(model.features) + 1)
     model.ids = np.array([r[1] for r in kept], np.int64)
     model.toxic = np.array([r[2] for r in kept], float)
     votes = [(model.vote(r[3], r[4])[0], r[2]) for r in held or rows]
@@ -232,7 +241,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, featur
     excess = total * F.col("a") - F.col("n") * ones
     tally = tally.withColumn("chi", total * excess * excess
                              / (F.col("n").cast("double") * (total - F.col("n")) * ones * (total - ones)))
-    best = tally.where(F.col("chi") >= CHI_SQUARED).orderBy(F.desc("chi"), "feature").limit(features)
+    lifted = F.col("a") * (total - ones) >= LIFT * (F.col("n") - F.col("a")) * ones
+    best = tally.where((F.col("chi") >= CHI_SQUARED) & lifted).orderBy(F.desc("chi"), "feature").limit(features)
     selected = np.sort(np.array([r["feature"] for r in best.select("feature").collect()], np.int64))
     if not len(selected):
         return empty
