@@ -15,6 +15,7 @@ from trafficwatch.llm.packing import pack_documents
 from trafficwatch.llm.repair import round_trip
 from trafficwatch.llm.simhash import near_duplicates
 from trafficwatch.llm.toxicity import score_documents
+from trafficwatch.llm.warc import derivative_report
 from trafficwatch.llm.winnow import edit_report
 
 
@@ -35,6 +36,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derivative_report(table(spark, sf_dir, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_langid": op2_langid,
     "op3_simhash": op3_simhash,
     "op4_toxicity": op4_toxicity,
+    "op5_warc": op5_warc,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_repair": op8_repair,
