@@ -6,13 +6,15 @@ is asked for each distinct word once and its ids are gathered into documents.
 from __future__ import annotations
 
 import functools
+from array import array
 
+import numpy as np
 import pyarrow as pa
 
 from trafficwatch.llm.pretokens import Ragged, Words, document_ids, split_words
 
 #: Words whose ids a task remembers between chunks.
-REMEMBERED = 200_000
+REMEMBERED = 1_000_000  # about 200 bytes each
 
 
 class WordEncoder:
@@ -24,7 +26,7 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # text stays text
-        self._known: dict[bytes, list[int]] = {}
+        self._known: dict[bytes, bytes] = {}  # ids as unsigned 32-bit integers
 
     def words(self, vocabulary: pa.Array) -> Ragged:
         words = vocabulary.to_pylist()
@@ -33,8 +35,11 @@ class WordEncoder:
             self._known = {}
             new = words
         ids = self._tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self._known.update(zip(new, (e.ids for e in ids), strict=True))
-        return Ragged.of([self._known[w] for w in words])
+        self._known.update(zip(new, (array("I", e.ids).tobytes() for e in ids), strict=True))
+        rows = [self._known[w] for w in words]
+        start = np.zeros(len(rows) + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) // 4, out=start[1:])
+        return Ragged(np.frombuffer(b"".join(rows), np.uint32).astype(np.int64), start)
 
     def documents(self, texts: pa.Array) -> Ragged:
         words: Words = split_words(texts)
