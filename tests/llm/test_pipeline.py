@@ -1,0 +1,45 @@
+"""The pipeline against its stages' results, decided again by brute force."""
+import corpus_pipeline
+import __spark_entry__ as entry
+from conftest import SF_SMALL
+from trafficwatch.llm import langid, queries, simhash, toxicity
+from trafficwatch.llm.base import table
+from trafficwatch.llm.simhash import fingerprint
+
+
+def test_registered_queries():
+    names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert set(queries.SQL) <= set(queries.QUERIES) and "pipeline" in entry.queries()
+    assert [f for _, f in corpus_pipeline.STAGES] and 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_pipeline_keeps_what_the_stages_decide(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    labels = table(spark, SF_SMALL, "labels")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    named = {r.doc_id for r in langid.identify(docs).collect() if r.lang_pred != "und" and r.score >= langid.MIN_SCORE}
+    kept = docs.where(docs.doc_id.isin(list(named)))
+    civil = {r.doc_id for r in toxicity.score_documents(kept, labels).collect() if not r.predicted}
+    unique = {max(d for d in civil if text[d] == text[x]) for x in civil}
+    prints = {d: fingerprint(text[d]) for d in unique}
+    root = {d: d for d in unique}
+    changed = True
+    while changed:
+        changed = False
+        for a in unique:
+            for b in unique:
+                if root[b] < root[a] and (prints[a] ^ prints[b]).bit_count() <= simhash.DISTANCE:
+                    root[a], changed = root[b], True
+    expected = {d for d in unique if root[d] == d}
+    found = corpus_pipeline.run(spark, SF_SMALL)
+    assert {r.doc_id for r in found.collect()} == expected
+    assert len(expected) > 0.5 * len(text)
+
+
+def test_stages_return_the_columns_of_documents(spark):
+    docs = table(spark, SF_SMALL, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        result = stage(spark, docs, SF_SMALL)
+        assert result.columns == docs.columns and result.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() == 0
