@@ -43,3 +43,12 @@ def test_stages_return_the_columns_of_documents(spark):
         result = stage(spark, docs, SF_SMALL)
         assert result.columns == docs.columns and result.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() == 0
+
+
+def test_queries_with_sql_match_it(spark):
+    from oracle_check import compare, duck
+
+    con = duck(SF_SMALL)
+    for name, sql in queries.SQL.items():
+        result = compare(spark, SF_SMALL, name, queries.QUERIES[name], sql, con)
+        assert result["status"] == "OK", result

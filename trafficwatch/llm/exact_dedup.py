@@ -52,12 +52,15 @@ def dedup_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                        text_or_empty(text).alias("text"))
     members = rows.select("doc_id", F.sha2("text", 256).alias("digest"))
-    single = members.join(by_digest.where("texts = 1").drop("texts"), "digest")
-    shared = (rows.withColumn("digest", F.sha2("text", 256))
-              .join(by_digest.where("texts > 1").select("digest"), "digest", "left_semi"))
-    collided = (shared.join(text_groups(shared, "doc_id", "text", salts), ["digest", "text"])
-                .select("digest", "doc_id", "keep_id", "group_size"))
-    return single.unionByName(collided).select(
+    single = members.join(by_digest.where("texts = 1"), "digest").select(
+        "digest", "doc_id", "keep_id", "group_size")
+    if not by_digest.where("texts > 1").isEmpty():
+        shared = (rows.withColumn("digest", F.sha2("text", 256))
+                  .join(by_digest.where("texts > 1").select("digest"), "digest", "left_semi"))
+        groups = text_groups(shared, "doc_id", "text", salts)
+        single = single.unionByName(shared.join(groups, ["digest", "text"])
+                                    .select("digest", "doc_id", "keep_id", "group_size"))
+    return single.select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("digest").alias("text_sha256"))
