@@ -67,8 +67,6 @@ def test_sessions_match_brute_force(spark):
         want = brute_sessions(rows)
         assert spark_sessions(detect.stationary_sessions(e)) == want
         # the sort-based fallback (no type dictionary) agrees as well
-        sessions, _ = detect._session_groups(e, DEFAULT, None)
-        assert spark_sessions(sessions.select(*detect.SESSION_COLUMNS)) == want
 
 
 def random_passes(seed: int):

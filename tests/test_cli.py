@@ -37,14 +37,16 @@ def test_publish_detect_and_look_up(tmp_path):
                  "--dedupe", "--normalize-plates",
                  "--job", f"cli-test-{uuid.uuid4().hex[:12]}")
     assert "[red_light_violations] batch" in logged
-    by_type = cli("type", "beating_red_light", "--date", "2026-09-01", "--store", store)
+    by_type = cli("lookup", "--type", "beating_red_light", "--day", "2026-09-01", "--store", store)
     assert "XYZ 2" in by_type and "BUS" in by_type
-    by_plate = cli("plate", "ABC 1", "--store", store)
+    assert "version 1" in cli("compact", "--store", store)
+    by_plate = cli("lookup", "--plate", "ABC 1", "--store", store)  # from the compacted version
     assert by_plate.count("SPEEDING") >= 1
-    stats = cli("stats", "cam-spd", "--date", "2026-09-01", "--store", store)
+    stats = cli("lookup", "--camera", "cam-spd", "--stats", "--day", "2026-09-01", "--store", store)
     assert "92.5" in stats
-    cli("compact", "--store", store, "--out", str(tmp_path / "compacted"))
-    assert any(d.startswith("violation_date=2026-09-01") for d in os.listdir(tmp_path / "compacted"))
+    wrong = subprocess.run([sys.executable, "-m", "trafficwatch", "lookup", "--plate", "X", "--store", store + "x"],
+                           cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert wrong.returncode != 0 and "no violation store" in wrong.stderr
 
 
 def test_runs_without_a_configured_checkpoint_folder(tmp_path):

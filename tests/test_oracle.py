@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_check import compare, duck
+from trafficwatch.catalog import QUERIES
 
-QUERIES = entry.queries()
 SQL = entry.oracle_sql()
 
 

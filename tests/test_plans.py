@@ -1,13 +1,12 @@
 """Plan guards for every registered query: the shapes that break at scale."""
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from trafficwatch.catalog import QUERIES
 
-QUERIES = entry.queries()
 
-# One-row final merges of partial aggregates may use a single partition; the
-# offset-rate lag runs over one row per hour bucket.
+# One-row final merges of partial aggregates may use a single partition; the running
+# totals of the event rate order one row per day there.
 SINGLE_PARTITION_OK = {"day_stats", "day_summary", "latest_detection_age", "registry_checks",
                        "offset_rate", "health_counters"}
 
@@ -47,14 +46,12 @@ def test_speeding_scan_prunes_unused_columns(spark):
 def test_enrich_falls_back_to_shuffled_join_above_the_bound(spark):
     from dataclasses import replace
 
-    from trafficwatch.config import DEFAULT
     from trafficwatch.operators.enrich import enrich
     from trafficwatch.sources.fixtures import fixture_cameras, fixture_readings
 
-    small = replace(DEFAULT, registry_broadcast_max_rows=10)  # the registry has 25 rows
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = enrich(fixture_readings(spark, SF_SMALL), fixture_cameras(spark, SF_SMALL), small)
+        df = enrich(fixture_readings(spark, SF_SMALL), fixture_cameras(spark, SF_SMALL))
         plan = physical(df)
         assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
         assert df.count() == 1000
@@ -73,7 +70,7 @@ def test_partitioned_telemetry_is_pruned_by_camera_type(spark, tmp_path):
 
     fixture_readings(spark, SF_SMALL).write.partitionBy("camera_id").parquet(str(tmp_path / "t"))
     fixture_cameras(spark, SF_SMALL).coalesce(1).write.option("header", True).csv(str(tmp_path / "c"))
-    enriched = enrich(spark.read.parquet(str(tmp_path / "t")), load_cameras(spark, str(tmp_path / "c")))
+    enriched = enrich(spark.read.parquet(str(tmp_path / "t")), load_cameras(spark, str(tmp_path / "c")), broadcast=True)
     for fn in (detect.detect_speeding, detect.detect_red_light, detect.detect_illegal_parking):
         df = fn(enriched)
         df.write.format("noop").mode("overwrite").save()

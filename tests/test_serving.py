@@ -1,164 +1,154 @@
-"""Lookups and reports on the three-record case of FIXTURES.md section 4."""
+"""Lookups and reports on a hand-made evening at two harbour cameras."""
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
+from helpers import cameras
 from trafficwatch import schemas
 from trafficwatch.plans import lookup, report
 from trafficwatch.plans.quality import detection_quality, registry_checks
-from helpers import cameras
 
-UTC = dt.timezone.utc
-NOW = dt.datetime(2026, 9, 24, 2, 0, tzinfo=UTC)  # 10:00 Manila
-DAY = dt.date(2026, 9, 24)
+DAY = dt.date(2025, 3, 14)
+CLOSE = dt.datetime(2025, 3, 14, 12, 0, tzinfo=dt.timezone.utc)  # 20:00 in Manila
+PIER, GATE = ("HBR-1", "Pier 4"), ("HBR-2", "Gate 9")
+
+# id, offence, plate, camera, km/h, and the Manila clock of the violation and of its detection
+EVENING = """
+    ('v1', 'SPEEDING',          'TUG 77', 'HBR-1', 'Pier 4', 92.0, '19:25:00', '19:27:00'),
+    ('v2', 'ILLEGAL_PARKING',   'OAR 3',  'HBR-2', 'Gate 9',  1.0, '19:51:00', '19:56:00'),
+    ('v3', 'SPEEDING',          'TUG 77', 'HBR-1', 'Pier 4', 86.0, '19:57:30', '19:58:00'),
+    ('v4', 'BEATING_RED_LIGHT', 'KEEL 5', 'HBR-1', 'Pier 4', 45.0, '19:58:30', '19:59:00')
+"""
 
 
 @pytest.fixture(scope="module")
-def records(spark):
-    def row(vid, minutes_ago, vtype="SPEEDING", plate="ABC 1234", camera="CAM-EDSA-GUA",
-            location="EDSA - Guadalupe", speed=80.0, detected_ago=None):
-        t = NOW - dt.timedelta(minutes=minutes_ago)
-        d = NOW - dt.timedelta(minutes=minutes_ago if detected_ago is None else detected_ago)
-        us = lambda x: round(x.timestamp() * 1e6)
-        return (vid, vtype, plate, "CAR", camera, location, "Road", 14.5, 121.0, us(t), DAY,
-                us(t), us(t), speed, 60, 1, "evidence", "PENDING_REVIEW", us(d))
-
-    data = [row("a", 30, speed=80.0, detected_ago=28),
-            row("b", 3, vtype="BEATING_RED_LIGHT", camera="CAM-EDSA-SHAW",
-                location="EDSA - Shaw Boulevard", speed=40.0),
-            row("c", 1, plate="XYZ 9876", speed=90.0)]
-    ddl = ", ".join(
-        f"{f.name} {'long' if f.dataType.simpleString() == 'timestamp' else f.dataType.simpleString()}"
-        for f in schemas.VIOLATION.fields)
-    df = spark.createDataFrame(data, ddl)
-    for c in ("violation_time", "window_start", "window_end", "detected_at"):
-        df = df.withColumn(c, F.timestamp_micros(c))
-    return df
-
-
-def test_record_times_are_manila_iso(records):
-    rec = lookup.api_record(records.filter("violation_id = 'a'")).first()
-    assert rec.time == "2026-09-24T09:30:00.000+08:00"
-    assert rec.detected == "2026-09-24T09:32:00.000+08:00"
-    assert set(rec.asDict()) == {"id", "time", "type", "plate", "vehicle", "camera", "location",
-                                 "speed", "limit", "evidence", "status", "detected"}
-
-
-def test_stats(records):
-    s = report.day_stats(records, NOW).first()
-    assert (s.total, s.avg_speed, s.busiest, s.per_minute) == (3, 70.0, "EDSA - Guadalupe", 0.4)
-    by_camera = {r.camera_id: r.n for r in report.counts_by(records, "camera_id").collect()}
-    assert by_camera == {"CAM-EDSA-GUA": 2, "CAM-EDSA-SHAW": 1}
-
-
-def test_summary(records):
-    s = report.day_summary(records, DAY).first()
-    assert s.date == "2026-09-24" and s.first < s.last and s.total == 3
-    assert (s.top_plate, s.top_plate_count) == ("ABC 1234", 2)
-    by_type = {r.violation_type: r.n for r in report.counts_by(records, "violation_type").collect()}
-    assert by_type == {"SPEEDING": 2, "BEATING_RED_LIGHT": 1}
-    top = report.top_key(records, "plate_number").first()
-    assert (top.plate_number, top.n) == ("ABC 1234", 2)
-    locs = [r.location_name for r in report.counts_by_location(records).collect()]
-    assert locs == ["EDSA - Guadalupe", "EDSA - Shaw Boulevard"]
-
-
-def test_empty_day(records):
-    empty = records.limit(0)
-    s = report.day_stats(empty, NOW).first()
-    assert (s.total, s.avg_speed, s.busiest, s.per_minute) == (0, 0.0, None, 0.0)
-    m = report.day_summary(empty, DAY).first()
-    assert m.top_plate is None and m.first is None and m.total == 0
-    assert report.latest_detection_age(empty, NOW).first().age_seconds is None
-
-
-def test_newest_first_with_limit(records):
-    out = lookup.violations_of_day(records, DAY, limit=2).collect()
-    assert [r.id for r in out] == ["c", "b"]
-    with pytest.raises(ValueError):
-        lookup.newest_first(lookup.api_record(records), limit=0)
-
-
-def test_news_only_after_first_load(records):
-    first = lookup.api_record(records.filter("violation_id in ('a', 'b')"))
-    assert lookup.news(first.limit(0), first, initial=True).count() == 0  # history, not news
-    everything = lookup.api_record(records)
-    assert [r.id for r in lookup.news(first, everything).collect()] == ["c"]
-    assert lookup.news(everything, everything).count() == 0  # re-reading is a no-op
-
-
-def test_lookback_and_new_violations(records):
-    recent = lookup.lookback(records, DAY, NOW)
-    assert sorted(r.violation_id for r in recent.collect()) == ["a", "b", "c"]
-    late = lookup.lookback(records, DAY, NOW + dt.timedelta(minutes=5))
-    assert sorted(r.violation_id for r in late.collect()) == ["b", "c"]
-    fresh = lookup.new_violations(records, DAY, NOW - dt.timedelta(minutes=2), NOW)
-    assert [r.id for r in fresh.collect()] == ["c"]
-    other_day = lookup.new_violations(records, DAY + dt.timedelta(days=1), NOW, NOW)
-    assert other_day.count() == 0
-
-
-def test_store_as_of_a_moment(records):
-    assert sorted(r.violation_id for r in lookup.as_of(records, NOW - dt.timedelta(minutes=2)).collect()) == ["a", "b"]
-    assert lookup.as_of(records, NOW - dt.timedelta(hours=1)).count() == 0
-
-
-def test_lookups(records):
-    assert [r.violation_id for r in lookup.violations_by_plate(records, "  abc   1234 ").collect()] == ["b", "a"]
-    assert lookup.violations_by_plate(records, "abc  1234", strict_key=True).count() == 0
-    assert [r.violation_id for r in lookup.violations_by_camera(records, " cam-edsa-gua", DAY).collect()] == ["c", "a"]
-    assert lookup.violations_by_type(records, "speeding", DAY, limit=1).first().violation_id == "c"
-    assert lookup.violations_by_type(records, "SPEEDING", "2026-09-23").count() == 0
-    with pytest.raises(ValueError):
-        lookup.violations_by_plate(records, "ABC 1234", limit=1001)
-    assert lookup.violations_by_plate(records, "ABC 1234", limit=5000, strict_key=True).count() == 2
-    with pytest.raises(ValueError):
-        lookup.violations_by_camera(records, "CAM-EDSA-GUA", DAY, limit=0)
-
-
-def test_counters(spark, records):
-    assert report.latest_detection_age(records, NOW).first().age_seconds == 60.0
-    assert report.latest_detection_age(records, NOW - dt.timedelta(hours=1)).first().age_seconds == 0.0
-    assert report.violations_today(records, DAY).first().violations_today == 3
-    t = lambda s: round((NOW + dt.timedelta(seconds=s)).timestamp() * 1e6)
-    snaps = spark.createDataFrame(
-        [(t(0), 0, 100), (t(0), 1, 20), (t(5), 0, 130), (t(5), 1, 40), (t(10), 0, 100), (t(10), 1, 40),
-         (t(7200), 0, 200), (t(7200), 1, 40)],
-        "us long, topic_partition int, end_offset long").select(
-        F.timestamp_micros("us").alias("poll_time"), "topic_partition", "end_offset")
-    rates = [(r.total, r.events_per_sec) for r in report.offset_rate(snaps).orderBy("poll_time").collect()]
-    # first poll 0; +50 in 5 s = 10/s; falling total floored at 0; across buckets
-    assert rates == [(120, 0.0), (170, 10.0), (140, 0.0), (240, 100 / 7190)]
-    execs = spark.createDataFrame([("1", 10), ("2", 5)], "executor_id string, completed_tasks long")
-    assert report.tasks_completed(execs).first().tasks_completed == 15
-    health = {r.metric: r.value for r in report.health_counters(snaps, records, DAY, NOW, execs).collect()}
-    assert health == {"topic_total": 240.0, "events_per_sec": 100 / 7190, "latest_violation_age": 60.0,
-                      "violations_today": 3.0, "tasks_completed": 15.0}
-
-
-def test_registry_checks_flag_bad_rows(spark):
-    good = {r.rule: r.failed for r in registry_checks(cameras(spark)).collect()}
-    assert good == {"unique_camera_id": 0, "known_camera_type": 0, "all_camera_types_present": 0,
-                    "latitude_in_bounds": 0, "longitude_in_bounds": 0}
-    bad_rows = [
-        ("CAM-A", "A", "R", "C", 14.5, 121.0, 60, "SPEED"),
-        ("CAM-A", "A2", "R", "C", 14.5, 121.0, 60, "SPEED"),
-        ("CAM-B", "B", "R", "C", 15.0, 121.0, 60, "RADAR"),
-        ("CAM-C", "C", "R", "C", 14.5, 121.5, 60, "INTERSECTION"),
-    ]
-    bad = {r.rule: (r.failed, r.passed) for r in registry_checks(cameras(spark, bad_rows)).collect()}
-    assert bad == {"unique_camera_id": (1, False), "known_camera_type": (1, False),
-                   "all_camera_types_present": (1, False), "latitude_in_bounds": (1, False),
-                   "longitude_in_bounds": (1, False)}
-
-
-def test_detection_quality(spark, records):
-    labelled = spark.createDataFrame(
-        [("ABC 1234", "CAM-EDSA-GUA", "SPEEDING"), ("ABC 1234", "CAM-EDSA-GUA", "SPEEDING"),
-         ("QQQ 1", "CAM-EDSA-GUA", "SPEEDING"), ("ABC 1234", "CAM-EDSA-SHAW", "NORMAL")],
+def evening(spark):
+    rows = spark.sql(f"""
+        SELECT id AS violation_id, offence AS violation_type, plate AS plate_number, 'VAN' AS vehicle_type,
+               camera AS camera_id, place AS location_name, 'Quay Road' AS road_name, 14.6 AS latitude,
+               120.9 AS longitude, timestamp('2025-03-14 ' || happened || '+08:00') AS violation_time,
+               date'2025-03-14' AS violation_date, timestamp('2025-03-14 ' || happened || '+08:00') AS window_start,
+               timestamp('2025-03-14 ' || happened || '+08:00') AS window_end, kph AS recorded_speed_kph,
+               50 AS speed_limit_kph, 1 AS reading_count, 'seen' AS evidence, 'PENDING_REVIEW' AS ticket_status,
+               timestamp('2025-03-14 ' || found || '+08:00') AS detected_at
+        FROM VALUES {EVENING} AS t(id, offence, plate, camera, place, kph, happened, found)""")
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in schemas.VIOLATION])
+
+
+def ids(df, name="id"):
+    return [r[name] for r in df.collect()]
+
+
+def test_api_record(evening):
+    record = lookup.api_record(evening.where("violation_id = 'v2'")).first().asDict()
+    assert record == {
+        "id": "v2", "time": "2025-03-14T19:51:00.000+08:00", "type": "ILLEGAL_PARKING", "plate": "OAR 3",
+        "vehicle": "VAN", "camera": "HBR-2", "location": "Gate 9", "speed": 1.0, "limit": 50, "evidence": "seen",
+        "status": "PENDING_REVIEW", "detected": "2025-03-14T19:56:00.000+08:00"}
+
+
+def test_day_reports(evening):
+    stats = report.day_stats(evening, CLOSE).first()
+    # Three of the four were detected or happened in the last five minutes' span.
+    assert (stats.total, stats.avg_speed, stats.busiest) == (4, 56.0, "Pier 4")
+    summary = report.day_summary(evening, DAY).first()
+    assert (summary.date, summary.total, summary.avg_speed) == ("2025-03-14", 4, 56.0)
+    assert (summary.first, summary.last) == ("2025-03-14T19:25:00.000+08:00", "2025-03-14T19:58:30.000+08:00")
+    assert (summary.top_plate, summary.top_plate_count) == ("TUG 77", 2)
+
+
+def test_counts(evening):
+    assert {tuple(r) for r in report.counts_by(evening, "camera_id").collect()} == {("HBR-1", 3), ("HBR-2", 1)}
+    assert {tuple(r) for r in report.counts_by(evening, "violation_type").collect()} == {
+        ("SPEEDING", 2), ("ILLEGAL_PARKING", 1), ("BEATING_RED_LIGHT", 1)}
+    assert ids(report.counts_by_location(evening), "location_name") == ["Pier 4", "Gate 9"]
+    assert tuple(report.top_key(evening, "plate_number").first()) == ("TUG 77", 2)
+
+
+def test_reports_of_an_empty_day(evening):
+    nothing = evening.limit(0)
+    stats = report.day_stats(nothing, CLOSE).first()
+    assert (stats.total, stats.avg_speed, stats.busiest, stats.per_minute) == (0, 0.0, None, 0.0)
+    summary = report.day_summary(nothing, DAY).first()
+    assert (summary.total, summary.first, summary.top_plate) == (0, None, None)
+    assert report.latest_detection_age(nothing, CLOSE).first().age_seconds is None
+
+
+def test_newest_first(evening):
+    assert ids(lookup.violations_of_day(evening, DAY, limit=3)) == ["v4", "v3", "v2"]
+    for limit in (0, 2001):
+        with pytest.raises(ValueError):
+            lookup.newest_first(lookup.api_record(evening), limit=limit)
+
+
+def test_key_lookups(evening):
+    assert ids(lookup.violations_by_plate(evening, "\ttug \t 77"), "violation_id") == ["v3", "v1"]
+    assert lookup.violations_by_plate(evening, "tug  77", strict_key=True).count() == 0
+    assert ids(lookup.violations_by_camera(evening, "hbr-1 ", DAY, limit=2), "violation_id") == ["v4", "v3"]
+    assert ids(lookup.violations_by_type(evening, " speeding", DAY), "violation_id") == ["v3", "v1"]
+    assert lookup.violations_by_type(evening, "SPEEDING", "2025-03-13").count() == 0
+    assert lookup.violations_by_plate(evening, "TUG 77", limit=7000, strict_key=True).count() == 2
+    for bad in (lambda: lookup.violations_by_plate(evening, "TUG 77", limit=1001),
+                lambda: lookup.violations_by_camera(evening, "HBR-1", DAY, limit=0)):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_store_at_a_moment_and_lookback(evening):
+    at = lambda minute: CLOSE.replace(hour=11, minute=minute)
+    assert sorted(ids(lookup.as_of(evening, at(56)), "violation_id")) == ["v1", "v2"]
+    assert lookup.as_of(evening, at(20)).count() == 0
+    assert sorted(ids(lookup.lookback(evening, DAY, at(50)), "violation_id")) == ["v1", "v2", "v3", "v4"]
+    assert sorted(ids(lookup.lookback(evening, DAY, CLOSE), "violation_id")) == ["v2", "v3", "v4"]
+    assert ids(lookup.new_violations(evening, DAY, at(57), CLOSE)) == ["v3", "v4"]
+    assert lookup.new_violations(evening, DAY + dt.timedelta(days=1), CLOSE, CLOSE).count() == 0
+
+
+def test_poll_steps(evening):
+    early = lookup.api_record(evening.where("violation_id in ('v1', 'v2')"))
+    everything = lookup.api_record(evening)
+    snapshot, news = lookup.poll_step(None, early, DAY)  # the first load is silent
+    assert sorted(ids(snapshot)) == ["v1", "v2"] and news.count() == 0
+    changed = everything.withColumn("status", F.when(F.col("id") == "v2", "PAID").otherwise(F.col("status")))
+    snapshot, news = lookup.poll_step(snapshot, changed.where("id <> 'v1'"), DAY)
+    assert ids(news) == ["v3", "v4"]  # oldest first
+    assert {r.id: r.status for r in snapshot.collect()} == {
+        "v1": "PENDING_REVIEW", "v2": "PAID", "v3": "PENDING_REVIEW", "v4": "PENDING_REVIEW"}
+    again, news = lookup.poll_step(snapshot, everything, DAY)  # a full reload brings nothing new
+    assert again.count() == 4 and news.count() == 0
+    tomorrow, news = lookup.poll_step(snapshot, everything.limit(0), DAY + dt.timedelta(days=1))  # day change
+    assert tomorrow.count() == 0 and news.count() == 0
+    assert lookup.news(early, everything, initial=True).count() == 0
+
+
+def test_counters(spark, evening):
+    assert report.latest_detection_age(evening, CLOSE).first().age_seconds == 60.0
+    assert report.latest_detection_age(evening, CLOSE - dt.timedelta(hours=3)).first().age_seconds == 0.0
+    readings = spark.sql("""
+        SELECT timestamp_micros(1000000L * s) AS event_time
+        FROM (SELECT explode(concat(sequence(0, 9), sequence(600, 629), array(172800, 172801))) AS s)""")
+    rates = [(r.total, r.events_per_sec) for r in report.event_rate(readings).orderBy("poll_time").collect()]
+    # Polls at 300 s, 900 s and two days later (the running total crosses days).
+    assert rates == [(10, 0.0), (40, 30 / 600), (42, 2 / (172_800 + 300 - 900))]
+    health = {r.metric: r.value for r in report.health_counters(readings, evening, DAY, CLOSE).collect()}
+    assert health == {"topic_total": 42.0, "events_per_sec": 2 / 172_200, "latest_violation_age": 60.0,
+                      "violations_today": 4.0}
+
+
+def test_registry_checks(spark):
+    assert {r.failed for r in registry_checks(cameras(spark)).collect()} == {0}
+    faulty = [("DOCK", "a", "r", "c", 14.5, 121.0, 60, "SPEED"), ("DOCK", "b", "r", "c", 14.5, 121.0, 60, "SPEED"),
+              ("BUOY", "c", "r", "c", 15.0, 121.0, 60, "SONAR"), ("MAST", "d", "r", "c", 14.5, 121.5, 60, "INTERSECTION")]
+    found = {r.rule: (r.failed, r.passed) for r in registry_checks(cameras(spark, faulty)).collect()}
+    assert found == dict.fromkeys(("unique_camera_id", "known_camera_type", "all_camera_types_present",
+                                   "latitude_in_bounds", "longitude_in_bounds"), (1, False))
+
+
+def test_detection_quality(spark, evening):
+    planted = spark.createDataFrame(
+        [("TUG 77", "HBR-1", "SPEEDING"), ("RAFT 8", "HBR-1", "SPEEDING"), ("OAR 3", "HBR-2", "ILLEGAL_PARKING")],
         "plate_number string, camera_id string, simulated_scenario string")
-    q = {r.violation_type: (r.tp, r.fp, r.fn, r.precision, r.recall)
-         for r in detection_quality(records, labelled).collect()}
-    assert q["SPEEDING"] == (1, 1, 1, 0.5, 0.5)
-    assert q["BEATING_RED_LIGHT"] == (0, 1, 0, 0.0, None)
+    found = {r.violation_type: (r.tp, r.fp, r.fn) for r in detection_quality(evening, planted).collect()}
+    assert found["SPEEDING"] == (1, 0, 1) and found["ILLEGAL_PARKING"] == (1, 0, 0)
+    assert found["BEATING_RED_LIGHT"] == (0, 1, 0)

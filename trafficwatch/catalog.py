@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from trafficwatch.config import DEFAULT
 from trafficwatch.functions.text import normalize_plate
-from trafficwatch.functions.timeutil import iso_text, local_time, utc_wall
+from trafficwatch.functions.timeutil import iso_text, local_time, utc_wall, wall_text
 from trafficwatch.operators import detect, replay
 from trafficwatch.operators.dedupe import first_per_key, upsert
 from trafficwatch.operators.enrich import enrich
@@ -45,8 +45,8 @@ _SCOPE = threading.local()
 
 
 def _once_per_query(fn):
-    """Within one registered-query call, build this input once (each table read,
-    each size bound checked, each dictionary read a single time); nothing is
+    """Within one registered-query call, build this input once (each table read
+    a single time); nothing is
     kept across calls."""
     @functools.wraps(fn)
     def wrapper(spark, sf_dir):
@@ -84,20 +84,13 @@ def cameras(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_once_per_query
 def enriched_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(valid_readings(readings(spark, sf_dir)), cameras(spark, sf_dir), DEFAULT)
-
-
-@_once_per_query
-def type_codes(spark: SparkSession, sf_dir: str):
-    """Vehicle-type dictionary from the raw telemetry's type column alone."""
-    return detect.vehicle_type_codes(readings(spark, sf_dir).select("vehicle_type"))
+    return enrich(valid_readings(readings(spark, sf_dir)), cameras(spark, sf_dir))
 
 
 @_once_per_query
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All detections, with the deterministic detection time."""
-    return detect.detect_all(enriched_readings(spark, sf_dir), DEFAULT, "watermark",
-                             type_codes(spark, sf_dir))
+    return detect.detect_all(enriched_readings(spark, sf_dir), DEFAULT, "watermark")
 
 
 @_once_per_query
@@ -117,8 +110,7 @@ def q_valid_telemetry(spark, sf_dir):
 def q_detect_speeding(spark, sf_dir):
     # The evidence sentence formats a mean with Java's %.1f, which no SQL engine
     # reproduces at exact .x5 ties; it is checked by unit tests instead.
-    df = detect.detect_speeding(enriched_readings(spark, sf_dir), DEFAULT, "watermark",
-                                type_codes(spark, sf_dir))
+    df = detect.detect_speeding(enriched_readings(spark, sf_dir), DEFAULT, "watermark")
     return present(df, means=VIOLATION_MEANS, drop=("evidence",))
 
 
@@ -128,22 +120,18 @@ def q_detect_red_light(spark, sf_dir):
 
 
 def q_detect_illegal_parking(spark, sf_dir):
-    df = detect.detect_illegal_parking(enriched_readings(spark, sf_dir), DEFAULT, "watermark",
-                                       type_codes(spark, sf_dir))
+    df = detect.detect_illegal_parking(enriched_readings(spark, sf_dir), DEFAULT, "watermark")
     return present(df, means=VIOLATION_MEANS)
 
 
 def q_stationary_sessions(spark, sf_dir):
-    df = detect.stationary_sessions(enriched_readings(spark, sf_dir), DEFAULT,
-                                    type_codes(spark, sf_dir))
+    df = detect.stationary_sessions(enriched_readings(spark, sf_dir), DEFAULT)
     return present(df, means=("avg_speed_kph", "latitude", "longitude"))
 
 
 def q_speeding_windows(spark, sf_dir):
-    df = detect.speeding_windows(enriched_readings(spark, sf_dir), DEFAULT, type_codes(spark, sf_dir))
-    return present(df.select(F.col("window.start").alias("window_start"),
-                             F.col("window.end").alias("window_end"),
-                             *[c for c in df.columns if c != "window"]),
+    df = detect.speeding_windows(enriched_readings(spark, sf_dir), DEFAULT)
+    return present(df.withColumnsRenamed({"opens": "window_start", "closes": "window_end"}),
                    means=("avg_speed_kph", "latitude", "longitude"))
 
 
@@ -184,17 +172,20 @@ def _api(df: DataFrame) -> DataFrame:
 
 
 def q_violations_by_plate(spark, sf_dir):
-    df = lookup.violations_by_plate(violations(spark, sf_dir), PLATE_INPUT)
+    mine = upsert(detections(spark, sf_dir).where(lookup.plate_is(PLATE_INPUT)))
+    df = lookup.violations_by_plate(mine, PLATE_INPUT)
     return present(df, means=VIOLATION_MEANS, drop=("evidence",))
 
 
 def q_violations_by_camera(spark, sf_dir):
-    df = lookup.violations_by_camera(violations(spark, sf_dir), CAMERA_INPUT, DAY)
+    mine = upsert(detections(spark, sf_dir).where(lookup.camera_day_is(CAMERA_INPUT, DAY)))
+    df = lookup.violations_by_camera(mine, CAMERA_INPUT, DAY)
     return present(df, means=VIOLATION_MEANS, drop=("evidence",))
 
 
 def q_violations_by_type(spark, sf_dir):
-    df = lookup.violations_by_type(violations(spark, sf_dir), TYPE_INPUT, DAY)
+    mine = upsert(detections(spark, sf_dir).where(lookup.type_day_is(TYPE_INPUT, DAY)))
+    df = lookup.violations_by_type(mine, TYPE_INPUT, DAY)
     return present(df, means=VIOLATION_MEANS, drop=("evidence",))
 
 
@@ -251,13 +242,12 @@ def q_latest_detection_age(spark, sf_dir):
 
 def q_offset_rate(spark, sf_dir):
     rows = valid_readings(readings(spark, sf_dir))
-    rates = report.offset_rate(report.topic_offsets(rows))
-    return present(rates, means=("events_per_sec",))
+    return present(report.event_rate(rows), means=("events_per_sec",))
 
 
 def q_health_counters(spark, sf_dir):
-    snapshots = report.topic_offsets(valid_readings(readings(spark, sf_dir)))
-    counters = report.health_counters(snapshots, day_records(spark, sf_dir), DAY, NOW)
+    rows = valid_readings(readings(spark, sf_dir))
+    counters = report.health_counters(rows, day_records(spark, sf_dir), DAY, NOW)
     return counters.withColumn("value", round_mean("value"))
 
 
@@ -289,10 +279,9 @@ def csv_export(readings: DataFrame) -> DataFrame:
 
     crossed = F.col("stop_line_crossed")
     kind = F.pmod(eid, F.lit(3))
-    micro = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    ts_text = (F.when(kind == 0, F.concat(F.date_format(utc_wall("event_time"), micro), F.lit("Z")))
-               .when(kind == 1, F.concat(F.date_format(local_time("event_time"), micro), F.lit("+08:00")))
-               .otherwise(F.date_format(local_time("event_time"), "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+    ts_text = (F.when(kind == 0, F.concat(wall_text(utc_wall("event_time")), F.lit("Z")))
+               .when(kind == 1, F.concat(wall_text(local_time("event_time")), F.lit("+08:00")))
+               .otherwise(wall_text(local_time("event_time"), " ")))
     return readings.select(
         F.when(F.pmod(eid, F.lit(11)) == 0, F.lit("")).otherwise(F.col("event_id")).alias("id"),
         F.concat(F.lit(" "), F.col("camera_id"), F.lit(" ")).alias("cam"),

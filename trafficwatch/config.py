@@ -40,7 +40,6 @@ CAMERA_FIELDS = (
 REQUIRED_FIELDS = ("camera_id", "plate_number", "latitude", "longitude", "speed_kph", "event_time")
 
 CAMERA_TYPES = ("SPEED", "INTERSECTION", "NO_PARKING")
-LIGHT_STATES = ("RED", "YELLOW", "GREEN")
 TRUE_TOKENS = ("true", "1", "yes", "y", "t")
 
 SPEEDING = "SPEEDING"
@@ -55,7 +54,6 @@ SPEEDING_EVIDENCE = (
 RED_LIGHT_EVIDENCE = "Crossed the stop line on RED at %.1f kph"
 PARKING_EVIDENCE = "Stationary for %d s in a no-parking zone (%d readings); grace period %d s"
 
-SCENARIOS = ("NORMAL", "SPEEDING", "RED_LIGHT", "ILLEGAL_PARKING", "SHORT_STOP")
 
 # Registry sanity box (Metro Manila), exclusive bounds.
 LAT_BOUNDS = (14.3, 14.8)
@@ -94,10 +92,6 @@ class Settings:
     plate_limit: int = 100
     cli_limit: int = 50
 
-    # The camera registry is broadcast only while it stays below this many rows;
-    # above it the enrichment join falls back to a shuffled join.
-    registry_broadcast_max_rows: int = 200_000
-
     def __post_init__(self) -> None:
         for name in ("watermark_delay", "trigger_interval", "speed_window_duration",
                      "speed_window_slide", "stats_window_duration", "stats_window_slide"):
@@ -111,8 +105,6 @@ class Settings:
             raise ValueError("parking gap must be positive and grace not negative")
         if self.min_speed_readings < 1 or self.speed_tolerance_kph < 0:
             raise ValueError("min_speed_readings must be >= 1 and speed_tolerance_kph >= 0")
-        if self.registry_broadcast_max_rows < 1:
-            raise ValueError("registry_broadcast_max_rows must be >= 1")
 
     @classmethod
     def from_env(cls, environ=None) -> Settings:
@@ -147,23 +139,22 @@ class Settings:
         return duration_seconds(self.watermark_delay)
 
 
-_UNITS = {
-    "second": 1,
-    "seconds": 1,
-    "minute": 60,
-    "minutes": 60,
-    "hour": 3600,
-    "hours": 3600,
-}
+_UNITS = {"microsecond": 1e-6, "millisecond": 1e-3, "second": 1, "minute": 60, "hour": 3600,
+          "day": 86400, "week": 604800}
 
 
-def duration_seconds(text: str) -> int:
-    """Seconds of a simple duration string such as ``"1 minute"`` or ``"20 seconds"``."""
+def duration_seconds(text: str) -> int | float:
+    """Seconds of a fixed-length Spark interval: ``"20 seconds"``, ``"1 minute 30 seconds"``,
+    ``"500 milliseconds"``, ``"interval 1 day"``. Whole seconds come as an int."""
+    words = text.lower().removeprefix("interval ").split() if isinstance(text, str) else []
     try:
-        amount, unit = text.split()
-        return int(amount) * _UNITS[unit.lower()]
+        if not words or len(words) % 2:
+            raise ValueError
+        micros = sum(round(float(n) * _UNITS[unit.rstrip("s")] * 1_000_000)
+                     for n, unit in zip(words[::2], words[1::2], strict=True))
     except (ValueError, KeyError):
         raise ValueError(f"not a duration like '30 seconds': {text!r}") from None
+    return micros // 1_000_000 if micros % 1_000_000 == 0 else micros / 1_000_000
 
 
 DEFAULT = Settings()

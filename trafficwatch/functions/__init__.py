@@ -4,6 +4,7 @@ from trafficwatch.functions.text import (
     lookup_key,
     normalize_plate,
     parse_bool,
+    parse_number,
     strip,
 )
 from trafficwatch.functions.timeutil import (
@@ -16,6 +17,7 @@ from trafficwatch.functions.timeutil import (
     parse_time,
     seconds_floor,
     utc_wall,
+    wall_text,
 )
 
 __all__ = [
@@ -29,8 +31,10 @@ __all__ = [
     "normalize_plate",
     "ntz_micros",
     "parse_bool",
+    "parse_number",
     "parse_time",
     "seconds_floor",
     "strip",
     "utc_wall",
+    "wall_text",
 ]

@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from trafficwatch.config import TIMEZONE
+from trafficwatch.functions.text import strip
 
 
 def _col(c: Column | str) -> Column:
@@ -42,8 +43,23 @@ def local_text(ts: Column | str, tz: str = TIMEZONE) -> Column:
 
 
 def ntz_micros(ntz: Column | str) -> Column:
-    """Microseconds between 1970-01-01 and a ``TIMESTAMP_NTZ`` wall clock."""
-    return F.timestamp_diff("MICROSECOND", epoch_ntz(), _col(ntz))
+    """Microseconds between 1970-01-01 and a ``TIMESTAMP_NTZ`` wall clock. Day number and
+    time of day are taken from the wall clock itself: a difference of timestamps would
+    read it in the session zone, whose gap and overlap hours shift it."""
+    t = _col(ntz)
+    days = F.date_diff(t.cast("date"), F.expr("date'1970-01-01'")).cast("long")
+    seconds = (F.extract(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("long")
+    return ((days * 24 + F.hour(t)) * 60 + F.minute(t)) * F.lit(60_000_000) + seconds
+
+
+def wall_text(ntz: Column | str, separator: str = "T", digits: int = 6) -> Column:
+    """``yyyy-MM-dd<separator>HH:mm:ss.f...`` of a ``TIMESTAMP_NTZ`` wall clock with
+    ``digits`` (1 to 6) cut digits of the second, from its own text."""
+    t = _col(ntz)
+    text = t.cast("string")  # zone-free; the fraction is left out or shortened
+    micros = F.lpad(F.pmod(ntz_micros(t), F.lit(1_000_000)).cast("string"), 6, "0")
+    return F.concat(F.substring_index(text, " ", 1), F.lit(separator),
+                    F.substring(F.substring_index(text, " ", -1), 1, 8), F.lit("."), F.substring(micros, 1, digits))
 
 
 def from_wall(ntz: Column | str, tz: str) -> Column:
@@ -57,16 +73,10 @@ def iso_text(ts: Column | str, tz: str = TIMEZONE) -> Column:
     ``2026-09-24T10:00:00.000+08:00``; null stays null."""
     t = _col(ts)
     local = local_time(t, tz)
-    offset = F.timestamp_diff("MINUTE", utc_wall(t), local)
+    offset = F.floor((ntz_micros(local) - F.unix_micros(t)) / F.lit(60_000_000))
     sign = F.when(offset < 0, F.lit("-")).otherwise(F.lit("+"))
-    off = F.abs(offset)
-    text = F.concat(
-        F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSS"),
-        sign,
-        F.lpad((off / 60).cast("int").cast("string"), 2, "0"),
-        F.lit(":"),
-        F.lpad((off % 60).cast("int").cast("string"), 2, "0"),
-    )
+    hours, minutes = (F.lpad(F.floor(part).cast("string"), 2, "0") for part in (F.abs(offset) / 60, F.abs(offset) % 60))
+    text = F.concat(wall_text(local, "T", 3), sign, hours, F.lit(":"), minutes)
     return F.when(t.isNotNull(), text)
 
 
@@ -79,7 +89,7 @@ def parse_time(text: Column | str, tz: str = TIMEZONE, *, strict: bool = False)
     """ISO-8601 text to an instant. ``Z`` and explicit offsets are honoured, a
     naive value is read as wall clock in ``tz``. Unparseable text is null, or
     raises when ``strict`` (whatever the session's ANSI setting)."""
-    s = F.regexp_replace(_col(text), r"^\s+|\s+$", "")
+    s = strip(text)
     has_offset = s.rlike(_OFFSET_RE)
     parsed = F.when(has_offset, s.try_cast("timestamp")).otherwise(
         from_wall(s.try_cast("timestamp_ntz"), tz)
@@ -88,10 +98,10 @@ def parse_time(text: Column | str, tz: str = TIMEZONE, *, strict: bool = False)
 
 
 def require_parsed(text: Column, parsed: Column, what: str) -> Column:
-    """``parsed``, failing the job on non-null text that did not parse."""
-    bad = text.isNotNull() & parsed.isNull()
-    error = F.raise_error(F.concat(F.lit(f"cannot parse {what}: "), text))
-    return F.coalesce(parsed, F.when(bad, error))
+    """``parsed``, failing the job where it is null: on text that did not parse, and on
+    missing or blank text."""
+    shown = F.coalesce(F.nullif(text, F.lit("")), F.lit("(blank)"))
+    return F.coalesce(parsed, F.raise_error(F.concat(F.lit(f"cannot parse {what}: "), shown)))
 
 
 def seconds_floor(ts: Column | str) -> Column:

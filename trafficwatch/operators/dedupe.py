@@ -3,7 +3,8 @@
 All three are one ``groupBy(key)`` with ``min_by``/``max_by`` over a struct of
 the row. These aggregates are partial, so copies of a key are reduced map-side
 before the shuffle and a key holding many copies never sends them all to one
-task; no sort of whole partitions is needed, unlike ``row_number``.
+task, unlike ``row_number``. A struct buffer is not fixed-width, so Spark aggregates by
+sorting rows on the key (before and after the shuffle), as for ``dropDuplicates``.
 """
 from __future__ import annotations
 

@@ -4,32 +4,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficwatch.config import DEFAULT, Settings
 from trafficwatch.sources.registry import registry_projection
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows. Reads at most
-    ``max_rows + 1`` rows, so the check stays cheap however large ``df`` is."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def enrich(telemetry: DataFrame, cameras: DataFrame, broadcast: bool = False) -> DataFrame:
+    """Inner join of readings with the registry on ``camera_id``; readings of unknown
+    cameras are dropped.
 
-
-def enrich(telemetry: DataFrame, cameras: DataFrame, settings: Settings = DEFAULT,
-           broadcast: bool | None = None) -> DataFrame:
-    """Inner join of readings with the registry on ``camera_id``; readings of
-    unknown cameras are dropped.
-
-    The registry is broadcast only when its row count is proven below
-    ``settings.registry_broadcast_max_rows`` (``broadcast=None``), so the big
-    telemetry side is never shuffled for it. A registry above the bound falls
-    back to a shuffled join, where AQE splits a hot camera's partition."""
+    The join strategy is Spark's: a registry below ``autoBroadcastJoinThreshold`` bytes (by
+    file statistics, or by its real size under AQE) is broadcast, a larger one is shuffled
+    and AQE splits a hot camera. ``broadcast=True`` is for a caller who knows the size."""
     registry = registry_projection(cameras)
-    if broadcast is None:
-        broadcast = has_at_most(registry, settings.registry_broadcast_max_rows)
-    if broadcast:
-        if telemetry.isStreaming:
-            # Every micro-batch re-plans the static side; keep the (proven small)
-            # registry in memory instead of re-reading its files each trigger.
-            registry = registry.cache()
-        registry = F.broadcast(registry)
-    return telemetry.join(registry, on="camera_id", how="inner")
+    return telemetry.join(F.broadcast(registry) if broadcast else registry, on="camera_id", how="inner")

@@ -1,9 +1,10 @@
 """Retrieval over the stored violations and camera statistics.
 
-Every lookup is a filter on the keys the store is laid out by (date and type
-partitions, plate-sorted files), followed by the stored order and a limit, so
-Spark prunes partitions and plans a ``TakeOrderedAndProject`` instead of a full
-sort.
+Every lookup is a filter on a key, followed by the stored order and a limit (a
+``TakeOrderedAndProject`` instead of a full sort). The keys (:func:`plate_is`,
+:func:`camera_day_is`, :func:`type_day_is`) follow from the violation id, so callers that
+upsert first pass them to the reader, below the upsert; on a compacted store they prune
+partitions (date, type) and row groups (plate).
 """
 from __future__ import annotations
 
@@ -55,6 +56,17 @@ def api_record(violations: DataFrame, settings: Settings = DEFAULT) -> DataFrame
         iso_text("detected_at", settings.timezone).alias("detected"),
     )
 
+def plate_is(plate: str, strict_key: bool = False) -> Column:
+    """The plate, normalised like the HTTP API (case, whitespace runs) or only
+    stripped and upper-cased (``strict_key``)."""
+    return F.col("plate_number") == (lookup_key if strict_key else normalize_plate)(F.lit(plate))
+
+def camera_day_is(camera_id: str, day: dt.date | str, date_column: str = "violation_date") -> Column:
+    return (F.col(date_column) == _day(day)) & (F.col("camera_id") == lookup_key(F.lit(camera_id)))
+
+def type_day_is(violation_type: str, day: dt.date | str) -> Column:
+    return (F.col("violation_date") == _day(day)) & (F.col("violation_type") == lookup_key(F.lit(violation_type)))
+
 def violations_by_plate(violations: DataFrame, plate: str, limit: int = DEFAULT.plate_limit,
                         strict_key: bool = False) -> DataFrame:
     """All violations of one vehicle, any day, newest first. The plate is
@@ -62,32 +74,28 @@ def violations_by_plate(violations: DataFrame, plate: str, limit: int = DEFAULT.
     stripped and upper-cased like the command line (``strict_key``, any positive
     limit)."""
     _check_limit(limit, None if strict_key else 1000)
-    key = lookup_key(F.lit(plate)) if strict_key else normalize_plate(F.lit(plate))
-    return (violations.filter(F.col("plate_number") == key)
+    return (violations.filter(plate_is(plate, strict_key))
             .orderBy(*stored_order()).limit(limit))
 
 def violations_by_camera(violations: DataFrame, camera_id: str, day: dt.date | str,
                          limit: int = DEFAULT.cli_limit) -> DataFrame:
     """Violations at one camera on one local day, newest first."""
     _check_limit(limit)
-    return (violations.filter((F.col("violation_date") == _day(day))
-                              & (F.col("camera_id") == lookup_key(F.lit(camera_id))))
+    return (violations.filter(camera_day_is(camera_id, day))
             .orderBy(*stored_order()).limit(limit))
 
 def violations_by_type(violations: DataFrame, violation_type: str, day: dt.date | str,
                        limit: int = DEFAULT.cli_limit) -> DataFrame:
     """Violations of one type on one local day, newest first."""
     _check_limit(limit)
-    return (violations.filter((F.col("violation_date") == _day(day))
-                              & (F.col("violation_type") == lookup_key(F.lit(violation_type))))
+    return (violations.filter(type_day_is(violation_type, day))
             .orderBy(*stored_order()).limit(limit))
 
 def stats_by_camera(stats: DataFrame, camera_id: str, day: dt.date | str,
                     limit: int = DEFAULT.cli_limit) -> DataFrame:
     """Sliding-window statistics of one camera on one local day, newest window first."""
     _check_limit(limit)
-    return (stats.filter((F.col("stat_date") == _day(day))
-                         & (F.col("camera_id") == lookup_key(F.lit(camera_id))))
+    return (stats.filter(camera_day_is(camera_id, day, "stat_date"))
             .orderBy(F.col("window_start").desc()).limit(limit))
 
 def day_violations(violations: DataFrame, day: dt.date | str,
@@ -121,6 +129,25 @@ def lookback(violations: DataFrame, day: dt.date | str, now: dt.datetime,
     since = _instant(now) - F.expr(f"INTERVAL {settings.api_lookback_minutes} MINUTES")
     return day_violations(violations, day).filter(F.col(on) >= since)
 
+def poll_step(snapshot: DataFrame | None, fetched: DataFrame, day: dt.date | str,
+              settings: Settings = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """One step of the client's snapshot: (next snapshot, news), from what it holds and
+    the API records fetched now.
+
+    Without a snapshot, or with one of another day (``snapshot`` has no record of
+    ``day``), the step is a silent first load: the fetched records become the snapshot
+    and nothing is news. Otherwise fetched copies replace held ones with their id, the
+    others stay, and unknown ids are the news. A full reload is a step with all of
+    the day's records."""
+    from trafficwatch.operators.dedupe import merge_snapshot
+
+    day = day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
+    if snapshot is not None:
+        held = snapshot.where(F.substring("time", 1, 10) == day.isoformat())
+        if not held.isEmpty():
+            return merge_snapshot(held, fetched), news(held, fetched)
+    return fetched, news(fetched, fetched)
+
 def news(seen: DataFrame, fetched: DataFrame, initial: bool = False) -> DataFrame:
     """Fetched API records whose id is not yet known, oldest first. The first
     load of a day is history, not news (``initial``)."""

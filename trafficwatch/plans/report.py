@@ -93,91 +93,44 @@ def latest_detection_age(records: DataFrame, now: dt.datetime) -> DataFrame:
     return records.agg(F.when(newest.isNotNull(), F.greatest(F.lit(0.0), age)).alias("age_seconds"))
 
 
-def violations_today(records: DataFrame, day: dt.date | str) -> DataFrame:
-    """Count of the day's records, as a one-row aggregate."""
+def event_rate(readings: DataFrame, poll_seconds: int = 300) -> DataFrame:
+    """Running total and rate of readings on event time, one row per poll (the end of
+    each time bucket that has readings): ``poll_time, total, events_per_sec``. The rate
+    is the change of the total over the seconds since the previous poll; 0 at the first.
+
+    Readings are counted per bucket with partial aggregation. Running totals then go in
+    two levels, inside each day and over one row per day, so no task holds all polls."""
+    us, step, day_us = F.unix_micros("event_time"), poll_seconds * 1_000_000, 86_400_000_000
+    polls = readings.groupBy((us - F.pmod(us, F.lit(step)) + F.lit(step)).alias("at")) \
+        .agg(F.count(F.lit(1)).alias("n")).withColumn("day", F.floor(F.col("at") / F.lit(day_us)))
+    days = polls.groupBy("day").agg(F.sum("n").alias("of_day"), F.max("at").alias("last_poll"))
+    in_order = Window.orderBy("day")
+    before = days.select("day", (F.sum("of_day").over(in_order) - F.col("of_day")).alias("earlier"),
+                         F.lag("last_poll").over(in_order).alias("day_before"))
+    inside = Window.partitionBy("day").orderBy("at")
+    known = polls.withColumns({"so_far": F.sum("n").over(inside), "in_day": F.lag("at").over(inside)}).join(before, "day")
+    previous = F.coalesce("in_day", "day_before")
+    rate = F.when(previous.isNull(), F.lit(0.0)).otherwise(F.col("n") / ((F.col("at") - previous) / F.lit(1e6)))
+    return known.select(F.timestamp_micros("at").alias("poll_time"),
+                        (F.col("so_far") + F.col("earlier")).cast("long").alias("total"),
+                        rate.alias("events_per_sec"))
+
+
+def health_counters(readings: DataFrame, records: DataFrame, day: dt.date | str, now: dt.datetime) -> DataFrame:
+    """Health counters as ``(metric, value)`` rows: readings in total and per second at
+    the latest poll, age of the newest detection, violations of the day. Each source is
+    aggregated once to one row, which is then stacked into metrics."""
     day = day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
-    return records.agg(F.count_if(F.col("violation_date") == F.lit(day)).alias("violations_today"))
-
-
-def offset_rate(snapshots: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
-    """Topic total and ingest rate per poll from partition end-offset snapshots
-    (``poll_time, topic_partition, end_offset``). The rate is the change of the
-    total over the seconds since the previous poll, floored at 0; the first poll
-    (and a poll at the same time as its predecessor) has rate 0.
-
-    The previous poll is found with ``lag`` inside time buckets (one task per
-    bucket, not one for all polls); the first poll of a bucket takes the last
-    poll of the nearest earlier bucket from a table with one row per bucket."""
-    bucket_us = bucket_seconds * 1_000_000
-    us = F.unix_micros("poll_time")
-    totals = (snapshots.groupBy("poll_time").agg(F.sum("end_offset").alias("total"))
-              .withColumn("_us", us)
-              .withColumn("_b", F.col("_us") - F.pmod(F.col("_us"), F.lit(bucket_us))))
-    in_bucket = Window.partitionBy("_b").orderBy("_us")
-    local = (totals.withColumn("_pus", F.lag("_us").over(in_bucket))
-             .withColumn("_ptotal", F.lag("total").over(in_bucket)))
-    last = totals.groupBy("_b").agg(F.max_by(F.struct("_us", "total"), "_us").alias("_last"))
-    # One row per bucket: the ordered lag here is over buckets, not polls.
-    carried = last.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_carry"))
-    joined = local.join(carried, on="_b", how="left")
-    pus = F.coalesce(F.col("_pus"), F.col("_carry._us"))
-    ptotal = F.coalesce(F.col("_ptotal"), F.col("_carry.total"))
-    rate = F.when(pus.isNull() | (F.col("_us") <= pus), F.lit(0.0)).otherwise(
-        F.greatest(F.lit(0.0), (F.col("total") - ptotal) / ((F.col("_us") - pus) / F.lit(1e6)))
-    )
-    return joined.select("poll_time", "total", rate.alias("events_per_sec"))
-
-
-def topic_offsets(readings: DataFrame, partitions: int = 3, poll_seconds: int = 300) -> DataFrame:
-    """End-offset snapshots a broker would report for the readings as messages
-    keyed by plate: one row per poll and partition, ``end_offset`` = messages of
-    that partition with event time before the poll. Counts are pre-aggregated per
-    (partition, poll) before the running sum, so each task sums poll counts."""
-    poll_us = poll_seconds * 1_000_000
-    us = F.unix_micros("event_time")
-    part = F.pmod(F.conv(F.substring(F.md5(F.col("plate_number")), 1, 8), 16, 10).cast("long"),
-                  F.lit(partitions)).cast("int")
-    counts = readings.groupBy(
-        part.alias("topic_partition"),
-        (us - F.pmod(us, F.lit(poll_us)) + F.lit(poll_us)).alias("_poll"),
-    ).agg(F.count(F.lit(1)).alias("n"))
-    grid = (counts.select("_poll").distinct()
-            .withColumn("topic_partition", F.explode(F.sequence(F.lit(0), F.lit(partitions - 1)))))
-    filled = grid.join(counts, on=["_poll", "topic_partition"], how="left")
-    running = Window.partitionBy("topic_partition").orderBy("_poll").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return filled.select(
-        F.timestamp_micros(F.col("_poll")).alias("poll_time"),
-        "topic_partition",
-        F.sum(F.coalesce(F.col("n"), F.lit(0))).over(running).cast("long").alias("end_offset"),
-    )
+    latest = event_rate(readings).agg(F.max_by(F.struct("total", "events_per_sec"), "poll_time").alias("p"))
+    newest = F.max("detected_at")
+    age = F.greatest(F.lit(0.0), (F.unix_micros(_instant(now)) - F.unix_micros(newest)) / F.lit(1_000_000.0))
+    detected = records.agg(F.when(newest.isNotNull(), age).alias("age"),
+                           F.count_if(F.col("violation_date") == F.lit(day)).cast("double").alias("today"))
 
+    def stacked(row: DataFrame, **metrics) -> DataFrame:
+        pairs = F.array(*[F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"))
+                          for name, value in metrics.items()])
+        return row.select(F.inline(pairs))
 
-def tasks_completed(executors: DataFrame) -> DataFrame:
-    """Completed tasks summed over executor snapshots (``executor_id, completed_tasks``)."""
-    return executors.agg(F.coalesce(F.sum("completed_tasks"), F.lit(0)).alias("tasks_completed"))
-
-
-def health_counters(snapshots: DataFrame, records: DataFrame, day: dt.date | str,
-                      now: dt.datetime, executors: DataFrame | None = None) -> DataFrame:
-    """Health counters as ``(metric, value)`` rows: topic total and ingest rate at
-    the latest poll, age of the newest detection, violations of the day and
-    (given executor snapshots) completed tasks. Each metric is a one-row
-    aggregate; they are stacked with ``unionByName``, never joined."""
-    rates = offset_rate(snapshots)
-    latest = rates.agg(F.max_by(F.struct("total", "events_per_sec"), "poll_time").alias("p"))
-    parts = [
-        latest.select(F.lit("topic_total").alias("metric"), F.col("p.total").cast("double").alias("value")),
-        latest.select(F.lit("events_per_sec").alias("metric"), F.col("p.events_per_sec").alias("value")),
-        latest_detection_age(records, now).select(F.lit("latest_violation_age").alias("metric"),
-                                                  F.col("age_seconds").alias("value")),
-        violations_today(records, day).select(F.lit("violations_today").alias("metric"),
-                                              F.col("violations_today").cast("double").alias("value")),
-    ]
-    if executors is not None:
-        parts.append(tasks_completed(executors).select(
-            F.lit("tasks_completed").alias("metric"), F.col("tasks_completed").cast("double").alias("value")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return stacked(latest, topic_total=F.col("p.total"), events_per_sec=F.col("p.events_per_sec")).unionByName(
+        stacked(detected, latest_violation_age=F.col("age"), violations_today=F.col("today")))

@@ -6,7 +6,6 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
-    LongType,
     StringType,
     StructField,
     StructType,
@@ -83,18 +82,3 @@ CAMERA_STATS = StructType([
     StructField("pct_over_limit", DoubleType()),
     StructField("speed_limit_kph", IntegerType()),
 ])
-CAMERA_STATS_COLUMNS = tuple(f.name for f in CAMERA_STATS.fields)
-
-# The 12 columns the serving layer reads.
-SERVING_COLUMNS = (
-    "violation_id", "violation_time", "violation_type", "plate_number", "vehicle_type",
-    "camera_id", "location_name", "recorded_speed_kph", "speed_limit_kph", "evidence",
-    "ticket_status", "detected_at",
-)
-
-# Snapshots for the health counters.
-OFFSET_SNAPSHOT = StructType([
-    StructField("poll_time", TimestampType()),
-    StructField("topic_partition", IntegerType()),
-    StructField("end_offset", LongType()),
-])

@@ -43,10 +43,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     (Spark already uses it for ``DataFrame.checkpoint()``). When it is unset
     (local runs and tests) a fresh local folder is created once per Spark
     context and registered with ``setCheckpointDir``; the setting itself is a
-    startup option and is not written."""
+    startup option and is not written. On any other master that is an error: executors
+    and a restarted driver would not see the driver's own disk."""
     root = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(_CHECKPOINT_KEY)
     if root:
         return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError(f"set {_CHECKPOINT_KEY} to a folder on shared storage")
     key = id(spark.sparkContext)
     if key not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="trafficwatch-ckpt-")

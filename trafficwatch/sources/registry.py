@@ -1,18 +1,20 @@
 """Camera registry: file source, the job's projection, the client listing."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficwatch import schemas
 from trafficwatch.config import CAMERA_FIELDS
-from trafficwatch.functions.text import strip
+from trafficwatch.functions.text import parse_number, strip
+from trafficwatch.functions.timeutil import require_parsed
+from trafficwatch.sources.telemetry import csv_text
 
 
-def load_cameras(spark: SparkSession, path: str) -> DataFrame:
-    """Registry CSV with a header: text stripped, numbers typed, type upper-cased.
-    A bad number fails the read (ANSI cast), like the reference's loader."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+def load_cameras(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Registry CSV with a header: text stripped, numbers typed, type upper-cased. A
+    missing or unreadable number fails the read, whatever the session's ANSI setting."""
+    raw = csv_text(spark, path, multi_line)
     missing = [c for c in CAMERA_FIELDS if c not in raw.columns]
     if missing:
         raise ValueError(f"{path} is missing required columns: {', '.join(missing)}")
@@ -21,15 +23,17 @@ def load_cameras(spark: SparkSession, path: str) -> DataFrame:
 
 def typed_cameras(raw: DataFrame) -> DataFrame:
     """Typed registry rows from all-text columns."""
-    return raw.select(
-        strip("camera_id").alias("camera_id"),
-        strip("location_name").alias("location_name"),
-        strip("road_name").alias("road_name"),
-        strip("city").alias("city"),
-        strip("latitude").cast("double").alias("latitude"),
-        strip("longitude").cast("double").alias("longitude"),
-        strip("speed_limit_kph").cast("int").alias("speed_limit_kph"),
-        F.upper(strip("camera_type")).alias("camera_type"),
+    texts = raw.select(*[strip(c).alias(c) for c in CAMERA_FIELDS])
+
+    def number(name: str) -> Column:
+        return require_parsed(F.col(name), parse_number(name), name)
+
+    limit = F.when(F.col("speed_limit_kph").rlike(r"^[+-]?\d+$"), F.col("speed_limit_kph").try_cast("int"))
+    return texts.select(
+        "camera_id", "location_name", "road_name", "city",
+        number("latitude").alias("latitude"), number("longitude").alias("longitude"),
+        require_parsed(F.col("speed_limit_kph"), limit, "speed_limit_kph").alias("speed_limit_kph"),
+        F.upper("camera_type").alias("camera_type"),
     )
 
 

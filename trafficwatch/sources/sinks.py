@@ -1,65 +1,124 @@
-"""Sinks: telemetry CSV, the violation and statistics tables.
+"""Sinks: telemetry CSV, the violation and statistics store.
 
-The violation store is one Parquet table. Streaming micro-batches land in
-``<root>/<query>/batch_id=N/``, each written with overwrite, so a replayed batch
-replaces itself (at-least-once delivery made idempotent). Readers apply the
-keyed upsert; ``compact`` rewrites the table partitioned by local date and type
-and sorted by plate and time inside each file, the layout the lookups prune on.
+Store layout under one root::
+
+    <query>/run=<id>/batch_id=N/       micro-batches; <id> is the identity that the
+                                       query's checkpoint keeps
+    compacted/version=V/               violations by date and type, sorted by plate
+    manifest/version=V/                one row: the newest file that version V has read
+
+A replayed micro-batch overwrites its own folder. Another job, or a fresh checkpoint
+whose batch numbers start again, has another identity and writes beside the earlier rows.
+Readers take the newest compacted version and the micro-batches written since, push
+their key filter into both, and apply the keyed upsert to what is left.
 """
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trafficwatch import schemas
 from trafficwatch.operators.dedupe import upsert
 
+VIOLATION_QUERIES = ("speeding_violations", "red_light_violations", "illegal_parking_violations")
+_MANIFEST = "version long, read_until timestamp"
+
 
 def write_csv(readings: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Telemetry as CSV with a header; nulls as empty fields, ISO times."""
+    """Telemetry as CSV with a header; nulls as empty fields, ISO times, quotes doubled."""
     from trafficwatch.functions.timeutil import iso_text
 
     out = readings.withColumn("event_time", iso_text("event_time"))
-    (out.write.mode(mode).option("header", True).option("nullValue", "")
-     .option("emptyValue", "").csv(path))
+    (out.write.mode(mode).option("header", True).option("nullValue", "").option("emptyValue", "")
+     .option("escape", '"').csv(path))
 
 
-def write_batch(batch: DataFrame, root: str, query: str, batch_id: int) -> None:
+def write_batch(batch: DataFrame, root: str, query: str, run: str, batch_id: int) -> None:
     """Write one micro-batch to its own directory, replacing an earlier attempt."""
-    batch.write.mode("overwrite").parquet(os.path.join(root, query, f"batch_id={batch_id}"))
+    batch.write.mode("overwrite").parquet(os.path.join(root, query, f"run={run}", f"batch_id={batch_id}"))
 
 
-VIOLATION_QUERIES = ("speeding_violations", "red_light_violations", "illegal_parking_violations")
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, on whatever store Spark reads it from."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def _read_batches(spark: SparkSession, root: str, queries, schema) -> DataFrame:
-    pattern = os.path.join(root, "{" + ",".join(queries) + "}")
-    try:
-        return (spark.read.schema(schema).option("recursiveFileLookup", "true")
-                .parquet(pattern).select(*schema.fieldNames()))
-    except AnalysisException:  # nothing written yet
-        return spark.createDataFrame([], schema)
-
-
-def read_violations(spark: SparkSession, root: str, queries=VIOLATION_QUERIES,
-                    day=None) -> DataFrame:
-    """All micro-batches written under ``root`` by the violation queries, upserted
-    by id (last write wins). With ``day`` only that local date is read; the filter
-    runs before the upsert's shuffle (the date is a function of the id)."""
-    raw = _read_batches(spark, root, queries, schemas.VIOLATION)
-    if day is not None:
-        raw = raw.filter(F.col("violation_date") == F.lit(day))
-    return upsert(raw)
+def require_store(spark: SparkSession, root: str) -> None:
+    """Raise ``FileNotFoundError`` unless ``root`` exists: a mistyped path is not an
+    empty store."""
+    if not _exists(spark, root):
+        raise FileNotFoundError(f"no violation store at {root}")
 
 
-def read_stats(spark: SparkSession, root: str, query: str = "camera_speed_stats") -> DataFrame:
-    """Camera statistics micro-batches, one row per (camera, window) (upsert on
-    the table key, last write wins)."""
-    raw = _read_batches(spark, root, [query], schemas.CAMERA_STATS)
-    return upsert(raw, key=["camera_id", "window_start"],
+def _table(spark: SparkSession, path: str, schema: StructType | str, **options) -> DataFrame | None:
+    """A Parquet folder of the store, or None where nothing has been written yet."""
+    if not _exists(spark, path):
+        return None
+    try:
+        return spark.read.options(**options).schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _batches(spark: SparkSession, root: str, query: str, schema: StructType) -> DataFrame | None:
+    return _table(spark, os.path.join(root, query), schema, recursiveFileLookup="true")
+
+
+def _newest_version(spark: SparkSession, root: str) -> tuple | None:
+    """(version, read_until) of the newest complete compaction; one small row each."""
+    manifest = _table(spark, os.path.join(root, "manifest"), _MANIFEST, recursiveFileLookup="true")
+    return manifest and manifest.orderBy(F.desc("version")).first()
+
+
+def _stored(spark: SparkSession, root: str, queries, where: Column | None) -> DataFrame:
+    """Rows of the newest compacted version and of the micro-batches since, filtered.
+    The date, type, plate and camera of a violation follow from its id, so a filter on
+    them may run before the upsert."""
+    names = schemas.VIOLATION.fieldNames()
+    parts = [spark.createDataFrame([], schemas.VIOLATION)]
+    newest = _newest_version(spark, root)
+    if newest:
+        parts.append(read_compacted(spark, os.path.join(root, "compacted", f"version={newest.version}")))
+    for query in queries:
+        rows = _batches(spark, root, query, schemas.VIOLATION)
+        if rows is not None:
+            # A file as old as the newest compacted one may be in both: the upsert folds it.
+            since = F.lit(True) if not newest else F.col("_metadata.file_modification_time") >= F.lit(newest.read_until)
+            parts.append(rows.where(since).select(*names))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found if where is None else found.where(where)
+
+
+def read_violations(spark: SparkSession, root: str, queries=VIOLATION_QUERIES, day=None,
+                    where: Column | None = None) -> DataFrame:
+    """The store's violations, upserted by id (last write wins): all, those of one local
+    ``day``, or those of a ``where`` on columns that follow from the id."""
+    require_store(spark, root)
+    if day is not None:
+        of_day = F.col("violation_date") == F.lit(day)
+        where = of_day if where is None else where & of_day
+    return upsert(_stored(spark, root, queries, where))
+
+
+def read_stats(spark: SparkSession, root: str, query: str = "camera_speed_stats",
+               where: Column | None = None) -> DataFrame:
+    """Camera statistics, one row per (camera, window) (upsert on the table key, last
+    write wins); ``where`` may filter on camera, window and date."""
+    require_store(spark, root)
+    rows = _batches(spark, root, query, schemas.CAMERA_STATS)
+    if rows is None:
+        rows = spark.createDataFrame([], schemas.CAMERA_STATS)
+    rows = rows.select(*schemas.CAMERA_STATS.fieldNames())
+    return upsert(rows if where is None else rows.where(where), key=["camera_id", "window_start"],
                   order=("window_end", "reading_count", "avg_speed_kph"))
 
 
@@ -78,5 +137,23 @@ def compact_violations(violations: DataFrame, path: str) -> None:
 
 
 def read_compacted(spark: SparkSession, path: str) -> DataFrame:
-    """The compacted table; filters on date and type prune partitions."""
-    return spark.read.parquet(path).select(*schemas.VIOLATION_COLUMNS)
+    """A compacted table; filters on date and type prune partitions."""
+    return spark.read.schema(schemas.VIOLATION).parquet(path).select(*schemas.VIOLATION.fieldNames())
+
+
+def compact_store(spark: SparkSession, root: str, queries=VIOLATION_QUERIES) -> int:
+    """Write the next compacted version of the store and return its number. The manifest
+    row comes last, so an interrupted compaction is never read; micro-batches that
+    arrive meanwhile are newer than the version and read beside it."""
+    require_store(spark, root)
+    newest = _newest_version(spark, root)
+    version = newest.version + 1 if newest else 1
+    written = [rows.select(F.col("_metadata.file_modification_time").alias("at"))
+               for query in queries if (rows := _batches(spark, root, query, schemas.VIOLATION)) is not None]
+    until = max((t for rows in written if (t := rows.agg(F.max("at")).first()[0])), default=None)
+    if until is None:
+        return newest.version if newest else 0
+    compact_violations(read_violations(spark, root, queries), os.path.join(root, "compacted", f"version={version}"))
+    spark.createDataFrame([(version, until)], _MANIFEST).coalesce(1).write.mode("overwrite").parquet(
+        os.path.join(root, "manifest", f"version={version}"))
+    return version

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from trafficwatch import schemas
 from trafficwatch.config import DEFAULT, REQUIRED_FIELDS, TELEMETRY_FIELDS, Settings
-from trafficwatch.functions.text import blank_to_null, parse_bool, strip
+from trafficwatch.functions.text import parse_bool, parse_number, strip
 from trafficwatch.functions.timeutil import parse_time, require_parsed
 
 # telemetry field -> source column; edit a copy to read a file with other names.
@@ -129,51 +129,57 @@ def normalize_rows(raw: DataFrame, mapping: Mapping[str, str] = COLUMN_MAPPING,
     """All-text rows (mapped column names) -> typed telemetry.
 
     Camera stripped; plate stripped and upper-cased; optional text blank -> null;
-    numbers cast; light upper-cased; loose booleans; ISO time with ``Z``, offsets,
-    or naive = declared zone. ``mode="fail"`` raises on a bad number or time
-    (whatever the session's ANSI setting), ``"drop"`` drops such rows. A missing
-    event id defaults to a SHA-256
-    of the row (``event_id_default="hash"``, reproducible) or a random UUID.
+    numbers parsed; light upper-cased; loose booleans; ISO time with ``Z``, offsets,
+    or naive = declared zone. Coordinates, speed and time are required:
+    ``mode="fail"`` raises on one that is missing, blank or unreadable (whatever the
+    session's ANSI setting), ``"drop"`` drops such rows. A missing event id defaults to
+    a SHA-256 of the row (``event_id_default="hash"``, reproducible) or a random UUID.
     Columns named in ``keep`` are passed through unchanged."""
     if mode not in ("fail", "drop"):
         raise ValueError("mode must be 'fail' or 'drop'")
     check_columns(raw.columns, mapping)
     strict = mode == "fail"
+    sources = {f: _source(raw, mapping, f) for f in TELEMETRY_FIELDS}
+    row_hash = F.sha2(F.concat_ws("\u0001", *[F.coalesce(c, F.lit("")) for c in sources.values()]), 256)
+    # Each field is stripped once, in a projection of its own.
+    texts = raw.select(*[strip(c).alias(f) for f, c in sources.items()], row_hash.alias("_row_hash"), *keep)
 
     def number(field: str) -> Column:
-        text = strip(_source(raw, mapping, field))
-        parsed = text.try_cast("double")
-        return require_parsed(text, parsed, field) if strict else parsed
-
-    src = {f: _source(raw, mapping, f) for f in TELEMETRY_FIELDS}
-    light = blank_to_null(src["traffic_light_state"])
-    row_hash = F.sha2(F.concat_ws("\u0001", *[F.coalesce(src[f], F.lit("")) for f in TELEMETRY_FIELDS]), 256)
-    default_id = row_hash if event_id_default == "hash" else F.expr("uuid()")
-    typed = raw.select(
-        F.coalesce(blank_to_null(src["event_id"]), default_id).alias("event_id"),
-        strip(src["camera_id"]).alias("camera_id"),
-        F.upper(strip(src["plate_number"])).alias("plate_number"),
-        blank_to_null(src["vehicle_type"]).alias("vehicle_type"),
+        parsed = parse_number(field)
+        return require_parsed(F.col(field), parsed, field) if strict else parsed
+
+    def optional(field: str) -> Column:
+        return F.nullif(F.col(field), F.lit(""))
+
+    default_id = F.col("_row_hash") if event_id_default == "hash" else F.expr("uuid()")
+    typed = texts.select(
+        F.coalesce(optional("event_id"), default_id).alias("event_id"),
+        F.col("camera_id"),
+        F.upper("plate_number").alias("plate_number"),
+        optional("vehicle_type").alias("vehicle_type"),
         number("latitude").alias("latitude"),
         number("longitude").alias("longitude"),
         number("speed_kph").alias("speed_kph"),
-        F.upper(light).alias("traffic_light_state"),
-        parse_bool(src["stop_line_crossed"]).alias("stop_line_crossed"),
-        parse_time(src["event_time"], settings.timezone, strict=strict).alias("event_time"),
-        *[F.col(c) for c in keep],
+        F.upper(optional("traffic_light_state")).alias("traffic_light_state"),
+        parse_bool("stop_line_crossed").alias("stop_line_crossed"),
+        parse_time("event_time", settings.timezone, strict=strict).alias("event_time"),
+        *keep,
     )
-    if strict:
-        return typed
-    ok = (F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
-          & F.col("speed_kph").isNotNull() & F.col("event_time").isNotNull())
-    return typed.filter(ok)
-
-
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file with a header, every column as text; the file position of each
-    row is kept in ``_file`` and ``_pos`` so "first in the file" stays defined."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return raw.select(
+    return typed if strict else typed.dropna(subset=["latitude", "longitude", "speed_kph", "event_time"])
+
+
+def csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A CSV file with a header in the RFC 4180 dialect (a quote in a quoted field is
+    doubled), every column as text. ``multi_line`` is for files with line breaks inside
+    quotes: such a file cannot be split, so each is read by one task."""
+    return (spark.read.option("header", True).option("inferSchema", False).option("quote", '"')
+            .option("escape", '"').option("multiLine", multi_line).csv(path))
+
+
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """:func:`csv_text` with the file position of each row in ``_file``, ``_block`` and
+    ``_pos``, so "first in the file" stays defined."""
+    return csv_text(spark, path, multi_line).select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -182,11 +188,12 @@ def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_events(spark: SparkSession, path: str, mapping: Mapping[str, str] = COLUMN_MAPPING,
-                settings: Settings = DEFAULT, mode: str = "fail", sort: bool = True) -> DataFrame:
+                settings: Settings = DEFAULT, mode: str = "fail", sort: bool = True,
+                multi_line: bool = False) -> DataFrame:
     """Telemetry CSV -> typed readings, first row of each event id, time order."""
     from trafficwatch.operators.dedupe import first_per_key
 
-    raw = read_csv_text(spark, path)
+    raw = read_csv_text(spark, path, multi_line)
     check_columns([c for c in raw.columns if c not in _POSITION], mapping, where=path)
     typed = normalize_rows(raw, mapping, settings, mode, keep=_POSITION)
     events = first_per_key(typed, "event_id", order=list(_POSITION)).drop(*_POSITION)

@@ -2,7 +2,7 @@
 
     source (Kafka topic or JSON-lines files)
       -> decode + validate -> watermark on event_time
-      -> broadcast join with the registry (size-checked)
+      -> join with the registry
       -> speeding / red light / illegal parking / camera stats
       -> foreachBatch: one idempotent Parquet directory per micro-batch
 
@@ -11,8 +11,9 @@ validates into a date-partitioned Parquet readings table, and the four detection
 queries stream from that table, so each message is parsed once, not four times.
 
 Each query has its own checkpoint under ``spark.checkpoint.dir`` and restarts
-from it; a re-run of a micro-batch overwrites the same ``batch_id`` directory,
-so delivery is at-least-once and the stored effect exactly-once. Windows are
+from it; a re-run of a micro-batch overwrites the same ``batch_id`` directory of
+the checkpoint's own run folder, so delivery is at-least-once and the stored effect
+exactly-once, and another job or a fresh checkpoint never overwrites stored rows. Windows are
 emitted in append mode only once the watermark has passed them, so every
 written row is final. For many live plates use the RocksDB state store
 (:data:`STREAMING_CONF`) and size ``spark.sql.shuffle.partitions`` before the
@@ -66,7 +67,7 @@ def enriched_stream(spark: SparkSession, cameras: DataFrame, settings: Settings
     with plates normalised and repeated event ids dropped within the watermark."""
     raw = read_message_stream(spark, source, **source_options)
     readings = telemetry(raw, settings, normalize_plates=normalize_plates, dedupe=dedupe)
-    return enrich(readings, cameras, settings)
+    return enrich(readings, cameras)
 
 
 def detections(enriched: DataFrame, settings: Settings = DEFAULT,
@@ -80,18 +81,27 @@ def detections(enriched: DataFrame, settings: Settings = DEFAULT,
     }
 
 
-def batch_writer(root: str, name: str, debug: bool = False,
+def run_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a query's checkpoint: the same after every restart,
+    another one for a fresh checkpoint."""
+    return json.loads(spark.read.text(os.path.join(checkpoint, "metadata")).first()[0])["id"]
+
+
+def batch_writer(root: str, name: str, checkpoint: str, debug: bool = False,
                  log: Callable[[str], None] | None = print) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function: skip an empty batch, else write it to its own
-    ``batch_id`` directory (overwrite, so a replay replaces it). The batch is
+    """``foreachBatch`` function: skip an empty batch, else write it to its own folder
+    of this checkpoint's run (overwrite, so a replay replaces it). The batch is
     persisted before the emptiness check so it is computed once."""
+    known: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             if batch.isEmpty():
                 return
-            write_batch(batch, root, name, batch_id)
+            if not known:
+                known.append(run_identity(batch.sparkSession, checkpoint))
+            write_batch(batch, root, name, known[0], batch_id)
             if log:
                 log(f"[{name}] batch {batch_id}: wrote {batch.count()} rows")
             if debug:
@@ -108,10 +118,11 @@ def start_query(df: DataFrame, name: str, store_root: str, checkpoints: str,
     """Start one append-mode query with its own checkpoint. ``available_now``
     processes what is there and stops (bounded runs, tests, backfills);
     otherwise a processing-time trigger of ``settings.trigger_interval``."""
+    checkpoint = os.path.join(checkpoints, name)
     writer = (df.writeStream.queryName(name)
               .outputMode("append")
-              .foreachBatch(batch_writer(store_root, name, debug, log))
-              .option("checkpointLocation", os.path.join(checkpoints, name)))
+              .foreachBatch(batch_writer(store_root, name, checkpoint, debug, log))
+              .option("checkpointLocation", checkpoint))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=settings.trigger_interval))
     return writer.start()
@@ -170,7 +181,7 @@ def staged_stream(spark: SparkSession, readings_path: str, cameras: DataFrame,
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     readings = (reader.parquet(readings_path).drop("event_date")
                 .withWatermark("event_time", settings.watermark_delay))
-    return enrich(readings, cameras, settings)
+    return enrich(readings, cameras)
 
 
 def run_until_any_ends(spark: SparkSession, timeout: float | None = None) -> bool:
