@@ -15,8 +15,8 @@ def con():
     return duck(SF_SMALL)
 
 
-def test_every_query_but_the_sketch_has_an_oracle():
-    assert set(QUERIES) - set(SQL) == {"camera_speed_stats_approx"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) <= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

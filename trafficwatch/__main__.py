@@ -1,6 +1,6 @@
 """Command line: the streaming detector, the store lookups, ingestion and compaction.
 
-    python -m trafficwatch detect  --registry cameras.csv --input DIR --store DIR [--stage DIR] [--available-now]
+    python -m trafficwatch detect  --registry cameras.csv --input DIR --store DIR [--stage DIR | --direct] [--available-now]
     python -m trafficwatch publish --csv telemetry.csv --out DIR [--start ISO] [--passes N] [--limit N]
     python -m trafficwatch lookup --store DIR (--plate P | --camera C [--stats] | --type T) [--day D] [--limit N]
     python -m trafficwatch compact --store DIR
@@ -34,7 +34,9 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--store", required=True, help="root folder of the violation store")
     p.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     p.add_argument("--debug", action="store_true", help="show every written micro-batch")
-    p.add_argument("--stage", help="decode once into this Parquet readings table and detect from it")
+    p.add_argument("--stage", help="Parquet readings table that messages are decoded into once "
+                   "(default: STORE/readings)")
+    p.add_argument("--direct", action="store_true", help="no readings table: each query parses the source")
     p.add_argument("--normalize-plates", action="store_true", help="upper-case and collapse plate whitespace")
     p.add_argument("--dedupe", action="store_true", help="drop repeated event ids within the watermark")
     p.add_argument("--set", action="append", default=[], metavar="KEY=VALUE",
@@ -80,15 +82,16 @@ def main(argv: list[str] | None = None) -> None:
                                                    "subscribe": args.topic})
         else:
             source = dict(source="files", path=args.input)
-        if args.stage:
+        if not args.direct:
+            stage = args.stage or f"{args.store.rstrip('/')}/readings"
             raw = detector.read_message_stream(spark, **source)
-            ingest = detector.start_ingest(spark, raw, args.stage, settings,
+            ingest = detector.start_ingest(spark, raw, stage, settings,
                                            available_now=args.available_now, job=args.job,
                                            normalize_plates=args.normalize_plates,
                                            dedupe=args.dedupe)
             if args.available_now:
                 ingest.awaitTermination()
-            enriched = detector.staged_stream(spark, args.stage, cameras, settings)
+            enriched = detector.staged_stream(spark, stage, cameras, settings)
         else:
             enriched = detector.enriched_stream(spark, cameras, settings,
                                                 normalize_plates=args.normalize_plates,

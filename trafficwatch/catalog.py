@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +28,18 @@ from trafficwatch.operators.enrich import enrich
 from trafficwatch.plans import lookup, quality, report
 from trafficwatch.plans.present import present, round_mean
 from trafficwatch.sources.fixtures import fixture_cameras, fixture_readings, fixture_scenarios
-from trafficwatch.sources.registry import camera_listing
+from trafficwatch.session import checkpoint_root
+from trafficwatch.sources.registry import camera_listing, load_cameras
+from trafficwatch.sources.sinks import read_stats, read_violations
 from trafficwatch.sources.telemetry import (
     COLUMN_MAPPING,
+    load_events,
     normalize_rows,
     telemetry,
     telemetry_messages,
     valid_readings,
 )
+from trafficwatch.streaming import detector
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,9 +146,74 @@ def q_camera_speed_stats(spark, sf_dir):
     return present(df, means=("avg_speed_kph", "pct_over_limit"))
 
 
+# Three standard errors of the sketch (its default relative error is 5 %).
+APPROX_ERROR = 0.15
+
+
 def q_camera_speed_stats_approx(spark, sf_dir):
-    df = detect.camera_speed_stats(enriched_readings(spark, sf_dir), DEFAULT, distinct="approx")
-    return present(df, means=("avg_speed_kph", "pct_over_limit"))
+    """Every exact column, and whether the approximate vehicle count lies within three
+    standard errors (and one vehicle) of the exact one."""
+    rows = enriched_readings(spark, sf_dir)
+    exact = detect.camera_speed_stats(rows, DEFAULT, distinct="exact").select(
+        "camera_id", "window_start", F.col("vehicle_count").alias("exact"))
+    close = F.abs(F.col("vehicle_count") - F.col("exact")) <= 1 + APPROX_ERROR * F.col("exact")
+    stats = detect.camera_speed_stats(rows, DEFAULT, distinct="approx").join(exact, ["camera_id", "window_start"])
+    return present(stats.withColumn("vehicle_count_close", close), means=("avg_speed_kph", "pct_over_limit"),
+                   drop=("vehicle_count", "exact"))
+
+
+# The evidence sentences, with their exact parts as groups.
+SPEEDING_SENTENCE = (r"^Average (\d+\.\d) kph \(max (\d+\.\d) kph\) over (\d+) readings in a 1 minute "
+                     r"sliding window; limit (\d+) kph$")
+RED_LIGHT_SENTENCE = r"^Crossed the stop line on RED at (\d+\.\d) kph$"
+PARKING_SENTENCE = r"^Stationary for (\d+) s in a no-parking zone \((\d+) readings\); grace period 180 s$"
+
+
+def q_violation_evidence(spark, sf_dir):
+    """What the evidence sentences say: counts and limits as numbers, and whether the
+    sentence has its form and a mean rounded to one digit."""
+    def part(sentence, group):
+        return F.regexp_extract("evidence", sentence, group)
+
+    def near(said, value):
+        return F.abs(said.try_cast("double") - F.col(value)) <= 0.05 + 1e-9
+
+    kind = F.col("violation_type")
+    stood = F.floor(F.unix_micros("window_end") / F.lit(1e6)) - F.floor(F.unix_micros("window_start") / F.lit(1e6))
+    speeding, red = kind == "SPEEDING", kind == "BEATING_RED_LIGHT"
+    right = (F.when(speeding, near(part(SPEEDING_SENTENCE, 1), "recorded_speed_kph"))
+             .when(red, near(part(RED_LIGHT_SENTENCE, 1), "recorded_speed_kph"))
+             .otherwise(part(PARKING_SENTENCE, 1).try_cast("long") == stood))
+    readings_said = (F.when(speeding, part(SPEEDING_SENTENCE, 3)).when(red, F.lit("1"))
+                     .otherwise(part(PARKING_SENTENCE, 2)))
+    return present(detections(spark, sf_dir).select(
+        "violation_id", "violation_type", "window_start", readings_said.try_cast("int").alias("said_readings"),
+        F.when(speeding, part(SPEEDING_SENTENCE, 4)).try_cast("int").alias("said_limit"),
+        F.coalesce(right, F.lit(False)).alias("sentence_right")))
+
+
+def _streamed_store(spark: SparkSession, sf_dir: str) -> str:
+    """Runs the streaming job over every reading as a message (staged, to the end) and
+    returns its store. Messages, tables and checkpoints go to the shared checkpoint folder."""
+    run = uuid.uuid4().hex[:12]
+    base = os.path.join(checkpoint_root(spark), "stream-queries", run)
+    messages = os.path.join(base, "messages")
+    telemetry_messages(readings(spark, sf_dir)).select("value").write.text(messages)
+    end = detector.end_of_stream_message(dt.datetime(2099, 1, 1, tzinfo=dt.timezone.utc))
+    spark.createDataFrame([(end,)], "value string").write.mode("append").text(messages)
+    store = os.path.join(base, "store")
+    detector.run_to_the_end(spark, cameras(spark, sf_dir), store, os.path.join(base, "readings"), job=f"query-{run}",
+                            path=messages)
+    return store
+
+
+def q_stream_violations(spark, sf_dir):
+    return present(read_violations(spark, _streamed_store(spark, sf_dir)), means=VIOLATION_MEANS, drop=("evidence",))
+
+
+def q_stream_stats(spark, sf_dir):
+    return present(read_stats(spark, _streamed_store(spark, sf_dir)), means=("avg_speed_kph", "pct_over_limit"),
+                   drop=("vehicle_count",))
 
 
 def q_violations_upserted(spark, sf_dir):
@@ -212,6 +283,18 @@ def q_snapshot_news(spark, sf_dir):
     return _api(lookup.news(seen, fetched))
 
 
+def q_snapshot_cycle(spark, sf_dir):
+    """Two polls of a client: a silent first load of the day at the previous poll, then
+    the lookback at now merged into that snapshot; news are marked."""
+    found = detections(spark, sf_dir)
+    day_then = lookup.api_record(lookup.day_violations(lookup.as_of(found, PREV_POLL), DAY))
+    fetched = lookup.api_record(lookup.lookback(lookup.as_of(found, NOW), DAY, NOW))
+    held, _ = lookup.poll_step(None, day_then, DAY)
+    snapshot, news = lookup.poll_step(held, fetched, DAY)
+    marked = snapshot.join(news.select("id", F.lit(True).alias("fresh")), "id", "left")
+    return _api(marked.withColumn("is_news", F.coalesce("fresh", F.lit(False))).drop("fresh"))
+
+
 def q_day_stats(spark, sf_dir):
     return report.day_stats(day_records(spark, sf_dir), NOW)
 
@@ -302,6 +385,21 @@ def q_normalize_csv_rows(spark, sf_dir):
     return present(normalize_rows(raw, EXPORT_MAPPING, DEFAULT, mode="fail"))
 
 
+def q_csv_events(spark, sf_dir):
+    """The same export written as CSV files and loaded back."""
+    path = os.path.join(checkpoint_root(spark), "csv-queries", uuid.uuid4().hex[:12])
+    csv_export(readings(spark, sf_dir)).write.option("header", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return present(load_events(spark, path, EXPORT_MAPPING, DEFAULT, mode="fail"))
+
+
+def q_csv_registry(spark, sf_dir):
+    """The registry written as CSV and loaded back, as the clients list it."""
+    path = os.path.join(checkpoint_root(spark), "csv-queries", uuid.uuid4().hex[:12])
+    cameras(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
+    return camera_listing(load_cameras(spark, path))
+
+
 def q_dedupe_events(spark, sf_dir):
     """Two files holding every reading; per id the copy earlier in file order
     (file name, then position) wins."""
@@ -396,6 +494,9 @@ _QUERIES: dict[str, Query] = {
     "speeding_windows": q_speeding_windows,
     "camera_speed_stats": q_camera_speed_stats,
     "camera_speed_stats_approx": q_camera_speed_stats_approx,
+    "violation_evidence": q_violation_evidence,
+    "stream_violations": q_stream_violations,
+    "stream_stats": q_stream_stats,
     "violations_upserted": q_violations_upserted,
     "violations_by_plate": q_violations_by_plate,
     "violations_by_camera": q_violations_by_camera,
@@ -404,6 +505,7 @@ _QUERIES: dict[str, Query] = {
     "violations_of_day": q_violations_of_day,
     "new_violations": q_new_violations,
     "snapshot_news": q_snapshot_news,
+    "snapshot_cycle": q_snapshot_cycle,
     "day_stats": q_day_stats,
     "counts_by_camera": q_counts_by_camera,
     "counts_by_type": q_counts_by_type,
@@ -415,6 +517,8 @@ _QUERIES: dict[str, Query] = {
     "health_counters": q_health_counters,
     "camera_listing": q_camera_listing,
     "normalize_csv_rows": q_normalize_csv_rows,
+    "csv_events": q_csv_events,
+    "csv_registry": q_csv_registry,
     "dedupe_events": q_dedupe_events,
     "decode_json": q_decode_json,
     "encode_messages": q_encode_messages,

@@ -232,6 +232,25 @@ SELECT {STATS_COLS} FROM stats"""
 SQL["violations_upserted"] = with_detections(
     f"SELECT {VIOLATION_COLS} FROM violations")
 
+# The approximate count is checked against the exact one inside the Spark query.
+SQL["camera_speed_stats_approx"] = BASE + "," + STATS + f"""
+SELECT {STATS_COLS.replace('vehicle_count', 'TRUE AS vehicle_count_close')} FROM stats"""
+
+SQL["violation_evidence"] = with_detections("""
+SELECT violation_id, violation_type, window_start, reading_count AS said_readings,
+       CASE WHEN violation_type = 'SPEEDING' THEN speed_limit_kph END AS said_limit, TRUE AS sentence_right
+FROM all_violations""")
+
+# The stream's messages carry milliseconds.
+_MILLIS = READINGS.replace("// 360 AS us", "// 360 - (1704067200000000 + (epoch_us(ts) - 1704067200000000) // 360) % 1000 AS us")
+_STREAM_BASE = "WITH " + ",".join([CAMS, _MILLIS, ENRICHED])
+
+SQL["stream_violations"] = _STREAM_BASE + "," + DETECTIONS + f"""
+SELECT {VIOLATION_COLS} FROM violations"""
+
+SQL["stream_stats"] = _STREAM_BASE + "," + STATS + f"""
+SELECT {STATS_COLS.replace('reading_count, vehicle_count', 'reading_count')} FROM stats"""
+
 # --- lookups and reports -------------------------------------------------------------
 # Parameters shared with trafficwatch.catalog.
 DAY = "DATE '2024-01-01'"
@@ -316,6 +335,15 @@ fetched AS (
 fresh AS (SELECT * FROM fetched WHERE violation_id NOT IN (SELECT violation_id FROM seen))
 """ + api("fresh")
 
+SQL["snapshot_cycle"] = SQL["new_violations"].split("fresh AS (")[0] + f"""
+held AS (
+  SELECT s.*, FALSE AS is_news FROM {_as_of(PREV_POLL)} s
+  WHERE violation_date = {DAY} AND violation_id NOT IN (SELECT violation_id FROM fetched)
+  UNION ALL
+  SELECT f.*, violation_id NOT IN (SELECT violation_id FROM seen) AS is_news FROM fetched f
+)
+""" + api("held").replace("AS detected", "AS detected, is_news")
+
 SQL["day_stats"] = with_day(f""",
 per_cam AS (
   SELECT camera_id, count(*) AS n,
@@ -365,21 +393,8 @@ _RATE = """CASE WHEN lag(poll) OVER w IS NULL OR poll <= lag(poll) OVER w THEN C
 
 OFFSETS = f"""
 valid_msgs AS (SELECT * FROM readings WHERE speed_kph >= 0 AND NOT isnan(speed_kph)),
-msgs AS (
-  SELECT CAST(('0x' || substr(md5(plate_number), 1, 8)) AS BIGINT) % 3 AS topic_partition,
-         us - us % 300000000 + 300000000 AS poll
-  FROM valid_msgs
-),
-counts AS (SELECT topic_partition, poll, count(*) AS n FROM msgs GROUP BY topic_partition, poll),
-grid AS (SELECT DISTINCT c.poll, p.topic_partition
-         FROM counts c CROSS JOIN range(3) p(topic_partition)),
-snap AS (
-  SELECT g.poll, g.topic_partition,
-         sum(coalesce(n, 0)) OVER (PARTITION BY g.topic_partition ORDER BY g.poll
-                                   ROWS UNBOUNDED PRECEDING) AS end_offset
-  FROM grid g LEFT JOIN counts c ON c.poll = g.poll AND c.topic_partition = g.topic_partition
-),
-totals AS (SELECT poll, CAST(sum(end_offset) AS BIGINT) AS total FROM snap GROUP BY poll),
+counts AS (SELECT us - us % 300000000 + 300000000 AS poll, count(*) AS n FROM valid_msgs GROUP BY poll),
+totals AS (SELECT poll, CAST(sum(n) OVER (ORDER BY poll) AS BIGINT) AS total FROM counts),
 rates AS (SELECT poll, total, {_RATE} AS events_per_sec FROM totals WINDOW w AS (ORDER BY poll))"""
 
 SQL["offset_rate"] = BASE + "," + OFFSETS + f"""
@@ -390,6 +405,8 @@ SELECT camera_id AS id, location_name AS location, road_name AS road, camera_typ
        speed_limit_kph AS "limit", latitude AS lat, longitude AS lon
 FROM cams"""
 
+SQL["csv_registry"] = SQL["camera_listing"]
+
 # --- ingestion -----------------------------------------------------------------------
 
 
@@ -456,6 +473,8 @@ both_files AS (
 SELECT {READING_COLS}, {ts('us')} AS event_time FROM both_files
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY _file, _pos) = 1"""
 
+SQL["csv_events"] = SQL["normalize_csv_rows"]
+
 SQL["decode_json"] = BASE + "," + VALID + f"""
 SELECT {READING_COLS}, {ts('us - us % 1000')} AS event_time FROM valid"""
 

@@ -6,9 +6,10 @@
       -> speeding / red light / illegal parking / camera stats
       -> foreachBatch: one idempotent Parquet directory per micro-batch
 
-Optionally staged (``start_ingest`` + ``staged_stream``): one query decodes and
+By default staged (``start_ingest`` + ``staged_stream``): one query decodes and
 validates into a date-partitioned Parquet readings table, and the four detection
 queries stream from that table, so each message is parsed once, not four times.
+``enriched_stream`` is the direct form, in which each query parses the source.
 
 Each query has its own checkpoint under ``spark.checkpoint.dir`` and restarts
 from it; a re-run of a micro-batch overwrites the same ``batch_id`` directory of
@@ -184,6 +185,19 @@ def staged_stream(spark: SparkSession, readings_path: str, cameras: DataFrame,
     return enrich(readings, cameras)
 
 
+def run_to_the_end(spark: SparkSession, cameras: DataFrame, store_root: str, readings_path: str,
+                   settings: Settings = DEFAULT, detected_at: str = "watermark", job: str = "detector",
+                   source: str = "files", **source_options) -> None:
+    """The staged job over what the source holds now: ingest, then the four queries."""
+    ingest = start_ingest(spark, read_message_stream(spark, source, **source_options), readings_path, settings,
+                          available_now=True, job=job)
+    ingest.awaitTermination()
+    staged = staged_stream(spark, readings_path, cameras, settings)
+    for query in start_detection(spark, staged, store_root, settings, available_now=True,
+                                 detected_at=detected_at, log=None, job=job):
+        query.awaitTermination()
+
+
 def run_until_any_ends(spark: SparkSession, timeout: float | None = None) -> bool:
     """Block until one query stops (with its error, if any). Queries that ended
     before are counted until ``spark.streams.resetTerminated()``."""
