@@ -93,3 +93,39 @@ def test_parse_time_date_only_and_short_offsets(spark):
     assert micros_of(spark, "2026-09-01") == midnight  # date only: naive, declared zone
     assert micros_of(spark, "2026-09-01T00:00:00+08") == midnight
     assert micros_of(spark, "2026-08-31T16:00:00Z") == midnight
+
+
+def test_times_do_not_follow_the_session_zone(spark):
+    """Gap and overlap hours of a daylight-saving zone, in three session zones."""
+    texts = ["2026-03-08 02:30:00.5", "2026-11-01 01:30:00", "2026-03-07T18:30:00Z", "2026-07-01",
+             "1969-12-31 23:59:59.999999+00:00"]
+    found = []
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Manila", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            rows = spark.createDataFrame([(t,) for t in texts], "s string").select(
+                iso_text(parse_time("s")), iso_text(parse_time("s"), "America/New_York"),
+                iso_text(parse_time("s", "America/New_York"), "America/New_York"), F.unix_micros(parse_time("s")))
+            found.append([tuple(r) for r in rows.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found[0] == found[1] == found[2]
+    assert [r[0] for r in found[0]] == [
+        "2026-03-08T02:30:00.500+08:00", "2026-11-01T01:30:00.000+08:00", "2026-03-08T02:30:00.000+08:00",
+        "2026-07-01T00:00:00.000+08:00", "1970-01-01T07:59:59.999+08:00"]
+    # A wall clock in the gap moves on by the hour that is missing.
+    assert found[0][0][2] == "2026-03-08T03:30:00.500-04:00" and found[0][1][2] == "2026-11-01T01:30:00.000-04:00"
+
+
+def test_durations_are_spark_intervals():
+    import pytest
+
+    from trafficwatch.config import DEFAULT, duration_seconds
+
+    found = [duration_seconds(t) for t in ("20 seconds", "1 minute 30 seconds", "500 milliseconds", "1 day", "interval 2 hours")]
+    assert found == [20, 90, 0.5, 86400, 7200]
+    assert DEFAULT.with_values({"trigger_interval": "500 milliseconds"}).trigger_interval == "500 milliseconds"
+    for bad in ("", "soon", "5", "5 parsecs", "minute 1"):
+        with pytest.raises(ValueError):
+            duration_seconds(bad)

@@ -210,3 +210,48 @@ def test_by_vehicle_spreads_a_busy_vehicle_and_keeps_order(spark):
     assert sum(1 for r in per_part if r.hot > 0) > 1  # the busy vehicle is split
     got = [(r.plate_number, r.event_id) for r in laid.collect()]
     assert got == sorted(got)  # global (plate, time) order across partitions
+
+
+HEADER = ",".join(TELEMETRY_FIELDS)
+
+
+def test_csv_dialect_is_rfc_4180(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "quoted.csv")
+    write(path, HEADER + '\n'
+          'e1,CAM,P 1,"say ""hi"", van",14.5,121.0,30,,,2026-09-01 07:00:00\n'
+          'e2,CAM,P 2,"two\nlines",14.5,121.0,31,,,2026-09-01 07:00:01\n')
+    rows = load_events(spark, path, multi_line=True).collect()
+    assert [(r.event_id, r.vehicle_type, r.speed_kph) for r in rows] == [
+        ("e1", 'say "hi", van', 30.0), ("e2", "two\nlines", 31.0)]
+    out = os.path.join(tmp_dir, "written")
+    write_csv(load_events(spark, path, multi_line=True), out)
+    assert [tuple(r) for r in load_events(spark, out, multi_line=True).collect()] == [tuple(r) for r in rows]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("field,value", [("latitude", ""), ("speed_kph", "  "), ("event_time", ""), ("speed_kph", "10d"),
+                                         ("longitude", "0x1p3"), ("speed_kph", "1_0")])
+def test_required_fields_are_strict(spark, tmp_dir, field, value, ansi):
+    good = dict(zip(TELEMETRY_FIELDS, ("ok", "CAM", "P 1", "CAR", "14.5", "121.0", "1e1", "", "", "2026-09-01 07:00:00")))
+    path = os.path.join(tmp_dir, "t.csv")
+    lines = [",".join(r[f] for f in TELEMETRY_FIELDS) for r in (good, {**good, "event_id": "bad", field: value})]
+    write(path, "\n".join([HEADER, *lines]) + "\n")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match=f"cannot parse ({field}|time)"):
+            load_events(spark, path).collect()
+        assert [(r.event_id, r.speed_kph) for r in load_events(spark, path, mode="drop").collect()] == [("ok", 10.0)]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_registry_numbers_are_strict(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "cams.csv")
+    header = "camera_id,location_name,road_name,city,latitude,longitude,speed_limit_kph,camera_type\n"
+    write(path, header + 'C1,"A ""b"", c",R,X,14.5,121.0, 60 ,speed\n')
+    assert tuple(load_cameras(spark, path).first())[1:] == ('A "b", c', "R", "X", 14.5, 121.0, 60, "SPEED")
+    for bad in ("C1,A,R,X,,121.0,60,speed\n", "C1,A,R,X,14.5,121.0,60.5,speed\n", "C1,A,R,X,14.5,12d,60,speed\n"):
+        write(path, header + bad)
+        with pytest.raises(Exception, match="cannot parse"):
+            load_cameras(spark, path).collect()
