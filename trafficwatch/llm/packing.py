@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trafficwatch.llm.base import map_batches, persisted, record, text_or_empty
-from trafficwatch.llm.tokenize import encoder
+from trafficwatch.llm.tokenize import BLOCK_BYTES, encoder
 
 CAPACITY = 1024
 SMALL = 64
@@ -49,11 +49,11 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", t
     """(doc_id, piece, start, length, ids_crc32): each document's ids and the end id,
     cut from the end into ``capacity`` tokens, so that only the first may be shorter."""
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = encoder(tokenizer_path).documents(batch.column(1))
         docs_of, number, starts, lengths, crcs = [], [], [], [], []
-        for doc, a, b in zip(batch.column(0).to_pylist(), ids.start[:-1].tolist(),
-                             ids.start[1:].tolist(), strict=True):
-            own = np.append(ids.values[a:b], end_id).astype("<u4")
+        whole = (ids.values[a:b] for ids in encoder(tokenizer_path).documents(batch.column(1))
+                 for a, b in zip(ids.start[:-1].tolist(), ids.start[1:].tolist(), strict=True))
+        for doc, values in zip(batch.column(0).to_pylist(), whole, strict=True):
+            own = np.append(values, end_id).astype("<u4")
             cuts = [0, *range((len(own) - 1) % capacity + 1, len(own) + 1, capacity)]
             for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 docs_of.append(doc)
@@ -64,7 +64,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", t
         yield record(_PIECES, docs_of, number, starts, lengths, crcs)
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return map_batches(rows, run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_batches(rows, run, "doc_id long, piece int, start long, length long, ids_crc32 long", BLOCK_BYTES)
 
 
 @dataclass

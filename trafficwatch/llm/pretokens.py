@@ -12,12 +12,15 @@ go to the encoder, and ids are gathered back into documents.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
 
+from trafficwatch.llm.base import CHUNK_BYTES, slices
+
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 
 
@@ -127,3 +130,17 @@ def document_ids(words: Words, word_ids: Ragged) -> Ragged:
     """Token ids of each document, given those of each vocabulary word."""
     flat = word_ids.take(words.code)
     return Ragged(flat.values, flat.start[words.doc_start])
+
+
+def encode_documents(texts: pa.Array, encode: Callable[[pa.Array], Ragged],
+                     piece_bytes: int = CHUNK_BYTES) -> Iterator[Ragged]:
+    """Token ids of the documents of a block, in pieces of about ``piece_bytes``. The
+    distinct words of the whole block are put together and ``encode`` sees each once."""
+    batch = pa.RecordBatch.from_arrays([texts], names=["t"])
+    pieces = [split_words(p.column(0)) for p in slices(batch, "t", piece_bytes)]
+    merged = pa.concat_arrays([p.vocabulary for p in pieces] or [pa.array([], pa.binary())]).dictionary_encode()
+    ids, place, at = encode(merged.dictionary), merged.indices.to_numpy(), 0
+    for piece in pieces:
+        own = place[at:at + len(piece.vocabulary)]
+        at += len(piece.vocabulary)
+        yield document_ids(piece, ids.take(own))

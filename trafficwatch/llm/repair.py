@@ -24,53 +24,60 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trafficwatch.llm.base import record, scratch_path, slices, text_or_empty
-from trafficwatch.llm.tokenize import encoder
+from trafficwatch.llm.pretokens import Ragged, encode_documents
+from trafficwatch.llm.tokenize import BLOCK_BYTES, encoder
 
 END_ID = 0
 #: Text bytes per shard (a longer document is a shard of its own).
 SHARD_BYTES = 4 << 20
 #: A pair becomes a rule if it occurs at least so often in a shard.
-MIN_COUNT = 64
+MIN_COUNT = 128
 _MAGIC = b"RPG1"
 _HEAD = struct.Struct("<4s4I")
 
 
-def _replace(sequence: np.ndarray, keys: np.ndarray, chosen: np.ndarray, first: int) -> np.ndarray:
-    """``sequence`` with its pairs ``chosen`` (sorted keys) as symbols first, first + 1,
-    ...; of overlapping pairs every other one from the left is replaced."""
-    at = np.minimum(np.searchsorted(chosen, keys), len(chosen) - 1)
-    places = np.flatnonzero(chosen[at] == keys)
-    chained = np.zeros(len(places), bool)
-    chained[1:] = places[1:] == places[:-1] + 1
-    number = np.arange(len(places))
-    head = np.maximum.accumulate(np.where(chained, 0, number))
-    places = places[(number - head) % 2 == 0]
-    result = sequence.copy()
-    result[places] = first + at[places]
-    keep = np.ones(len(sequence), bool)
-    keep[places + 1] = False
-    return result[keep]
+#: Pair counters of the first, coarse count of a round (a power of two).
+_COUNTERS = 1 << 20
+
+
+def _frequent(keys: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, places): the frequent pairs near a round's top count, sorted, and the
+    places where one of them stands. A coarse count by hash leaves few keys to sort."""
+    slot = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+    places = np.flatnonzero(np.bincount(slot, minlength=_COUNTERS)[slot] >= min_count)
+    pairs, counts = np.unique(keys[places], return_counts=True)
+    if not len(pairs):
+        return pairs, places
+    # Replacing the top pairs changes the counts of the others: those wait for a later round.
+    pairs = pairs[counts >= max(min_count, counts.max() // 16)]
+    at = np.minimum(np.searchsorted(pairs, keys[places]), max(0, len(pairs) - 1))
+    return pairs, places[pairs[at] == keys[places]] if len(pairs) else places[:0]
 
 
 def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Re-Pair grammar of ``ids``: (rules as pairs, expansion lengths of the rules,
-    sequence, first nonterminal). Each round counts all pairs of neighbours and makes
-    rules of the frequent ones, most frequent first in symbol order."""
+    sequence, first nonterminal). Each round counts all pairs of neighbours, makes rules
+    of the frequent ones and replaces them, of overlapping ones every other from the left."""
     sequence = ids.astype(np.int64)
     terminals = int(sequence.max()) + 1 if len(sequence) else 0
     first = terminals
     rules = [np.zeros((0, 2), np.int64)]
     while len(sequence) >= 2 * min_count:
         keys = sequence[:-1] << 32 | sequence[1:]
-        pairs, counts = np.unique(keys, return_counts=True)
-        # Only pairs near the top count of a round: replacing them changes the others.
-        frequent = counts >= max(min_count, counts.max() // 8)
-        if not frequent.any():
+        pairs, places = _frequent(keys, min_count)
+        if not len(pairs):
             break
-        chosen = pairs[frequent]
-        rules.append(np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1))
-        sequence = _replace(sequence, keys, chosen, first)
-        first += len(chosen)
+        chained = np.zeros(len(places), bool)
+        chained[1:] = places[1:] == places[:-1] + 1
+        number = np.arange(len(places))
+        head = np.maximum.accumulate(np.where(chained, 0, number))
+        places = places[(number - head) % 2 == 0]
+        rules.append(np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1))
+        sequence[places] = first + np.searchsorted(pairs, keys[places])
+        keep = np.ones(len(sequence), bool)
+        keep[places + 1] = False
+        sequence = sequence[keep]
+        first += len(pairs)
     table = np.concatenate(rules)
     lengths = np.ones(terminals + len(table), np.int64)
     at = terminals
@@ -122,8 +129,12 @@ class Shard:
         left, right, lengths, self.sequence, counts = arrays
         if len(self.sequence) != symbols or len(counts) != documents:
             raise ValueError("truncated Re-Pair shard")
-        self.rules = np.stack([left, right], axis=1)
         length = np.concatenate([np.ones(self.terminals, np.int64), lengths])
+        # What each symbol stands for, by its number.
+        nonterminals = np.arange(self.terminals, self.terminals + rules)
+        spelled = expand(nonterminals, np.stack([left, right], axis=1), self.terminals)
+        self._spelled = Ragged(np.concatenate([np.arange(self.terminals), spelled]),
+                               np.concatenate([[0], np.cumsum(length)]))
         #: Tokens before each symbol of the sequence, and before each document.
         self.before = np.concatenate([[0], np.cumsum(length[self.sequence])])
         self.doc_start = np.concatenate([[0], np.cumsum(counts)])
@@ -137,7 +148,7 @@ class Shard:
             return np.zeros(0, np.int64)
         low = int(np.searchsorted(self.before, start, side="right")) - 1
         high = int(np.searchsorted(self.before, stop, side="left"))
-        ids = expand(self.sequence[low:high], self.rules, self.terminals)
+        ids = self._spelled.take(self.sequence[low:high]).values
         return ids[start - self.before[low]:stop - self.before[low]]
 
     def document(self, number: int) -> np.ndarray:
@@ -161,13 +172,16 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, doc_id: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
         for batch in batches:
-            for piece in slices(batch, "text", shard_bytes):
-                ids = encoder(tokenizer_path).documents(piece.column(1))
-                documents = [np.append(ids.values[a:b], end_id)
-                             for a, b in zip(ids.start[:-1], ids.start[1:], strict=True)]
-                yield record(_SHARDS, [piece.column(2)[0].as_py()], [number], [piece.column(0).to_pylist()],
-                             [sum(map(len, documents))], [write_shard(documents, min_count)])
-                number += 1
+            for block in slices(batch, "text", BLOCK_BYTES):
+                part, at = block.column(2)[0].as_py(), 0
+                for ids in encode_documents(block.column(1), encoder(tokenizer_path).words, shard_bytes):
+                    documents = [np.append(ids.values[a:b], end_id)
+                                 for a, b in zip(ids.start[:-1], ids.start[1:], strict=True)]
+                    own = block.column(0).slice(at, len(documents))
+                    at += len(documents)
+                    yield record(_SHARDS, [part], [number], [own.to_pylist()],
+                                 [sum(map(len, documents))], [write_shard(documents, min_count)])
+                    number += 1
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     ordered = rows.repartitionByRange(F.asc_nulls_first("doc_id")) \

@@ -7,12 +7,15 @@ from __future__ import annotations
 
 import functools
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-from trafficwatch.llm.pretokens import Ragged, Words, document_ids, split_words
+from trafficwatch.llm.pretokens import Ragged, encode_documents
 
+#: Text bytes of the documents whose distinct words are looked up together.
+BLOCK_BYTES = 16 << 20
 #: Words whose ids a task remembers between chunks.
 REMEMBERED = 1_000_000  # about 200 bytes each
 
@@ -41,9 +44,9 @@ class WordEncoder:
         np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) // 4, out=start[1:])
         return Ragged(np.frombuffer(b"".join(rows), np.uint32).astype(np.int64), start)
 
-    def documents(self, texts: pa.Array) -> Ragged:
-        words: Words = split_words(texts)
-        return document_ids(words, self.words(words.vocabulary))
+    def documents(self, texts: pa.Array) -> Iterator[Ragged]:
+        """Ids of the documents of a block, piece by piece (see :func:`encode_documents`)."""
+        return encode_documents(texts, self.words)
 
 
 @functools.cache
