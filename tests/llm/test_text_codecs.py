@@ -32,7 +32,8 @@ def tiktoken_encoding():
 
 def replayed(texts):
     ranks = bpe_replay.load_ranks(MULTI)
-    return [r.values[a:b].tolist() for r in bpe_replay.encode_block(ranks, pa.array(texts, pa.string()), 64)
+    return [r.values[a:b].tolist() for r in pretokens.encode_documents(
+                pa.array(texts, pa.string()), lambda words: bpe_replay.replay(ranks, words), 64)
             for a, b in zip(r.start[:-1], r.start[1:])]
 
 
@@ -74,7 +75,7 @@ def test_a_merge_to_a_lower_rank_is_replayed_step_by_step(tmp_path):
 def test_tokenizer_words_equal_the_library_on_whole_texts():
     tokenizer = Tokenizer.from_file(PLAIN)
     tokenizer.encode_special_tokens = True
-    ids = encoder(PLAIN).documents(pa.array(ODD))
+    (ids,) = encoder(PLAIN).documents(pa.array(ODD))
     for d, text in enumerate(ODD):
         assert ids.values[ids.start[d]:ids.start[d + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
