@@ -24,6 +24,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -50,26 +51,38 @@ _HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]
 _BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|main|aside|"
                     r"blockquote|pre|title|body|head|html|hr|form|dl|dt|dd|figure)\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[A-Za-z!?][^>]*>")
-_BLANKS = re.compile(r"[^\S\n]+")
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 _LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
 _CHARSET = re.compile(r"<meta\b[^>]*?\bcharset\s*=\s*[\"']?([A-Za-z0-9_:.-]+)", re.I)
 _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 
 
+def shown(page: str) -> str:
+    """The page without comments, scripts, styles and templates."""
+    return _HIDDEN.sub(" ", page)
+
+
 def visible_text(page: str) -> str:
-    """Text of a page: scripts, styles and comments gone, a line per block element,
-    entities decoded, blanks joined, empty lines dropped."""
-    text = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", page)))
-    lines = (_BLANKS.sub(" ", line).strip() for line in html.unescape(text).split("\n"))
-    return "\n".join(line for line in lines if line)
+    """Text of a page: what is :func:`shown`, a line per block element, entities
+    decoded, blanks joined, empty lines dropped."""
+    return _lines(shown(page))
+
+
+def _lines(shown_page: str) -> str:
+    text = html.unescape(_TAG.sub("", _BREAK.sub("\n", shown_page)))
+    return "\n".join(line for line in (" ".join(part.split()) for part in text.split("\n")) if line)
 
 
 def links(page: str, base: str) -> list[str]:
     """Absolute targets of the page's anchors, first occurrences in page order."""
+    return _links(shown(page), base)
+
+
+def _links(shown_page: str, base: str) -> list[str]:
+    raw = dict.fromkeys(a or b or c for a, b, c in _LINK.findall(shown_page))
     found: dict[str, None] = {}
-    for match in _LINK.finditer(_HIDDEN.sub(" ", page)):
-        target = html.unescape(next((g for g in match.groups() if g is not None), "")).strip()
+    for written in raw:
+        target = html.unescape(written).strip()
         if target and not target.startswith(("#", "javascript:", "mailto:")):
             try:
                 found[urljoin(base, target)] = None
@@ -92,7 +105,7 @@ def _field(value: str) -> str:
     return " ".join(value.split())
 
 
-def metadata_block(page: str, uri: str, http_headers: str, text: str) -> bytes:
+def metadata_block(page: str, outlinks: list[str], http_headers: str, text: str) -> bytes:
     def first(pattern: re.Pattern) -> str | None:
         match = pattern.search(page)
         return _field(html.unescape(match.group(1))) if match else None
@@ -100,7 +113,7 @@ def metadata_block(page: str, uri: str, http_headers: str, text: str) -> bytes:
     fields = [("title", first(_TITLE)), ("languages-declared", first(_LANG)), ("charset-declared", first(_CHARSET)),
               ("html-length", str(len(page.encode()))), ("text-length", str(len(text.encode()))),
               *(("WARC-Source-Header", _field(line)) for line in http_headers.split("\r\n") if line),
-              *(("outlink", _field(link)) for link in links(page, uri))]
+              *(("outlink", _field(link)) for link in outlinks)]
     return "".join(f"{name}: {value}\r\n" for name, value in fields if value is not None).encode()
 
 
@@ -145,9 +158,10 @@ def derive(responses_: DataFrame) -> DataFrame:
             payload = page.encode()
             of_payload = digest(payload)
             source = given or record_id("response", uri, date, of_payload)
-            text = visible_text(page)
+            content = shown(page)
+            text = _lines(content)
             response = headers.encode() + b"\r\n" + payload
-            described, converted = metadata_block(page, uri, headers, text), text.encode()
+            described, converted = metadata_block(page, _links(content, uri), headers, text), text.encode()
             rows.append((page_id, source, "response", uri, date, None, None, None,
                          "application/http; msgtype=response", digest(response), of_payload, len(response), response))
             for kind, content_type, block in (("metadata", "application/warc-fields", described),
@@ -201,7 +215,7 @@ def write_warc(records: DataFrame, path: str) -> None:
         for batch in batches:
             for piece in slices(batch, "block", BLOCK_BYTES):
                 rows = piece.to_pylist()
-                members = b"".join(gzip.compress(record_bytes(r), 1, mtime=0) for r in rows)
+                members = b"".join(zlib.compress(record_bytes(r), 1, wbits=31) for r in rows)
                 yield record(schema, [[r["page_id"] for r in rows]], [members])
 
     records.select(*_RECORD.names).mapInArrow(run, "page_ids array<long>, warc binary").write.parquet(path)
