@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from trafficwatch.session import checkpoint_root
 
 #: Text bytes that a task turns into NumPy arrays at once (a longer text is taken alone).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

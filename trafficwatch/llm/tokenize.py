@@ -15,9 +15,9 @@ import pyarrow as pa
 from trafficwatch.llm.pretokens import Ragged, encode_documents
 
 #: Text bytes of the documents whose distinct words are looked up together.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Words whose ids a task remembers between chunks.
-REMEMBERED = 1_000_000  # about 200 bytes each
+REMEMBERED = 400_000  # about 200 bytes each
 
 
 class WordEncoder:
