@@ -114,6 +114,32 @@ def test_repair_makes_rules_and_refuses_damage():
         repair.Shard(b"XXXX" + repair.write_shard([ids])[4:])
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=120), st.integers(2, 4))
+def test_repair_goes_on_until_no_pair_is_frequent(ids, min_count):
+    rules, lengths, sequence, terminals = repair.compress(np.array(ids, np.int64), min_count)
+    assert repair.expand(sequence, rules, terminals).tolist() == ids and len(set(map(tuple, rules.tolist()))) == len(rules)
+    assert [len(repair.expand(np.array([terminals + k]), rules, terminals)) for k in range(len(rules))] == lengths.tolist()
+    counts, after = {}, {}
+    for at, pair in enumerate(zip(sequence[:-1].tolist(), sequence[1:].tolist())):
+        if after.get(pair, 0) <= at:  # without overlap
+            counts[pair], after[pair] = counts.get(pair, 0) + 1, at + 2
+    assert max(counts.values(), default=0) < min_count
+
+
+def test_repair_makes_rules_for_rare_pairs_and_small_shards(monkeypatch):
+    # Pairs that stand twice among many that stand once, and a shard of a few ids.
+    rare = np.concatenate([np.arange(1000), [7, 8, 9, 10], np.arange(1000, 2000), [7, 8, 9, 10]])
+    for ids in (rare, np.array([5, 6, 7, 5, 6, 7])):
+        rules, _, sequence, terminals = repair.compress(ids)
+        assert len(rules) and len(sequence) < len(ids)
+        shard = repair.write_shard([ids[:3], ids[3:]])
+        assert [d.tolist() for d in map(repair.Shard(shard).document, (0, 1))] == [ids[:3].tolist(), ids[3:].tolist()]
+        monkeypatch.setattr(repair, "SPELLED_IDS", 0)
+        assert repair.Shard(shard).document(1).tolist() == ids[3:].tolist()
+        monkeypatch.undo()
+
+
 def test_token_files_in_id_order(spark):
     rows = [(7, "seven seven"), (2, None), (5, "a b c"), (None, "no id"), (5, "a a"), (11, "x " * 3000)]
     docs = spark.createDataFrame(rows, DOCS).withColumn("part", F.lit(1)).withColumn("shard", F.lit("clash"))

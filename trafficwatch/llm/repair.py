@@ -1,8 +1,8 @@
 """Token-id shards compressed by Re-Pair grammars, with random access.
 
 Documents in ascending id order are cut into shards. In a shard, pairs of neighbouring
-ids that occur often are replaced by new symbols (nonterminals), again and again over
-the shorter sequence, until no pair is frequent; the rules, each symbol's expansion
+ids that occur more than once are replaced by new symbols (nonterminals), the frequent
+ones first, again and again over the shorter sequence, until no pair occurs twice; the rules, each symbol's expansion
 length and the remaining sequence are stored. A document is read by finding its first
 token in the running expansion lengths and expanding only the symbols it covers.
 
@@ -30,8 +30,10 @@ from trafficwatch.llm.tokenize import BLOCK_BYTES, encoder
 END_ID = 0
 #: Text bytes per shard (a longer document is a shard of its own).
 SHARD_BYTES = 4 << 20
-#: A pair becomes a rule if it occurs at least so often in a shard.
-MIN_COUNT = 128
+#: A pair becomes a rule if it occurs at least so often in a shard: Re-Pair's own limit.
+MIN_COUNT = 2
+#: A reader keeps all symbols spelled out if they have at most so many ids together.
+SPELLED_IDS = 16 << 20
 _MAGIC = b"RPG1"
 _HEAD = struct.Struct("<4s4I")
 
@@ -40,44 +42,79 @@ _HEAD = struct.Struct("<4s4I")
 _COUNTERS = 1 << 20
 
 
-def _frequent(keys: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray]:
-    """(pairs, places): the frequent pairs near a round's top count, sorted, and the
-    places where one of them stands. A coarse count by hash leaves few keys to sort."""
+def _frequent(keys: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, counts, at, code, rare): the pairs near the top count, sorted, their
+    counts, the indexes of ``keys`` that hold one and which; True for keys that are surely
+    rarer than ``min_count``. A coarse count by hash, never below the right one, leaves
+    few keys to sort."""
     slot = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-    places = np.flatnonzero(np.bincount(slot, minlength=_COUNTERS)[slot] >= min_count)
-    pairs, counts = np.unique(keys[places], return_counts=True)
-    if not len(pairs):
-        return pairs, places
-    # Replacing the top pairs changes the counts of the others: those wait for a later round.
-    pairs = pairs[counts >= max(min_count, counts.max() // 16)]
-    at = np.minimum(np.searchsorted(pairs, keys[places]), max(0, len(pairs) - 1))
-    return pairs, places[pairs[at] == keys[places]] if len(pairs) else places[:0]
+    coarse = np.bincount(slot, minlength=_COUNTERS)[slot]
+    rare, top = coarse < min_count, int(coarse.max(initial=0))
+    while top >= min_count:
+        # Replacing the top pairs changes the counts of the others: those wait for a later round.
+        least = max(min_count, top // 8)
+        at = np.flatnonzero(coarse >= least)
+        order = at[np.argsort(keys[at], kind="stable")]
+        ordered = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        counts = np.diff(np.append(first, len(order)))
+        if least == min_count:
+            rare[order[np.repeat(counts < min_count, counts)]] = True
+        near = counts >= least
+        top = int(counts.max())
+        # Pairs left out have less than ``least``: is the top count found, and its eighth not below that?
+        if least == min_count or top // 8 >= least:
+            number = np.cumsum(near) - 1
+            wanted = np.repeat(near, counts)
+            return ordered[first[near]], counts[near], order[wanted], np.repeat(number, counts)[wanted], rare
+        top = max(top, least - 1)
+    none = np.zeros(0, np.int64)
+    return none, none, none, none, rare
 
 
 def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Re-Pair grammar of ``ids``: (rules as pairs, expansion lengths of the rules,
-    sequence, first nonterminal). Each round counts all pairs of neighbours, makes rules
-    of the frequent ones and replaces them, of overlapping ones every other from the left."""
+    sequence, first nonterminal). Each round counts the pairs of neighbours, makes rules
+    of the frequent ones and replaces them, of overlapping ones the more frequent, until
+    no pair stands ``min_count`` times without overlap. A pair only gets rarer, so places
+    of rare pairs are not counted again until a neighbour changes."""
     sequence = ids.astype(np.int64)
     terminals = int(sequence.max()) + 1 if len(sequence) else 0
     first = terminals
     rules = [np.zeros((0, 2), np.int64)]
-    while len(sequence) >= 2 * min_count:
-        keys = sequence[:-1] << 32 | sequence[1:]
-        pairs, places = _frequent(keys, min_count)
+    live = np.ones(len(sequence), bool)
+    while len(sequence) > 1:
+        places = np.flatnonzero(live[:-1])
+        left, right = sequence[places], sequence[places + 1]
+        keys = left << 32 | right
+        twin = np.flatnonzero(left == right)
+        if len(twin):  # a pair of equal symbols overlaps itself: every other one counts
+            number, run = np.arange(len(twin)), np.ones(len(twin), bool)
+            run[1:] = places[twin[1:]] != places[twin[:-1]] + 1
+            odd = (number - np.maximum.accumulate(np.where(run, number, 0))) % 2 == 1
+            places, keys = np.delete(places, twin[odd]), np.delete(keys, twin[odd])
+        pairs, counts, at, code, rare = _frequent(keys, min_count)
         if not len(pairs):
             break
-        chained = np.zeros(len(places), bool)
-        chained[1:] = places[1:] == places[:-1] + 1
-        number = np.arange(len(places))
-        head = np.maximum.accumulate(np.where(chained, 0, number))
-        places = places[(number - head) % 2 == 0]
-        rules.append(np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1))
-        sequence[places] = first + np.searchsorted(pairs, keys[places])
+        live[places[rare]] = False
+        # The same pair wins in every copy of a passage; ties in no order along the text.
+        turn = np.empty(len(pairs), np.int64)
+        turn[np.lexsort((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), counts))] = np.arange(1, len(pairs) + 1)
+        strength = np.zeros(len(sequence) + 1, np.int64)
+        strength[places[at]] = turn[code]
+        own = strength[places[at]]
+        wins = (own > strength[places[at] + 1]) & (own > strength[places[at] - 1])
+        made = np.bincount(code[wins], minlength=len(pairs)) >= min_count
+        wins &= made[code]
+        chosen, code = places[at[wins]], code[wins]
+        rules.append(np.stack([pairs[made] >> 32, pairs[made] & 0xFFFFFFFF], axis=1))
+        sequence[chosen] = first + (np.cumsum(made) - 1)[code]
+        live[chosen] = True
+        live[chosen[chosen > 0] - 1] = True
         keep = np.ones(len(sequence), bool)
-        keep[places + 1] = False
-        sequence = sequence[keep]
-        first += len(pairs)
+        keep[chosen + 1] = False
+        sequence, live = sequence[keep], live[keep]
+        first += int(made.sum())
     table = np.concatenate(rules)
     lengths = np.ones(terminals + len(table), np.int64)
     at = terminals
@@ -101,6 +138,25 @@ def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray
     return symbols
 
 
+def _spell(rules: np.ndarray, length: np.ndarray, terminals: int) -> Ragged:
+    """The ids of every symbol, by its number; a rule's after those of its two symbols."""
+    start = np.concatenate([[0], np.cumsum(length)])
+    spelled = Ragged(np.zeros(int(start[-1]), np.int64), start)
+    spelled.values[:terminals] = np.arange(terminals)
+    known = np.arange(len(length)) < terminals
+    wait = np.arange(len(rules))
+    while len(wait):
+        ready = known[rules[wait]].all(axis=1)
+        now, wait = wait[ready], wait[~ready]
+        if not len(now):
+            raise ValueError("damaged Re-Pair rules")
+        size = length[terminals + now]
+        shift = start[terminals + now] - (np.cumsum(size) - size)
+        spelled.values[np.arange(size.sum()) + np.repeat(shift, size)] = spelled.take(rules[now].ravel()).values
+        known[terminals + now] = True
+    return spelled
+
+
 def write_shard(documents: list[np.ndarray], min_count: int = MIN_COUNT) -> bytes:
     """Bytes of one shard from the ids of its documents."""
     ids = np.concatenate(documents) if documents else np.zeros(0, np.int64)
@@ -130,11 +186,8 @@ class Shard:
         if len(self.sequence) != symbols or len(counts) != documents:
             raise ValueError("truncated Re-Pair shard")
         length = np.concatenate([np.ones(self.terminals, np.int64), lengths])
-        # What each symbol stands for, by its number.
-        nonterminals = np.arange(self.terminals, self.terminals + rules)
-        spelled = expand(nonterminals, np.stack([left, right], axis=1), self.terminals)
-        self._spelled = Ragged(np.concatenate([np.arange(self.terminals), spelled]),
-                               np.concatenate([[0], np.cumsum(length)]))
+        self._rules = np.stack([left, right], axis=1)
+        self._spelled = _spell(self._rules, length, self.terminals) if length.sum() <= SPELLED_IDS else None
         #: Tokens before each symbol of the sequence, and before each document.
         self.before = np.concatenate([[0], np.cumsum(length[self.sequence])])
         self.doc_start = np.concatenate([[0], np.cumsum(counts)])
@@ -148,7 +201,8 @@ class Shard:
             return np.zeros(0, np.int64)
         low = int(np.searchsorted(self.before, start, side="right")) - 1
         high = int(np.searchsorted(self.before, stop, side="left"))
-        ids = self._spelled.take(self.sequence[low:high]).values
+        symbols = self.sequence[low:high]
+        ids = expand(symbols, self._rules, self.terminals) if self._spelled is None else self._spelled.take(symbols).values
         return ids[start - self.before[low]:stop - self.before[low]]
 
     def document(self, number: int) -> np.ndarray:
