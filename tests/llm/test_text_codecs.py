@@ -95,6 +95,22 @@ def test_round_trip_query_and_encode_decode(spark):
     assert bpe_replay.round_trip_digests(docs.limit(0), MULTI).count() == 0
 
 
+def test_equal_blocks_of_several_tasks(spark):
+    rows = [(i, f"{t} row {i % 5}") for i, t in enumerate(ODD)] + [(None, "x y"), (None, None)]
+    table = spark.createDataFrame(spark.sparkContext.parallelize(rows * 3, 3), DOCS).union(
+        spark.createDataFrame(spark.sparkContext.parallelize([(None, "same row")] * 2, 2), DOCS))
+    assert table.rdd.getNumPartitions() == 5
+    encoding = tiktoken_encoding()
+    everything = rows * 3 + [(None, "same row")] * 2
+    for block_bytes in (60, 1 << 20):
+        found = bpe_replay.round_trip_digests(table, MULTI, block_bytes=block_bytes).collect()
+        assert sorted((str(r.doc_id), r.n_tokens, r.decoded_sha256) for r in found) == sorted(
+            (str(d), len(encoding.encode_ordinary(t or "")), hashlib.sha256((t or "").encode()).hexdigest()) for d, t in everything)
+    encoded = bpe_replay.encode(table, MULTI).collect()
+    assert sorted((str(r.doc_id), r.ids) for r in encoded) == sorted(
+        (str(d), encoding.encode_ordinary(t or "")) for d, t in everything)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 6), max_size=60), max_size=6), st.integers(2, 4))
 def test_repair_shard_decodes_every_document_and_range(documents, min_count):

@@ -259,8 +259,11 @@ def word_lists(docs: DataFrame, buckets: int, block_bytes: int = BLOCK_BYTES) ->
 
 def replay_buckets(words: DataFrame, ranks_path: str) -> DataFrame:
     """(block, places, counts, ids): ids of each block's words. A bucket holds the corpus'
-    words of one hash value, listed once per block that has them."""
+    words of one hash value, listed once per block that has them. Tasks that hold the
+    same rows list equal blocks under one name; the first list stands for all."""
     def run(group: pa.Table) -> pa.Table:
+        first = {name: at for at, name in reversed(list(enumerate(group.column("block").to_pylist())))}
+        group = group.take(sorted(first.values()))
         lengths = [_unpacked(v) for v in group.column("lengths").to_pylist()]
         data = b"".join(zstandard.decompress(v) for v in group.column("words").to_pylist())
         cuts = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
@@ -290,7 +293,8 @@ def coded_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 def _block_ids(block: pa.Table, words: pa.Table) -> Iterator[tuple[list, Ragged]]:
-    """(doc ids, token ids) of the documents of one block, some documents at a time."""
+    """(doc ids, token ids) of the documents of one block, some documents at a time; a
+    block that several tasks formed comes as often."""
     places, counts, values = ([_unpacked(v) for v in words.column(c).to_pylist()] for c in ("places", "counts", "ids"))
     known = int(sum(map(len, places)))
     for doc_ids, word_counts, packed in zip(*(block.column(c).to_pylist() for c in ("doc_ids", "word_counts", "codes")), strict=True):
