@@ -1,10 +1,11 @@
 """Toxicity by nearest labelled examples.
 
-A text's features are the 5-letter grams that go with the toxic label (lift and
-chi-squared over the labelled sample), weighted by TF-IDF, and one constant feature for
-the rest of the text; vectors are scaled to length 1. Its nearest
-examples are found exactly, by cosine, in a block-max inverted index; their votes, weighted
-by distance, are calibrated to a probability, and the neighbours are the evidence.
+A text's vector holds the TF-IDF weights of all its hashed 5-letter grams, scaled to
+length ``REST``, and, as an extra signal, once more those of the grams that go with the
+toxic label (lift and chi-squared over the labelled sample); it is scaled to length 1.
+Every text's nearest examples, toxic or clean, are found exactly, by cosine, in a
+block-max inverted index; their votes, weighted by distance, are calibrated to a
+probability, and the neighbours are the evidence.
 
 Index: posting lists by feature; a list is cut where the examples' blocks (64 examples of
 one label with like features) end, and each cut keeps its largest weight. A query sums
@@ -12,15 +13,15 @@ the query-weighted maxima to an upper bound per block, visits blocks from the hi
 bound and stops when the bound falls below the k-th best cosine found: no block left
 out can hold a nearer example.
 
-Bounds: about ``per_class`` labelled documents of either class, chosen by a hash of the id, and
-``features`` features make the model; a quarter of the sample only calibrates. Document
-frequencies are counted over all documents.
+Bounds: about ``per_class`` labelled documents of either class, chosen by a hash of the id,
+make the model; at most ``features`` grams count twice; a quarter of the sample only
+calibrates. Document frequencies are counted over all documents, for all gram buckets.
 """
 from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,7 @@ CHI_SQUARED = 24.0
 NEIGHBOURS = 15
 BLOCK = 64
 THRESHOLD = 0.3
-#: Weight of the one feature that stands for all the rest of a text: with it the cosine
-#: also tells one toxic word from many.
+#: Length of the whole text's vector beside the weights of the grams that go with the label.
 REST = 8.0
 #: Keeps the weight of an identical example finite.
 NEAREST = 0.05
@@ -57,11 +57,19 @@ class BlockMaxIndex:
     """Exact cosine search over example vectors (rows of (features, weights))."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], features: int, block: int = BLOCK):
-        self.size, self.blocks = len(vectors), -(-len(vectors) // block)
-        example = np.repeat(np.arange(len(vectors)), [len(at) for at, _ in vectors]).astype(np.int64)
-        feature = np.concatenate([at for at, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
-        weight = np.concatenate([x for _, x in vectors] or [np.zeros(0)])
-        order = np.lexsort((example, feature))
+        self.__setstate__((np.concatenate([np.zeros(0, np.int32), *(at.astype(np.int32) for at, _ in vectors)]),
+                           np.concatenate([x for _, x in vectors] or [np.zeros(0)]),
+                           np.array([len(at) for at, _ in vectors], np.int64), features, block))
+
+    def __getstate__(self) -> tuple:
+        """Only the examples travel; a process that gets them builds the lists anew."""
+        return self._state
+
+    def __setstate__(self, state: tuple) -> None:
+        self._state = feature, weight, sizes, features, block = state
+        self.size, self.blocks = len(sizes), -(-len(sizes) // block)
+        example = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        order = np.argsort(feature, kind="stable")  # examples stay in order
         self.example, feature, self.weight = example[order], feature[order], weight[order]
         place = self.example // block
         cut = np.ones(len(feature), bool)
@@ -70,7 +78,7 @@ class BlockMaxIndex:
         self.cut_start = np.append(first, len(feature))
         self.cut_block = place[first]
         self.cut_max = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
-        self.list_start = np.searchsorted(feature[first], np.arange(features + 1))
+        self.list_start = np.searchsorted(feature[first], np.arange(features + 1, dtype=np.int32))
 
     def nearest(self, at: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a positive cosine, nearest first;
@@ -85,10 +93,13 @@ class BlockMaxIndex:
         done, step = 0, 4
         while done < len(by_bound):
             limit = best[1][k - 1] if len(best[1]) >= k else 0.0
-            visit = by_bound[done:done + step]
-            visit = visit[bound[visit] >= limit - 1e-12]  # rounding must not hide a tie
-            if not len(visit):
+            hopeful = by_bound[done:]
+            hopeful = hopeful[bound[hopeful] >= limit - 1e-12]  # rounding must not hide a tie
+            if not len(hopeful):
                 break
+            if done and 2 * len(hopeful) > self.blocks:  # whole lists cost less than most of their cuts
+                return self._nearest_of_all(at, x, k)
+            visit = hopeful[:step]
             wanted = np.zeros(self.blocks, bool)
             wanted[visit] = True
             mine = np.flatnonzero(wanted[self.cut_block[cuts]])
@@ -105,6 +116,18 @@ class BlockMaxIndex:
         return best
 
 
+    def _nearest_of_all(self, at: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        low, high = self.cut_start[self.list_start[at]], self.cut_start[self.list_start[at + 1]]
+        lists = [slice(a, b) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+        weight = np.concatenate([self.weight[own] for own in lists])
+        weight *= np.repeat(x, high - low)
+        score = np.bincount(np.concatenate([self.example[own] for own in lists]), weight, minlength=self.size)
+        least = np.partition(score, -k)[-k] if len(score) > k else 0.0
+        found = np.flatnonzero((score > 0) & (score >= least - 1e-8))
+        top = found[np.lexsort((found, -np.round(score[found], 9)))[:k]]
+        return top, score[top]
+
+
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of each range, one after another."""
     total = np.cumsum(counts)
@@ -113,8 +136,8 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    features: np.ndarray  # sorted feature numbers
-    idf: np.ndarray
+    features: np.ndarray  # sorted buckets of the grams that go with the label
+    idf: np.ndarray  # of every bucket
     index: BlockMaxIndex | None = None
     ids: np.ndarray | None = None  # doc_id of each example
     toxic: np.ndarray | None = None
@@ -124,16 +147,14 @@ class Model:
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         found, counts = text_features(text or "")
+        if self.index is None and not len(self.idf) or not len(found):
+            return np.zeros(0, np.int64), np.zeros(0)
+        weight = (1 + np.log(counts)) * self.idf[found]
         at = np.searchsorted(self.features, found)
         known = at < len(self.features)
         known[known] = self.features[at[known]] == found[known]
-        at = at[known]
-        if not len(at):
-            return at, np.zeros(0)
-        weight = np.append((1 + np.log(counts[known])) * self.idf[at], REST)
-        at = np.append(at, len(self.features))
-        norm = np.sqrt(weight @ weight)
-        return at, weight / norm
+        x = np.concatenate([weight * (REST / np.sqrt(weight @ weight)), weight[known]])
+        return np.concatenate([found, BUCKETS + at[known]]), (x / np.sqrt(x @ x)).astype(np.float32)
 
     def vote(self, at: np.ndarray, x: np.ndarray) -> tuple[float | None, np.ndarray, np.ndarray]:
         """(distance-weighted share of toxic neighbours, neighbours, cosines)."""
@@ -171,7 +192,7 @@ def fit(model: Model, rows: list[tuple[int, int, int, np.ndarray, np.ndarray]],
     # Like examples share a block: by label, then by their weightiest features.
     kept = sorted((r for r in rows if r[0] % 4 != 3 and len(r[3])),
                   key=lambda r: (r[2], *r[3][np.argsort(-r[4], kind="stable")[:2]].tolist(), r[0], r[1]))
-    model.index = BlockMaxIndex([(r[3], r[4]) for r in kept], len(model.features) + 1)
+    model.index = BlockMaxIndex([(r[3], r[4]) for r in kept], BUCKETS + len(model.features))
     model.ids = np.array([r[1] for r in kept], np.int64)
     model.toxic = np.array([r[2] for r in kept], float)
     votes = [(model.vote(r[3], r[4])[0], r[2]) for r in held or rows]
@@ -187,29 +208,27 @@ def fit(model: Model, rows: list[tuple[int, int, int, np.ndarray, np.ndarray]],
     return model
 
 
-def document_frequencies(texts: DataFrame, features: np.ndarray) -> tuple[np.ndarray, int]:
-    """(documents that hold each feature, documents) over all rows."""
+def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """(documents that hold each gram bucket, documents) over all rows."""
     schema = pa.schema([("at", pa.int32()), ("documents", pa.int64())])
-    size = len(features)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size + 1, np.int64)
-        wanted = np.full(BUCKETS, -1, np.int32)
-        wanted[features] = np.arange(size)
+        total = np.zeros(BUCKETS + 1, np.int64)
         for batch in batches:
             for piece in slices(batch, "text", 1 << 20):
                 for text in piece.column(0).to_pylist():
-                    found = wanted[gram_buckets(letter_points(text or ""), GRAM, BUCKETS)]
-                    total[np.unique(found[found >= 0])] += 1
-                    total[size] += 1
+                    total[np.unique(gram_buckets(letter_points(text or ""), GRAM, BUCKETS))] += 1
+                    total[BUCKETS] += 1
         at = np.flatnonzero(total)
-        yield record(schema, at, total[at])
+        for low in range(0, len(at), 1 << 16):
+            yield record(schema, at[low:low + (1 << 16)], total[at[low:low + (1 << 16)]])
 
-    result = np.zeros(size + 1, np.int64)
-    for row in texts.select("text").mapInArrow(run, "at int, documents long") \
-            .groupBy("at").agg(F.sum("documents").alias("documents")).collect():  # at most `features` + 1 rows
-        result[row["at"]] = row["documents"]
-    return result[:size], int(result[size])
+    # At most BUCKETS + 1 rows of two numbers.
+    rows = texts.select("text").mapInArrow(run, "at int, documents long") \
+        .groupBy("at").agg(F.sum("documents").alias("documents")).toArrow()
+    result = np.zeros(BUCKETS + 1, np.int64)
+    result[rows.column("at").to_numpy()] = rows.column("documents").to_numpy()
+    return result[:BUCKETS], int(result[BUCKETS])
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, features: int = FEATURES) -> Model:
@@ -235,6 +254,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, featur
             yield record(present, found, np.full(len(found), toxic))
 
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    if not sizes:
+        return empty
     ones, total = F.lit(sizes.get(1, 0)), F.lit(sum(sizes.values()))
     tally = map_batches(sample, list_features, "feature int, toxic int").groupBy("feature").agg(
         F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
@@ -244,30 +265,29 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, featur
     lifted = F.col("a") * (total - ones) >= LIFT * (F.col("n") - F.col("a")) * ones
     best = tally.where((F.col("chi") >= CHI_SQUARED) & lifted).orderBy(F.desc("chi"), "feature").limit(features)
     selected = np.sort(np.array([r["feature"] for r in best.select("feature").collect()], np.int64))
-    if not len(selected):
-        return empty
-    frequency, documents = document_frequencies(docs, selected)
-    model = Model(selected, np.log((1 + documents) / (1 + frequency)) + 1)
+    frequency, documents = document_frequencies(docs)
+    model = Model(selected, (np.log((1 + documents) / (1 + frequency)) + 1).astype(np.float32))
     vectors = pa.schema([("turn", pa.int64()), ("doc_id", pa.int64()), ("toxic", pa.int32()),
                          ("at", pa.binary()), ("x", pa.binary())])
 
     def weigh(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = [model.vector(t) for t in batch.column(3).to_pylist()]
         yield record(vectors, *batch.columns[:3], [a.astype("<i4").tobytes() for a, _ in found],
-                     [x.tobytes() for _, x in found])
+                     [x.astype("<f4").tobytes() for _, x in found])
 
     weights = {t: 1 / shares[t] for t in (0, 1)}
 
     def build(group: pa.Table) -> pa.Table:
         rows = sorted(zip(*(group.column(c).to_pylist() for c in vectors.names), strict=True))
-        fitted = fit(model, [(turn, doc, toxic, np.frombuffer(at, "<i4").astype(np.int64), np.frombuffer(x))
-                             for turn, doc, toxic, at, x in rows], weights)
+        fitted = fit(replace(model), [(turn, doc, toxic, np.frombuffer(at, "<i4"), np.frombuffer(x, "<f4"))
+                                      for turn, doc, toxic, at, x in rows], weights)
+        fitted.idf = fitted.idf[:0]  # the driver has it
         return pa.table({"model": [pickle.dumps(fitted)]}, schema=pa.schema([("model", pa.binary())]))
 
     # The bounded sample meets in one task.
     blob = map_batches(sample, weigh, "turn long, doc_id long, toxic int, at binary, x binary") \
         .groupBy(F.lit(0).alias("all")).applyInArrow(lambda group: build(group), "model binary").first()
-    return pickle.loads(blob["model"])
+    return replace(pickle.loads(blob["model"]), idf=model.idf)
 
 
 def scorer(model: Model):
@@ -297,8 +317,8 @@ def scorer(model: Model):
 def score_documents(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted, evidence.
 
-    A null or empty text, or one without any feature, gets the rate of toxic documents
-    among calibration texts without a neighbour. Labels without id or value teach
+    A text without a letter, or without any gram of an example, gets the rate of toxic
+    documents among calibration texts without a neighbour. Labels without id or value teach
     nothing; of repeated labels the toxic one counts; an id that several documents
     repeat teaches with each of them. If a class has no label all texts get the rate of
     the other. An empty table gives no rows. Other columns are not read.
