@@ -52,6 +52,16 @@ def test_language_without_labels_or_rows(spark):
     assert langid.identify(docs.limit(0)).count() == 0
 
 
+def test_without_a_learned_language_texts_with_letters_stay(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 3 == 1)
+    rows = [(held, "ka lo", "aa"), (None, "né", None), (1000, "12 - 34 !", None), (1001, "", None), (1002, None, None)]
+    for lang in (F.col("lang"), F.lit(None).cast("string")):
+        docs = spark.createDataFrame(rows, DOCS).withColumn("lang", lang).withColumn("n", F.lit(1))
+        kept = langid.keep_identified(docs)
+        assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {held, None}
+    assert langid.keep_identified(docs.limit(0)).count() == 0
+
+
 def test_language_on_the_tables(spark):
     docs = table(spark, SF_MID, "documents")
     found = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id")

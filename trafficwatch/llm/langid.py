@@ -215,9 +215,17 @@ def identify(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
 
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language is determined with
-    at least ``min_score``."""
+    at least ``min_score``. If no language could be learned (no training row has one),
+    every row whose text has a letter."""
     model = train(training_rows(docs))
     names = docs.columns
+    if not model.languages:
+        @F.arrow_udf("boolean")
+        def has_letter(texts: pa.Array) -> pa.Array:
+            return pa.array([len(letter_points(t or "")) > 0 for t in texts.to_pylist()], pa.bool_())
+
+        found = docs.select(F.struct("*").alias("__row"), has_letter("text").alias("__l"))
+        return found.where("__l").select(*[F.col("__row")[n].alias(n) for n in names])
     found = docs.select(F.struct("*").alias("__row"), predictor(model)("text").alias("__p"))
     return found.where((F.col("__p.lang_pred") != UNDETERMINED) & (F.col("__p.score") >= min_score)) \
         .select(*[F.col("__row")[n].alias(n) for n in names])
