@@ -62,11 +62,14 @@ class BlockMaxIndex:
                            np.array([len(at) for at, _ in vectors], np.int64), features, block))
 
     def __getstate__(self) -> tuple:
-        """Only the examples travel; a process that gets them builds the lists anew."""
+        """Only the examples travel; a process that searches them builds the lists."""
         return self._state
 
     def __setstate__(self, state: tuple) -> None:
-        self._state = feature, weight, sizes, features, block = state
+        self._state, self.size = state, None
+
+    def _build(self) -> None:
+        feature, weight, sizes, features, block = self._state
         self.size, self.blocks = len(sizes), -(-len(sizes) // block)
         example = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         order = np.argsort(feature, kind="stable")  # examples stay in order
@@ -83,6 +86,8 @@ class BlockMaxIndex:
     def nearest(self, at: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest with a positive cosine, nearest first;
         of equal ones those with smaller numbers."""
+        if self.size is None:
+            self._build()
         counts = self.list_start[at + 1] - self.list_start[at]
         cuts = _ranges(self.list_start[at], counts)
         value = np.repeat(x, counts)
@@ -276,12 +281,12 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, featur
                      [x.astype("<f4").tobytes() for _, x in found])
 
     weights = {t: 1 / shares[t] for t in (0, 1)}
+    bare = replace(model, idf=model.idf[:0])  # the driver has them
 
     def build(group: pa.Table) -> pa.Table:
         rows = sorted(zip(*(group.column(c).to_pylist() for c in vectors.names), strict=True))
-        fitted = fit(replace(model), [(turn, doc, toxic, np.frombuffer(at, "<i4"), np.frombuffer(x, "<f4"))
-                                      for turn, doc, toxic, at, x in rows], weights)
-        fitted.idf = fitted.idf[:0]  # the driver has it
+        fitted = fit(bare, [(turn, doc, toxic, np.frombuffer(at, "<i4"), np.frombuffer(x, "<f4"))
+                            for turn, doc, toxic, at, x in rows], weights)
         return pa.table({"model": [pickle.dumps(fitted)]}, schema=pa.schema([("model", pa.binary())]))
 
     # The bounded sample meets in one task.
