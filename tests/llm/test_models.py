@@ -149,39 +149,6 @@ def test_toxicity_scores_and_evidence(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, r in found.items() if not r.predicted}
 
 
-def test_toxic_examples_of_rare_words_are_found(spark):
-    # No gram goes with the label often enough to be a feature: each toxic text has words of its own.
-    rng = random.Random(7)
-    rows, labels = [], []
-    for i in range(400):
-        toxic = int(i % 4 == 0)
-        own = " ".join("".join(rng.choice("bcdfghjkmnpqrstvwxz") for _ in range(9)) for _ in range(12))
-        rows.append((i, f"{own} {invented(rng, 'aa', 8)}", "aa"))
-        labels.append((i, 1, toxic))
-    taught = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
-    copies = {5000 + i: i for i in taught[:200]}
-    rows += [(c, rows[i][1], "aa") for c, i in copies.items()]
-    docs = spark.createDataFrame(rows, DOCS)
-    labelled = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    model = toxicity.train(docs, labelled)
-    assert not len(model.features)
-    found = {r.doc_id: r for r in toxicity.score_documents(docs, labelled).collect()}
-    indexed = set(model.ids.tolist())
-    near = [(found[c].evidence[0], i) for c, i in copies.items() if i in indexed]
-    assert len(near) > 100 and all(e.doc_id == i and e.cosine > 0.999 and e.toxic == (i % 4 == 0) for e, i in near)
-    # Likeness to an example of either label counts, and the search is that of all whole texts.
-    of = {i: np.mean([found[c].score for c, j in copies.items() if j in indexed and (j % 4 == 0) == i]) for i in (False, True)}
-    assert of[True] > of[False]
-    text = dict((d, t) for d, t, _ in rows)
-    dense = np.zeros((len(model.ids), toxicity.BUCKETS), np.float32)
-    for row, d in enumerate(model.ids.tolist()):
-        at, x = model.vector(text[d])
-        dense[row, at] = x
-    at, x = model.vector(text[3] + " " + text[8])
-    near, cosine = model.index.nearest(at, x, 5)
-    assert np.allclose(np.sort(dense[:, at] @ x)[::-1][:5], cosine, atol=1e-6)
-
-
 def test_toxicity_without_labels_or_rows(spark):
     docs, labels, _ = toxic_case(spark, 20)
     assert {r.score for r in toxicity.score_documents(docs, labels.limit(0)).collect()} == {0.0}
