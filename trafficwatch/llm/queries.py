@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trafficwatch.llm.base import table
 from trafficwatch.llm.bpe_replay import round_trip_digests
+from trafficwatch.llm.chat_format import chat_report
 from trafficwatch.llm.exact_dedup import dedup_report
 from trafficwatch.llm.langid import identify
 from trafficwatch.llm.line_dedup import line_report
+from trafficwatch.llm.merkle import manifest_report
 from trafficwatch.llm.packing import pack_documents
+from trafficwatch.llm.recompression import run_report
 from trafficwatch.llm.repair import round_trip
 from trafficwatch.llm.simhash import near_duplicates
 from trafficwatch.llm.toxicity import score_documents
@@ -60,6 +63,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_report(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_report(table(spark, sf_dir, "documents"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_replay": op1_bpe_replay,
     "op2_langid": op2_langid,
@@ -71,6 +86,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repair": op8_repair,
     "op9_winnowing": op9_winnowing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_recompression": op11_recompression,
+    "op12_merkle": op12_merkle,
+    "op13_chat_format": op13_chat_format,
 }
 
 #: DuckDB statements of the queries that SQL can express on the whole tables.
