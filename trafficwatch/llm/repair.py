@@ -18,6 +18,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -38,90 +39,151 @@ _MAGIC = b"RPG1"
 _HEAD = struct.Struct("<4s4I")
 
 
-#: Pair counters of the first, coarse count of a round (a power of two).
-_COUNTERS = 1 << 20
-
-
-def _frequent(keys: np.ndarray, min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(pairs, counts, at, code, rare): the pairs near the top count, sorted, their
-    counts, the indexes of ``keys`` that hold one and which; True for keys that are surely
-    rarer than ``min_count``. A coarse count by hash, never below the right one, leaves
-    few keys to sort."""
-    slot = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-    coarse = np.bincount(slot, minlength=_COUNTERS)[slot]
-    rare, top = coarse < min_count, int(coarse.max(initial=0))
-    while top >= min_count:
-        # Replacing the top pairs changes the counts of the others: those wait for a later round.
-        least = max(min_count, top // 8)
-        at = np.flatnonzero(coarse >= least)
-        order = at[np.argsort(keys[at], kind="stable")]
-        ordered = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        counts = np.diff(np.append(first, len(order)))
-        if least == min_count:
-            rare[order[np.repeat(counts < min_count, counts)]] = True
-        near = counts >= least
-        top = int(counts.max())
-        # Pairs left out have less than ``least``: is the top count found, and its eighth not below that?
-        if least == min_count or top // 8 >= least:
-            number = np.cumsum(near) - 1
-            wanted = np.repeat(near, counts)
-            return ordered[first[near]], counts[near], order[wanted], np.repeat(number, counts)[wanted], rare
-        top = max(top, least - 1)
-    none = np.zeros(0, np.int64)
-    return none, none, none, none, rare
+def _pairs_at(sequence: np.ndarray, places: np.ndarray, after: np.ndarray,
+              min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code, pairs, counts): which of ``pairs`` (left << 32 | right, each ``min_count`` times at
+    least) stands at each of the ascending ``places`` and its neighbour ``after``, from 1 on, or
+    0. A pair of equal symbols overlaps itself: in a row of them every other place counts."""
+    left, right = sequence[places], sequence[after]
+    counted = np.ones(len(places), bool)
+    twin = np.flatnonzero(left == right)
+    if len(twin):
+        number, opens = np.arange(len(twin)), np.ones(len(twin), bool)
+        opens[1:] = places[twin[1:]] != after[twin[:-1]]
+        counted[twin] = (number - np.maximum.accumulate(np.where(opens, number, 0))) % 2 == 0
+    found, pairs = pd.factorize((left << 32 | right)[counted])
+    counts = np.bincount(found, minlength=len(pairs))
+    frequent = counts >= min_count  # a pair only gets rarer
+    number = np.where(frequent, np.cumsum(frequent), 0)
+    code = np.zeros(len(places), np.int64)
+    code[counted] = number[found]
+    return code, pairs[frequent], counts[frequent]
+
+
+class _Sequence:
+    """Linked symbols with the pair that stands at each place and the count of every pair.
+
+    Replacing a pair touches its own places and their neighbours only: their old pairs are
+    counted down, the new ones contain the new symbol, so they are counted on their own."""
+
+    def __init__(self, symbols: np.ndarray, min_count: int):
+        self.symbols, self.min_count = symbols, min_count
+        self._link()
+        n = len(symbols)
+        places = np.arange(max(0, n - 1))
+        code, pairs, counts = _pairs_at(symbols, places, places + 1, min_count)
+        self.code = np.concatenate([code, np.zeros(n + 1 - len(code), np.int64)])  # 0: no pair is counted here
+        self.pairs, self.counts = np.concatenate([[0], pairs]), np.concatenate([[0], counts])
+
+    def _link(self) -> None:
+        n = len(self.symbols)
+        self.next = np.arange(1, n + 2)  # place n is the end, place -1 (the same) the start
+        self.before = np.arange(-1, n)
+        self.alive, self.gone = np.ones(n, bool), 0
+        self.strength = np.zeros(n + 1, np.int64)
+
+    def near_top(self) -> np.ndarray:
+        """Codes of the pairs whose count is near the top. Replacing them changes the counts
+        of the others: those wait for a later round."""
+        top = int(self.counts.max())
+        return np.flatnonzero(self.counts >= max(self.min_count, top // 8))
+
+    def chosen(self, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, codes) of the pairs ``near`` to replace in this round: of overlapping ones the
+        more frequent, whatever is left ``min_count`` times."""
+        eligible = np.zeros(len(self.counts), bool)
+        eligible[near] = True
+        # The same pair wins in every copy of a passage; ties in no order along the text.
+        mixed = self.pairs[near].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        order = near[np.lexsort((mixed, self.counts[near]))]
+        rank = np.zeros(len(self.counts), np.int64)
+        rank[order] = np.arange(1, len(near) + 1)
+        at = np.flatnonzero(eligible[self.code])
+        self.strength[at] = rank[self.code[at]]
+        winners = []
+        while len(at):
+            own = self.strength[at]
+            after, before = self.next[at], self.before[at]
+            wins = (own > self.strength[after]) & (own > self.strength[before])
+            winners.append(at[wins])
+            self.strength[after[wins]] = self.strength[before[wins]] = self.strength[at[wins]] = 0
+            at = at[self.strength[at] > 0]  # beside a stronger one that lost itself
+        at = np.sort(np.concatenate(winners)) if winners else at
+        own = rank[self.code[at]]
+        enough = np.bincount(own, minlength=len(near) + 1) >= self.min_count
+        return at[enough[own]], order[np.flatnonzero(enough) - 1]
+
+    def replace(self, at: np.ndarray, symbols: np.ndarray) -> None:
+        """Writes ``symbols`` for the pairs at ``at``."""
+        self.symbols[at] = symbols
+        eaten = self.next[at]
+        after = self.next[eaten]
+        self.next[at], self.before[after] = after, at
+        self.alive[eaten] = False
+        self.gone += len(eaten)
+        touched = np.zeros(len(self.code), bool)
+        touched[self.before[at]] = touched[at] = True
+        touched[-1] = False  # the start has no place of its own
+        touched = np.flatnonzero(touched)
+        old = np.concatenate([self.code[touched], self.code[eaten]])
+        self.counts -= np.bincount(old, minlength=len(self.counts))
+        self.code[eaten] = self.code[touched] = 0
+        touched = touched[self.next[touched] < len(self.symbols)]
+        code, pairs, counts = _pairs_at(self.symbols, touched, self.next[touched], self.min_count)
+        self.code[touched] = np.where(code > 0, code + len(self.pairs) - 1, 0)
+        self.pairs, self.counts = np.concatenate([self.pairs, pairs]), np.concatenate([self.counts, counts])
+        self.counts[0] = 0
+        if 3 * self.gone > len(self.symbols):
+            self.shorten()
+
+    def shorten(self) -> None:
+        """Closes the gaps that replaced pairs left."""
+        self.symbols = self.symbols[self.alive]
+        self.code = self.code[np.append(self.alive, True)]
+        self._link()
 
 
 def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Re-Pair grammar of ``ids``: (rules as pairs, expansion lengths of the rules,
-    sequence, first nonterminal). Each round counts the pairs of neighbours, makes rules
-    of the frequent ones and replaces them, of overlapping ones the more frequent, until
-    no pair stands ``min_count`` times without overlap. A pair only gets rarer, so places
-    of rare pairs are not counted again until a neighbour changes."""
-    sequence = ids.astype(np.int64)
-    terminals = int(sequence.max()) + 1 if len(sequence) else 0
+    sequence, first nonterminal). Each round makes rules of the most frequent pairs of
+    neighbours and replaces them, until no pair stands ``min_count`` times without overlap.
+    Counts are kept up to date place by place; in rows of one symbol a count can fall one
+    short, so the end is checked by counting anew."""
+    symbols = ids.astype(np.int64)
+    terminals = int(symbols.max()) + 1 if len(symbols) else 0
+    rules = [np.zeros(0, np.int64)]
     first = terminals
-    rules = [np.zeros((0, 2), np.int64)]
-    live = np.ones(len(sequence), bool)
-    while len(sequence) > 1:
-        places = np.flatnonzero(live[:-1])
-        left, right = sequence[places], sequence[places + 1]
-        keys = left << 32 | right
-        twin = np.flatnonzero(left == right)
-        if len(twin):  # a pair of equal symbols overlaps itself: every other one counts
-            number, run = np.arange(len(twin)), np.ones(len(twin), bool)
-            run[1:] = places[twin[1:]] != places[twin[:-1]] + 1
-            odd = (number - np.maximum.accumulate(np.where(run, number, 0))) % 2 == 1
-            places, keys = np.delete(places, twin[odd]), np.delete(keys, twin[odd])
-        pairs, counts, at, code, rare = _frequent(keys, min_count)
-        if not len(pairs):
+    while len(symbols) > 1:
+        work = _Sequence(symbols, min_count)
+        # Pairs that have a symbol already: some were left over beside stronger pairs.
+        known = pd.Index(np.concatenate(rules)).get_indexer(work.pairs[1:])
+        left = 1 + np.flatnonzero(known >= 0)
+        if again := len(left) > 0:
+            at, _ = work.chosen(left)
+            work.replace(at, terminals + known[work.code[at] - 1])
+        else:
+            while len(near := work.near_top()):
+                at, codes = work.chosen(near)
+                symbol = np.zeros(len(work.counts), np.int64)
+                symbol[codes] = first + np.arange(len(codes))
+                rules.append(work.pairs[codes])
+                first += len(codes)
+                again = True
+                work.replace(at, symbol[work.code[at]])
+                work.counts[codes] = 0  # what is left of them waits for the next count
+        work.shorten()
+        symbols = work.symbols
+        if not again:
             break
-        live[places[rare]] = False
-        # The same pair wins in every copy of a passage; ties in no order along the text.
-        turn = np.empty(len(pairs), np.int64)
-        turn[np.lexsort((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), counts))] = np.arange(1, len(pairs) + 1)
-        strength = np.zeros(len(sequence) + 1, np.int64)
-        strength[places[at]] = turn[code]
-        own = strength[places[at]]
-        wins = (own > strength[places[at] + 1]) & (own > strength[places[at] - 1])
-        made = np.bincount(code[wins], minlength=len(pairs)) >= min_count
-        wins &= made[code]
-        chosen, code = places[at[wins]], code[wins]
-        rules.append(np.stack([pairs[made] >> 32, pairs[made] & 0xFFFFFFFF], axis=1))
-        sequence[chosen] = first + (np.cumsum(made) - 1)[code]
-        live[chosen] = True
-        live[chosen[chosen > 0] - 1] = True
-        keep = np.ones(len(sequence), bool)
-        keep[chosen + 1] = False
-        sequence, live = sequence[keep], live[keep]
-        first += int(made.sum())
-    table = np.concatenate(rules)
+    keys = np.concatenate(rules)
+    table = np.stack([keys >> 32, keys & 0xFFFFFFFF], axis=1)
     lengths = np.ones(terminals + len(table), np.int64)
     at = terminals
     for part in rules:  # a round's rules use symbols of earlier rounds only
-        lengths[at:at + len(part)] = lengths[part[:, 0]] + lengths[part[:, 1]]
+        own = table[at - terminals:at - terminals + len(part)]
+        lengths[at:at + len(part)] = lengths[own[:, 0]] + lengths[own[:, 1]]
         at += len(part)
-    return table, lengths[terminals:], sequence, terminals
+    return table, lengths[terminals:], symbols, terminals
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np.ndarray:
