@@ -199,6 +199,25 @@ def test_winnowing(text, k, window):
     assert (hashes.tolist(), places.tolist()) == (brute_winnow(text, k, window) if text else ([], []))
 
 
+def test_short_texts_keep_a_hash_of_what_they_share():
+    rng = random.Random(4)
+    for n in range(48, 300, 9):
+        text = "".join(rng.choice("abcdefghij ") for _ in range(n))
+        mixed = winnow.edited(text, "".join(rng.choice("klmnopqrst ") for _ in range(rng.choice((3, n)))))
+        one, other = (set(winnow.winnow(t, window=winnow.window_for(t))[0].tolist()) for t in (text, mixed))
+        assert one & other
+
+
+def test_next_documents_of_large_ids_beside_a_null_id(spark):
+    # As floats these ids would be equal in pairs.
+    rows = [(2**53 + i, f"text number {i} " * 9) for i in range(40)] + [(None, "no id")]
+    docs = spark.createDataFrame(rows, DOCS).repartition(7)
+    ordered = sorted(rows, key=lambda r: r[0] or 0)
+    following = {d: ordered[(i + 1) % len(ordered)][1] for i, (d, _) in enumerate(ordered)}
+    found = {r.doc_id: r.edited_sha256 for r in winnow.edit_report(docs).collect()}
+    assert found == {d: sha(winnow.edited(t, following[d])) for d, t in rows}
+
+
 def test_shared_passage_shares_a_hash():
     rng = random.Random(1)
     letters = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
@@ -228,7 +247,7 @@ def test_edit_report(spark, parts):
         text, following = text or "", ordered[(i + 1) % len(ordered)][1] or ""
         half = len(text) // 2
         mixed = text[:len(text) - half] + following[:half]
-        own, other, next_ = (winnow.winnow(t)[0] for t in (text, mixed, following))
+        own, other, next_ = (winnow.winnow(t, window=winnow.window_for(t))[0] for t in (text, mixed, following))
         expected.append((doc, len(text), sha(mixed), "".join(f"{h:08x}" for h in own.tolist()),
                          "".join(f"{h:08x}" for h in other.tolist()), winnow.likeness(own, other), winnow.likeness(own, next_)))
     assert found == sorted(expected, key=str)

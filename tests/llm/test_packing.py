@@ -56,7 +56,6 @@ def test_linear_groups_are_of_equal_cardinality():
 
 def check(rows, found, capacity=1024):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     expected = []
     for doc, text in rows:
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
@@ -75,7 +74,7 @@ def check(rows, found, capacity=1024):
 def test_pack_documents(spark, monkeypatch):
     monkeypatch.setattr(packing, "WINDOW_ROWS", 7)  # the hot length spans several rank windows
     rows = [(i, "same words here") for i in range(60)] + [(100, None), (101, ""), (None, "no id"), (3, "repeated id")]
-    rows += [(200 + i, "longer text " * (40 * i)) for i in range(20)] + [(300, "x y " * 20_000)]
+    rows += [(200 + i, "longer text " * (40 * i)) for i in range(20)] + [(300, "x y " * 20_000), (301, "a <|endoftext|> b<|endoftext|>")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("length", F.lit("clash")).withColumn("salt", F.lit(1))
     check(rows, packing.pack_documents(docs, PATH).collect())
     assert packing.pack_documents(docs.limit(0), PATH).count() == 0

@@ -74,9 +74,10 @@ def test_a_merge_to_a_lower_rank_is_replayed_step_by_step(tmp_path):
 
 def test_tokenizer_words_equal_the_library_on_whole_texts():
     tokenizer = Tokenizer.from_file(PLAIN)
-    tokenizer.encode_special_tokens = True
-    (ids,) = encoder(PLAIN).documents(pa.array(ODD))
-    for d, text in enumerate(ODD):
+    texts = [*ODD, "a <|endoftext|> b", "<|endoftext|>", "x\n <|endoftext|><|endoftext|>'s  é", "<|endoftext| >", "|>"]
+    texts += [a + b for a, b in zip(texts, texts[1:])]
+    (ids,) = encoder(PLAIN).documents(pa.array(texts))
+    for d, text in enumerate(texts):
         assert ids.values[ids.start[d]:ids.start[d + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -157,7 +158,7 @@ def test_repair_makes_rules_for_rare_pairs_and_small_shards(monkeypatch):
 
 
 def test_token_files_in_id_order(spark):
-    rows = [(7, "seven seven"), (2, None), (5, "a b c"), (None, "no id"), (5, "a a"), (11, "x " * 3000)]
+    rows = [(7, "seven seven"), (2, None), (5, "a b c"), (None, "no id"), (5, "a a"), (11, "x " * 3000), (12, "a <|endoftext|> b")]
     docs = spark.createDataFrame(rows, DOCS).withColumn("part", F.lit(1)).withColumn("shard", F.lit("clash"))
     tokenizer = Tokenizer.from_file(PLAIN)
     found = repair.round_trip(docs, PLAIN).orderBy("start").collect()

@@ -12,6 +12,7 @@ go to the encoder, and ids are gathered back into documents.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -81,23 +82,32 @@ def _starts(points: np.ndarray, doc_at: np.ndarray) -> np.ndarray:
     return word
 
 
-def split_words(texts: pa.Array) -> Words:
-    """The words of each text of a string array without nulls."""
+def split_words(texts: pa.Array, added: re.Pattern[bytes] | None = None) -> Words:
+    """The words of each text of a string array without nulls. A match of ``added`` is a
+    word of its own, and the texts before and after it are split each for itself."""
     raw = [t.encode() for t in texts.to_pylist()]
     sizes = np.array([len(r) for r in raw], np.int64)
     data = b"".join(raw)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    cuts = [(base + m.start(), base + m.end()) for r, base in zip(raw, bounds[:-1].tolist(), strict=True)
+            for m in added.finditer(r)] if added and added.search(data) else []
     points = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
     if len(points) == len(data):
         offset = None
     else:
         offset = np.zeros(len(points) + 1, np.int64)
         np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000), out=offset[1:])
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    char_bounds = bounds if offset is None else np.searchsorted(offset, bounds)
+    places = (lambda at: at) if offset is None else functools.partial(np.searchsorted, offset)
+    char_bounds = places(bounds)
     if not len(points):
         return Words(pa.array([], pa.binary()), np.zeros(0, np.int64), np.zeros(len(raw) + 1, np.int64))
     doc_at = char_bounds[:-1][sizes > 0]
-    at = np.flatnonzero(_starts(points, doc_at))
+    whole = places(np.array(cuts, np.int64).reshape(-1, 2))
+    apart = np.union1d(doc_at, whole)
+    word = _starts(points, apart[apart < len(points)])
+    for low, high in whole.tolist():
+        word[low + 1:high] = False
+    at = np.flatnonzero(word)
     cuts = np.append(at if offset is None else offset[at], len(data)).astype(np.int32)
     words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
     encoded = words.dictionary_encode()
@@ -132,12 +142,13 @@ def document_ids(words: Words, word_ids: Ragged) -> Ragged:
     return Ragged(flat.values, flat.start[words.doc_start])
 
 
-def encode_documents(texts: pa.Array, encode: Callable[[pa.Array], Ragged],
-                     piece_bytes: int = CHUNK_BYTES) -> Iterator[Ragged]:
+def encode_documents(texts: pa.Array, encode: Callable[[pa.Array], Ragged], piece_bytes: int = CHUNK_BYTES,
+                     added: re.Pattern[bytes] | None = None) -> Iterator[Ragged]:
     """Token ids of the documents of a block, in pieces of about ``piece_bytes``. The
-    distinct words of the whole block are put together and ``encode`` sees each once."""
+    distinct words of the whole block are put together and ``encode`` sees each once;
+    matches of ``added`` are words, too."""
     batch = pa.RecordBatch.from_arrays([texts], names=["t"])
-    pieces = [split_words(p.column(0)) for p in slices(batch, "t", piece_bytes)]
+    pieces = [split_words(p.column(0), added) for p in slices(batch, "t", piece_bytes)]
     merged = pa.concat_arrays([p.vocabulary for p in pieces] or [pa.array([], pa.binary())]).dictionary_encode()
     ids, place, at = encode(merged.dictionary), merged.indices.to_numpy(), 0
     for piece in pieces:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trafficwatch.llm.base import record, scratch_path, slices, text_or_empty
-from trafficwatch.llm.pretokens import Ragged, encode_documents
+from trafficwatch.llm.pretokens import Ragged
 from trafficwatch.llm.tokenize import BLOCK_BYTES, encoder
 
 END_ID = 0
@@ -290,7 +290,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, doc_id: s
         for batch in batches:
             for block in slices(batch, "text", BLOCK_BYTES):
                 part, at = block.column(2)[0].as_py(), 0
-                for ids in encode_documents(block.column(1), encoder(tokenizer_path).words, shard_bytes):
+                for ids in encoder(tokenizer_path).documents(block.column(1), shard_bytes):
                     documents = [np.append(ids.values[a:b], end_id)
                                  for a, b in zip(ids.start[:-1], ids.start[1:], strict=True)]
                     own = block.column(0).slice(at, len(documents))

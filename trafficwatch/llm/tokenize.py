@@ -1,17 +1,20 @@
 """Token ids of whole texts by a ``tokenizers`` library file.
 
 A byte-level tokenizer works on each word of its pattern separately, so the library
-is asked for each distinct word once and its ids are gathered into documents.
+is asked for each distinct word once and its ids are gathered into documents. Texts are
+first cut at the file's added tokens, as the library does; each is a word with its own id.
 """
 from __future__ import annotations
 
 import functools
+import re
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+from trafficwatch.llm.base import CHUNK_BYTES
 from trafficwatch.llm.pretokens import Ragged, encode_documents
 
 #: Text bytes of the documents whose distinct words are looked up together.
@@ -28,7 +31,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # text stays text
+        tokens = list(self._tokenizer.get_added_tokens_decoder().values())
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in tokens):
+            raise ValueError("added tokens that look at their neighbours are not supported")
+        found = sorted((t.content.encode() for t in tokens), key=len, reverse=True)  # the longest match counts
+        #: The file's added tokens.
+        self.added = re.compile(b"|".join(map(re.escape, found))) if found else None
         self._known: dict[bytes, bytes] = {}  # ids as unsigned 32-bit integers
 
     def words(self, vocabulary: pa.Array) -> Ragged:
@@ -44,9 +52,9 @@ class WordEncoder:
         np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) // 4, out=start[1:])
         return Ragged(np.frombuffer(b"".join(rows), np.uint32).astype(np.int64), start)
 
-    def documents(self, texts: pa.Array) -> Iterator[Ragged]:
+    def documents(self, texts: pa.Array, piece_bytes: int = CHUNK_BYTES) -> Iterator[Ragged]:
         """Ids of the documents of a block, piece by piece (see :func:`encode_documents`)."""
-        return encode_documents(texts, self.words)
+        return encode_documents(texts, self.words, piece_bytes, self.added)
 
 
 @functools.cache

@@ -5,6 +5,10 @@ consecutive k-grams the smallest is chosen, of equal ones the rightmost; a k-gra
 several windows choose is kept once, with its position. Two texts that share a passage
 of ``window + k - 1`` code points share a chosen hash (the match guarantee); hashes
 shorter than ``k`` code points never cause a match.
+
+Short texts have narrower windows, an eighth of their length (:func:`window_for`), so they
+keep several hashes. What a window chooses, every narrower window inside it that holds
+it chooses too, so for two texts the guarantee is that of the wider of their windows.
 """
 from __future__ import annotations
 
@@ -55,6 +59,11 @@ def gram_hashes(points: np.ndarray, k: int) -> np.ndarray:
     return total >> np.uint64(32)
 
 
+def window_for(text: str, window: int = WINDOW) -> int:
+    """The window of a text: an eighth of its code points, from 1 to ``window``."""
+    return max(1, min(window, len(text) // 8))
+
+
 def winnow(text: str, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, positions) of the chosen k-grams in text order. A text of fewer than k
     code points is one gram; an empty text has none."""
@@ -95,7 +104,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         ("positions", pa.list_(pa.int64()))])
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = [winnow(t, k, window) for t in batch.column(1).to_pylist()]
+        found = [winnow(t, k, window_for(t, window)) for t in batch.column(1).to_pylist()]
         yield record(schema, batch.column(0), [h.astype(np.int64) for h, _ in found], [p for _, p in found])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
@@ -131,11 +140,11 @@ def in_order_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     @F.pandas_udf("int")
     def part_of(numbers: pd.Series) -> pd.Series:
-        found = np.searchsorted(bounds, numbers.fillna(_BEFORE_ALL).to_numpy(np.int64), side="right")
-        return pd.Series(found.astype(np.int32))
+        return pd.Series(np.searchsorted(bounds, numbers.to_numpy(np.int64), side="right").astype(np.int32))
 
     def ranged(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("part", part_of("doc_id"))
+        # Never null: pandas would make the ids floats, which are not exact beyond 2^53.
+        return frame.withColumn("part", part_of(F.coalesce("doc_id", F.lit(_BEFORE_ALL))))
 
     # One row per partition: where it starts, and where a copy of that document goes.
     firsts = sorted((r["part"], r["known"], r["first"]) for r in ranged(ids).groupBy("part").agg(
@@ -146,7 +155,8 @@ def in_order_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     copies = rows.join(F.broadcast(targets), F.col("doc_id").eqNullSafe(F.col("first"))) \
         .withColumn("own", F.lit(False))
     columns = ["part", "own", "doc_id", "text"]
-    return own.select(columns).unionByName(copies.select(columns)).repartition("part") \
+    return own.select(columns).unionByName(copies.select(columns)) \
+        .repartitionById(len(bounds) + 1, F.col("part")) \
         .sortWithinPartitions("part", F.desc("own"), F.asc_nulls_first("doc_id"), "text")
 
 
@@ -167,6 +177,9 @@ def edit_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     repeat an id follow each other by text. One document is its own next one. An empty
     table gives no rows. Other columns are not read.
     """
+    def chosen(content: str) -> np.ndarray:
+        return winnow(content, k, window_for(content, window))[0]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # (part, doc_id, text, hashes) that waits for its next document
         rows: list[tuple] = []
@@ -174,13 +187,13 @@ def edit_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for part, own, doc, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held is not None and held[0] == part:
                     mixed = edited(held[2], content)
-                    now = winnow(content, k, window)[0]
-                    other = winnow(mixed, k, window)[0]
+                    now = chosen(content)
+                    other = chosen(mixed)
                     rows.append((held[1], len(held[2]), hashlib.sha256(mixed.encode()).hexdigest(),
                                  _hex(held[3]), _hex(other), likeness(held[3], other), likeness(held[3], now)))
                     held = (part, doc, content, now) if own else None
                 elif own:
-                    held = (part, doc, content, winnow(content, k, window)[0])
+                    held = (part, doc, content, chosen(content))
                 if len(rows) >= 1000:
                     yield record(_EDITS, *zip(*rows, strict=True))
                     rows = []
