@@ -60,6 +60,78 @@ def test_an_archive_can_be_derived_again_with_its_ids(spark):
     assert ids(first) == ids(again)
 
 
+def plain_parse(data):
+    """Another reader: one member after the other by gzip's own file class, headers by the email
+    package."""
+    import email
+    import io
+
+    found, stream = [], io.BytesIO(data)
+    whole = gzip.GzipFile(fileobj=stream).read()
+    at = 0
+    while at < len(whole):
+        head, _, rest = whole[at:].partition(b"\r\n\r\n")
+        fields = email.message_from_bytes(head.partition(b"\r\n")[2])
+        size = int(fields["Content-Length"])
+        found.append((fields, rest[:size]))
+        at += len(head) + 4 + size + 4
+    return found
+
+
+def test_archives_keep_foreign_bytes_and_digests(spark, tmp_dir):
+    latin = "<html><p>caf\xe9 <a href='/\xfc'>x</a>".encode("latin-1")
+    japanese = "<meta charset=shift_jis><p>\u65e5\u672c".encode("shift_jis")
+    blocks = [b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1\r\nX-N: \xe9\r\n\r\n" + latin,
+              b"HTTP/1.0 200 OK\r\n\r\n" + japanese, b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=no-such\r\n\r\n\xff<p>y",
+              b"only headers", b"", None]
+    own = ["sha256:" + hashlib.sha256(blocks[0]).hexdigest(), None, "md5:" + hashlib.md5(blocks[2]).hexdigest(), None, None, None]
+    payload = ["sha256:stated by the source", None, None, None, None, None]
+    rows = [(i, f"<urn:uuid:{i}>", "http://h/d/", "2020-02-02T00:00:00Z", b, o, p, "response", "clash")
+            for i, (b, o, p) in enumerate(zip(blocks, own, payload))] + [
+        (9, "<urn:uuid:9>", "u", "d", b"x", None, None, "request", "clash")]
+    source = spark.createDataFrame(rows, "page_id long, record_id string, target_uri string, date string, block binary, "
+                                         "block_digest string, payload_digest string, type string, headers string")
+    warc.write_warc(warc.derive(warc.captured(source)), f"{tmp_dir}/warc")
+    found = {(r.page_id, r.type): r for r in warc.read_warc(spark, f"{tmp_dir}/warc").collect()}
+    assert len(found) == 3 * len(blocks)
+    for i, block in enumerate(blocks):
+        block = block or b""
+        kept = found[i, "response"]
+        assert (kept.record_id, bytes(kept.block)) == (f"<urn:uuid:{i}>", block)
+        assert kept.block_digest == (own[i] or warc.digest(block))
+        assert kept.payload_digest == (payload[i] or warc.digest(block.partition(b"\r\n\r\n")[2]))
+        for kind in ("metadata", "conversion"):
+            assert (found[i, kind].refers_to, found[i, kind].payload_digest) == (kept.record_id, kept.payload_digest)
+    text = {i: bytes(found[i, "conversion"].block).decode() for i in range(len(blocks))}
+    assert text == {0: "caf\xe9 x", 1: "\u65e5\u672c", 2: "\ufffd\ny", 3: "", 4: "", 5: ""}
+    about = bytes(found[0, "metadata"].block).decode()
+    assert "outlink: http://h/\xfc\r\n" in about and "WARC-Source-Header: X-N: \xe9\r\n" in about
+    files = [r for b in spark.read.parquet(f"{tmp_dir}/warc").collect() for r in plain_parse(bytes(b.warc))]
+    assert sorted((f["WARC-Record-ID"], b) for f, b in files) == sorted((r.record_id, bytes(r.block)) for r in found.values())
+
+
+def test_plain_links_resolve_as_the_library_says():
+    from urllib.parse import urljoin
+
+    targets = ["/a", "/a/b", "/a/../b", "//host/x", "/a;b?c#d", "/\u00fc", "/a.", "/", "?q", "c/./d", "/a%20b&c", "/x\\y"]
+    for base in ("http://host/d/e", "https://host:8080", "ftp://host/d", "u", "", "http://[bad/"):
+        page = "".join(f'<a href="{t}">' for t in targets)
+        expected = []
+        for t in targets:
+            try:
+                expected.append(urljoin(base, t))
+            except ValueError:
+                pass
+        assert warc.links(page, base) == list(dict.fromkeys(expected))
+
+
+def test_members_are_read_one_by_one():
+    parts = [b"", b"x" * 200_000, b"y", bytes(range(256)) * 900]
+    assert list(warc.members(b"".join(gzip.compress(p, 1) for p in parts))) == parts
+    with pytest.raises(ValueError):
+        list(warc.members(gzip.compress(b"z" * 1000)[:-3]))
+
+
 def test_damaged_archives_are_refused():
     row = {key: None for _, key in warc._FIELDS} | {"type": "conversion", "block": b"text", "block_digest": warc.digest(b"text")}
     good = warc.record_bytes(row)

@@ -1,8 +1,9 @@
 """WARC derivatives: responses -> linked metadata and plain-text conversion records.
 
 A *response* row is one captured page: record id (if the source has one), target URI,
-capture date, the HTTP header block and the payload. Rows come from a table of pages
-(:func:`responses`) or from the response records of an archive (:func:`captured`). Each gives
+capture date, the HTTP response as bytes (headers, empty line, payload) and the digests that
+its source states. Rows come from a table of pages (:func:`responses`) or from the
+response records of an archive (:func:`captured`). Each gives its response record, byte by byte, and
 
 * a ``metadata`` record (application/warc-fields) with title, declared language,
   character set, counts and outgoing links, and
@@ -10,8 +11,9 @@ capture date, the HTTP header block and the payload. Rows come from a table of p
 
 Both carry their own WARC-Record-ID, WARC-Refers-To (the response's id) with the refers-to
 target URI and date, the response's source headers (as WARC-Source-* fields of the
-metadata body), the response's payload digest and their own block digest. Ids follow
-from the content, so a repeated or retried run makes the same records.
+metadata body), the response's payload digest and their own block digest. Digests of the
+source are kept as they are. Ids follow from the content, so a repeated or retried run
+makes the same records. Only the conversion text is decoded, by the declared charset.
 
 Files: :func:`write_warc` writes records as gzip members, one record each, into a
 table of archive blocks that Spark writes; :func:`read_warc` parses such blocks back.
@@ -19,14 +21,15 @@ table of archive blocks that Spark writes; :func:`read_warc` parses such blocks
 from __future__ import annotations
 
 import base64
-import gzip
+import codecs
+import functools
 import hashlib
 import html
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urljoin
+from urllib.parse import urljoin, urlsplit
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -78,15 +81,26 @@ def links(page: str, base: str) -> list[str]:
     return _links(shown(page), base)
 
 
+#: A path on the same host that needs no resolving.
+_PLAIN_PATH = re.compile(r"/(?!/)[^\s.;?#\\]*", re.A)
+
+
 def _links(shown_page: str, base: str) -> list[str]:
     raw = dict.fromkeys(a or b or c for a, b, c in _LINK.findall(shown_page))
     found: dict[str, None] = {}
+    try:
+        parts = urlsplit(base)
+        host = f"{parts.scheme}://{parts.netloc}" if parts.scheme in ("http", "https") and parts.netloc else None
+    except ValueError:  # not a URL
+        host = None
     for written in raw:
         target = html.unescape(written).strip()
-        if target and not target.startswith(("#", "javascript:", "mailto:")):
+        if host and _PLAIN_PATH.fullmatch(target):
+            found[host + target] = None
+        elif target and not target.startswith(("#", "javascript:", "mailto:")):
             try:
                 found[urljoin(base, target)] = None
-            except ValueError:  # not a URL
+            except ValueError:
                 continue
     return list(found)
 
@@ -95,6 +109,40 @@ def digest(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
 
 
+def agrees(label: str, block: bytes) -> bool:
+    """Does a digest label (``algorithm:value``, base 32 or hex) fit the block? A label of an
+    unknown algorithm cannot be checked and is taken as it is."""
+    name, _, value = label.partition(":")
+    if label.startswith("sha1:"):
+        return value == digest(block)[5:] or value.lower() == hashlib.sha1(block).hexdigest()
+    if (name := name.lower().replace("-", "")) not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    own = hashlib.new(name, block)
+    return value.lower() in (own.hexdigest(), base64.b32encode(own.digest()).decode().rstrip("=").lower())
+
+
+_HTTP_CHARSET = re.compile(rb"^content-type:[^\r\n]*?charset\s*=\s*[\"']?([A-Za-z0-9_:.-]+)", re.I | re.M)
+_META_CHARSET = re.compile(rb"<meta\b[^>]*?\bcharset\s*=\s*[\"']?([A-Za-z0-9_:.-]+)", re.I)
+
+
+@functools.lru_cache(1024)
+def _codec(name: bytes) -> str:
+    try:
+        return codecs.lookup(name.decode("ascii")).name
+    except LookupError:
+        return "utf-8"
+
+
+def decoded(headers: bytes, payload: bytes) -> str:
+    """The payload as text, by the charset of its HTTP headers or else of its first 2 KB; UTF-8
+    if none or an unknown one is declared. Bytes that do not fit become U+FFFD."""
+    found = _HTTP_CHARSET.search(headers) or _META_CHARSET.search(payload, 0, 2048)
+    try:
+        return payload.decode(_codec(found.group(1)) if found else "utf-8", "replace")
+    except (LookupError, ValueError):  # a codec that gives no text
+        return payload.decode("utf-8", "replace")
+
+
 def record_id(kind: str, *parts: str) -> str:
     """A name-based UUID URN."""
     return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, chr(0).join((kind, *parts)))}>"
@@ -105,73 +153,70 @@ def _field(value: str) -> str:
     return " ".join(value.split())
 
 
-def metadata_block(page: str, outlinks: list[str], http_headers: str, text: str) -> bytes:
+def metadata_block(page: str, size: int, outlinks: list[str], http_headers: bytes, text_size: int) -> bytes:
     def first(pattern: re.Pattern) -> str | None:
         match = pattern.search(page)
         return _field(html.unescape(match.group(1))) if match else None
 
     fields = [("title", first(_TITLE)), ("languages-declared", first(_LANG)), ("charset-declared", first(_CHARSET)),
-              ("html-length", str(len(page.encode()))), ("text-length", str(len(text.encode()))),
-              *(("WARC-Source-Header", _field(line)) for line in http_headers.split("\r\n") if line),
+              ("html-length", str(size)), ("text-length", str(text_size)),
+              *(("WARC-Source-Header", _field(line)) for line in http_headers.decode("latin-1").split("\r\n") if line),
               *(("outlink", _field(link)) for link in outlinks)]
     return "".join(f"{name}: {value}\r\n" for name, value in fields if value is not None).encode()
 
 
+#: The header of pages whose table states none.
+PAGE_HEADER = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+
+
 def responses(pages: DataFrame) -> DataFrame:
     """Response rows of a (page_id, url, html) table. A null url or page counts as empty;
     rows that repeat a page have the same record id."""
+    none = F.lit(None).cast("string")
     return pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.lit(None).cast("string").alias("record_id"),
+        F.col("page_id").cast("long").alias("page_id"), none.alias("record_id"),
         F.coalesce(F.col("url").cast("string"), F.lit("")).alias("target_uri"), F.lit(CAPTURED).alias("date"),
-        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n").alias("http_headers"),
-        F.coalesce(F.col("html").cast("string"), F.lit("")).alias("payload"))
+        F.concat(F.lit(PAGE_HEADER), F.coalesce(F.col("html").cast("string"), F.lit(""))).cast("binary").alias("block"),
+        none.alias("block_digest"), none.alias("payload_digest"))
 
 
 def captured(records: DataFrame) -> DataFrame:
-    """Response rows of the response records of an archive; their ids are kept. Payload
-    bytes that are no UTF-8 are replaced character by character."""
-    schema = pa.schema([("page_id", pa.int64()), *((n, pa.string()) for n in (
-        "record_id", "target_uri", "date", "http_headers", "payload"))])
-
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for *fields, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            headers, _, payload = block.partition(b"\r\n\r\n")
-            rows.append((*fields, headers.decode("latin-1") + "\r\n", payload.decode("utf-8", "replace")))
-        yield record(schema, *zip(*rows, strict=True))
-
-    found = records.where("type = 'response'").select("page_id", "record_id", "target_uri", "date", "block")
-    return map_batches(found, run, "page_id long, record_id string, target_uri string, date string, "
-                                   "http_headers string, payload string", text="block")
+    """Response rows of the response records of an archive; ids, bytes and digests are kept."""
+    return records.where("type = 'response'").select(
+        "page_id", "record_id", "target_uri", "date", "block", "block_digest", "payload_digest")
 
 
 def derive(responses_: DataFrame) -> DataFrame:
-    """Three records per response row (page_id, record_id, target_uri, date, http_headers,
-    payload): response, metadata, conversion, each with its WARC fields and block.
+    """Three records per response row (page_id, record_id, target_uri, date, block, block_digest,
+    payload_digest): response, metadata, conversion, each with its WARC fields and block.
 
-    A null record_id is made from URI, date and payload digest. Rows are independent: repeated rows give repeated records, an empty payload an empty
-    conversion block, an empty table no records. Other columns are not read.
+    A null record_id is made from URI, date and payload digest, a null digest from its bytes. A
+    block without an empty line is all headers. Rows are independent: repeated rows give
+    repeated records, an empty payload an empty conversion block, a null block counts as empty,
+    an empty table gives no records. Other columns are not read.
     """
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
-        for page_id, given, uri, date, headers, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            payload = page.encode()
-            of_payload = digest(payload)
+        for page_id, given, uri, date, response, of_block, of_payload in zip(
+                *(c.to_pylist() for c in batch.columns), strict=True):
+            response, uri = response or b"", uri or ""
+            headers, _, payload = response.partition(b"\r\n\r\n")
+            of_payload = of_payload or digest(payload)
             source = given or record_id("response", uri, date, of_payload)
-            content = shown(page)
-            text = _lines(content)
-            response = headers.encode() + b"\r\n" + payload
-            described, converted = metadata_block(page, _links(content, uri), headers, text), text.encode()
-            rows.append((page_id, source, "response", uri, date, None, None, None,
-                         "application/http; msgtype=response", digest(response), of_payload, len(response), response))
+            content = shown(decoded(headers, payload))
+            converted = _lines(content).encode("utf-8", "replace")
+            described = metadata_block(content, len(payload), _links(content, uri), headers, len(converted))
+            rows.append((page_id, source, "response", uri, date, None, None, None, "application/http; msgtype=response",
+                         of_block or digest(response), of_payload, len(response), response))
             for kind, content_type, block in (("metadata", "application/warc-fields", described),
                                               ("conversion", "text/plain; charset=utf-8", converted)):
-                rows.append((page_id, record_id(kind, source, digest(block)), kind, uri, date, source, uri, date,
-                             content_type, digest(block), of_payload, len(block), block))
+                own = digest(block)
+                rows.append((page_id, record_id(kind, source, own), kind, uri, date, source, uri, date,
+                             content_type, own, of_payload, len(block), block))
         yield record(_RECORD, *zip(*rows, strict=True))
 
-    columns = responses_.select("page_id", "record_id", "target_uri", "date", "http_headers", "payload")
-    return map_batches(columns, run, f"page_id long, {_RECORD_TYPE}", text="payload")
+    columns = responses_.select("page_id", "record_id", "target_uri", "date", "block", "block_digest", "payload_digest")
+    return map_batches(columns, run, f"page_id long, {_RECORD_TYPE}", text="block")
 
 
 _FIELDS = (("WARC-Type", "type"), ("WARC-Record-ID", "record_id"), ("WARC-Target-URI", "target_uri"),
@@ -187,6 +232,24 @@ def record_bytes(row: dict) -> bytes:
     return f"{VERSION}\r\n{head}Content-Length: {len(row['block'])}\r\n\r\n".encode() + row["block"] + b"\r\n\r\n"
 
 
+#: Compressed bytes that a member is given at once.
+_STEP = 64 << 10
+
+
+def members(data: bytes) -> Iterator[bytes]:
+    """The gzip members of an archive block, one after the other, each byte read once."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        member, parts = zlib.decompressobj(wbits=31), []
+        while not member.eof and at < len(view):
+            parts.append(member.decompress(view[at:at + _STEP]))
+            at += len(view[at:at + _STEP])
+        if not member.eof:
+            raise ValueError("truncated gzip member")
+        at -= len(member.unused_data)
+        yield b"".join(parts)
+
+
 def parse_records(data: bytes) -> Iterator[dict]:
     """Records of uncompressed WARC bytes; raises ValueError where they are damaged."""
     at = 0
@@ -200,7 +263,7 @@ def parse_records(data: bytes) -> Iterator[dict]:
         block = data[end + 4:end + 4 + size]
         if len(block) != size or data[end + 4 + size:end + 8 + size] != b"\r\n\r\n":
             raise ValueError(f"truncated WARC record at byte {at}")
-        if fields.get("WARC-Block-Digest", digest(block)) != digest(block):
+        if "WARC-Block-Digest" in fields and not agrees(fields["WARC-Block-Digest"], block):
             raise ValueError(f"block digest differs at byte {at}")
         yield {key: fields.get(name) for name, key in _FIELDS} | {"content_length": size, "block": block}
         at = end + 8 + size
@@ -226,7 +289,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows = list(parse_records(gzip.decompress(data)))
+                rows = [r for member in members(data) for r in parse_records(member)]
                 yield record(_RECORD, ids, *([r[name] for r in rows] for name in _RECORD.names[1:]))
 
     return spark.read.parquet(path).select("page_ids", "warc").mapInArrow(run, f"page_id long, {_RECORD_TYPE}")
