@@ -195,28 +195,32 @@ def derive(responses_: DataFrame) -> DataFrame:
     repeated records, an empty payload an empty conversion block, a null block counts as empty,
     an empty table gives no records. Other columns are not read.
     """
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for page_id, given, uri, date, response, of_block, of_payload in zip(
-                *(c.to_pylist() for c in batch.columns), strict=True):
-            response, uri = response or b"", uri or ""
-            headers, _, payload = response.partition(b"\r\n\r\n")
-            of_payload = of_payload or digest(payload)
-            source = given or record_id("response", uri, date, of_payload)
-            content = shown(decoded(headers, payload))
-            converted = _lines(content).encode("utf-8", "replace")
-            described = metadata_block(content, len(payload), _links(content, uri), headers, len(converted))
-            rows.append((page_id, source, "response", uri, date, None, None, None, "application/http; msgtype=response",
-                         of_block or digest(response), of_payload, len(response), response))
-            for kind, content_type, block in (("metadata", "application/warc-fields", described),
-                                              ("conversion", "text/plain; charset=utf-8", converted)):
-                own = digest(block)
-                rows.append((page_id, record_id(kind, source, own), kind, uri, date, source, uri, date,
-                             content_type, own, of_payload, len(block), block))
-        yield record(_RECORD, *zip(*rows, strict=True))
-
-    columns = responses_.select("page_id", "record_id", "target_uri", "date", "block", "block_digest", "payload_digest")
-    return map_batches(columns, run, f"page_id long, {_RECORD_TYPE}", text="block")
+    return map_batches(responses_.select(*_RESPONSE), _derived, f"page_id long, {_RECORD_TYPE}", text="block")
+
+
+_RESPONSE = ("page_id", "record_id", "target_uri", "date", "block", "block_digest", "payload_digest")
+
+
+def _derived(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The records of a batch of response rows."""
+    rows = []
+    for page_id, given, uri, date, response, of_block, of_payload in zip(
+            *(c.to_pylist() for c in batch.columns), strict=True):
+        response, uri = response or b"", uri or ""
+        headers, _, payload = response.partition(b"\r\n\r\n")
+        of_payload = of_payload or digest(payload)
+        source = given or record_id("response", uri, date, of_payload)
+        content = shown(decoded(headers, payload))
+        converted = _lines(content).encode("utf-8", "replace")
+        described = metadata_block(content, len(payload), _links(content, uri), headers, len(converted))
+        rows.append((page_id, source, "response", uri, date, None, None, None, "application/http; msgtype=response",
+                     of_block or digest(response), of_payload, len(response), response))
+        for kind, content_type, block in (("metadata", "application/warc-fields", described),
+                                          ("conversion", "text/plain; charset=utf-8", converted)):
+            own = digest(block)
+            rows.append((page_id, record_id(kind, source, own), kind, uri, date, source, uri, date,
+                         content_type, own, of_payload, len(block), block))
+    yield record(_RECORD, *zip(*rows, strict=True))
 
 
 _FIELDS = (("WARC-Type", "type"), ("WARC-Record-ID", "record_id"), ("WARC-Target-URI", "target_uri"),
@@ -272,16 +276,26 @@ def parse_records(data: bytes) -> Iterator[dict]:
 def write_warc(records: DataFrame, path: str) -> None:
     """Writes records to a table of archive blocks (page_ids, warc): each block is a run
     of gzip members, one record each, that any WARC reader can read on its own."""
-    schema = pa.schema([("page_ids", pa.list_(pa.int64())), ("warc", pa.binary())])
+    records.select(*_RECORD.names).mapInArrow(_packed, "page_ids array<long>, warc binary").write.parquet(path)
+
 
+def write_derivatives(responses_: DataFrame, path: str) -> None:
+    """:func:`write_warc` of the :func:`derive`-d records, in one pass of each task over its rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in slices(batch, "block", BLOCK_BYTES):
-                rows = piece.to_pylist()
-                members = b"".join(zlib.compress(record_bytes(r), 1, wbits=31) for r in rows)
-                yield record(schema, [[r["page_id"] for r in rows]], [members])
+        return _packed(made for batch in batches for piece in slices(batch, "block", BLOCK_BYTES // 2)
+                       for made in _derived(piece))
 
-    records.select(*_RECORD.names).mapInArrow(run, "page_ids array<long>, warc binary").write.parquet(path)
+    responses_.select(*_RESPONSE).mapInArrow(run, "page_ids array<long>, warc binary").write.parquet(path)
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Archive blocks of batches of records."""
+    schema = pa.schema([("page_ids", pa.list_(pa.int64())), ("warc", pa.binary())])
+    for batch in batches:
+        for piece in slices(batch, "block", BLOCK_BYTES):
+            rows = piece.to_pylist()
+            packed = b"".join(zlib.compress(record_bytes(r), 1, wbits=31) for r in rows)
+            yield record(schema, [[r["page_id"] for r in rows]], [packed])
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -299,5 +313,5 @@ def derivative_report(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Builds the pages' derivative archive (by default in the shared scratch folder),
     reads it back and returns its records, each with its block's SHA-256 instead of the block."""
     path = path or scratch_path(pages.sparkSession, "warc")
-    write_warc(derive(responses(pages)), path)
+    write_derivatives(responses(pages), path)
     return read_warc(pages.sparkSession, path).withColumn("block_sha256", F.sha2("block", 256)).drop("block")
