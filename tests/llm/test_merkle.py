@@ -1,0 +1,117 @@
+"""Merkle manifest: positions, nodes, multiproofs and the query against a plain version."""
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from trafficwatch.llm import merkle
+from trafficwatch.llm.base import table
+
+DOCS = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row):
+    return h(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def tree(hashes):
+    levels = [hashes]
+    while len(levels[-1]) > 1:
+        levels.append([h(*levels[-1][i:i + 3]) for i in range(0, len(levels[-1]), 3)])
+    return levels
+
+
+def path(levels, i):
+    steps = []
+    for level in levels[:-1]:
+        low = i // 3 * 3
+        steps.append((level[low:i], level[i + 1:low + 3]))
+        i //= 3
+    return steps
+
+
+def plain_report(rows):
+    by = {}
+    for r in rows:
+        by.setdefault(r[1], []).append(r)
+    names = sorted(by, key=lambda s: (s is not None, (s or "").encode()))
+    for s in names:
+        by[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    trees = {s: tree([leaf(r) for r in by[s]]) for s in names}
+    top = tree([trees[s][-1][0] for s in names])
+    found = []
+    for k, s in enumerate(names):
+        for i, r in enumerate(by[s]):
+            proof = path(trees[s], i) + path(top, k)
+            even = zlib.crc32(b"" if r[0] is None else str(r[0]).encode()) % 2 == 0
+            folded = leaf((*r[:4], r[4].replace("\n", ""))) if even and r[4] is not None else leaf(r)
+            for before, after in proof:
+                folded = h(*before, folded, *after)
+            found.append((r[0], leaf(r), trees[s][-1][0], top[-1][0], h(*(d for b, a in proof for d in (*b, *a))),
+                          folded, folded == top[-1][0]))
+    return sorted(found, key=str)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(1, 90), st.data())
+def test_the_missing_nodes_are_enough_and_the_fewest(n, data):
+    wanted = data.draw(st.sets(st.integers(0, n - 1), min_size=1))
+    levels = tree([h(str(i)) for i in range(n)])
+    missing = merkle.missing_nodes(np.array(sorted(wanted)), n)
+    proofs = merkle.expand_proofs({i: levels[0][i] for i in wanted}, {(l, i): levels[l][i] for l, i in missing}, n)
+    for i in wanted:
+        assert [tuple(s) for s in proofs[i]] == path(levels, i)
+        assert merkle.fold(levels[0][i], proofs[i]) == levels[-1][0]
+    # None can be spared, and none is given twice: nothing below it is wanted.
+    assert len(set(missing)) == len(missing)
+    for level, i in missing:
+        assert not wanted & set(range(i * 3 ** level, (i + 1) * 3 ** level))
+    needed = {(l, m) for i in wanted for l in range(len(levels) - 1) for m in range(i // 3 ** l // 3 * 3, min(len(levels[l]), i // 3 ** l // 3 * 3 + 3))
+              if not wanted & set(range(m * 3 ** l, (m + 1) * 3 ** l))}
+    assert set(missing) == needed
+
+
+ROWS = [(i, f"s{i % 4}", "en", i, f"text {i}\nnext {i}") for i in range(70)] + [
+    (500, None, None, None, None), (501, None, "de", 1, ""), (None, "s1", "en", 2, "a\nb"), (None, None, None, None, None),
+    (3, "s3", "fr", 9, "same id"), (3, "s3", "fr", 9, "same id"), (600, "lone", "é", 5, "ü\n😀"), (601, "S", None, -7, "\n" * 50),
+    (602, "ü", "x", 0, "no break"), (603, "", "", 3, "long " * 60_000)]
+
+
+@pytest.mark.parametrize("levels", [1, 2, 7])
+def test_report_equals_the_plain_version(spark, levels):  # many blocks and rounds, or one
+    rows = ROWS + [(1000 + i, "big", "en", i, f"big {i}\n") for i in range(200)]
+    random.Random(levels).shuffle(rows)
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    docs = docs.withColumns({c: F.lit("clash") for c in ("index", "n", "part", "digest", "leaf", "root", "block", "sources")})
+    assert sorted(map(tuple, merkle.manifest_report(docs, levels).collect()), key=str) == plain_report(rows)
+
+
+def test_small_tables(spark):
+    docs = spark.createDataFrame([], DOCS)
+    assert merkle.manifest_report(docs).count() == 0
+    one = merkle.manifest_report(spark.createDataFrame([(1, "s", "en", 3, "a\nb")], DOCS)).first()
+    assert one.leaf == one.subroot == one.root == leaf((1, "s", "en", 3, "a\nb")) and one.proof_sha256 == h("")
+
+
+def test_some_leaves_only(spark):
+    leaves = spark.createDataFrame(ROWS, DOCS).select(
+        "doc_id", "source", merkle.leaf_hash([F.col(c) for c in merkle.FIELDS]).alias("leaf"))
+    manifest = merkle.Manifest(leaves)
+    asked = manifest.rows.where("doc_id % 7 = 0").withColumn("now", F.col("leaf"))
+    found = merkle.verify(merkle.prove(manifest, asked), manifest).collect()
+    assert len(found) == sum(1 for r in ROWS if r[0] is not None and r[0] % 7 == 0) and all(r.verified for r in found)
+
+
+def test_query_on_the_whole_table(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    rows = [tuple(r) for r in docs.select(*merkle.FIELDS).collect()]
+    assert sorted(map(tuple, merkle.manifest_report(docs).collect()), key=str) == plain_report(rows)

@@ -120,7 +120,7 @@ def canonical_turns(records: DataFrame, rec: str = "record", layouts: Sequence[L
     """``records`` with ``layout`` (its name) and ``turns`` instead of the VARIANT column ``rec``.
     A record whose fingerprint no layout answers to, or that is null, keeps a row with null
     layout and null turns; nothing is dropped. Empty table: no rows."""
-    found = fingerprint(rec)
+    found = fingerprint(F.col(f"`{rec}`"))
     names, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
     for layout in reversed(layouts):  # the first layout that knows a shape has it
         shapes = [fingerprint(F.parse_json(F.lit(s))) for s in layout.shapes]  # constants, folded by Spark

@@ -31,7 +31,6 @@ from trafficwatch.llm.base import crc32_bucket, persisted, record
 ARITY = 3
 #: Levels that a task builds at once, over ARITY ** LEVELS nodes.
 LEVELS = 7
-BLOCK = ARITY ** LEVELS
 #: The fields of a leaf.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Trees: the rows of a source, and the sources.
@@ -126,15 +125,15 @@ _NODE = pa.schema([("tree", pa.int32()), ("source_no", pa.int64()), ("level", pa
                    ("digest", pa.string()), ("is_root", pa.bool_())])
 
 
-def _raise(table: pa.Table) -> pa.Table:
-    """The nodes of up to LEVELS levels above one block of consecutive nodes."""
+def _raise(table: pa.Table, levels: int) -> pa.Table:
+    """The nodes of up to ``levels`` levels above one block of consecutive nodes."""
     table = table.sort_by("index")
     level, index, n = (table.column(c)[0].as_py() for c in ("level", "index", "n"))
     tree, source = table.column("tree")[0].as_py(), table.column("source_no")[0].as_py()
     size, digests, rows = n, table.column("digest").to_pylist(), []
     for _ in range(level):
         size = -(-size // ARITY)
-    for level in range(level + 1, level + LEVELS + 1):
+    for level in range(level + 1, level + levels + 1):
         if size == 1:
             break
         digests = [digest(*digests[i:i + ARITY]) for i in range(0, len(digests), ARITY)]
@@ -143,20 +142,23 @@ def _raise(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([record(_NODE, *(zip(*rows, strict=True) if rows else [()] * len(_NODE)))])
 
 
-def build_nodes(leaves: DataFrame, tree: int, name: str) -> DataFrame:
+def build_nodes(leaves: DataFrame, tree: int, name: str, levels: int = LEVELS) -> DataFrame:
     """All nodes (tree, source_no, level, index, digest, is_root) of the trees over ``leaves``
-    (source_no, index, n, digest): the leaves are level 0."""
+    (source_no, index, n, digest): the leaves are level 0. A task builds ``levels`` at once."""
+    def raised(table: pa.Table) -> pa.Table:
+        return _raise(table, levels)
+
     lowest = leaves.select(F.lit(tree).alias("tree"), "source_no", F.lit(0).alias("level"), "index", "digest",
                            (F.col("n") == 1).alias("is_root"))
     sizes = leaves.select("source_no", "n").distinct()
-    rounds = -(-height(leaves.agg(F.max("n")).first()[0] or 0) // LEVELS)
+    rounds = -(-height(leaves.agg(F.max("n")).first()[0] or 0) // levels)
     nodes, below = lowest, leaves.select(F.lit(tree).alias("tree"), "source_no", F.lit(0).alias("level"),
                                          "index", "n", "digest")
     for turn in range(1, rounds + 1):
-        above = persisted(below.withColumn("block", F.expr(f"index div {BLOCK}")).groupBy("source_no", "block")
-                          .applyInArrow(_raise, _NODES), f"{name}-{turn}")
+        above = persisted(below.withColumn("block", F.expr(f"index div {ARITY ** levels}")).groupBy("source_no", "block")
+                          .applyInArrow(raised, _NODES), f"{name}-{turn}")
         nodes = nodes.unionByName(above)
-        below = above.where(f"level = {turn * LEVELS} and not is_root").drop("is_root").join(sizes, "source_no")
+        below = above.where(f"level = {turn * levels} and not is_root").drop("is_root").join(sizes, "source_no")
     return nodes
 
 
@@ -168,17 +170,20 @@ class Manifest:
     ``subroots``: source_no and subroot; ``root``: one row, or none of an empty table.
     """
 
-    def __init__(self, leaves: DataFrame, source: str = "source", doc_id: str = "doc_id", leaf: str = "leaf"):
+    def __init__(self, leaves: DataFrame, source: str = "source", doc_id: str = "doc_id", leaf: str = "leaf",
+                 levels: int = LEVELS):
+        #: Leaves of a leaf partition.
+        self.block = ARITY ** levels
         placed = positions(leaves, source, [doc_id, leaf], "merkle-leaves")
         named = positions(placed.select(F.col(source).alias("name")).distinct(), None, ["name"], "merkle-sources") \
             .select("name", F.col("index").alias("source_no"), F.col("n").alias("sources"))
         self.rows = persisted(placed.join(named, F.col(source).eqNullSafe(F.col("name"))).drop("name"), "merkle-rows")
-        of_rows = build_nodes(self.rows.select("source_no", "index", "n", F.col(leaf).alias("digest")), ROWS, "merkle-rows")
+        of_rows = build_nodes(self.rows.select("source_no", "index", "n", F.col(leaf).alias("digest")), ROWS, "merkle-rows", levels)
         self.subroots = of_rows.where("is_root").select("source_no", F.col("digest").alias("subroot"))
         tops = persisted(self.subroots.join(self.rows.select("source_no", "sources").distinct(), "source_no").select(
             F.lit(0).cast("long").alias("source_no"), F.col("source_no").alias("index"),
             F.col("sources").alias("n"), F.col("subroot").alias("digest")), "merkle-subroots")
-        of_sources = build_nodes(tops, SOURCES, "merkle-sources")
+        of_sources = build_nodes(tops, SOURCES, "merkle-sources", levels)
         self.root = of_sources.where("is_root").select(F.col("digest").alias("root"))
         self.nodes = of_rows.unionByName(of_sources)
 
@@ -202,7 +207,7 @@ _STEP = pa.struct([("before", pa.list_(pa.string())), ("after", pa.list_(pa.stri
 def prove(manifest: Manifest, asked: DataFrame, leaf: str = "leaf") -> DataFrame:
     """``asked`` (rows of ``manifest.rows``, all or some of them) with ``proof``: for each level
     from the leaf to the root the siblings before and after the path."""
-    blocks = asked.withColumn("block", F.expr(f"index div {BLOCK}"))
+    blocks = asked.withColumn("block", F.expr(f"index div {manifest.block}"))
     partition = ["source_no", "block"]
     wanted = blocks.select(*partition, "index", "n", "sources").groupBy(*partition).applyInArrow(
         _needs, "source_no long, block long, tree int, of long, level int, index long")
@@ -262,7 +267,7 @@ def verify(proved: DataFrame, manifest: Manifest, now: str = "now") -> DataFrame
                "folded_root string, verified boolean")
 
 
-def manifest_report(docs: DataFrame) -> DataFrame:
+def manifest_report(docs: DataFrame, levels: int = LEVELS) -> DataFrame:
     """:func:`verify` of all rows of ``docs`` (doc_id, source, lang, n_chars, text) against their
     manifest, after the texts of rows whose unsigned crc32 of the id in decimal is even lost
     their line feeds.
@@ -276,5 +281,5 @@ def manifest_report(docs: DataFrame) -> DataFrame:
     columns = [F.col(c) for c in FIELDS]
     leaves = persisted(docs.select("doc_id", "source", leaf_hash(columns).alias("leaf"),
                                    leaf_hash([*columns[:-1], tampered]).alias("now")), "merkle-hashes")
-    manifest = Manifest(leaves)
+    manifest = Manifest(leaves, levels=levels)
     return verify(prove(manifest, manifest.rows.drop("source")), manifest)
