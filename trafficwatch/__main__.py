@@ -135,8 +135,8 @@ def _lookup(spark, lookup, sinks, args):
     """The rows of one key; the key's filter goes to the reader, below the upsert."""
     day = args.day or _today()
     if args.plate:
-        key = lookup.plate_is(args.plate, strict_key=True)
-        return lookup.violations_by_plate(sinks.read_violations(spark, args.store, where=key), args.plate,
+        key = lookup.plate_key(args.plate, strict_key=True)
+        return lookup.violations_by_plate(sinks.read_violations(spark, args.store, plate=key), args.plate,
                                           args.limit, strict_key=True)
     if args.type:
         key = lookup.type_day_is(args.type, day)

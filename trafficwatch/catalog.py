@@ -29,6 +29,7 @@ from trafficwatch.plans import lookup, quality, report
 from trafficwatch.plans.present import present, round_mean
 from trafficwatch.sources.fixtures import fixture_cameras, fixture_readings, fixture_scenarios
 from trafficwatch.session import checkpoint_root
+from trafficwatch.sources import sinks
 from trafficwatch.sources.registry import camera_listing, load_cameras
 from trafficwatch.sources.sinks import read_stats, read_violations
 from trafficwatch.sources.telemetry import (
@@ -216,6 +217,40 @@ def q_stream_stats(spark, sf_dir):
                    drop=("vehicle_count",))
 
 
+#: Micro-batches that the store queries write.
+STORE_BATCHES = 6
+
+
+def _compacted_store(spark: SparkSession, sf_dir: str) -> str:
+    """Every detection written to a store as micro-batches of two jobs, with compactions (of small
+    fanout, so tiers fill) in between; the last batches are left as they came."""
+    store = os.path.join(checkpoint_root(spark), "store-queries", uuid.uuid4().hex[:12])
+    log = os.path.join(store, "detections")
+    detections(spark, sf_dir).withColumn("slice", F.pmod(F.xxhash64("violation_id", "window_end"), F.lit(STORE_BATCHES))
+                                         .cast("int")).write.parquet(log)
+    rows = spark.read.parquet(log)
+    for batch in range(STORE_BATCHES):
+        for query, kind in sinks.VIOLATION_TYPE_OF.items():
+            own = rows.where((F.col("slice") == batch) & (F.col("violation_type") == kind)).drop("slice")
+            sinks.write_batch(own, store, query, f"job-{batch % 2}", batch)
+        if batch in (1, 2, 4):
+            sinks.compact_store(spark, store, fanout=2, bucket_rows=200)
+    return store
+
+
+def q_store_compacted(spark, sf_dir):
+    """What the store holds after batches, compactions and more batches."""
+    return present(sinks.read_violations(spark, _compacted_store(spark, sf_dir)), means=VIOLATION_MEANS,
+                   drop=("evidence",))
+
+
+def q_store_by_plate(spark, sf_dir):
+    """A plate lookup in that store, by its layout by plate."""
+    store = _compacted_store(spark, sf_dir)
+    mine = sinks.read_violations(spark, store, plate=lookup.plate_key(PLATE_INPUT))
+    return present(lookup.violations_by_plate(mine, PLATE_INPUT), means=VIOLATION_MEANS, drop=("evidence",))
+
+
 def q_violations_upserted(spark, sf_dir):
     return present(violations(spark, sf_dir), means=VIOLATION_MEANS, drop=("evidence",))
 
@@ -497,6 +532,8 @@ _QUERIES: dict[str, Query] = {
     "violation_evidence": q_violation_evidence,
     "stream_violations": q_stream_violations,
     "stream_stats": q_stream_stats,
+    "store_compacted": q_store_compacted,
+    "store_by_plate": q_store_by_plate,
     "violations_upserted": q_violations_upserted,
     "violations_by_plate": q_violations_by_plate,
     "violations_by_camera": q_violations_by_camera,

@@ -56,10 +56,14 @@ def api_record(violations: DataFrame, settings: Settings = DEFAULT) -> DataFrame
         iso_text("detected_at", settings.timezone).alias("detected"),
     )
 
-def plate_is(plate: str, strict_key: bool = False) -> Column:
-    """The plate, normalised like the HTTP API (case, whitespace runs) or only
+def plate_key(plate: str, strict_key: bool = False) -> Column:
+    """The plate as a constant, normalised like the HTTP API (case, whitespace runs) or only
     stripped and upper-cased (``strict_key``)."""
-    return F.col("plate_number") == (lookup_key if strict_key else normalize_plate)(F.lit(plate))
+    return (lookup_key if strict_key else normalize_plate)(F.lit(plate))
+
+def plate_is(plate: str, strict_key: bool = False) -> Column:
+    """Rows of the plate, see :func:`plate_key`."""
+    return F.col("plate_number") == plate_key(plate, strict_key)
 
 def camera_day_is(camera_id: str, day: dt.date | str, date_column: str = "violation_date") -> Column:
     return (F.col(date_column) == _day(day)) & (F.col("camera_id") == lookup_key(F.lit(camera_id)))

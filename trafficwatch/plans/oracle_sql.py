@@ -245,6 +245,8 @@ FROM all_violations""")
 _MILLIS = READINGS.replace("// 360 AS us", "// 360 - (1704067200000000 + (epoch_us(ts) - 1704067200000000) // 360) % 1000 AS us")
 _STREAM_BASE = "WITH " + ",".join([CAMS, _MILLIS, ENRICHED])
 
+SQL["store_compacted"] = SQL["violations_upserted"]
+
 SQL["stream_violations"] = _STREAM_BASE + "," + DETECTIONS + f"""
 SELECT {VIOLATION_COLS} FROM violations"""
 
@@ -294,6 +296,9 @@ SELECT {VIOLATION_COLS} FROM violations
 WHERE plate_number = trim(regexp_replace(upper('{PLATE_INPUT}'), '\\s+', ' ', 'g'))
 {STORED_ORDER} LIMIT 100""")
 
+# The same rows, from the store.
+SQL["store_by_plate"] = SQL["violations_by_plate"]
+
 SQL["violations_by_camera"] = with_detections(f"""
 SELECT {VIOLATION_COLS} FROM violations
 WHERE camera_id = upper(trim('{CAMERA_INPUT}')) AND violation_date = {DAY}

@@ -12,8 +12,8 @@ queries stream from that table, so each message is parsed once, not four times.
 ``enriched_stream`` is the direct form, in which each query parses the source.
 
 Each query has its own checkpoint under ``spark.checkpoint.dir`` and restarts
-from it; a re-run of a micro-batch overwrites the same ``batch_id`` directory of
-the checkpoint's own run folder, so delivery is at-least-once and the stored effect
+from it; a micro-batch has its own ``batch_id`` directory in the checkpoint's run folder and
+counts once it is in the store's commit log, so delivery is at-least-once and the stored effect
 exactly-once, and another job or a fresh checkpoint never overwrites stored rows. Windows are
 emitted in append mode only once the watermark has passed them, so every
 written row is final. For many live plates use the RocksDB state store
@@ -34,6 +34,7 @@ from trafficwatch.config import DEFAULT, Settings
 from trafficwatch.operators import detect
 from trafficwatch.operators.enrich import enrich
 from trafficwatch.session import checkpoint_root
+from trafficwatch.sources.commitlog import Snapshot, snapshot
 from trafficwatch.sources.sinks import VIOLATION_QUERIES, write_batch
 from trafficwatch.sources.telemetry import read_message_stream, telemetry
 
@@ -91,8 +92,9 @@ def run_identity(spark: SparkSession, checkpoint: str) -> str:
 def batch_writer(root: str, name: str, checkpoint: str, debug: bool = False,
                  log: Callable[[str], None] | None = print) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: skip an empty batch, else write it to its own folder
-    of this checkpoint's run (overwrite, so a replay replaces it). The batch is
-    persisted before the emptiness check so it is computed once."""
+    of this checkpoint's run and commit it. The first batch after a start may be a replay: if
+    the log has it, its rows are stored already. The batch is persisted before the emptiness check so
+    it is computed once."""
     known: list[str] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -100,11 +102,13 @@ def batch_writer(root: str, name: str, checkpoint: str, debug: bool = False,
         try:
             if batch.isEmpty():
                 return
+            state = Snapshot()
             if not known:
                 known.append(run_identity(batch.sparkSession, checkpoint))
-            write_batch(batch, root, name, known[0], batch_id)
+                state = snapshot(batch.sparkSession, root)
+            written = write_batch(batch, root, name, known[0], batch_id, state)
             if log:
-                log(f"[{name}] batch {batch_id}: wrote {batch.count()} rows")
+                log(f"[{name}] batch {batch_id}: {f'wrote {batch.count()} rows' if written else 'was stored before'}")
             if debug:
                 batch.show(10, truncate=False)
         finally:
