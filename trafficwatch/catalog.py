@@ -25,7 +25,7 @@ from trafficwatch.functions.timeutil import iso_text, local_time, utc_wall, wall
 from trafficwatch.operators import detect, replay
 from trafficwatch.operators.dedupe import first_per_key, upsert
 from trafficwatch.operators.enrich import enrich
-from trafficwatch.plans import lookup, quality, report
+from trafficwatch.plans import lookup, poll, quality, report
 from trafficwatch.plans.present import present, round_mean
 from trafficwatch.sources.fixtures import fixture_cameras, fixture_readings, fixture_scenarios
 from trafficwatch.session import checkpoint_root
@@ -330,6 +330,38 @@ def q_snapshot_cycle(spark, sf_dir):
     return _api(marked.withColumn("is_news", F.coalesce("fresh", F.lit(False))).drop("fresh"))
 
 
+#: Polls of two clients (Manila wall clock). The first starts on the evening before, with nothing to
+#: read, and meets a day change, a lookback and a full reload; the second starts in the day.
+POLLS = {
+    "early": (dt.datetime(2023, 12, 31, 23, 59, tzinfo=MANILA), dt.datetime(2024, 1, 1, 8, 30, tzinfo=MANILA),
+              dt.datetime(2024, 1, 1, 8, 33, tzinfo=MANILA), dt.datetime(2024, 1, 1, 9, 50, tzinfo=MANILA)),
+    "late": (dt.datetime(2024, 1, 1, 9, 0, tzinfo=MANILA), dt.datetime(2024, 1, 1, 9, 4, tzinfo=MANILA),
+             dt.datetime(2024, 1, 1, 9, 4, 30, tzinfo=MANILA), dt.datetime(2024, 1, 1, 9, 6, tzinfo=MANILA)),
+}
+
+
+def q_durable_poll(spark, sf_dir):
+    """News of every poll and what each client holds in the end. Each poll finds the state
+    of the one before it in the client's folder only, as after a restart."""
+    base = os.path.join(checkpoint_root(spark), "poll-queries", uuid.uuid4().hex[:12])
+    log = os.path.join(base, "detections")
+    detections(spark, sf_dir).write.parquet(log)
+    parts = []
+    for client, moments in POLLS.items():
+        for number, now in enumerate(moments):
+            def fetch(day, since, now=now):
+                known = lookup.day_violations(lookup.as_of(spark.read.parquet(log), now), day)
+                return known if since is None else known.where(F.col("violation_time") >= lookup.instant(since))
+
+            found = poll.poll(spark, os.path.join(base, client), fetch, now)
+            parts.append(found.news.select("*", F.lit(client).alias("client"), F.lit(number).alias("poll"),
+                                           F.lit(found.full).alias("is_full"), F.lit("news").alias("part")))
+        parts.append(poll.held_records(spark, os.path.join(base, client)).select(
+            "*", F.lit(client).alias("client"), F.lit(len(moments) - 1).alias("poll"),
+            F.lit(None).cast("boolean").alias("is_full"), F.lit("held").alias("part")))
+    return _api(functools.reduce(DataFrame.unionByName, parts))
+
+
 def q_day_stats(spark, sf_dir):
     return report.day_stats(day_records(spark, sf_dir), NOW)
 
@@ -543,6 +575,7 @@ _QUERIES: dict[str, Query] = {
     "new_violations": q_new_violations,
     "snapshot_news": q_snapshot_news,
     "snapshot_cycle": q_snapshot_cycle,
+    "durable_poll": q_durable_poll,
     "day_stats": q_day_stats,
     "counts_by_camera": q_counts_by_camera,
     "counts_by_type": q_counts_by_type,

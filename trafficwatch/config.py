@@ -87,6 +87,7 @@ class Settings:
 
     # Serving side.
     api_lookback_minutes: int = 30
+    api_full_reload_seconds: int = 300
     per_minute_span_minutes: int = 5
     violations_limit: int = 300
     plate_limit: int = 100

@@ -32,7 +32,7 @@ def _check_limit(limit: int, maximum: int | None = None) -> int:
 def _day(day: dt.date | str) -> Column:
     return F.lit(day if isinstance(day, dt.date) else dt.date.fromisoformat(day))
 
-def _instant(value: dt.datetime) -> Column:
+def instant(value: dt.datetime) -> Column:
     """An aware ``datetime`` as a ``TIMESTAMP`` literal, zone-free."""
     if value.tzinfo is None:
         raise ValueError("pass an aware datetime (with tzinfo) for instants")
@@ -125,12 +125,12 @@ def as_of(detections: DataFrame, moment: dt.datetime) -> DataFrame:
     """What the store held at ``moment``: rows detected by then, upserted by id."""
     from trafficwatch.operators.dedupe import upsert
 
-    return upsert(detections.filter(F.col("detected_at") <= _instant(moment)))
+    return upsert(detections.filter(F.col("detected_at") <= instant(moment)))
 
 def lookback(violations: DataFrame, day: dt.date | str, now: dt.datetime,
              settings: Settings = DEFAULT, on: str = "violation_time") -> DataFrame:
     """The day's records whose ``on`` time is within the lookback before ``now``."""
-    since = _instant(now) - F.expr(f"INTERVAL {settings.api_lookback_minutes} MINUTES")
+    since = instant(now) - F.expr(f"INTERVAL {settings.api_lookback_minutes} MINUTES")
     return day_violations(violations, day).filter(F.col(on) >= since)
 
 def poll_step(snapshot: DataFrame | None, fetched: DataFrame, day: dt.date | str,
@@ -138,19 +138,19 @@ def poll_step(snapshot: DataFrame | None, fetched: DataFrame, day: dt.date | str
     """One step of the client's snapshot: (next snapshot, news), from what it holds and
     the API records fetched now.
 
-    Without a snapshot, or with one of another day (``snapshot`` has no record of
-    ``day``), the step is a silent first load: the fetched records become the snapshot
-    and nothing is news. Otherwise fetched copies replace held ones with their id, the
-    others stay, and unknown ids are the news. A full reload is a step with all of
-    the day's records."""
+    ``snapshot`` is None before the first load, which is silent: the fetched records become
+    the snapshot and nothing is news. Held records of another day are dropped (a day change
+    resets the snapshot), fetched copies replace held ones with their id, the others
+    stay, and unknown ids are the news, also when nothing was held. A full reload is a
+    step with all of the day's records. :func:`trafficwatch.plans.poll.poll` keeps the
+    snapshot across restarts."""
     from trafficwatch.operators.dedupe import merge_snapshot
 
+    if snapshot is None:
+        return fetched, news(fetched, fetched)
     day = day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
-    if snapshot is not None:
-        held = snapshot.where(F.substring("time", 1, 10) == day.isoformat())
-        if not held.isEmpty():
-            return merge_snapshot(held, fetched), news(held, fetched)
-    return fetched, news(fetched, fetched)
+    held = snapshot.where(F.substring("time", 1, 10) == day.isoformat())
+    return merge_snapshot(held, fetched), news(held, fetched)
 
 def news(seen: DataFrame, fetched: DataFrame, initial: bool = False) -> DataFrame:
     """Fetched API records whose id is not yet known, oldest first. The first
@@ -173,14 +173,14 @@ def new_violations(detections: DataFrame, day: dt.date | str, previous_poll: dt.
     the id, so their filter runs before the shuffle."""
     from trafficwatch.operators.dedupe import UPSERT_ORDER
 
-    known = day_violations(detections, day).filter(F.col("detected_at") <= _instant(now))
+    known = day_violations(detections, day).filter(F.col("detected_at") <= instant(now))
     payload = [c for c in known.columns if c != "violation_id"]
     per_id = known.groupBy("violation_id").agg(
         F.max_by(F.struct(*payload), F.struct(*UPSERT_ORDER)).alias("_row"),
         F.min("detected_at").alias("_first_detected"),
     )
-    since = _instant(now) - F.expr(f"INTERVAL {settings.api_lookback_minutes} MINUTES")
-    fresh = per_id.filter((F.col("_first_detected") > _instant(previous_poll))
+    since = instant(now) - F.expr(f"INTERVAL {settings.api_lookback_minutes} MINUTES")
+    fresh = per_id.filter((F.col("_first_detected") > instant(previous_poll))
                           & (F.col("_row.violation_time") >= since))
     records = api_record(fresh.select("violation_id", "_row.*"), settings)
     return records.orderBy(F.col("time").asc_nulls_first(), F.col("id").asc())

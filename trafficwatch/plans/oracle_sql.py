@@ -349,6 +349,43 @@ held AS (
 )
 """ + api("held").replace("AS detected", "AS detected, is_news")
 
+#: The polls of each client: moment, whether the whole day is read.
+POLLS = {
+    "early": (("2023-12-31 23:59:00", True), ("2024-01-01 08:30:00", True), ("2024-01-01 08:33:00", False),
+              ("2024-01-01 09:50:00", True)),
+    "late": (("2024-01-01 09:00:00", True), ("2024-01-01 09:04:00", False), ("2024-01-01 09:04:30", False),
+             ("2024-01-01 09:06:00", True)),
+}
+
+
+def _durable_poll() -> str:
+    """Every poll's fetch; news are ids no earlier fetch of the client and day had, but
+    not at a client's first poll; held is each id's newest copy of the last day."""
+    fetches, news, held = [], [], []
+    for client, polls in POLLS.items():
+        last_day = polls[-1][0][:10]
+        for n, (at, full) in enumerate(polls):
+            name, moment = f"{client}_{n}", f"TIMESTAMP '{at}'"
+            recent = "" if full else f" AND violation_time >= {moment} - INTERVAL 30 MINUTE"
+            fetches.append(f"""{name} AS (SELECT * FROM {_as_of(moment)} p
+  WHERE violation_date = DATE '{at[:10]}'
+    AND violation_type IN ('BEATING_RED_LIGHT', 'SPEEDING', 'ILLEGAL_PARKING'){recent})""")
+            earlier = [f"SELECT violation_id FROM {client}_{k}" for k in range(n) if polls[k][0][:10] == at[:10]]
+            unseen = f" WHERE violation_id NOT IN ({' UNION ALL '.join(earlier)})" if earlier else ""
+            if n:
+                news.append(f"SELECT *, '{client}' AS client, {n} AS poll, {str(full).upper()} AS is_full, 'news' AS part "
+                            f"FROM {name}{unseen}")
+        copies = " UNION ALL ".join(f"SELECT *, {n} AS n FROM {client}_{n}" for n, (at, _) in enumerate(polls)
+                                    if at[:10] == last_day)
+        held.append(f"SELECT * EXCLUDE (n), '{client}' AS client, {len(polls) - 1} AS poll, CAST(NULL AS BOOLEAN) AS is_full, "
+                    f"'held' AS part FROM ({copies}) QUALIFY row_number() OVER (PARTITION BY violation_id ORDER BY n DESC) = 1")
+    rows = "\nUNION ALL\n".join(news + held)
+    return (BASE + "," + DETECTIONS + ",\n" + ",\n".join(fetches) + f",\nanswers AS ({rows})\n"
+            + api("answers").replace("AS detected", "AS detected, client, poll, is_full, part"))
+
+
+SQL["durable_poll"] = _durable_poll()
+
 SQL["day_stats"] = with_day(f""",
 per_cam AS (
   SELECT camera_id, count(*) AS n,

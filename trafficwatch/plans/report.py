@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from trafficwatch.config import DEFAULT, Settings
 from trafficwatch.functions.timeutil import iso_text
-from trafficwatch.plans.lookup import _instant
+from trafficwatch.plans.lookup import instant
 
 
 def rounded_mean(total: Column, count: Column, places: int) -> Column:
@@ -46,7 +46,7 @@ def _leader(value: Column, n: Column, key: Column) -> Column:
 def day_stats(records: DataFrame, now: dt.datetime, settings: Settings = DEFAULT) -> DataFrame:
     """Headline numbers: total, detections per minute over the last span,
     average speed (2 decimals, 0.0 when empty) and the busiest camera's location."""
-    since = _instant(now) - F.expr(f"INTERVAL {settings.per_minute_span_minutes} MINUTES")
+    since = instant(now) - F.expr(f"INTERVAL {settings.per_minute_span_minutes} MINUTES")
     per_camera = records.groupBy("camera_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("detected_at") >= since).alias("recent"),
@@ -89,7 +89,7 @@ def day_summary(records: DataFrame, day: dt.date | str, settings: Settings = DEF
 def latest_detection_age(records: DataFrame, now: dt.datetime) -> DataFrame:
     """Seconds since the newest detection, at least 0; null when there is none."""
     newest = F.max("detected_at")
-    age = (F.unix_micros(_instant(now)) - F.unix_micros(newest)) / F.lit(1_000_000.0)
+    age = (F.unix_micros(instant(now)) - F.unix_micros(newest)) / F.lit(1_000_000.0)
     return records.agg(F.when(newest.isNotNull(), F.greatest(F.lit(0.0), age)).alias("age_seconds"))
 
 
@@ -123,7 +123,7 @@ def health_counters(readings: DataFrame, records: DataFrame, day: dt.date | str,
     day = day if isinstance(day, dt.date) else dt.date.fromisoformat(day)
     latest = event_rate(readings).agg(F.max_by(F.struct("total", "events_per_sec"), "poll_time").alias("p"))
     newest = F.max("detected_at")
-    age = F.greatest(F.lit(0.0), (F.unix_micros(_instant(now)) - F.unix_micros(newest)) / F.lit(1_000_000.0))
+    age = F.greatest(F.lit(0.0), (F.unix_micros(instant(now)) - F.unix_micros(newest)) / F.lit(1_000_000.0))
     detected = records.agg(F.when(newest.isNotNull(), age).alias("age"),
                            F.count_if(F.col("violation_date") == F.lit(day)).cast("double").alias("today"))
 
