@@ -46,7 +46,7 @@ def test_exact_dedup_groups(spark):
     assert found == expected
     kept = exact_dedup.keep_largest(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [2, 2, 3, 5, 6, 8, 399]
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [2, 3, 5, 6, 8, 399]  # one row of each text
     assert exact_dedup.dedup_report(docs.limit(0)).count() == 0
 
 
@@ -129,7 +129,7 @@ def test_simhash_query(spark):
     assert sorted(map(tuple, found), key=str) == expected
     kept = simhash.keep_first(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted({*least.values(), -1})
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == sorted(set(least.values()))  # one row of each component
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 

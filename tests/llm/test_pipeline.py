@@ -1,15 +1,19 @@
 """The pipeline against its stages' results, decided again by brute force."""
+from functools import reduce
+
 import corpus_pipeline
 import __spark_entry__ as entry
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
-from trafficwatch.llm import langid, queries, simhash, toxicity
+from trafficwatch.llm import exact_dedup, langid, queries, simhash, toxicity
 from trafficwatch.llm.base import table
 from trafficwatch.llm.simhash import fingerprint
 
 
 def test_registered_queries():
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES) and "pipeline" in entry.queries()
     assert [f for _, f in corpus_pipeline.STAGES] and 4 <= len(corpus_pipeline.STAGES) <= 5
 
@@ -52,3 +56,64 @@ def test_queries_with_sql_match_it(spark):
     for name, sql in queries.SQL.items():
         result = compare(spark, SF_SMALL, name, queries.QUERIES[name], sql, con)
         assert result["status"] == "OK", result
+
+
+CLASHES = ("kept_id", "kept_sha", "kept_fp", "copies", "the_row", "all_of_it", "root", "fp", "least", "count", "digest", "of_id")
+WORDS = "one two three four five six seven eight nine ten eleven twelve"
+
+
+def odd_rows(spark):
+    """Repeated ids, null ids and nulls in every column, with columns of clashing names."""
+    rows = [(1, "same text", "en", "a", 9), (2, "same text", "en", "b", 9), (2, "same text", "fr", "b", 9), (2, "same text", "en", "b", 9),
+            (None, "same text", None, None, None), (None, "nobody's text", "en", "x", 1), (None, "nobody's text", "de", "y", 1),
+            (3, None, None, None, None), (4, "", "en", "a", 0), (None, None, None, None, None), (5, WORDS, "en", "a", 1),
+            (5, WORDS + " more", "en", "a", 1), (5, "another text under the id", "en", "a", 1), (6, "long " * 30_000, "en", "a", 1),
+            (6, "long " * 30_000, "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    return docs.withColumns({c: F.lit(f"clash {c}") for c in CLASHES})
+
+
+def as_sets(df):
+    return sorted((r.doc_id, r.text) for r in df.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"),
+                                                        F.coalesce("text", F.lit("")).alias("text")).collect())
+
+
+def test_one_row_of_each_text_stays(spark):
+    docs = odd_rows(spark)
+    kept = exact_dedup.keep_largest(docs)
+    assert kept.columns == docs.columns
+    assert as_sets(kept) == sorted([(-1, "nobody's text"), (2, "same text"), (4, ""), (5, WORDS), (5, WORDS + " more"),
+                                    (5, "another text under the id"), (6, "long " * 30_000)])
+    chosen = {(r.doc_id, r.text): r for r in kept.collect()}
+    assert chosen[2, "same text"].lang == "fr" and chosen[None, "nobody's text"].lang == "en"  # the greatest columns
+    assert chosen[2, "same text"].copies == "clash copies"
+
+
+def test_one_row_of_each_component_stays(spark):
+    docs = odd_rows(spark)
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    prints = {(-1 if r.doc_id is None else r.doc_id, r.text or ""): fingerprint(r.text or "") for r in docs.collect()}
+    groups = {k: k for k in prints}
+    for _ in prints:
+        for a in prints:
+            for b in prints:
+                if (prints[a] ^ prints[b]).bit_count() <= simhash.DISTANCE:
+                    groups[a] = groups[b] = min(groups[a], groups[b], key=lambda k: (k[0] < 0, k[0], prints[k] - 2**64 * (prints[k] >> 63)))
+    assert as_sets(kept) == sorted(set(groups.values()))
+
+
+def test_the_whole_pipeline_on_odd_rows(spark, tmp_path):
+    docs = odd_rows(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, SF_SMALL, "labels").write.parquet(f"{tmp_path}/labels.parquet")
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    rows = packed.collect()
+    # Without a learned language every text with a letter stays; one of each text and component does.
+    kept = {-1 if r.doc_id is None else r.doc_id for r in rows}
+    assert kept == {-1, 2, 5, 6} and len({(r.doc_id, r.piece) for r in rows}) >= 4
+    shared = reduce(lambda df, c: df.drop(c), ("n_chars",), docs).limit(0)
+    assert corpus_pipeline.STAGES[2][1](spark, shared, str(tmp_path)).columns == shared.columns
+    docs.limit(0).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    table(spark, SF_SMALL, "labels").write.parquet(f"{tmp_path}/empty/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0

@@ -75,3 +75,21 @@ def record(schema: pa.Schema, *columns) -> pa.RecordBatch:
 def crc32_bucket(column: str, modulus: int) -> Column:
     """crc32 of an id written as text, modulo ``modulus``; a null id counts as ''."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def one_per_key(df: DataFrame, *keys: str) -> DataFrame:
+    """One row of each key, without the key columns: the greatest in its orderable columns."""
+    columns = [c for c in df.columns if c not in keys]
+    quoted = [F.col(f"`{c}`") for c in columns]
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields
+             if f.name in columns and not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
+    row = F.max_by(F.struct(*quoted), F.struct(*(plain or [F.lit(0)])))
+    return df.groupBy(*keys).agg(row.alias("the_row")).select(*[F.col(f"the_row.`{c}`").alias(c) for c in columns])

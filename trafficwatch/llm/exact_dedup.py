@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficwatch.llm.base import persisted, text_or_empty
+from trafficwatch.llm.base import fresh_name, one_per_key, persisted, text_or_empty
 
 SALTS = 16
 
@@ -67,8 +67,19 @@ def dedup_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_largest(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    kept = dedup_report(docs, doc_id, text).where("kept") \
-        .select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha")).distinct()
-    return docs.join(kept, F.col(doc_id).eqNullSafe(F.col("__kept_id"))
-                     & (F.sha2(text_or_empty(text), 256) == F.col("__kept_sha")), "left_semi")
+    """Exactly one row of ``docs`` per text, with all its columns: the one with the largest id; of
+    rows that share it, or have none, the greatest in the other columns."""
+    own_id, digest, copies = (fresh_name(docs, n) for n in ("kept_id", "kept_sha", "copies"))
+    # One small row per text that stays, with the number of rows that its id and text stand for.
+    kept = persisted(dedup_report(docs, doc_id, text).where("kept").groupBy(
+        F.col("doc_id").alias(own_id), F.col("text_sha256").alias(digest)).agg(F.count(F.lit(1)).alias(copies)), "kept-texts")
+
+    def rows(of: DataFrame, how: str) -> DataFrame:
+        return docs.join(of, F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col(own_id))
+                         & (F.sha2(text_or_empty(f"`{text}`"), 256) == F.col(digest)), how)
+
+    single = rows(kept.where(F.col(copies) == 1), "left_semi")
+    repeated = kept.where(F.col(copies) > 1).drop(copies)
+    if repeated.isEmpty():
+        return single
+    return single.unionByName(one_per_key(rows(repeated, "inner"), own_id, digest))

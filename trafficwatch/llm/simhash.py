@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficwatch.llm.base import map_batches, persisted, record, text_or_empty
+from trafficwatch.llm.base import fresh_name, map_batches, one_per_key, persisted, record, text_or_empty
 from trafficwatch.llm.components import components
 
 SHINGLE = 3
@@ -110,11 +110,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     never becomes a component_id unless all ids of its component are null. Repeated
     rows give repeated rows. Empty table: no rows. Other columns are not read.
     """
-    prints = persisted(fingerprints(docs, doc_id, text, shingle), "simhash")
-    by_fp = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(fingerprint_links(by_fp.select("fp"), distance))
-    rooted = by_fp.join(roots, by_fp.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    prints, rooted = _rooted(docs, doc_id, text, shingle, distance)
     # Components hold fingerprints, not documents; their minimum is combined map-side.
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = rooted.join(of_root, "root").select("fp", "component_id")
@@ -122,10 +118,47 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _rooted(docs: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE,
+            distance: int = DISTANCE) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every document, and (fp, least id, root of its component) of every fingerprint."""
+    prints = persisted(fingerprints(docs, doc_id, text, shingle), "simhash")
+    by_fp = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(fingerprint_links(by_fp.select("fp"), distance))
+    return prints, by_fp.join(roots, by_fp.fp == roots.node, "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Of each component the document with the smallest id, with all its columns.
-    Rows without an id cannot be named and all stay."""
-    kept = near_duplicates(docs.where(F.col(doc_id).isNotNull()), doc_id, text) \
-        .where("doc_id = component_id").select(F.col("doc_id").alias("__kept_id")).distinct()
-    named = docs.join(kept, F.col(doc_id) == F.col("__kept_id"), "left_semi")
-    return named.unionByName(docs.where(F.col(doc_id).isNull()))
+    """Exactly one row of each component, with all its columns: the one with the smallest id; if
+    no row of it has an id, or several rows have that one, of these the one with the
+    smallest fingerprint and then the greatest in its columns."""
+    own_id, own_fp, count = (fresh_name(docs, n) for n in ("kept_id", "kept_fp", "copies"))
+    prints, rooted = _rooted(docs, doc_id, text)
+    # By id, nulls last, then fingerprint; one small row per component.
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("first"))
+    rows_of_id = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias(count))
+    kept = persisted(first.select(F.col("first.least").alias(own_id), F.col("first.fp").alias(own_fp))
+                     .join(rows_of_id, F.col(own_id).eqNullSafe(F.col("doc_id"))).select(own_id, own_fp, count), "kept-first")
+    same_id = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col(own_id))
+    plain = kept.where(F.col(own_id).isNotNull() & (F.col(count) == 1))
+    single = docs.join(plain, same_id, "left_semi")
+    # Rows that their id does not name are told apart by their fingerprint.
+    shared = kept.where(F.col(own_id).isNull() | (F.col(count) > 1)).drop(count)
+    if shared.isEmpty():
+        return single
+    unnamed = docs.join(shared.select(own_id).distinct(), same_id, "left_semi")
+    quoted = fresh_name(docs, "all_of_it")
+    packed = unnamed.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(quoted),
+                            F.col(f"`{doc_id}`").cast("long").alias("of_id"), text_or_empty(f"`{text}`").alias("of_text"))
+    marked = packed.withColumn("of_fp", _fingerprint_of("of_text"))
+    found = marked.join(shared, F.col("of_id").eqNullSafe(F.col(own_id)) & (F.col("of_fp") == F.col(own_fp)))
+    again = found.select(*[F.col(f"{quoted}.`{c}`").alias(c) for c in docs.columns], own_id, own_fp)
+    return single.unionByName(one_per_key(again, own_id, own_fp))
+
+
+def _fingerprint_of(text: str):
+    @F.arrow_udf("long")
+    def prints(texts: pa.Array) -> pa.Array:
+        return pa.array(np.array([fingerprint(t) for t in texts.to_pylist()], np.uint64).view(np.int64))
+
+    return prints(text)

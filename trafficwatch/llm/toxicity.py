@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trafficwatch.llm.base import crc32_bucket, map_batches, record, slices
+from trafficwatch.llm.base import crc32_bucket, map_batches, persisted, record, slices
 from trafficwatch.llm.chargrams import gram_buckets, letter_points
 
 GRAM = 5
@@ -225,8 +225,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, featur
     chosen = known.withColumn("turn", F.pmod(F.xxhash64("of", F.lit("toxicity")), F.lit(scale))).where(
         F.col("turn") < F.when(F.col("toxic") == 1, int(shares[1] * scale)).otherwise(int(shares[0] * scale)))
     # About 2 * per_class rows of three numbers: bounded, so it is broadcast.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("of")) \
-        .select("turn", "doc_id", "toxic", "text")
+    # It is written once and read three times.
+    sample = persisted(docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("of"))
+                       .select("turn", "doc_id", "toxic", "text"), "toxicity-sample")
     present = pa.schema([("feature", pa.int32()), ("toxic", pa.int32())])
 
     def list_features(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -235,7 +236,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, featur
             yield record(present, found, np.full(len(found), toxic))
 
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
-    ones, total = F.lit(sizes.get(1, 0)), F.lit(sum(sizes.values()))
+    if not (sizes.get(0) and sizes.get(1)):
+        return empty
+    ones, total = F.lit(sizes[1]), F.lit(sum(sizes.values()))
     tally = map_batches(sample, list_features, "feature int, toxic int").groupBy("feature").agg(
         F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("n"))
     excess = total * F.col("a") - F.col("n") * ones
@@ -301,7 +304,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
     among calibration texts without a neighbour. Labels without id or value teach
     nothing; of repeated labels the toxic one counts; an id that several documents
     repeat teaches with each of them. If a class has no label all texts get the rate of
-    the other. An empty table gives no rows. Other columns are not read.
+    the other, if it has no labelled document the share of toxic labels. An empty table gives no rows. Other columns are not read.
     """
     model = train(docs, labels, per_class)
     return docs.select("doc_id", (crc32_bucket("doc_id", 4) == 2).alias("held_out"),
