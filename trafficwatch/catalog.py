@@ -460,6 +460,17 @@ def q_csv_events(spark, sf_dir):
     return present(load_events(spark, path, EXPORT_MAPPING, DEFAULT, mode="fail"))
 
 
+def q_csv_quoted_breaks(spark, sf_dir):
+    """The export with a quoted note of several lines (and doubled quotes) in every third row, in
+    one file that many tasks read."""
+    path = os.path.join(checkpoint_root(spark), "csv-queries", uuid.uuid4().hex[:12])
+    note = F.when(F.pmod(F.xxhash64("*"), F.lit(3)) == 0, F.concat(F.lit('seen by "'), F.col("cam"), F.lit('"\n\n, twice\n')))
+    csv_export(readings(spark, sf_dir)).select(F.coalesce(note, F.lit("-")).alias("note"), "*").coalesce(1).write.option(
+        "header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
+        "ignoreTrailingWhiteSpace", False).csv(path)
+    return present(load_events(spark, path, EXPORT_MAPPING, DEFAULT, mode="fail"))
+
+
 def q_csv_registry(spark, sf_dir):
     """The registry written as CSV and loaded back, as the clients list it."""
     path = os.path.join(checkpoint_root(spark), "csv-queries", uuid.uuid4().hex[:12])
@@ -588,6 +599,7 @@ _QUERIES: dict[str, Query] = {
     "camera_listing": q_camera_listing,
     "normalize_csv_rows": q_normalize_csv_rows,
     "csv_events": q_csv_events,
+    "csv_quoted_breaks": q_csv_quoted_breaks,
     "csv_registry": q_csv_registry,
     "dedupe_events": q_dedupe_events,
     "decode_json": q_decode_json,

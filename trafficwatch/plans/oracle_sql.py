@@ -517,6 +517,9 @@ QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY _file, _pos) = 1"""
 
 SQL["csv_events"] = SQL["normalize_csv_rows"]
 
+# The rows do not show how their file was written.
+SQL["csv_quoted_breaks"] = SQL["csv_events"]
+
 SQL["decode_json"] = BASE + "," + VALID + f"""
 SELECT {READING_COLS}, {ts('us - us % 1000')} AS event_time FROM valid"""
 

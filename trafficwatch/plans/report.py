@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from trafficwatch.config import DEFAULT, Settings
+from trafficwatch.functions.numbers import round_half_even
 from trafficwatch.functions.timeutil import iso_text
 from trafficwatch.plans.lookup import instant
 
 
 def rounded_mean(total: Column, count: Column, places: int) -> Column:
-    """Mean rounded half-up to ``places``; 0.0 when there is nothing to average.
-    A 1e-9 nudge keeps exact decimal ties stable across summation orders."""
-    return F.coalesce(F.round(total / count + F.lit(1e-9), places), F.lit(0.0))
+    """Mean rounded to ``places`` like Python's ``round`` (the exact binary value, an exact tie to
+    the even digit); 0.0 when there is nothing to average."""
+    return F.coalesce(round_half_even(total / count, places), F.lit(0.0))
 
 
 def counts_by(records: DataFrame, key: str, name: str = "n") -> DataFrame:

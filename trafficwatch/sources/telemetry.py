@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trafficwatch import schemas
+from trafficwatch.sources import csvlines
 from trafficwatch.config import DEFAULT, REQUIRED_FIELDS, TELEMETRY_FIELDS, Settings
 from trafficwatch.functions.text import parse_bool, parse_number, strip
 from trafficwatch.functions.timeutil import parse_time, require_parsed
@@ -170,15 +171,23 @@ def normalize_rows(raw: DataFrame, mapping: Mapping[str, str] = COLUMN_MAPPING,
 
 def csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """A CSV file with a header in the RFC 4180 dialect (a quote in a quoted field is
-    doubled), every column as text. ``multi_line`` is for files with line breaks inside
-    quotes: such a file cannot be split, so each is read by one task."""
+    doubled), every column as text, by Spark's own reader. With ``multi_line`` it takes line
+    breaks inside quotes, but each file is read by one task."""
     return (spark.read.option("header", True).option("inferSchema", False).option("quote", '"')
             .option("escape", '"').option("multiLine", multi_line).csv(path))
 
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """:func:`csv_text` with the file position of each row in ``_file``, ``_block`` and
-    ``_pos``, so "first in the file" stays defined."""
+def read_csv_text(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """CSV rows as text with the file position of each row in ``_file``, ``_block`` and
+    ``_pos``, so "first in the file" stays defined. By default line breaks inside quotes are
+    looked for, and a file that has some is read in parallel all the same
+    (:mod:`trafficwatch.sources.csvlines`); True or False say at once that :func:`csv_text` is to read
+    it with or without them."""
+    if multi_line is None:
+        multi_line = False
+        if csvlines.quoted_breaks(spark, path):
+            columns = csv_text(spark, path, multi_line=True).columns
+            return csvlines.parsed(csvlines.csv_records(spark, path), columns)
     return csv_text(spark, path, multi_line).select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
@@ -189,7 +198,7 @@ def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> D
 
 def load_events(spark: SparkSession, path: str, mapping: Mapping[str, str] = COLUMN_MAPPING,
                 settings: Settings = DEFAULT, mode: str = "fail", sort: bool = True,
-                multi_line: bool = False) -> DataFrame:
+                multi_line: bool | None = None) -> DataFrame:
     """Telemetry CSV -> typed readings, first row of each event id, time order."""
     from trafficwatch.operators.dedupe import first_per_key
 
@@ -200,7 +209,7 @@ def load_events(spark: SparkSession, path: str, mapping: Mapping[str, str] = COL
     return events.orderBy("event_time", "event_id") if sort else events
 
 
-_POSITION = ("_file", "_block", "_pos")
+_POSITION = csvlines.POSITION
 
 
 def telemetry_messages(readings: DataFrame, settings: Settings = DEFAULT,
