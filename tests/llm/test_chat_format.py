@@ -105,9 +105,10 @@ def test_report_equals_the_plain_version(spark):
 
 
 def test_records_keep_their_other_columns(spark):
-    df = records(spark, [{"prompt": "p", "completion": "c"}]).withColumn("layout_of", F.lit(1)).withColumnRenamed("record", "turn.s")
+    df = records(spark, [{"prompt": "p", "completion": "c"}]).withColumn("layout_of", F.lit(1)).withColumn(
+        "whole_record", F.lit("clash")).withColumn("record_shape", F.lit(2)).withColumnRenamed("record", "turn.s")
     row = cf.format_chats(df, "turn.s").first()
-    assert row.asDict() == {"id": 0, "layout_of": 1, "layout": "prompt", "loss_mask": [False, True],
+    assert row.asDict() == {"id": 0, "layout_of": 1, "whole_record": "clash", "record_shape": 2, "layout": "prompt", "loss_mask": [False, True],
                             "formatted": "<|im_start|>user\np<|im_end|>\n<|im_start|>assistant\nc<|im_end|>\n"}
 
 

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trafficwatch.llm.base import text_or_empty
+from trafficwatch.llm.base import fresh_name, text_or_empty
 
 #: The template's marks.
 START, END, ROLE_BREAK = "<|im_start|>", "<|im_end|>", "<|nl|>"
@@ -120,15 +120,15 @@ def canonical_turns(records: DataFrame, rec: str = "record", layouts: Sequence[L
     """``records`` with ``layout`` (its name) and ``turns`` instead of the VARIANT column ``rec``.
     A record whose fingerprint no layout answers to, or that is null, keeps a row with null
     layout and null turns; nothing is dropped. Empty table: no rows."""
-    found = fingerprint(F.col(f"`{rec}`"))
+    found, whole, shape = fingerprint(F.col(f"`{rec}`")), fresh_name(records, "whole_record"), fresh_name(records, "record_shape")
     names, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
     for layout in reversed(layouts):  # the first layout that knows a shape has it
         shapes = [fingerprint(F.parse_json(F.lit(s))) for s in layout.shapes]  # constants, folded by Spark
-        mine = F.col("__shape").isin(*shapes)
+        mine = F.col(shape).isin(*shapes)
         names = F.when(mine, F.lit(layout.name)).otherwise(names)
-        turns = F.when(mine, layout.canonical(F.col("__record"))).otherwise(turns)
+        turns = F.when(mine, layout.canonical(F.col(whole))).otherwise(turns)
     others = [c for c in records.columns if c != rec]
-    shaped = records.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{rec}`").alias("__record"), found.alias("__shape"))
+    shaped = records.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{rec}`").alias(whole), found.alias(shape))
     return shaped.select(*[F.col(f"`{c}`") for c in others], names.alias("layout"), turns.alias("turns"))
 
 
