@@ -1,0 +1,81 @@
+"""ISO-8601 forms: the native parser against Python's own."""
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from trafficwatch.functions import parse_iso_time
+
+MANILA = dt.timezone(dt.timedelta(hours=8))
+DATES = ["2026-09-01", "20260901", "2026-W36-2", "2026W362", "2026-W36", "2026W36", "2020-W53-7", "2020W537", "2021-W53-1",
+         "2026-W00-1", "2026-W01-1", "2025-W01-1", "2026-W54-1", "2026-W36-0", "2026-W36-8", "2026W360", "2024-02-29", "20240229",
+         "2026-02-29", "20260229", "2026-13-01", "20261301", "1969-12-31", "1999-12-31", "9999-12-31", "2026-W362", "2026W36-2",
+         "2026-0901", "202609-01", "2026-244", "2026244", "2026-09", "202609", "2026", ""]
+CLOCKS = ["07", "07:05", "0705", "07:05:09", "070509", "07:05:09.5", "070509.5", "07:05:09,25", "070509,123456", "07:05:09.1234567",
+          "07:05.5", "0705.5", "07.5", "24", "24:00:01", "23:60", "2360", "23:59:60", "235960", "07:0509", "0705:09", "07:05:", "7:05", "070", "07:05:09."]
+OFFSETS = ["", "Z", "+08:00", "-0330", "+08", "+08:00:30", "-080030", "+18:00", "-175959", "+24:00", "+08:60",
+           "+0800:30", "+8", "+", "z", " Asia/Tokyo"]
+
+
+def expected(text):
+    """Microseconds by Python's reader, naive text as Manila time."""
+    try:
+        found = dt.datetime.fromisoformat(text)
+    except ValueError:
+        return None
+    if found.tzinfo is None:
+        found = found.replace(tzinfo=MANILA)
+    try:
+        return (found - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+    except OverflowError:
+        return "beyond"
+
+
+def cases():
+    whole = [d + "T" + c + o for d in DATES for c in CLOCKS for o in OFFSETS]
+    return [*DATES, *whole, *(d + s + "0705" for d in DATES for s in (" ", "t", "_", "\u00e9")),
+            "T07:05", "2026-9-1 7:5", "07:05:09", "07:05:09Z", "T07:05:09.1234", "07:05:09.12345", "now", "epoch", "today", "2026-09-01T", "2026-09-01T07:05:09 +08:00",
+            "2026-09-01+08:00", "20260901+0800", "2026-09-01Z"]
+
+
+#: Forms that ``fromisoformat`` happens to take although its documentation leaves them out: a part of an
+#: hour or minute, an unfinished clock before an offset, sixty minutes in an offset.
+def accidental(text):
+    return any(c in text for c in ("07:05.5", "0705.5", "07.5", "+08:60", "T070+", "T070-", "T070Z", "07:05:09.+", "07:05:09.-", "07:05:09.Z",
+                                   "07:05:+", "07:05:-", "07:05:Z"))
+
+
+#: Forms that Spark's cast takes beside Python's: one digit for the hour, nothing behind the point of a
+#: second, a blank before the offset, a one-digit offset.
+def lenient(text):
+    return "T7:05" in text or "1 7:5" in text or "09." in text or text.endswith(("09 +08:00", "+8")) or text == "2026-09-01T"
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_every_form_reads_as_python_reads_it(spark, zone):
+    texts = [t for t in cases() if expected(t) != "beyond"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(t,) for t in texts], "s string").repartition(4).select(
+            "s", F.unix_micros(parse_iso_time("s")).alias("us")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert len(rows) == len(texts) > 10_000
+    want = {t: None if accidental(t) else expected(t) for t in texts}
+    wrong = [(r.s, r.us, want[r.s]) for r in rows if r.us != want[r.s] and not (lenient(r.s) and want[r.s] is None)]
+    assert not wrong, (len(wrong), sorted(wrong)[::max(1, len(wrong) // 60)])
+    read = {r.s: r.us for r in rows}
+    assert read["20260901T070509+08"] == read["2026-W36-2T07:05:09+08:00"] == read["2026W362T070509"] is not None
+    assert read["2026-9-1 7:5"] == read["2026-09-01T07:05"]  # only Spark's cast takes it
+    assert read["2026-09-01T07:05:09 +08:00"] == read["20260901T070509+08"]
+
+
+def test_strict_mode_names_the_text(spark):
+    with pytest.raises(Exception, match="cannot parse time: 2026-W54-1"):
+        spark.createDataFrame([("2026-W54-1",)], "s string").select(parse_iso_time("s", strict=True)).collect()
+
+
+def test_unusual_forms_stay_without_python(spark):
+    plan = spark.range(1).select(parse_iso_time(F.col("id").cast("string")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

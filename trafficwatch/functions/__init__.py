@@ -14,6 +14,7 @@ from trafficwatch.functions.timeutil import (
     local_text,
     local_time,
     ntz_micros,
+    parse_iso_time,
     parse_time,
     seconds_floor,
     utc_wall,
@@ -31,6 +32,7 @@ __all__ = [
     "normalize_plate",
     "ntz_micros",
     "parse_bool",
+    "parse_iso_time",
     "parse_number",
     "parse_time",
     "seconds_floor",

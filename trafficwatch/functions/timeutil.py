@@ -7,6 +7,8 @@ so the same input gives the same output under any ``spark.sql.session.timeZone``
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -114,6 +116,71 @@ def parse_time(text: Column | str, tz: str = TIMEZONE, *, strict: bool = False)
     return require_parsed(s, parsed, "time") if strict else parsed
 
 
+# A date and time without offset, as a cast takes it, and what may follow.
+_NAIVE_RE = r"\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d*)?"
+_SHIFT_RE = r"\s*(?:Z|[+-]\d{2}(?::?\d{2}){0,2})"
+# The form most texts have; it is read as it is.
+_USUAL_RE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d*)?(Z|[+-]\d{2}(:\d{2})?)?$"
+
+# ISO-8601 as Python's ``fromisoformat`` reads it: calendar dates and weeks, times and offsets,
+# each compact or with separators, any one character between date and time.
+_CALENDAR_RE = r"\d{4}-\d{2}-\d{2}|\d{8}"
+_WEEK_RE = r"\d{4}-W\d{2}(?:-\d(?!\d))?|\d{4}W\d{2}(?:\d(?!\d))?"
+_CLOCK_RE = r"\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d+)?)?|\d{2}(?:\d{2}(?:[.,]\d+)?)?)?"
+_ISO_RE = rf"(?s)^(?:{_CALENDAR_RE}|{_WEEK_RE})(?:.{_CLOCK_RE}(?:Z|[+-]{_CLOCK_RE})?)?$"
+# Steps that write such a text in the usual form, one after another: (pattern, replacement).
+_TO_USUAL = (
+    (r"^(.{10})$", "$1T00:00:00"),
+    (r"(?s)^(.{10}).", "$1T"),
+    (r"^(.{13})(?=$|[Z+-])", "$1:00"),
+    (r"^(.{13})(\d{2})", "$1:$2"),
+    (r"^(.{16})(?=$|[Z+-])", "$1:00"),
+    (r"^(.{16})(\d{2})", "$1:$2"),
+    (r"^(.{19}),", "$1."),
+    (r"^(.{16,}[+-]\d{2})(\d{2})", "$1:$2"),
+    (r"^(.{16,}[+-]\d{2}:\d{2})(\d{2})$", "$1:$2"),
+)
+
+
+def _week_date(text: Column) -> Column:
+    """Date of the year, week and day (Monday if left out) that a text in :data:`_WEEK_RE` form
+    begins with. A year's first week holds its fourth of January."""
+    parts = r"^\d{4}-?W(\d{2})(?:-?(\d)(?!\d))?"
+    week = F.regexp_extract(text, parts, 1).try_cast("int")
+    day = F.rpad(F.regexp_extract(text, parts, 2), 1, "1").try_cast("int")
+    first = F.trunc(F.concat(F.substring(text, 1, 4), F.lit("-01-04")).try_cast("date"), "week")
+    monday = F.date_add(first, (week - 1) * 7)
+    return F.when((day >= 1) & (day <= 7) & (F.weekofyear(monday) == week), F.date_add(monday, day - 1))
+
+
+def _usual_form(text: Column) -> Column:
+    """Text in :data:`_ISO_RE` form in the usual one; null if its week does not exist."""
+    week = F.concat(_week_date(text).cast("string"), F.regexp_replace(text, rf"^(?:{_WEEK_RE})", ""))
+    calendar = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
+    form = F.when(text.rlike(r"^\d{4}-?W"), week).otherwise(calendar)
+    for pattern, replacement in _TO_USUAL:
+        form = F.regexp_replace(form, pattern, replacement)
+    return form
+
+
+def parse_iso_time(text: Column | str, tz: str = TIMEZONE, *, strict: bool = False) -> Column:
+    """ISO-8601 text to an instant, in every form of Python's ``fromisoformat`` (compact, weeks, offsets
+    with seconds) or Spark's cast (one-digit parts). ``Z`` and explicit offsets, of 18 hours at most, are
+    honoured, a naive value is read as wall clock in ``tz``. Unparseable text is null, or raises when
+    ``strict`` (whatever the session's ANSI setting).
+
+    Every step uses the step before it once, so the expression stays small wherever it is put:
+    text without an offset gets the zone's name, and one cast reads what is complete."""
+    s = strip(text)
+    full = F.when(~s.rlike(_USUAL_RE) & s.rlike(_ISO_RE), _usual_form(s)).otherwise(s)
+    full = F.regexp_replace(full, r"^(\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2})$", "$1:00")
+    full = F.regexp_replace(full, r"^(\d{4}-\d{1,2}-\d{1,2})$", "$1T00:00:00")
+    full = F.regexp_replace(full, rf"^({_NAIVE_RE})$", f"$1 {tz}")
+    # A cast would also take other zones' names, and a time without a date for one of today.
+    parsed = F.regexp_extract(full, rf"^{_NAIVE_RE}( ?{re.escape(tz)}|{_SHIFT_RE})$", 0).try_cast("timestamp")
+    return require_parsed(s, parsed, "time") if strict else parsed
+
+
 def require_parsed(text: Column, parsed: Column, what: str) -> Column:
     """``parsed``, failing the job where it is null: on text that did not parse, and on
     missing or blank text."""

@@ -10,7 +10,7 @@ from trafficwatch import schemas
 from trafficwatch.sources import csvlines
 from trafficwatch.config import DEFAULT, REQUIRED_FIELDS, TELEMETRY_FIELDS, Settings
 from trafficwatch.functions.text import parse_bool, parse_number, strip
-from trafficwatch.functions.timeutil import parse_time, require_parsed
+from trafficwatch.functions.timeutil import parse_iso_time, parse_time, require_parsed
 
 # telemetry field -> source column; edit a copy to read a file with other names.
 COLUMN_MAPPING: dict[str, str] = {field: field for field in TELEMETRY_FIELDS}
@@ -130,7 +130,7 @@ def normalize_rows(raw: DataFrame, mapping: Mapping[str, str] = COLUMN_MAPPING,
     """All-text rows (mapped column names) -> typed telemetry.
 
     Camera stripped; plate stripped and upper-cased; optional text blank -> null;
-    numbers parsed; light upper-cased; loose booleans; ISO time with ``Z``, offsets,
+    numbers parsed; light upper-cased; loose booleans; ISO time in any form with ``Z``, offsets,
     or naive = declared zone. Coordinates, speed and time are required:
     ``mode="fail"`` raises on one that is missing, blank or unreadable (whatever the
     session's ANSI setting), ``"drop"`` drops such rows. A missing event id defaults to
@@ -163,7 +163,7 @@ def normalize_rows(raw: DataFrame, mapping: Mapping[str, str] = COLUMN_MAPPING,
         number("speed_kph").alias("speed_kph"),
         F.upper(optional("traffic_light_state")).alias("traffic_light_state"),
         parse_bool("stop_line_crossed").alias("stop_line_crossed"),
-        parse_time("event_time", settings.timezone, strict=strict).alias("event_time"),
+        parse_iso_time("event_time", settings.timezone, strict=strict).alias("event_time"),
         *keep,
     )
     return typed if strict else typed.dropna(subset=["latitude", "longitude", "speed_kph", "event_time"])
