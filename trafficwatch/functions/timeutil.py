@@ -71,8 +71,10 @@ def from_wall(ntz: Column | str, tz: str) -> Column:
 
 
 def _div(value: Column, by: int) -> Column:
-    """Whole quotient, rounded down, without a detour over doubles."""
-    return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by))
+    """Whole quotient, rounded down, without a detour over doubles. ``value`` is moved above zero (it
+    counts microseconds of the years 1 to 9999, or fewer) and so stands in the result once."""
+    above = 10**18 // by
+    return F.call_function("div", value + F.lit(above * by), F.lit(by)) - F.lit(above)
 
 
 def _digits(value: Column, width: int = 2) -> Column:
@@ -84,10 +86,11 @@ def iso_text(ts: Column | str, tz: str = TIMEZONE) -> Column:
     ``2026-09-24T10:00:00.000+08:00``; null stays null.
 
     Everything follows from two numbers by integer arithmetic: the instant and its offset. No part
-    of it stands in a branch, so generated code computes the offset once per value."""
+    of it stands in a branch, so generated code computes the offset once per value; ``ts`` may be an
+    expression of its own, for it stands in the result a few times only."""
     t = _col(ts)
     micros = F.unix_micros(t)
-    offset = _div(ntz_micros(local_time(t, tz)) - micros, 60_000_000)  # minutes
+    offset = _div(F.unix_micros(F.from_utc_timestamp(t, tz)) - micros, 60_000_000)  # minutes
     millis = _div(micros + offset * F.lit(60_000_000), 1000)
     of_day = F.pmod(millis, F.lit(86_400_000))
     seconds = _div(of_day, 1000)
