@@ -76,3 +76,69 @@ def test_an_open_quote_takes_the_rest_of_its_file(spark, tmp_path):
     (tmp_path / "b.csv").write_text("id,note\n5,v\n")
     rows = sorted(tuple(r)[3] for r in csvlines.csv_records(spark, str(tmp_path)).collect())
     assert rows == ["1,x", '2,"open\n3,y\n4,z', "5,v"]
+
+
+@pytest.mark.parametrize("split_bytes", [90, 1 << 20])
+def test_records_pass_the_ends_of_arrow_batches(spark, tmp_path, split_bytes):
+    data, text = made(random.Random(5), 80, "\n")
+    for name in ("a.csv", "b.csv"):
+        (tmp_path / name).write_bytes(text.encode())
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        rows = read(spark, str(tmp_path), split_bytes)[1]
+    finally:
+        spark.conf.set(name, before)
+    rows.sort(key=lambda r: r[3:])
+    assert [tuple(v or "" for v in r[:3]) for r in rows] == [tuple(row) for row in data] * 2
+
+
+def test_records_within_a_split_are_not_shuffled(spark, tmp_path):
+    """Only counts and the pieces of records that pass the end of a split are."""
+    (tmp_path / "a.csv").write_text("id,note\n" + '1,"two\nlines"\n' * 2000)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        records = csvlines.csv_records(spark, str(tmp_path))
+        assert records.count() == 2000
+        plan = records._jdf.queryExecution().executedPlan()
+        moved = []
+
+        def walk(node):
+            if node.nodeName() in ("Exchange", "BroadcastExchange"):
+                moved.append(node.metrics().apply("numOutputRows" if node.nodeName() == "BroadcastExchange"
+                                                  else "shuffleRecordsWritten").value())
+            for k in range(node.children().size()):
+                walk(node.children().apply(k))
+
+        records.collect()
+        walk(plan)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert moved and max(moved) < 100
+
+
+def test_the_export_is_written_by_the_tasks_that_read_the_table(spark, tmp_path):
+    from pathlib import Path
+
+    from trafficwatch.catalog import QUERIES
+    from trafficwatch.session import checkpoint_root
+
+    for k in range(3):
+        spark.sql(f"""SELECT {k} * 100 + id event_id, id % 5 user_id, 'view' event_type, '{{"k": 3}}' props, 50D + id value,
+                  timestamp_ntz'2024-01-03 00:00:00' + make_dt_interval(0, 0, 0, id) ts FROM range(0, 100, 1, 1)""") \
+            .write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    root = Path(checkpoint_root(spark)) / "csv-queries"
+    known = set(root.glob("*")) if root.exists() else set()
+    before = {n: spark.conf.get(n) for n in ("spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    for n, value in zip(before, ("1", "2000"), strict=True):
+        spark.conf.set(n, value)
+    try:
+        rows = QUERIES["csv_quoted_breaks"](spark, str(tmp_path)).collect()
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    assert len(rows) == 300
+    (export,) = set(root.glob("*")) - known
+    assert len(list(export.glob("*.csv"))) > 1

@@ -461,11 +461,11 @@ def q_csv_events(spark, sf_dir):
 
 
 def q_csv_quoted_breaks(spark, sf_dir):
-    """The export with a quoted note of several lines (and doubled quotes) in every third row, in
-    one file that many tasks read."""
+    """The export with a quoted note of several lines (and doubled quotes) in every third row. The
+    tasks that read the table write a file each, and many tasks read each of these."""
     path = os.path.join(checkpoint_root(spark), "csv-queries", uuid.uuid4().hex[:12])
     note = F.when(F.pmod(F.xxhash64("*"), F.lit(3)) == 0, F.concat(F.lit('seen by "'), F.col("cam"), F.lit('"\n\n, twice\n')))
-    csv_export(readings(spark, sf_dir)).select(F.coalesce(note, F.lit("-")).alias("note"), "*").coalesce(1).write.option(
+    csv_export(readings(spark, sf_dir)).select(F.coalesce(note, F.lit("-")).alias("note"), "*").write.option(
         "header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False).csv(path)
     return present(load_events(spark, path, EXPORT_MAPPING, DEFAULT, mode="fail"))
