@@ -13,7 +13,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from trafficwatch.llm import bpe_replay, pretokens, repair
+from trafficwatch.llm import bpe_replay, pretokens, repair, tokenize
 from trafficwatch.llm.tokenize import encoder
 
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -169,3 +169,27 @@ def test_token_files_in_id_order(spark):
         assert tuple(row) == (doc, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
     assert repair.round_trip(docs.limit(0), PLAIN).count() == 0
+
+
+def test_known_words_are_not_asked_again(monkeypatch):
+    """Not even when the memory of words runs full: those of the last block stay."""
+    own = tokenize.WordEncoder(PLAIN)
+    asked, real = [], own._tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, words, **options):
+            asked.append(len(words))
+            return real.encode_batch_fast(words, **options)
+
+    own._tokenizer = Counting()
+    monkeypatch.setattr(tokenize, "REMEMBERED", 4)
+    blocks = [["one two three"], ["one two three four five"], ["five four"], [], ["one"], [""], ["three é😀"]]
+    for texts in blocks:
+        (ids,) = list(own.documents(pa.array(texts, pa.string()))) or [pretokens.Ragged.of([])]
+        assert ids.values.tolist() == [i for t in texts for i in real.encode(t, add_special_tokens=False).ids]
+    assert asked == [3, 2, 1, 1, 3]
+    asked.clear()
+    monkeypatch.setattr(tokenize, "REMEMBERED_BYTES", 3)  # too few for any block
+    for _ in range(2):
+        list(own.documents(pa.array(["alpha beta gamma"])))
+    assert asked == [3, 3]

@@ -12,6 +12,7 @@ go to the encoder, and ids are gathered back into documents.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -125,7 +126,7 @@ class Ragged:
     def of(cls, rows: list) -> "Ragged":
         start = np.zeros(len(rows) + 1, np.int64)
         np.cumsum([len(r) for r in rows], out=start[1:])
-        flat = np.fromiter((v for r in rows for v in r), np.int64, int(start[-1]))
+        flat = np.fromiter(itertools.chain.from_iterable(rows), np.int64, int(start[-1]))
         return cls(flat, start)
 
     def take(self, rows: np.ndarray) -> "Ragged":

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import functools
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from trafficwatch.llm.base import CHUNK_BYTES
 from trafficwatch.llm.pretokens import Ragged, encode_documents
@@ -20,7 +20,9 @@ from trafficwatch.llm.pretokens import Ragged, encode_documents
 #: Text bytes of the documents whose distinct words are looked up together.
 BLOCK_BYTES = 8 << 20
 #: Words whose ids a task remembers between chunks.
-REMEMBERED = 400_000  # about 200 bytes each
+REMEMBERED = 1_000_000  # about 40 bytes each
+#: Bytes of these words.
+REMEMBERED_BYTES = 64 << 20
 
 
 class WordEncoder:
@@ -37,20 +39,30 @@ class WordEncoder:
         found = sorted((t.content.encode() for t in tokens), key=len, reverse=True)  # the longest match counts
         #: The file's added tokens.
         self.added = re.compile(b"|".join(map(re.escape, found))) if found else None
-        self._known: dict[bytes, bytes] = {}  # ids as unsigned 32-bit integers
+        self._known, self._ids = self._none()  # remembered words and their ids
 
     def words(self, vocabulary: pa.Array) -> Ragged:
-        words = vocabulary.to_pylist()
-        new = [w for w in words if w not in self._known]
-        if len(self._known) + len(new) > REMEMBERED:
-            self._known = {}
-            new = words
-        ids = self._tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self._known.update(zip(new, (array("I", e.ids).tobytes() for e in ids), strict=True))
-        rows = [self._known[w] for w in words]
-        start = np.zeros(len(rows) + 1, np.int64)
-        np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)) // 4, out=start[1:])
-        return Ragged(np.frombuffer(b"".join(rows), np.uint32).astype(np.int64), start)
+        """Ids of each of the distinct words ``vocabulary``."""
+        place = pc.index_in(vocabulary, self._known)
+        unknown = place.is_null()
+        place = place.fill_null(0).to_numpy().astype(np.int64)
+        if len(new := vocabulary.filter(unknown)):
+            asked = [w.decode() for w in new.to_pylist()]
+            ids = Ragged.of([e.ids for e in self._tokenizer.encode_batch_fast(asked, add_special_tokens=False)])
+            place[unknown.to_numpy(zero_copy_only=False)] = len(self._known) + np.arange(len(new))
+            self._known = pa.concat_arrays([self._known, new])
+            self._ids = Ragged(np.concatenate([self._ids.values, ids.values.astype(np.uint32)]),
+                               np.concatenate([self._ids.start, self._ids.start[-1] + ids.start[1:]]))
+        found = self._ids.take(place)
+        if len(self._known) > REMEMBERED or self._known.nbytes > REMEMBERED_BYTES:
+            # The words of this chunk stay, frequent ones among them.
+            few = vocabulary.nbytes <= REMEMBERED_BYTES
+            self._known, self._ids = (vocabulary, found) if few else self._none()
+        return Ragged(found.values.astype(np.int64), found.start)
+
+    @staticmethod
+    def _none() -> tuple[pa.Array, Ragged]:
+        return pa.array([], pa.binary()), Ragged(np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
     def documents(self, texts: pa.Array, piece_bytes: int = CHUNK_BYTES) -> Iterator[Ragged]:
         """Ids of the documents of a block, piece by piece (see :func:`encode_documents`)."""
