@@ -157,6 +157,48 @@ def test_repair_makes_rules_for_rare_pairs_and_small_shards(monkeypatch):
         monkeypatch.undo()
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=80), st.integers(2, 4))
+def test_repair_of_ids_too_large_to_be_sorted_with_their_places(ids, min_count):
+    large = np.array(ids, np.int64) + (1 << 30)
+    left, right, places = large[:-1], large[1:], np.arange(max(0, len(ids) - 1))
+    wide = repair._pairs_at(left, right, places, places + 1, min_count)
+    counted, after = {}, {}
+    for at, pair in enumerate(zip(ids[:-1], ids[1:])):
+        if after.get(pair, 0) <= at:  # without overlap
+            counted.setdefault(pair, []).append(at)
+            if pair[0] == pair[1]:
+                after[pair] = at + 2
+    expected = {pair: at for pair, at in counted.items() if len(at) >= min_count}
+    small = repair._pairs_at(left - (1 << 30), right - (1 << 30), places, places + 1, min_count)
+    for (pairs, counts, members), base in ((wide, 1 << 30), (small, 0)):
+        lists = np.split(members, np.cumsum(counts)[:-1]) if len(counts) else []
+        assert {((p >> 32) - base, (p & 0xFFFFFFFF) - base): at.tolist()
+                for p, at in zip(pairs.tolist(), lists, strict=True)} == expected
+
+
+def test_repair_looks_at_the_places_of_the_chosen_pairs_only():
+    ids = np.concatenate([np.arange(1000), [7, 9], np.arange(1000, 2000), [7, 9, 7, 9]])
+    work = repair._Sequence(ids.astype(np.int64), 2)
+    near = work.near_top()
+    assert work.pairs[near].tolist() == [7 << 32 | 9] and work.places_of(near).tolist() == [1000, 2002, 2004]
+    at, codes = work.chosen(near)
+    work.replace(at, np.full(len(at), 5000))
+    assert codes.tolist() == near.tolist() and work.symbols[work.alive].tolist() == [
+        *range(1000), 5000, *range(1000, 2000), 5000, 5000]
+
+
+def test_taking_some_rows_does_not_read_all_others():
+    class Small(np.ndarray):
+        def __array_ufunc__(self, ufunc, method, *inputs, **options):
+            assert all(np.size(i) < 100 for i in inputs)
+            return getattr(ufunc, method)(*(np.asarray(i) for i in inputs), **options)
+
+    rows = pretokens.Ragged(np.arange(6000), np.arange(0, 6001, 3).view(Small))
+    taken = rows.take(np.array([1999, 0, 0, 7]))
+    assert taken.values.tolist() == [5997, 5998, 5999, 0, 1, 2, 0, 1, 2, 21, 22, 23] and taken.start.tolist() == [0, 3, 6, 9, 12]
+
+
 def test_token_files_in_id_order(spark):
     rows = [(7, "seven seven"), (2, None), (5, "a b c"), (None, "no id"), (5, "a a"), (11, "x " * 3000), (12, "a <|endoftext|> b")]
     docs = spark.createDataFrame(rows, DOCS).withColumn("part", F.lit(1)).withColumn("shard", F.lit("clash"))

@@ -130,10 +130,11 @@ class Ragged:
         return cls(flat, start)
 
     def take(self, rows: np.ndarray) -> "Ragged":
-        size = (self.start[1:] - self.start[:-1])[rows]
+        first = self.start[rows]
+        size = self.start[1:][rows] - first  # of these rows only: there may be many others
         start = np.zeros(len(rows) + 1, np.int64)
         np.cumsum(size, out=start[1:])
-        source = np.arange(start[-1]) + np.repeat(self.start[rows] - start[:-1], size)
+        source = np.arange(start[-1]) + np.repeat(first - start[:-1], size)
         return Ragged(self.values[source], start)
 
 

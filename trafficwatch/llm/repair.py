@@ -39,48 +39,89 @@ _MAGIC = b"RPG1"
 _HEAD = struct.Struct("<4s4I")
 
 
-def _pairs_at(sequence: np.ndarray, places: np.ndarray, after: np.ndarray,
+def _pairs_at(left: np.ndarray, right: np.ndarray, places: np.ndarray, after: np.ndarray,
               min_count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(code, pairs, counts): which of ``pairs`` (left << 32 | right, each ``min_count`` times at
-    least) stands at each of the ascending ``places`` and its neighbour ``after``, from 1 on, or
-    0. A pair of equal symbols overlaps itself: in a row of them every other place counts."""
-    left, right = sequence[places], sequence[after]
-    counted = np.ones(len(places), bool)
+    """(pairs, counts, members) of the symbols ``left`` at the ascending ``places`` and ``right`` at
+    their neighbours ``after``: the distinct pairs (left << 32 | right) that come ``min_count`` times
+    at least, and the ascending places of the first of them, then of the second and so on.
+    A pair of equal symbols overlaps itself: in a row of them every other place counts."""
+    if not len(places):
+        return places, places, places
     twin = np.flatnonzero(left == right)
-    if len(twin):
-        number, opens = np.arange(len(twin)), np.ones(len(twin), bool)
-        opens[1:] = places[twin[1:]] != after[twin[:-1]]
-        counted[twin] = (number - np.maximum.accumulate(np.where(opens, number, 0))) % 2 == 0
-    found, pairs = pd.factorize((left << 32 | right)[counted])
-    counts = np.bincount(found, minlength=len(pairs))
-    frequent = counts >= min_count  # a pair only gets rarer
-    number = np.where(frequent, np.cumsum(frequent), 0)
-    code = np.zeros(len(places), np.int64)
-    code[counted] = number[found]
-    return code, pairs[frequent], counts[frequent]
+    number, opens = np.arange(len(twin)), np.ones(len(twin), bool)
+    opens[1:] = places[twin[1:]] != after[twin[:-1]]
+    skipped = twin[(number - np.maximum.accumulate(np.where(opens, number, 0))) % 2 == 1]
+    place_bits, right_bits = int(places[-1]).bit_length(), int(right.max()).bit_length()
+    if int(left.max()).bit_length() + right_bits + place_bits > 63:  # pair and place don't fit one number
+        found, pairs = pd.factorize(np.delete(left << 32 | right, skipped))
+        counts = np.bincount(found, minlength=len(pairs))
+        members = np.delete(places, skipped)[np.argsort(found, kind="stable")]
+        frequent = counts >= min_count
+        return pairs[frequent], counts[frequent], members[np.repeat(frequent, counts)]
+    # Pairs with their places, sorted as plain numbers: faster than hashing them.
+    ordered = left << right_bits
+    ordered |= right
+    ordered <<= place_bits
+    ordered |= places
+    if len(skipped):
+        ordered = np.delete(ordered, skipped)
+    ordered.sort()
+    repeats = np.zeros(len(ordered) + 1, bool)  # the same pair as the one before
+    np.less(ordered[1:] ^ ordered[:-1], 1 << place_bits, out=repeats[1:-1])
+    if min_count > 1:  # without pairs that come once
+        several = np.flatnonzero(repeats[1:] | repeats[:-1])
+        ordered, repeats = ordered.take(several), repeats.take(several)
+    first = np.flatnonzero(~repeats[:len(ordered)])
+    counts = np.diff(first, append=len(ordered))
+    if min_count > 2:
+        frequent = counts >= min_count
+        ordered = ordered[np.repeat(frequent, counts)]
+        counts = counts[frequent]
+        first = np.cumsum(counts) - counts
+    pairs = ordered.take(first) >> place_bits
+    ordered &= (1 << place_bits) - 1
+    return pairs >> right_bits << 32 | pairs & ((1 << right_bits) - 1), counts, ordered
 
 
 class _Sequence:
-    """Linked symbols with the pair that stands at each place and the count of every pair.
+    """Linked symbols with the pair that stands at each place, and the count and the places of
+    every pair.
 
     Replacing a pair touches its own places and their neighbours only: their old pairs are
-    counted down, the new ones contain the new symbol, so they are counted on their own."""
+    counted down, the new ones contain the new symbol, so they are counted on their own.
+    A place stays in the list of a pair that it no longer holds."""
 
     def __init__(self, symbols: np.ndarray, min_count: int):
         self.symbols, self.min_count = symbols, min_count
-        self._link()
         n = len(symbols)
-        places = np.arange(max(0, n - 1))
-        code, pairs, counts = _pairs_at(symbols, places, places + 1, min_count)
-        self.code = np.concatenate([code, np.zeros(n + 1 - len(code), np.int64)])  # 0: no pair is counted here
-        self.pairs, self.counts = np.concatenate([[0], pairs]), np.concatenate([[0], counts])
-
-    def _link(self) -> None:
-        n = len(self.symbols)
         self.next = np.arange(1, n + 2)  # place n is the end, place -1 (the same) the start
         self.before = np.arange(-1, n)
-        self.alive, self.gone = np.ones(n, bool), 0
+        self.alive = np.ones(n, bool)
         self.strength = np.zeros(n + 1, np.int64)
+        self.code = np.zeros(n + 1, np.int64)  # 0: no pair is counted here
+        self.pairs, self.counts, self.first, self.listed = (np.zeros(1, np.int64) for _ in range(4))
+        # A place is listed at first and for each symbol that goes beside it or at it.
+        self.members, self.used = np.empty(3 * n, np.int64), 0
+        places = np.arange(max(0, n - 1))
+        self._count(symbols[:-1], symbols[1:], places, places + 1)
+
+    def _count(self, left: np.ndarray, right: np.ndarray, places: np.ndarray, after: np.ndarray) -> None:
+        """Counts and lists the pairs at ``places``, none of which was seen elsewhere."""
+        pairs, counts, members = _pairs_at(left, right, places, after, self.min_count)
+        self.code[members] = np.repeat(np.arange(len(self.pairs), len(self.pairs) + len(pairs)), counts)
+        self.members[self.used:self.used + len(members)] = members
+        self.first = np.concatenate([self.first, self.used + np.cumsum(counts) - counts])
+        self.used += len(members)
+        self.pairs, self.counts = np.concatenate([self.pairs, pairs]), np.concatenate([self.counts, counts])
+        self.listed = np.concatenate([self.listed, counts])
+
+    def places_of(self, codes: np.ndarray) -> np.ndarray:
+        """The places listed for ``codes``, ascending; some hold other pairs by now."""
+        size = self.listed.take(codes)
+        shift = self.first.take(codes) - (np.cumsum(size) - size)
+        at = self.members.take(np.arange(size.sum()) + np.repeat(shift, size))
+        at.sort()
+        return at[np.diff(at, prepend=-1) > 0]
 
     def near_top(self) -> np.ndarray:
         """Codes of the pairs whose count is near the top. Replacing them changes the counts
@@ -91,56 +132,46 @@ class _Sequence:
     def chosen(self, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places, codes) of the pairs ``near`` to replace in this round: of overlapping ones the
         more frequent, whatever is left ``min_count`` times."""
-        eligible = np.zeros(len(self.counts), bool)
-        eligible[near] = True
         # The same pair wins in every copy of a passage; ties in no order along the text.
         mixed = self.pairs[near].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         order = near[np.lexsort((mixed, self.counts[near]))]
         rank = np.zeros(len(self.counts), np.int64)
         rank[order] = np.arange(1, len(near) + 1)
-        at = np.flatnonzero(eligible[self.code])
-        self.strength[at] = rank[self.code[at]]
+        at = self.places_of(near)
+        own = rank.take(self.code.take(at))
+        at = at.take(np.flatnonzero(own))
+        self.strength[at] = own[own > 0]
         winners = []
         while len(at):
-            own = self.strength[at]
-            after, before = self.next[at], self.before[at]
-            wins = (own > self.strength[after]) & (own > self.strength[before])
-            winners.append(at[wins])
-            self.strength[after[wins]] = self.strength[before[wins]] = self.strength[at[wins]] = 0
-            at = at[self.strength[at] > 0]  # beside a stronger one that lost itself
+            own = self.strength.take(at)
+            after, before = self.next.take(at), self.before.take(at)
+            wins = np.flatnonzero((own > self.strength.take(after)) & (own > self.strength.take(before)))
+            winners.append(at.take(wins))
+            self.strength[after.take(wins)] = self.strength[before.take(wins)] = self.strength[winners[-1]] = 0
+            at = at.take(np.flatnonzero(self.strength.take(at)))  # beside a stronger one that lost itself
         at = np.sort(np.concatenate(winners)) if winners else at
-        own = rank[self.code[at]]
+        own = rank.take(self.code.take(at))
         enough = np.bincount(own, minlength=len(near) + 1) >= self.min_count
-        return at[enough[own]], order[np.flatnonzero(enough) - 1]
+        return at[enough.take(own)], order[np.flatnonzero(enough) - 1]
 
     def replace(self, at: np.ndarray, symbols: np.ndarray) -> None:
         """Writes ``symbols`` for the pairs at ``at``."""
         self.symbols[at] = symbols
-        eaten = self.next[at]
-        after = self.next[eaten]
+        eaten = self.next.take(at)
+        after = self.next.take(eaten)
         self.next[at], self.before[after] = after, at
         self.alive[eaten] = False
-        self.gone += len(eaten)
-        touched = np.zeros(len(self.code), bool)
-        touched[self.before[at]] = touched[at] = True
-        touched[-1] = False  # the start has no place of its own
-        touched = np.flatnonzero(touched)
-        old = np.concatenate([self.code[touched], self.code[eaten]])
+        # The places themselves and those before them, ascending; -1 (the start) has no pair.
+        touched = np.stack([self.before.take(at), at], axis=1).ravel()
+        touched = touched[np.diff(touched, prepend=-1) > 0]
+        old = np.concatenate([self.code.take(touched), self.code.take(eaten)])
         self.counts -= np.bincount(old, minlength=len(self.counts))
         self.code[eaten] = self.code[touched] = 0
-        touched = touched[self.next[touched] < len(self.symbols)]
-        code, pairs, counts = _pairs_at(self.symbols, touched, self.next[touched], self.min_count)
-        self.code[touched] = np.where(code > 0, code + len(self.pairs) - 1, 0)
-        self.pairs, self.counts = np.concatenate([self.pairs, pairs]), np.concatenate([self.counts, counts])
+        after = self.next.take(touched)
+        inner = np.flatnonzero(after < len(self.symbols))
+        touched, after = touched.take(inner), after.take(inner)
+        self._count(self.symbols.take(touched), self.symbols.take(after), touched, after)
         self.counts[0] = 0
-        if 3 * self.gone > len(self.symbols):
-            self.shorten()
-
-    def shorten(self) -> None:
-        """Closes the gaps that replaced pairs left."""
-        self.symbols = self.symbols[self.alive]
-        self.code = self.code[np.append(self.alive, True)]
-        self._link()
 
 
 def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -171,8 +202,7 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[np.ndarray, n
                 again = True
                 work.replace(at, symbol[work.code[at]])
                 work.counts[codes] = 0  # what is left of them waits for the next count
-        work.shorten()
-        symbols = work.symbols
+        symbols = work.symbols[work.alive]
         if not again:
             break
     keys = np.concatenate(rules)
