@@ -1,6 +1,7 @@
 """Byte-level BPE replay, tokenizer words, Re-Pair shards: exact round trips."""
 import base64
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -199,6 +200,24 @@ def test_taking_some_rows_does_not_read_all_others():
     assert taken.values.tolist() == [5997, 5998, 5999, 0, 1, 2, 0, 1, 2, 21, 22, 23] and taken.start.tolist() == [0, 3, 6, 9, 12]
 
 
+def test_repair_lists_only_places_that_hold_the_pair_and_keeps_32_bits_a_place():
+    ids = np.array([1, 2, 3, 1, 2, 4, 2, 3] * 20)
+    work = repair._Sequence(ids, 2)
+    of = {(p >> 32, p & 0xFFFFFFFF): c for c, p in enumerate(work.pairs.tolist())}
+    assert work.places_of(np.array([of[2, 3]])).tolist() == sorted([*range(1, 160, 8), *range(6, 160, 8)])
+    first = np.array([of[1, 2]])
+    at, codes = work.chosen(first)
+    work.replace(at, np.full(len(at), 9))
+    assert codes.tolist() == first.tolist() and work.places_of(first).tolist() == []
+    assert work.places_of(np.array([of[2, 3], of[4, 2]])).tolist() == sorted([*range(5, 160, 8), *range(6, 160, 8)])
+    assert {a.itemsize for a in (work.symbols, work.next, work.before, work.code, work.members)} == {4}
+    # Where 32 bits may not hold all symbols, 64 are kept.
+    large = ids + (1 << 31) - 100
+    assert repair._Sequence(large, 2).symbols.itemsize == 8
+    rules, _, sequence, terminals = repair.compress(large)
+    assert len(rules) > 5 and repair.expand(sequence, rules, terminals).tolist() == large.tolist()
+
+
 def test_token_files_in_id_order(spark):
     rows = [(7, "seven seven"), (2, None), (5, "a b c"), (None, "no id"), (5, "a a"), (11, "x " * 3000), (12, "a <|endoftext|> b")]
     docs = spark.createDataFrame(rows, DOCS).withColumn("part", F.lit(1)).withColumn("shard", F.lit("clash"))
@@ -235,3 +254,56 @@ def test_known_words_are_not_asked_again(monkeypatch):
     for _ in range(2):
         list(own.documents(pa.array(["alpha beta gamma"])))
     assert asked == [3, 3]
+
+
+def library(tokenizer, texts):
+    return [i for t in texts for i in tokenizer.encode(t, add_special_tokens=False).ids]
+
+
+def test_many_new_words_are_asked_in_few_strings(monkeypatch):
+    own, tokenizer = tokenize.WordEncoder(PLAIN), Tokenizer.from_file(PLAIN)
+    asked, lines = [], own._lines
+
+    class Counting:
+        def encode_batch_fast(self, strings, **options):
+            asked.append(len(strings))
+            return lines.encode_batch_fast(strings, **options)
+
+    own._lines, own._tokenizer = Counting(), None
+    words = [f"w{i:x}é{i * 7919 % 9973}ÿĊ\n<|endoftext|>{chr(0x4E00 + i)}  {chr(0x1F300 + i)}'s" for i in range(300)]
+    monkeypatch.setattr(tokenize, "REMEMBERED", 1500)
+    for block in (words[:200], words[100:], [*words[250:], *ODD, "".join(f" u{i}x" for i in range(400))]):
+        (ids,) = own.documents(pa.array(block, pa.string()))
+        assert ids.values.tolist() == library(tokenizer, block)
+        for d, text in enumerate(block[:20]):
+            assert ids.values[ids.start[d]:ids.start[d + 1]].tolist() == library(tokenizer, [text])
+    assert len(asked) == 3 and max(asked) < 30
+
+
+def test_words_whose_bytes_the_vocabulary_lacks(tmp_path):
+    tokens = ["a", "b", "c", "Ġ", "ab", "Ġa"]  # no other bytes: the library leaves them out
+    path = tmp_path / "few.json"
+    path.write_text(json.dumps({"version": "1.0", "added_tokens": [], "normalizer": None, "post_processor": None, "decoder": None,
+                                "truncation": None, "padding": None,
+                                "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True},
+                                "model": {"type": "BPE", "vocab": {t: i for i, t in enumerate(tokens)},
+                                          "merges": [["a", "b"], ["Ġ", "a"]]}}))
+    texts = [" ".join("abcx"[i % 4] + "ab" * (i % 7) + "c" * (i // 7) for i in range(150)), " x abx a"]
+    (ids,) = tokenize.WordEncoder(str(path)).documents(pa.array(texts))
+    assert ids.values.tolist() == library(Tokenizer.from_file(str(path)), texts)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text("a1.' \n\u00a0\u1680\u2003\u3000é\u0660中\ue000😀𝐀𝟙s", max_size=20), max_size=5), st.integers(0, 3))
+def test_words_of_two_to_four_byte_characters(texts, skip):
+    array = pa.array(["skipped é"] * skip + texts, pa.string()).slice(skip)
+    words = pretokens.split_words(array)
+    vocabulary = [w.decode() for w in words.vocabulary.to_pylist()]
+    assert [[vocabulary[c] for c in words.code[a:b]] for a, b in zip(words.doc_start[:-1], words.doc_start[1:])] == [
+        regex.findall(public_tokenizers.PATTERN, t) for t in texts]
+
+
+def test_bytes_that_are_no_text_are_refused():
+    raw = pa.array([b"a \xff b", b"ok"], pa.binary())
+    with pytest.raises((ValueError, pa.ArrowInvalid)):
+        pretokens.split_words(pa.Array.from_buffers(pa.string(), 2, raw.buffers()))

@@ -48,28 +48,44 @@ class Words:
     doc_start: np.ndarray
 
 
-def _starts(points: np.ndarray, doc_at: np.ndarray) -> np.ndarray:
-    """True where a word starts. ``doc_at``: start positions of nonempty documents."""
-    kind = _classes()[points]
-    n = len(points)
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """The character class of each byte of UTF-8 ``data``: that of the character it belongs to."""
+    kind = _classes()[:256][data]
+    lead = np.flatnonzero(data >= 0xC0)  # first bytes of characters of two to four bytes
+    first = data.take(lead)
+    for low, high, size in ((0xC0, 0xE0, 2), (0xE0, 0xF0, 3), (0xF0, 0x100, 4)):
+        at = lead.compress((first >= low) & (first < high))
+        point = data.take(at).astype(np.int32) & (0x7F >> size)
+        for k in range(1, size):
+            point = point << 6 | data.take(at + k) & 0x3F
+        own = _classes().take(point)
+        for k in range(size):
+            kind[at + k] = own
+    return kind
+
+
+def _starts(data: np.ndarray, doc_at: np.ndarray) -> np.ndarray:
+    """True where a word of UTF-8 ``data`` starts. ``doc_at``: start positions of nonempty documents."""
+    kind = _kinds(data)
+    n = len(data)
     first = np.zeros(n, bool)
     first[doc_at] = True
-    run = first.copy()
-    run[1:] |= kind[1:] != kind[:-1]
-    at = np.flatnonzero(run)
-    end = np.append(at[1:], n)
-    word = run.copy()
+    word = first.copy()
+    word[1:] |= kind[1:] != kind[:-1]
+    apostrophes = np.flatnonzero(data == 0x27)
+    alone = apostrophes[word[apostrophes] & np.append(word, True)[apostrophes + 1]]
     # A white-space run before other text in its document: its last character stands
     # alone or, if it is a blank, belongs to the next word.
-    followed = (kind[at] == SPACE) & (end < n)
-    after = end[followed]
-    after = after[~first[after]]
-    word[after - 1] = True
-    word[after[points[after - 1] == 0x20]] = False
+    space = kind == SPACE
+    after = 1 + np.flatnonzero(space[:-1] & ~space[1:] & ~first[1:])
+    last = after - 1
+    for _ in range(3):  # from its last byte to its first
+        last -= data.take(last) & 0xC0 == 0x80
+    word[last] = True
+    word[after[data.take(after - 1) == 0x20]] = False
     # Contractions: a run of one apostrophe that no blank was joined to.
-    single = at[(end - at == 1) & (points[at] == 0x27)]
-    single = single[word[single]]
-    padded = np.append(points, [0, 0])
+    single = alone[word[alone]]
+    padded = np.append(data, np.zeros(2, np.uint8))
     inside = np.append(~first, [False, False])
     one = np.where(inside[single + 1], padded[single + 1], 0)
     two = np.where(inside[single + 1] & inside[single + 2], padded[single + 2], 0)
@@ -86,33 +102,28 @@ def _starts(points: np.ndarray, doc_at: np.ndarray) -> np.ndarray:
 def split_words(texts: pa.Array, added: re.Pattern[bytes] | None = None) -> Words:
     """The words of each text of a string array without nulls. A match of ``added`` is a
     word of its own, and the texts before and after it are split each for itself."""
-    raw = [t.encode() for t in texts.to_pylist()]
-    sizes = np.array([len(r) for r in raw], np.int64)
-    data = b"".join(raw)
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    cuts = [(base + m.start(), base + m.end()) for r, base in zip(raw, bounds[:-1].tolist(), strict=True)
-            for m in added.finditer(r)] if added and added.search(data) else []
-    points = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
-    if len(points) == len(data):
-        offset = None
-    else:
-        offset = np.zeros(len(points) + 1, np.int64)
-        np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000), out=offset[1:])
-    places = (lambda at: at) if offset is None else functools.partial(np.searchsorted, offset)
-    char_bounds = places(bounds)
-    if not len(points):
-        return Words(pa.array([], pa.binary()), np.zeros(0, np.int64), np.zeros(len(raw) + 1, np.int64))
-    doc_at = char_bounds[:-1][sizes > 0]
-    whole = places(np.array(cuts, np.int64).reshape(-1, 2))
-    apart = np.union1d(doc_at, whole)
-    word = _starts(points, apart[apart < len(points)])
-    for low, high in whole.tolist():
+    texts.validate(full=True)  # UTF-8
+    texts = texts.cast(pa.binary())
+    if not len(texts):
+        return Words(pa.array([], pa.binary()), np.zeros(0, np.int64), np.zeros(1, np.int64))
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+    if bounds[0] == bounds[-1]:
+        return Words(pa.array([], pa.binary()), np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64))
+    buffer = texts.buffers()[2].slice(bounds[0], bounds[-1] - bounds[0])
+    data = np.frombuffer(buffer, np.uint8)
+    bounds -= bounds[0]
+    doc_at = bounds[:-1][np.diff(bounds) > 0]
+    cuts = np.array([(low + m.start(), low + m.end()) for low, text in zip(bounds[:-1].tolist(), texts.to_pylist(), strict=True)
+                     for m in added.finditer(text)] if added and added.search(buffer) else [], np.int64).reshape(-1, 2)
+    apart = np.union1d(doc_at, cuts)
+    word = _starts(data, apart[apart < len(data)])
+    for low, high in cuts.tolist():
         word[low + 1:high] = False
     at = np.flatnonzero(word)
-    cuts = np.append(at if offset is None else offset[at], len(data)).astype(np.int32)
-    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+    ends = np.append(at, len(data)).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), buffer])
     encoded = words.dictionary_encode()
-    return Words(encoded.dictionary, encoded.indices.to_numpy(), np.searchsorted(at, char_bounds))
+    return Words(encoded.dictionary, encoded.indices.to_numpy(), np.searchsorted(at, bounds))
 
 
 @dataclass

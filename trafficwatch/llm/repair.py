@@ -46,26 +46,27 @@ def _pairs_at(left: np.ndarray, right: np.ndarray, places: np.ndarray, after: np
     at least, and the ascending places of the first of them, then of the second and so on.
     A pair of equal symbols overlaps itself: in a row of them every other place counts."""
     if not len(places):
-        return places, places, places
-    twin = np.flatnonzero(left == right)
-    number, opens = np.arange(len(twin)), np.ones(len(twin), bool)
-    opens[1:] = places[twin[1:]] != after[twin[:-1]]
-    skipped = twin[(number - np.maximum.accumulate(np.where(opens, number, 0))) % 2 == 1]
+        return (np.zeros(0, np.int64),) * 3
+    skipped = twin = np.flatnonzero(left == right)
+    if len(twin):
+        number, opens = np.arange(len(twin)), np.ones(len(twin), bool)
+        opens[1:] = places[twin[1:]] != after[twin[:-1]]
+        skipped = twin[(number - np.maximum.accumulate(np.where(opens, number, 0))) % 2 == 1]
     place_bits, right_bits = int(places[-1]).bit_length(), int(right.max()).bit_length()
     if int(left.max()).bit_length() + right_bits + place_bits > 63:  # pair and place don't fit one number
-        found, pairs = pd.factorize(np.delete(left << 32 | right, skipped))
+        found, pairs = pd.factorize(np.delete(left.astype(np.int64) << 32 | right, skipped))
         counts = np.bincount(found, minlength=len(pairs))
         members = np.delete(places, skipped)[np.argsort(found, kind="stable")]
         frequent = counts >= min_count
         return pairs[frequent], counts[frequent], members[np.repeat(frequent, counts)]
     # Pairs with their places, sorted as plain numbers: faster than hashing them.
-    ordered = left << right_bits
+    ordered = np.left_shift(left, right_bits, dtype=np.int64)
     ordered |= right
     ordered <<= place_bits
     ordered |= places
-    if len(skipped):
-        ordered = np.delete(ordered, skipped)
+    ordered[skipped] = np.iinfo(np.int64).max  # to the end
     ordered.sort()
+    ordered = ordered[:len(ordered) - len(skipped)]
     repeats = np.zeros(len(ordered) + 1, bool)  # the same pair as the one before
     np.less(ordered[1:] ^ ordered[:-1], 1 << place_bits, out=repeats[1:-1])
     if min_count > 1:  # without pairs that come once
@@ -89,39 +90,52 @@ class _Sequence:
 
     Replacing a pair touches its own places and their neighbours only: their old pairs are
     counted down, the new ones contain the new symbol, so they are counted on their own.
-    A place stays in the list of a pair that it no longer holds."""
+    A place stays in the list of a pair that it no longer holds.
+    What is kept for each place are 32-bit numbers where they suffice: half the memory to go through."""
 
     def __init__(self, symbols: np.ndarray, min_count: int):
-        self.symbols, self.min_count = symbols, min_count
         n = len(symbols)
-        self.next = np.arange(1, n + 2)  # place n is the end, place -1 (the same) the start
-        self.before = np.arange(-1, n)
+        # Each rule uses up a place at least.
+        number = np.int32 if n + int(symbols.max(initial=0)) < 1 << 31 else np.int64
+        self.symbols, self.min_count = symbols.astype(number), min_count
+        self.next = np.arange(1, n + 2, dtype=number)  # place n is the end, place -1 (the same) the start
+        self.before = np.arange(-1, n, dtype=number)
         self.alive = np.ones(n, bool)
-        self.strength = np.zeros(n + 1, np.int64)
-        self.code = np.zeros(n + 1, np.int64)  # 0: no pair is counted here
-        self.pairs, self.counts, self.first, self.listed = (np.zeros(1, np.int64) for _ in range(4))
-        # A place is listed at first and for each symbol that goes beside it or at it.
-        self.members, self.used = np.empty(3 * n, np.int64), 0
-        places = np.arange(max(0, n - 1))
-        self._count(symbols[:-1], symbols[1:], places, places + 1)
+        self.code = np.zeros(n + 1, number)  # 0: no pair is counted here
+        self.pairs, self.counts, self.first = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(2, np.int64)
+        # A place is listed at first and for each symbol that goes beside it or at it. The places
+        # of code c are members[first[c]:first[c + 1]].
+        self.members = np.empty(3 * n, number)
+        places = np.arange(max(0, n - 1), dtype=number)
+        self._count(self.symbols[:-1], self.symbols[1:], places, self.next)
 
     def _count(self, left: np.ndarray, right: np.ndarray, places: np.ndarray, after: np.ndarray) -> None:
         """Counts and lists the pairs at ``places``, none of which was seen elsewhere."""
         pairs, counts, members = _pairs_at(left, right, places, after, self.min_count)
-        self.code[members] = np.repeat(np.arange(len(self.pairs), len(self.pairs) + len(pairs)), counts)
-        self.members[self.used:self.used + len(members)] = members
-        self.first = np.concatenate([self.first, self.used + np.cumsum(counts) - counts])
-        self.used += len(members)
+        own = np.arange(len(self.pairs), len(self.pairs) + len(pairs), dtype=self.code.dtype)
+        self.code[members] = np.repeat(own, counts)
+        used = self.first[-1]
+        self.members[used:used + len(members)] = members
+        self.first = np.concatenate([self.first, used + np.cumsum(counts)])
         self.pairs, self.counts = np.concatenate([self.pairs, pairs]), np.concatenate([self.counts, counts])
-        self.listed = np.concatenate([self.listed, counts])
 
     def places_of(self, codes: np.ndarray) -> np.ndarray:
-        """The places listed for ``codes``, ascending; some hold other pairs by now."""
-        size = self.listed.take(codes)
-        shift = self.first.take(codes) - (np.cumsum(size) - size)
-        at = self.members.take(np.arange(size.sum()) + np.repeat(shift, size))
-        at.sort()
-        return at[np.diff(at, prepend=-1) > 0]
+        """The places that hold a pair of ``codes``, ascending."""
+        return self._ranked_places(codes) >> len(codes).bit_length()
+
+    def _ranked_places(self, codes: np.ndarray) -> np.ndarray:
+        """The places that hold a pair of ``codes``, ascending, each followed by the number of its
+        pair in ``codes``, from 1, in the lowest bits (as many as the greatest number has)."""
+        low = self.first.take(codes)
+        size = self.first.take(codes + 1) - low
+        ends = np.cumsum(size)
+        at = self.members.take(np.arange(ends[-1] if len(ends) else 0) + np.repeat(low - (ends - size), size))
+        ranked = np.left_shift(at, len(codes).bit_length(), dtype=np.int64)
+        ranked |= np.repeat(np.arange(1, len(codes) + 1), size)
+        # Places of a pair that they no longer hold are left out.
+        ranked = ranked.compress(self.code.take(at) == np.repeat(codes.astype(self.code.dtype), size))
+        ranked.sort()
+        return ranked
 
     def near_top(self) -> np.ndarray:
         """Codes of the pairs whose count is near the top. Replacing them changes the counts
@@ -133,43 +147,50 @@ class _Sequence:
         """(places, codes) of the pairs ``near`` to replace in this round: of overlapping ones the
         more frequent, whatever is left ``min_count`` times."""
         # The same pair wins in every copy of a passage; ties in no order along the text.
-        mixed = self.pairs[near].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        order = near[np.lexsort((mixed, self.counts[near]))]
-        rank = np.zeros(len(self.counts), np.int64)
-        rank[order] = np.arange(1, len(near) + 1)
-        at = self.places_of(near)
-        own = rank.take(self.code.take(at))
-        at = at.take(np.flatnonzero(own))
-        self.strength[at] = own[own > 0]
-        winners = []
-        while len(at):
-            own = self.strength.take(at)
-            after, before = self.next.take(at), self.before.take(at)
-            wins = np.flatnonzero((own > self.strength.take(after)) & (own > self.strength.take(before)))
-            winners.append(at.take(wins))
-            self.strength[after.take(wins)] = self.strength[before.take(wins)] = self.strength[winners[-1]] = 0
-            at = at.take(np.flatnonzero(self.strength.take(at)))  # beside a stronger one that lost itself
-        at = np.sort(np.concatenate(winners)) if winners else at
-        own = rank.take(self.code.take(at))
-        enough = np.bincount(own, minlength=len(near) + 1) >= self.min_count
-        return at[enough.take(own)], order[np.flatnonzero(enough) - 1]
+        order = near[np.argsort(self.pairs.take(near).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))]
+        counts = self.counts.take(order)
+        order = order[np.argsort(counts.astype(np.min_scalar_type(counts.max(initial=0))), kind="stable")]
+        bits = len(order).bit_length()
+        at = self._ranked_places(order)
+        place, rank = at >> bits, at & ((1 << bits) - 1)
+        overlaps = self.next.take(place[:-1]) == place[1:]  # the next one stands at this one's right symbol
+        won, rest = np.zeros(len(at), bool), np.arange(len(at))
+        while len(rest):
+            left, right = rank[:-1], rank[1:]
+            wins = np.ones(len(rest), bool)
+            wins[:-1] &= ~overlaps | (left > right)
+            wins[1:] &= ~overlaps | (right > left)
+            won[rest.compress(wins)] = True
+            done = wins.copy()
+            done[:-1] |= overlaps & wins[1:]
+            done[1:] |= overlaps & wins[:-1]
+            stay = np.flatnonzero(~done)  # beside a stronger one that lost itself
+            overlaps = overlaps.take(stay[:-1]) & (np.diff(stay) == 1)
+            rest, rank = rest.take(stay), rank.take(stay)
+        at = at.compress(won)
+        rank = at & ((1 << bits) - 1)
+        enough = np.bincount(rank, minlength=len(near) + 1) >= self.min_count
+        return at.compress(enough.take(rank)) >> bits, order[np.flatnonzero(enough) - 1]
 
     def replace(self, at: np.ndarray, symbols: np.ndarray) -> None:
-        """Writes ``symbols`` for the pairs at ``at``."""
+        """Writes ``symbols`` for the pairs at ``at``. The counts of these pairs themselves are not kept."""
         self.symbols[at] = symbols
         eaten = self.next.take(at)
         after = self.next.take(eaten)
         self.next[at], self.before[after] = after, at
         self.alive[eaten] = False
+        left = self.before.take(at)
+        old = np.bincount(self.code.take(left), minlength=len(self.counts))
+        old += np.bincount(self.code.take(eaten), minlength=len(self.counts))
+        self.counts -= old
         # The places themselves and those before them, ascending; -1 (the start) has no pair.
-        touched = np.stack([self.before.take(at), at], axis=1).ravel()
-        touched = touched[np.diff(touched, prepend=-1) > 0]
-        old = np.concatenate([self.code.take(touched), self.code.take(eaten)])
-        self.counts -= np.bincount(old, minlength=len(self.counts))
+        new = left >= 0
+        new[1:] &= left[1:] != at[:-1]
+        touched = np.stack([left, at], axis=1).ravel().compress(np.stack([new, np.ones(len(at), bool)], axis=1).ravel())
         self.code[eaten] = self.code[touched] = 0
         after = self.next.take(touched)
-        inner = np.flatnonzero(after < len(self.symbols))
-        touched, after = touched.take(inner), after.take(inner)
+        if len(after) and after[-1] == len(self.symbols):  # the last place is followed by no symbol
+            touched, after = touched[:-1], after[:-1]
         self._count(self.symbols.take(touched), self.symbols.take(after), touched, after)
         self.counts[0] = 0
 
@@ -202,7 +223,7 @@ def compress(ids: np.ndarray, min_count: int = MIN_COUNT) -> tuple[np.ndarray, n
                 again = True
                 work.replace(at, symbol[work.code[at]])
                 work.counts[codes] = 0  # what is left of them waits for the next count
-        symbols = work.symbols[work.alive]
+        symbols = work.symbols.compress(work.alive)
         if not again:
             break
     keys = np.concatenate(rules)
