@@ -189,6 +189,13 @@ def test_repair_looks_at_the_places_of_the_chosen_pairs_only():
         *range(1000), 5000, *range(1000, 2000), 5000, 5000]
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 50), st.integers(0, 4)), max_size=12))
+def test_ranges_of_any_size(pairs):
+    first, size = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
+    assert pretokens.ranges(first, size).tolist() == [f + k for f, n in pairs for k in range(n)]
+
+
 def test_taking_some_rows_does_not_read_all_others():
     class Small(np.ndarray):
         def __array_ufunc__(self, ufunc, method, *inputs, **options):
@@ -200,6 +207,15 @@ def test_taking_some_rows_does_not_read_all_others():
     assert taken.values.tolist() == [5997, 5998, 5999, 0, 1, 2, 0, 1, 2, 21, 22, 23] and taken.start.tolist() == [0, 3, 6, 9, 12]
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=40), max_size=8))
+def test_repair_documents_together_and_one_by_one(documents):
+    data = repair.write_shard([np.array(d, np.int64) for d in documents])
+    shard, unspelled = repair.Shard(data), repair.Shard(data)
+    unspelled._spelled = None
+    assert [d.tolist() for d in shard.documents()] == [d.tolist() for d in unspelled.documents()] == documents
+
+
 def test_repair_lists_only_places_that_hold_the_pair_and_keeps_32_bits_a_place():
     ids = np.array([1, 2, 3, 1, 2, 4, 2, 3] * 20)
     work = repair._Sequence(ids, 2)

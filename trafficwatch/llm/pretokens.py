@@ -50,7 +50,7 @@ class Words:
 
 def _kinds(data: np.ndarray) -> np.ndarray:
     """The character class of each byte of UTF-8 ``data``: that of the character it belongs to."""
-    kind = _classes()[:256][data]
+    kind = np.frombuffer(bytearray(data).translate(_classes()[:256].tobytes()), np.uint8)
     lead = np.flatnonzero(data >= 0xC0)  # first bytes of characters of two to four bytes
     first = data.take(lead)
     for low, high, size in ((0xC0, 0xE0, 2), (0xE0, 0xF0, 3), (0xF0, 0x100, 4)):
@@ -126,6 +126,19 @@ def split_words(texts: pa.Array, added: re.Pattern[bytes] | None = None) -> Word
     return Words(encoded.dictionary, encoded.indices.to_numpy(), np.searchsorted(at, bounds))
 
 
+def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``size[i]`` numbers from ``first[i]`` on, for one i after the other."""
+    some = np.flatnonzero(size)
+    if len(some) < len(size):
+        first, size = first.take(some), size.take(some)
+    steps = np.ones(int(size.sum()), np.int64)
+    if len(steps):
+        steps[0] = first[0]
+        steps[np.cumsum(size[:-1])] = first[1:] - first[:-1] - size[:-1] + 1
+        np.cumsum(steps, out=steps)
+    return steps
+
+
 @dataclass
 class Ragged:
     """Rows of different lengths: row i is ``values[start[i]:start[i + 1]]``."""
@@ -141,12 +154,11 @@ class Ragged:
         return cls(flat, start)
 
     def take(self, rows: np.ndarray) -> "Ragged":
-        first = self.start[rows]
-        size = self.start[1:][rows] - first  # of these rows only: there may be many others
+        first = self.start.take(rows)
+        size = self.start[1:].take(rows) - first  # of these rows only: there may be many others
         start = np.zeros(len(rows) + 1, np.int64)
         np.cumsum(size, out=start[1:])
-        source = np.arange(start[-1]) + np.repeat(first - start[:-1], size)
-        return Ragged(self.values[source], start)
+        return Ragged(self.values.take(ranges(first, size)), start)
 
 
 def document_ids(words: Words, word_ids: Ragged) -> Ragged:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trafficwatch.llm.base import record, scratch_path, slices, text_or_empty
-from trafficwatch.llm.pretokens import Ragged
+from trafficwatch.llm.pretokens import Ragged, ranges
 from trafficwatch.llm.tokenize import BLOCK_BYTES, encoder
 
 END_ID = 0
@@ -128,8 +128,7 @@ class _Sequence:
         pair in ``codes``, from 1, in the lowest bits (as many as the greatest number has)."""
         low = self.first.take(codes)
         size = self.first.take(codes + 1) - low
-        ends = np.cumsum(size)
-        at = self.members.take(np.arange(ends[-1] if len(ends) else 0) + np.repeat(low - (ends - size), size))
+        at = self.members.take(ranges(low, size))
         ranked = np.left_shift(at, len(codes).bit_length(), dtype=np.int64)
         ranked |= np.repeat(np.arange(1, len(codes) + 1), size)
         # Places of a pair that they no longer hold are left out.
@@ -263,9 +262,7 @@ def _spell(rules: np.ndarray, length: np.ndarray, terminals: int) -> Ragged:
         now, wait = wait[ready], wait[~ready]
         if not len(now):
             raise ValueError("damaged Re-Pair rules")
-        size = length[terminals + now]
-        shift = start[terminals + now] - (np.cumsum(size) - size)
-        spelled.values[np.arange(size.sum()) + np.repeat(shift, size)] = spelled.take(rules[now].ravel()).values
+        spelled.values[ranges(start[terminals + now], length[terminals + now])] = spelled.take(rules[now].ravel()).values
         known[terminals + now] = True
     return spelled
 
@@ -321,6 +318,17 @@ class Shard:
     def document(self, number: int) -> np.ndarray:
         return self.tokens(int(self.doc_start[number]), int(self.doc_start[number + 1]))
 
+    def documents(self) -> list[np.ndarray]:
+        """Ids of all documents, each from the symbols that cover it."""
+        if self._spelled is None:
+            return [self.document(k) for k in range(len(self))]
+        start, stop = self.doc_start[:-1], self.doc_start[1:]
+        low = np.searchsorted(self.before, start, side="right") - 1
+        size = np.where(start < stop, np.searchsorted(self.before, stop, side="left") - low, 0)
+        ids = self._spelled.take(self.sequence.take(ranges(low, size)))
+        at = ids.start.take(np.cumsum(size) - size) + np.where(start < stop, start - self.before.take(low), 0)
+        return [ids.values[a:b] for a, b in zip(at.tolist(), (at + stop - start).tolist(), strict=True)]
+
 
 _SHARDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("doc_ids", pa.list_(pa.int64())),
                      ("n_tokens", pa.int64()), ("shard", pa.binary())])
@@ -374,15 +382,15 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def document_checksums(shards: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, decoded one by one from its shard."""
+    """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the symbols of its shard that cover it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 shard = Shard(batch.column(2)[row].as_py())
-                ids = [shard.document(k).astype("<u4") for k in range(len(shard))]
+                ids = [i.astype("<u4") for i in shard.documents()]
                 start = batch.column(1)[row].as_py()
                 yield record(_READ, batch.column(0)[row].values, shard.doc_start[:-1] + start,
-                             [len(i) for i in ids], [zlib.crc32(i.tobytes()) for i in ids])
+                             [len(i) for i in ids], [zlib.crc32(i) for i in ids])
 
     return shards.select("doc_ids", "start", "shard").mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long")
