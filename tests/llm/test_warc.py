@@ -1,8 +1,10 @@
 """WARC derivatives: links between records, digests and the file round trip."""
 import base64
+import glob
 import gzip
 import hashlib
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +146,16 @@ def test_damaged_archives_are_refused():
 def test_query_reads_every_page(spark):
     own = table(spark, SF_SMALL, "pages")
     assert warc.derivative_report(own).count() == 3 * own.count()
+
+
+@pytest.mark.parametrize("write", [warc.write_derivatives, lambda rows, path: warc.write_warc(warc.derive(rows), path)])
+def test_an_archive_is_held_in_small_groups(spark, tmp_dir, write):
+    """However many blocks a task writes, a writer or reader holds a few MB of them."""
+    hashes = F.transform(F.sequence(F.lit(1), F.lit(8000)), lambda x: F.sha2((F.col("page_id") * 8000 + x).cast("string"), 256))
+    own = spark.range(0, 40, 1, 1).select(F.col("id").alias("page_id"), F.lit("http://h/").alias("url"))
+    write(warc.responses(own.withColumn("html", F.array_join(hashes, ""))), f"{tmp_dir}/warc")
+    files = [pq.read_metadata(f) for f in glob.glob(f"{tmp_dir}/warc/*.parquet")]
+    groups = [m.row_group(i).total_byte_size for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) > 20 << 20 and max(groups) < 8 << 20
+    assert sorted(r.page_id for r in warc.read_warc(spark, f"{tmp_dir}/warc").select("page_id").collect()) == \
+        sorted([*range(40)] * 3)

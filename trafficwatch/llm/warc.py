@@ -41,7 +41,9 @@ VERSION = "WARC/1.1"
 #: Date of captures whose source states none (fixed, so records are reproducible).
 CAPTURED = "2024-01-01T00:00:00Z"
 #: Bytes of records per archive block (a larger record is a block of its own).
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 512 << 10
+#: Bytes of archive blocks that a task writing or reading a file holds at once, or one larger block.
+GROUP_BYTES = 4 << 20
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122 URL namespace
 _RECORD_TYPE = ("record_id string, type string, target_uri string, date string, refers_to string, "
                 "refers_to_target_uri string, refers_to_date string, content_type string, "
@@ -203,7 +205,11 @@ _RESPONSE = ("page_id", "record_id", "target_uri", "date", "block", "block_diges
 
 def _derived(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """The records of a batch of response rows."""
-    rows = []
+    yield record(_RECORD, *zip(*_derived_rows(batch), strict=True))
+
+
+def _derived_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The records of a batch of response rows, each a tuple in the order of its schema."""
     for page_id, given, uri, date, response, of_block, of_payload in zip(
             *(c.to_pylist() for c in batch.columns), strict=True):
         response, uri = response or b"", uri or ""
@@ -213,14 +219,13 @@ def _derived(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         content = shown(decoded(headers, payload))
         converted = _lines(content).encode("utf-8", "replace")
         described = metadata_block(content, len(payload), _links(content, uri), headers, len(converted))
-        rows.append((page_id, source, "response", uri, date, None, None, None, "application/http; msgtype=response",
-                     of_block or digest(response), of_payload, len(response), response))
+        yield (page_id, source, "response", uri, date, None, None, None, "application/http; msgtype=response",
+               of_block or digest(response), of_payload, len(response), response)
         for kind, content_type, block in (("metadata", "application/warc-fields", described),
                                           ("conversion", "text/plain; charset=utf-8", converted)):
             own = digest(block)
-            rows.append((page_id, record_id(kind, source, own), kind, uri, date, source, uri, date,
-                         content_type, own, of_payload, len(block), block))
-    yield record(_RECORD, *zip(*rows, strict=True))
+            yield (page_id, record_id(kind, source, own), kind, uri, date, source, uri, date,
+                   content_type, own, of_payload, len(block), block)
 
 
 _FIELDS = (("WARC-Type", "type"), ("WARC-Record-ID", "record_id"), ("WARC-Target-URI", "target_uri"),
@@ -276,35 +281,54 @@ def parse_records(data: bytes) -> Iterator[dict]:
 def write_warc(records: DataFrame, path: str) -> None:
     """Writes records to a table of archive blocks (page_ids, warc): each block is a run
     of gzip members, one record each, that any WARC reader can read on its own."""
-    records.select(*_RECORD.names).mapInArrow(_packed, "page_ids array<long>, warc binary").write.parquet(path)
+    _written(records.select(*_RECORD.names).mapInArrow(_packed, "page_ids array<long>, warc binary"), path)
 
 
 def write_derivatives(responses_: DataFrame, path: str) -> None:
     """:func:`write_warc` of the :func:`derive`-d records, in one pass of each task over its rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _packed(made for batch in batches for piece in slices(batch, "block", BLOCK_BYTES // 2)
-                       for made in _derived(piece))
+        return _blocks(dict(zip(_RECORD.names, row, strict=True)) for batch in batches
+                       for piece in slices(batch, "block", BLOCK_BYTES) for row in _derived_rows(piece))
+
+    _written(responses_.select(*_RESPONSE).mapInArrow(run, "page_ids array<long>, warc binary"), path)
 
-    responses_.select(*_RESPONSE).mapInArrow(run, "page_ids array<long>, warc binary").write.parquet(path)
+
+def _written(blocks: DataFrame, path: str) -> None:
+    """Writes archive blocks in row groups of about :data:`GROUP_BYTES`, a page for each block. By
+    default Parquet first looks at the size of what it holds after 100 rows, here hundreds of MB,
+    and compresses and reads that as one page; the blocks are compressed already."""
+    (blocks.write.option("compression", "none").option("parquet.block.size", GROUP_BYTES)
+     .option("parquet.page.size.row.check.min", 1).option("parquet.page.size.row.check.max", 1).parquet(path))
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Archive blocks of batches of records."""
+    return _blocks(row for batch in batches for piece in slices(batch, "block", BLOCK_BYTES)
+                   for row in piece.to_pylist())
+
+
+def _blocks(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """Archive blocks of records, one a batch."""
     schema = pa.schema([("page_ids", pa.list_(pa.int64())), ("warc", pa.binary())])
-    for batch in batches:
-        for piece in slices(batch, "block", BLOCK_BYTES):
-            rows = piece.to_pylist()
-            packed = b"".join(zlib.compress(record_bytes(r), 1, wbits=31) for r in rows)
-            yield record(schema, [[r["page_id"] for r in rows]], [packed])
+    ids, packed, held = [], [], 0
+    for row in rows:
+        if ids and held + len(row["block"]) > BLOCK_BYTES:
+            yield record(schema, [ids], [b"".join(packed)])
+            ids, packed, held = [], [], 0
+        ids.append(row["page_id"])
+        packed.append(zlib.compress(record_bytes(row), 1, wbits=31))
+        held += len(row["block"])
+    if ids:
+        yield record(schema, [ids], [b"".join(packed)])
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Records of :func:`write_warc`, parsed and with their block digests checked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows = [r for member in members(data) for r in parse_records(member)]
-                yield record(_RECORD, ids, *([r[name] for r in rows] for name in _RECORD.names[1:]))
+            for ids, data in zip(*batch.columns, strict=True):
+                rows = [r for member in members(data.as_buffer()) for r in parse_records(member)]
+                yield record(_RECORD, ids.as_py(), *([r[name] for r in rows] for name in _RECORD.names[1:]))
 
     return spark.read.parquet(path).select("page_ids", "warc").mapInArrow(run, f"page_id long, {_RECORD_TYPE}")
 
