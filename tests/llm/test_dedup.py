@@ -99,6 +99,24 @@ def test_links_are_all_pairs_within_the_distance(spark, distance):
     assert len(found) == len(set(found)) and set(found) == expected
 
 
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_index_of_fingerprints_is_never_broadcast(spark):
+    """64 rows for each fingerprint, which Spark counts as one."""
+    links = simhash.fingerprint_links(spark.range(5).withColumnRenamed("id", "fp"))
+    assert "SortMergeJoin" in physical(links) and "Broadcast" not in physical(links)
+
+
+def test_tables_of_all_documents_are_never_broadcast(spark):
+    docs = spark.createDataFrame([(i, f"a b c {i}") for i in range(5)], DOCS)
+    for df in (simhash.near_duplicates(docs),):
+        plan = physical(df)
+        joins = [line for line in plan.split("\n") if "Join" in line and ("doc_id" in line or "node" in line)]
+        assert joins and all("SortMergeJoin" in line for line in joins), plan
+
+
 def test_components_of_chains_stars_and_rings(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 201), (201, 202), (202, 200), (300, 300)]

@@ -14,6 +14,9 @@ the segments are equal).
 
 Copies share a fingerprint and enter the index once, so a group of copies costs one
 row there; a fingerprint has at most C(64,1) + C(64,2) others within 2 bits.
+
+Tables with a row for each document or fingerprint are joined by sorting whatever their
+size: Spark takes a compressed file for its rows and would broadcast them through the driver.
 """
 from __future__ import annotations
 
@@ -88,7 +91,8 @@ def fingerprint_links(distinct_fps: DataFrame, distance: int = DISTANCE) -> Data
     condition = ((F.col("l.seg") == F.col("r.seg")) & (F.col("l.bit") == F.col("r.bit"))
                  & (F.col("l.rest") == F.col("r.rest")) & (F.col("l.fp") < F.col("r.fp"))
                  & (F.bit_count(differ) <= distance) & here)
-    return left.join(right, condition).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
+    # Spark sizes the index as the fingerprints that it is made of, a row of each, and would broadcast it.
+    return left.hint("merge").join(right, condition).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
 
 
 def _mask(low: int, high: int) -> int:
@@ -114,7 +118,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # Components hold fingerprints, not documents; their minimum is combined map-side.
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = rooted.join(of_root, "root").select("fp", "component_id")
-    return prints.join(of_fp, "fp").select(
+    return prints.hint("merge").join(of_fp, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -124,7 +128,7 @@ def _rooted(docs: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE,
     prints = persisted(fingerprints(docs, doc_id, text, shingle), "simhash")
     by_fp = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(fingerprint_links(by_fp.select("fp"), distance))
-    return prints, by_fp.join(roots, by_fp.fp == roots.node, "left").select(
+    return prints, by_fp.hint("merge").join(roots, by_fp.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
 
 
