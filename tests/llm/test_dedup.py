@@ -111,7 +111,7 @@ def test_the_index_of_fingerprints_is_never_broadcast(spark):
 
 def test_tables_of_all_documents_are_never_broadcast(spark):
     docs = spark.createDataFrame([(i, f"a b c {i}") for i in range(5)], DOCS)
-    for df in (simhash.near_duplicates(docs),):
+    for df in (simhash.near_duplicates(docs), simhash.keep_first(docs)):
         plan = physical(df)
         joins = [line for line in plan.split("\n") if "Join" in line and ("doc_id" in line or "node" in line)]
         assert joins and all("SortMergeJoin" in line for line in joins), plan

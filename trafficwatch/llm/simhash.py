@@ -142,10 +142,10 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     first = rooted.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("first"))
     rows_of_id = prints.groupBy("doc_id").agg(F.count(F.lit(1)).alias(count))
     kept = persisted(first.select(F.col("first.least").alias(own_id), F.col("first.fp").alias(own_fp))
-                     .join(rows_of_id, F.col(own_id).eqNullSafe(F.col("doc_id"))).select(own_id, own_fp, count), "kept-first")
+                     .hint("merge").join(rows_of_id, F.col(own_id).eqNullSafe(F.col("doc_id"))).select(own_id, own_fp, count), "kept-first")
     same_id = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col(own_id))
     plain = kept.where(F.col(own_id).isNotNull() & (F.col(count) == 1))
-    single = docs.join(plain, same_id, "left_semi")
+    single = docs.hint("merge").join(plain, same_id, "left_semi")
     # Rows that their id does not name are told apart by their fingerprint.
     shared = kept.where(F.col(own_id).isNull() | (F.col(count) > 1)).drop(count)
     if shared.isEmpty():
